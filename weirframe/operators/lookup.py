@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Widest frame, in estimated bytes, that is sent whole to every executor.
+# Largest estimate that is sent whole to every executor. Low enough that files which
+# unpack tenfold still fit.
 BROADCAST_BYTES = 32 << 20
 
 
 def estimated_bytes(frame: DataFrame) -> int:
-    """Catalyst's size estimate, an upper bound unless rows are multiplied."""
+    """Catalyst's size estimate; for files their compressed size, scaled to the columns read."""
     plan = frame._jdf.queryExecution().optimizedPlan()
     return int(str(plan.stats().sizeInBytes()))
 
