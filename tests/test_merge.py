@@ -201,6 +201,18 @@ def test_reachable_pages_equal_an_offset_loop(spark):
     assert sorted(map(tuple, got)) == sorted(expected)
 
 
+def test_reachable_pages_of_one_listing(spark):
+    for sizes, reached in [
+        ({0: 3, 1: 3, 2: 1, 3: 3}, [0, 1, 2]),
+        ({0: 3, 2: 3}, [0]),
+        ({1: 3}, []),
+        ({0: 3, 1: 0, 2: 3}, [0]),
+        ({0: 3, 1: 3}, [0, 1]),
+    ]:
+        frame = spark.createDataFrame(list(sizes.items()), "page int, n_items int")
+        assert sorted(r["page"] for r in paging.reachable_pages(frame, size=3).collect()) == reached
+
+
 def test_row_cap_keeps_arrival_order(spark):
     frame = spark.createDataFrame([(i,) for i in (3, 1, 2)], "pos int")
     assert [r[0] for r in paging.capped(frame, ["pos"], 2).collect()] == [1, 2]

@@ -22,7 +22,7 @@ def complete_coords(name: Column, lat: Column, lon: Column) -> Column:
 
 def passes_quality(quality: Column, value: Column, accepted: str | int = GOOD_QUALITY) -> Column:
     """Accepted quality flag and a present value. A missing flag is not accepted."""
-    return F.coalesce(quality == F.lit(accepted), F.lit(False)) & value.isNotNull()
+    return (quality == F.lit(accepted)) & value.isNotNull()
 
 
 def severe_enough(level: Column, at_most: int = MAX_SEVERITY_LEVEL) -> Column:

@@ -7,10 +7,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirframe.functions.scalars import any_distinct
 from weirframe.operators.dedup import first_wins, split_null_keys
 
 STORED_CHUNK = -1
@@ -85,17 +84,16 @@ def fold(
     """
     columns = [c for c in batch.columns if c not in order]
     keyed, keyless = split_null_keys(batch, rule.keys) if null_keys else (batch, None)
-    rows = keyed.select(*columns, F.struct(*order).alias("_order"), chunk.alias("_chunk"))
+    positions = {f"_order_{i}": F.col(c) for i, c in enumerate(order)}
+    rows = keyed.select(*columns, *[c.alias(name) for name, c in positions.items()], chunk.alias("_chunk"))
     stored_keyless = None
     if stored is not None:
-        stored_keyed, stored_keyless = (
-            split_null_keys(stored.select(*columns), rule.keys) if null_keys else (stored.select(*columns), None)
-        )
-        no_order = F.lit(None).cast(rows.schema["_order"].dataType)
-        rows = rows.unionByName(
-            stored_keyed.select("*", no_order.alias("_order"), F.lit(STORED_CHUNK).cast("long").alias("_chunk"))
-        )
-    merged = _merge_chunks(_chunk_summaries(rows, rule), rule).select(*columns, *ACTIONS)
+        kept = stored.select(*columns)
+        kept, stored_keyless = split_null_keys(kept, rule.keys) if null_keys else (kept, None)
+        no_order = [F.lit(None).cast(rows.schema[name].dataType).alias(name) for name in positions]
+        rows = rows.unionByName(kept.select("*", *no_order, F.lit(STORED_CHUNK).cast("long").alias("_chunk")))
+    summaries = _chunk_summaries(rows, rule, columns, list(positions))
+    merged = _merge_chunks(summaries, rule, columns).select(*columns, *ACTIONS)
     if keyless is not None:
         merged = merged.unionByName(keyless.select(*columns, *_counts(insert=1)))
     if stored_keyless is not None:
@@ -107,75 +105,90 @@ def _counts(insert: int) -> list[Column]:
     return [F.lit(n).cast("long").alias(name) for name, n in zip(ACTIONS, (insert, 0, 0))]
 
 
-def _chunk_summaries(rows: DataFrame, rule: UpsertRule) -> DataFrame:
-    immutable = rule.immutable([c for c in rows.columns if not c.startswith("_")])
-    within = Window.partitionBy(*rule.keys, "_chunk").orderBy("_order")
-    marked = rows.withColumns(
-        {
-            "_rank": F.row_number().over(within),
-            "_previous": F.lag(F.struct(*rule.guard)).over(within),
-        }
-    ).withColumn(
-        "_changed",
-        (F.col("_rank") > 1) & any_distinct([(F.col(g), F.col(f"_previous.{g}")) for g in rule.guard]),
+def _chunk_summaries(rows: DataFrame, rule: UpsertRule, columns: list[str], order: list[str]) -> DataFrame:
+    """One row per (key, chunk): first row, last guard, last label set inside it, and counts.
+
+    Running values over the sorted chunk are read off its last row. That reuses the
+    window's sort, where an aggregate of structs would copy a buffer per row.
+    """
+    keys = _names(rule.keys)
+    within = f"(partition by {keys}, _chunk order by {_names(order)})"
+    first_row = _names([c for c in columns if c not in rule.keys])
+    linked = rows.selectExpr(
+        "*",
+        f"row_number() over {within} as _row",
+        f"lead(true) over {within} is null as _is_last",
+        f"lag(struct({_names(rule.guard)})) over {within} as _previous",
     )
-    carried = _struct_or_marker(rule.carried)
-    # Positions are ranks, which are never null; a stored row has no order of its own.
-    return marked.groupBy(*rule.keys, "_chunk").agg(
-        F.min_by(_struct_or_marker(immutable), F.col("_rank")).alias("_created"),
-        F.min_by(F.struct(*rule.guard), F.col("_rank")).alias("_first_guard"),
-        F.max_by(F.struct(*rule.guard), F.col("_rank")).alias("_last_guard"),
-        F.min_by(carried, F.col("_rank")).alias("_first_carried"),
-        F.max_by(F.when(F.col("_changed"), carried), F.when(F.col("_changed"), F.col("_rank"))).alias("_last_carried"),
-        F.count(F.lit(1)).alias("_rows"),
-        F.count_if("_changed").alias("_changes"),
+    changed = " or ".join(f"`{g}` is distinct from _previous.`{g}`" for g in rule.guard)
+    running = linked.selectExpr("*", f"_row > 1 and ({changed}) as _changed").selectExpr(
+        *_quoted(rule.keys),
+        "_chunk",
+        *_quoted(rule.guard),
+        "_is_last",
+        "cast(_row as bigint) as _rows",
+        f"first(struct({first_row})) over {within} as _first",
+        f"count_if(_changed) over {within} as _changes",
+        f"last(if(_changed, {_label(rule)}, null), true) over {within} as _label",
     )
+    return running.filter("_is_last").drop("_is_last")
 
 
-def _merge_chunks(chunks: DataFrame, rule: UpsertRule) -> DataFrame:
-    across = Window.partitionBy(*rule.keys).orderBy("_chunk")
-    linked = (
-        chunks.withColumns(
-            {
-                "_part": F.row_number().over(across),
-                "_previous": F.lag("_last_guard").over(across),
-            }
-        )
-        .withColumn(
-            "_changed",
-            (F.col("_part") > 1)
-            & any_distinct([(F.col(f"_first_guard.{g}"), F.col(f"_previous.{g}")) for g in rule.guard]),
-        )
-        .withColumn(
-            "_label",
-            F.coalesce(
-                F.col("_last_carried"),
-                F.when(F.col("_changed") | (F.col("_part") == 1), F.col("_first_carried")),
-            ),
-        )
+def _merge_chunks(chunks: DataFrame, rule: UpsertRule, columns: list[str]) -> DataFrame:
+    """The same over the chunks of a key, one summary row each."""
+    across = f"(partition by {_names(rule.keys)} order by _chunk)"
+    linked = chunks.selectExpr(
+        "*",
+        f"row_number() over {across} as _part",
+        f"lead(true) over {across} is null as _is_last",
+        f"lag(struct({_names(rule.guard)})) over {across} as _previous",
     )
-    batch_rows = F.when(F.col("_chunk") != STORED_CHUNK, F.col("_rows"))
-    folded = linked.groupBy(*rule.keys).agg(
-        F.min_by("_created", "_chunk").alias("_created"),
-        F.max_by("_last_guard", "_chunk").alias("_guard"),
-        F.max_by("_label", F.when(F.col("_label").isNotNull(), F.col("_chunk"))).alias("_carried"),
-        F.min(F.col("_chunk")).alias("_first_chunk"),
-        F.coalesce(F.sum(batch_rows), F.lit(0)).alias("_rows"),
-        (F.sum("_changes") + F.count_if("_changed")).alias("n_update"),
+    changed = " or ".join(f"_first.`{g}` is distinct from _previous.`{g}`" for g in rule.guard)
+    running = linked.selectExpr("*", f"_part > 1 and ({changed}) as _changed").selectExpr(
+        *_quoted(rule.keys),
+        *_quoted(rule.guard),
+        "_is_last",
+        f"first(_first) over {across} as _first",
+        f"last(coalesce(_label, if(_changed or _part = 1, {_label(rule, '_first.')}, null)), true)"
+        f" over {across} as _label",
+        f"sum(if(_chunk = {STORED_CHUNK}, 0, _rows)) over {across} as _rows",
+        f"sum(_changes + if(_changed, 1, 0)) over {across} as n_update",
+        f"if(min(_chunk) over {across} = {STORED_CHUNK}, 0L, 1L) as n_insert",
     )
-    inserted = F.when(F.col("_first_chunk") == STORED_CHUNK, 0).otherwise(1).cast("long")
-    return (
-        folded.withColumn("n_insert", inserted)
-        .withColumn("n_noop", F.col("_rows") - F.col("n_insert") - F.col("n_update"))
-        .select(*rule.keys, "_created.*", "_guard.*", "_carried.*", *ACTIONS)
+    immutable = rule.immutable(columns)
+    return running.filter("_is_last").selectExpr(
+        *_quoted(rule.keys),
+        *[f"_first.`{c}` as `{c}`" for c in immutable],
+        *_quoted(rule.guard),
+        *[f"_label.`{c}` as `{c}`" for c in rule.carried],
+        "n_insert",
+        "n_update",
+        "_rows - n_insert - n_update as n_noop",
     )
 
 
-def _struct_or_marker(columns: list[str]) -> Column:
-    return F.struct(*columns) if columns else F.struct(F.lit(True).alias("_none"))
+def _quoted(columns: list[str]) -> list[str]:
+    return [f"`{c}`" for c in columns]
+
+
+def _names(columns: list[str]) -> str:
+    return ", ".join(_quoted(columns))
 
 
-def guarded_upsert(batch: DataFrame, rule: UpsertRule, order: list[str], chunk: Column, stored: DataFrame | None = None, null_keys: bool = True) -> DataFrame:
+def _label(rule: UpsertRule, prefix: str = "") -> str:
+    """Carried columns as one value that is never NULL itself."""
+    carried = [f"{prefix}`{c}` as `{c}`" for c in rule.carried]
+    return f"struct({', '.join(['true as _set', *carried])})"
+
+
+def guarded_upsert(
+    batch: DataFrame,
+    rule: UpsertRule,
+    order: list[str],
+    chunk: Column,
+    stored: DataFrame | None = None,
+    null_keys: bool = True,
+) -> DataFrame:
     """The table after the batch."""
     return fold(batch, rule, order, chunk, stored, null_keys).drop(*ACTIONS)
 

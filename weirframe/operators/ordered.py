@@ -21,7 +21,7 @@ CHUNK_WIDTH = 1 << 20
 def chunk_of(order: str | Column, width: int = CHUNK_WIDTH) -> Column:
     """Chunk number of a whole-numbered order column."""
     column = F.col(order) if isinstance(order, str) else order
-    return F.floor(column / F.lit(width)).cast("long")
+    return F.call_function("div", column.cast("long"), F.lit(width))
 
 
 def with_previous(
@@ -34,35 +34,28 @@ def with_previous(
     previous: str = "previous",
 ) -> DataFrame:
     """Adds the preceding row's ``values`` as a struct, and whether there is one."""
-    marked = frame.withColumn("_chunk", chunk)
-    group = [*keys, "_chunk"]
-    within = Window.partitionBy(*group).orderBy(*order)
+    # One struct as the key: structs compare null fields as equal, so the window and the
+    # join below agree on one partitioning, and rows with a NULL key part link up too.
+    marked = frame.withColumns({"_key": F.struct(*keys), "_chunk": chunk})
+    within = Window.partitionBy("_key", "_chunk").orderBy(*order)
     row = F.struct(*values)
-    local = marked.withColumns(
-        {
-            "_rank": F.row_number().over(within),
-            "_local": F.lag(row).over(within),
-        }
-    )
+    local = marked.withColumns({"_rank": F.row_number().over(within), "_local": F.lag(row).over(within)})
 
-    tails = marked.groupBy(*group).agg(F.max_by(row, F.struct(*order)).alias("_tail"))
-    across = Window.partitionBy(*keys).orderBy("_chunk")
-    carried = tails.withColumn("_carried", F.lag("_tail").over(across)).filter("_carried is not null")
+    tails = marked.groupBy("_key", "_chunk").agg(F.max_by(row, F.struct(*order)).alias("_tail"))
+    across = Window.partitionBy("_key").orderBy("_chunk")
+    carried = tails.select("_key", "_chunk", F.lag("_tail").over(across).alias("_carried"))
 
     first = F.col("_rank") == 1
-    joined = _join_null_safe(local, carried.select(*group, "_carried"), group)
-    return joined.withColumns(
-        {
-            has_previous: ~first | F.col("_carried").isNotNull(),
-            previous: F.when(first, F.col("_carried")).otherwise(F.col("_local")),
-        }
-    ).drop("_chunk", "_rank", "_local", "_carried")
-
-
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    renamed = right.withColumnsRenamed({key: f"_r_{key}" for key in keys})
-    condition = [F.col(key).eqNullSafe(F.col(f"_r_{key}")) for key in keys]
-    return left.join(renamed, condition, "left").drop(*[f"_r_{key}" for key in keys])
+    return (
+        local.join(carried.filter("_carried is not null"), ["_key", "_chunk"], "left")
+        .withColumns(
+            {
+                has_previous: ~first | F.col("_carried").isNotNull(),
+                previous: F.when(first, F.col("_carried")).otherwise(F.col("_local")),
+            }
+        )
+        .drop("_key", "_chunk", "_rank", "_local", "_carried")
+    )
 
 
 def with_position(frame: DataFrame, order: str, chunk: Column, position: str = "position") -> DataFrame:

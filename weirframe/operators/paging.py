@@ -10,7 +10,7 @@ from weirframe.fixed import PAGE_SIZE
 
 def page_of(position: Column, size: int = PAGE_SIZE) -> Column:
     """Page that holds a 0-based position."""
-    return F.floor(position / F.lit(size)).cast("long")
+    return F.call_function("div", position.cast("long"), F.lit(size))
 
 
 def capped(frame: DataFrame, order: list[str], limit: int | None) -> DataFrame:
@@ -18,24 +18,28 @@ def capped(frame: DataFrame, order: list[str], limit: int | None) -> DataFrame:
     return frame if limit is None else frame.orderBy(*order).limit(limit)
 
 
-def reachable_pages(pages: DataFrame, group: list[str], size: int = PAGE_SIZE) -> DataFrame:
-    """Pages an offset loop would fetch, out of narrow (group, page, n_items) rows.
+def reachable_pages(pages: DataFrame, listing: list[str] | None = None, size: int = PAGE_SIZE) -> DataFrame:
+    """Pages an offset loop would fetch, out of narrow (page, n_items) rows.
 
     The loop starts at page 0 and stops at the first missing or empty page, or after
-    the first short one. Both stops come from aggregates and one anti join, so a
-    group with very many pages is not walked in one task.
+    the first short one. Both stops come from aggregates and one anti join, so very
+    many pages are not walked in one task. ``listing`` columns page independently.
     """
-    successors = pages.select(*group, (F.col("page") - 1).alias("page"))
-    run_ends = pages.select(*group, "page").join(successors, [*group, "page"], "left_anti")
-    first_end = run_ends.groupBy(*group).agg(F.min("page").alias("_run_end"))
-    bounds = pages.groupBy(*group).agg(
-        F.min("page").alias("_first"),
-        F.min(F.when(F.col("n_items") < size, F.col("page"))).alias("_short"),
-    )
+    listing = listing or []
+    successors = pages.select(*listing, (F.col("page") - 1).alias("page"))
+    run_ends = pages.select(*listing, "page").join(successors, [*listing, "page"], "left_anti")
+    first = F.min("page").alias("_first")
+    short = F.min(F.when(F.col("n_items") < size, F.col("page"))).alias("_short")
+    run_end = F.min("page").alias("_run_end")
+    has_items = F.col("n_items") > 0
+    if not listing:
+        stop = F.least(run_ends.agg(run_end).scalar(), pages.agg(short).scalar())
+        return pages.filter((pages.agg(first).scalar() == 0) & (F.col("page") <= stop) & has_items)
     stops = (
-        bounds.filter("_first = 0")
-        .join(first_end, group)
-        .select(*group, F.least("_run_end", "_short").alias("_stop"))
+        pages.groupBy(*listing)
+        .agg(first, short)
+        .filter("_first = 0")
+        .join(run_ends.groupBy(*listing).agg(run_end), listing)
+        .select(*listing, F.least("_run_end", "_short").alias("_stop"))
     )
-    reached = (F.col("page") <= F.col("_stop")) & (F.col("n_items") > 0)
-    return pages.join(stops, group).filter(reached).drop("_stop")
+    return pages.join(stops, listing).filter((F.col("page") <= F.col("_stop")) & has_items).drop("_stop")

@@ -70,8 +70,10 @@ def _warnings(events: DataFrame) -> DataFrame:
 def _folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     chunk = ordered.chunk_of("event_id")
-    earlier = merge.guarded_upsert(_warnings(events.filter(_earlier())), EVENT_RULE, ["event_id"], chunk)
-    return merge.fold(_warnings(events.filter(~_earlier())), EVENT_RULE, ["event_id"], chunk, earlier)
+    order = ["event_id"]
+    # User and time of an event are always present, so no keyless rows have to be split off.
+    earlier = merge.guarded_upsert(_warnings(events.filter(_earlier())), EVENT_RULE, order, chunk, null_keys=False)
+    return merge.fold(_warnings(events.filter(~_earlier())), EVENT_RULE, order, chunk, earlier, null_keys=False)
 
 
 def insert_ignore_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,19 +310,16 @@ def zip_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First word of twelve letters or more, where it stands, and whether there is one."""
     words = F.split("text", " ")
-    measures = F.transform(
-        words,
-        lambda w, n: F.struct(
-            F.when(F.length(w) >= 12, "level").otherwise("other").alias("parameter"), w.alias("id"), n.alias("pos")
-        ),
+    found = table(spark, sf_dir, "documents").select(
+        "doc_id", words.alias("words"), arrays.first_match(words, lambda w: F.length(w) >= 12).alias("first_long_word")
     )
-    found = arrays.first_match(measures, lambda m: m.getField("parameter") == "level")
-    return table(spark, sf_dir, "documents").select(
+    return found.select(
         "doc_id",
-        found.getField("id").alias("first_long_word"),
-        found.getField("pos").alias("first_long_pos"),
-        found.isNotNull().alias("has_match"),
+        "first_long_word",
+        (F.array_position("words", F.col("first_long_word")) - 1).cast("int").alias("first_long_pos"),
+        F.col("first_long_word").isNotNull().alias("has_match"),
     )
 
 
@@ -362,8 +361,7 @@ def page_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "part").select("p_partkey"), "p_partkey", ordered.chunk_of("p_partkey"), "pos"
     ).select("p_partkey", "pos", paging.page_of(F.col("pos")).alias("page"))
     pages = parts.groupBy("page").agg(F.count(F.lit(1)).alias("n_items"))
-    reached = paging.reachable_pages(pages.withColumn("listing", F.lit("part")), ["listing"])
-    return parts.join(reached.select("page"), "page", "left_semi")
+    return parts.join(paging.reachable_pages(pages).select("page"), "page", "left_semi")
 
 
 def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:

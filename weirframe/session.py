@@ -21,6 +21,8 @@ def build_session(app: str = "weirframe", master: str | None = None, **extra: st
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Capturing a call site per column expression slows the building of wide plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # A skewed lookup is split even where that costs one more shuffle.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     )

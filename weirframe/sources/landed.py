@@ -156,8 +156,7 @@ def catalogue(spark: SparkSession, landing: str) -> DataFrame:
     """Station entries of the pages that an offset loop would reach, in order."""
     documents = read_documents(spark, f"{landing}/catalogue", schemas.CATALOGUE_DOC)
     sizes = documents.select("page", F.coalesce(F.size("items"), F.lit(0)).alias("n_items"))
-    # Only page numbers and sizes meet in one place: one small row per 500 stations.
-    reached = reachable_pages(sizes.withColumn("_all", F.lit(0)), ["_all"]).select("page")
+    reached = reachable_pages(sizes).select("page")
     return items(documents.join(reached, "page", "left_semi")).select(
         "page",
         "pos",
