@@ -182,7 +182,10 @@ def backfill_weather(
     todo = scratch.keep(ledger.pending(grid, done, ["unit_key"]), "pending")
 
     documents = landed.weather_history(spark, landing)
-    wanted = documents.join(size_checked(todo.select(*UNIT)), "station_ref")
+    # The filter tells Spark that the pending side is selective, so that folders of done
+    # stations are pruned at run time.
+    open_units = todo.filter(F.col("year") == WHOLE_RANGE_YEAR).select(*UNIT)
+    wanted = documents.join(size_checked(open_units), "station_ref")
     daily = F.col("daily")
     covered = F.coalesce(arrays_cover_axis(daily), F.lit(True))
     parsed = wanted.select(

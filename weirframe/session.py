@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -51,9 +52,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="/tmp/run-")
-    spark.conf.set(CHECKPOINT_DIR, fallback)
-    return fallback
+    return _local_dir()
+
+
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="/tmp/run-")
 
 
 class Scratch:
