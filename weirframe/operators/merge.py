@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from weirframe.operators.dedup import first_wins, split_null_keys
 
 STORED_CHUNK = -1
+SO_FAR = "rows between unbounded preceding and current row"
 
 
 def absent(batch: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
@@ -109,56 +110,57 @@ def _chunk_summaries(rows: DataFrame, rule: UpsertRule, columns: list[str], orde
     """One row per (key, chunk): first row, last guard, last label set inside it, and counts.
 
     Running values over the sorted chunk are read off its last row. That reuses the
-    window's sort, where an aggregate of structs would copy a buffer per row.
+    window's sort, where an aggregate of structs would copy a buffer per row. The first
+    row is kept in three parts, so that parts nobody asks for are pruned before the shuffle.
     """
-    keys = _names(rule.keys)
-    within = f"(partition by {keys}, _chunk order by {_names(order)})"
-    first_row = _names([c for c in columns if c not in rule.keys])
+    window = f"partition by {_names(rule.keys)}, _chunk order by {_names(order)}"
+    changed = " or ".join(f"`{g}` is distinct from _previous.`{g}`" for g in rule.guard)
     linked = rows.selectExpr(
         "*",
-        f"row_number() over {within} as _row",
-        f"lead(true) over {within} is null as _is_last",
-        f"lag(struct({_names(rule.guard)})) over {within} as _previous",
-    )
-    changed = " or ".join(f"`{g}` is distinct from _previous.`{g}`" for g in rule.guard)
-    running = linked.selectExpr("*", f"_row > 1 and ({changed}) as _changed").selectExpr(
+        f"row_number() over ({window}) as _row",
+        f"lead(true) over ({window}) is null as _is_last",
+        f"lag({_value(rule.guard)}) over ({window}) as _previous",
+    ).selectExpr("*", f"_row > 1 and ({changed}) as _changed")
+    so_far = f"({window} {SO_FAR})"
+    running = linked.selectExpr(
         *_quoted(rule.keys),
         "_chunk",
         *_quoted(rule.guard),
         "_is_last",
         "cast(_row as bigint) as _rows",
-        f"first(struct({first_row})) over {within} as _first",
-        f"count_if(_changed) over {within} as _changes",
-        f"last(if(_changed, {_label(rule)}, null), true) over {within} as _label",
+        f"first({_value(rule.immutable(columns))}) over {so_far} as _created",
+        f"first({_value(rule.guard)}) over {so_far} as _first_guard",
+        f"first({_value(rule.carried)}) over {so_far} as _first_label",
+        f"last(if(_changed, {_value(rule.carried)}, null), true) over {so_far} as _label",
+        f"count_if(_changed) over {so_far} as _changes",
     )
     return running.filter("_is_last").drop("_is_last")
 
 
 def _merge_chunks(chunks: DataFrame, rule: UpsertRule, columns: list[str]) -> DataFrame:
     """The same over the chunks of a key, one summary row each."""
-    across = f"(partition by {_names(rule.keys)} order by _chunk)"
+    window = f"partition by {_names(rule.keys)} order by _chunk"
+    changed = " or ".join(f"_first_guard.`{g}` is distinct from _previous.`{g}`" for g in rule.guard)
     linked = chunks.selectExpr(
         "*",
-        f"row_number() over {across} as _part",
-        f"lead(true) over {across} is null as _is_last",
-        f"lag(struct({_names(rule.guard)})) over {across} as _previous",
-    )
-    changed = " or ".join(f"_first.`{g}` is distinct from _previous.`{g}`" for g in rule.guard)
-    running = linked.selectExpr("*", f"_part > 1 and ({changed}) as _changed").selectExpr(
+        f"row_number() over ({window}) as _part",
+        f"lead(true) over ({window}) is null as _is_last",
+        f"lag({_value(rule.guard)}) over ({window}) as _previous",
+    ).selectExpr("*", f"_part > 1 and ({changed}) as _changed")
+    so_far = f"({window} {SO_FAR})"
+    running = linked.selectExpr(
         *_quoted(rule.keys),
         *_quoted(rule.guard),
         "_is_last",
-        f"first(_first) over {across} as _first",
-        f"last(coalesce(_label, if(_changed or _part = 1, {_label(rule, '_first.')}, null)), true)"
-        f" over {across} as _label",
-        f"sum(if(_chunk = {STORED_CHUNK}, 0, _rows)) over {across} as _rows",
-        f"sum(_changes + if(_changed, 1, 0)) over {across} as n_update",
-        f"if(min(_chunk) over {across} = {STORED_CHUNK}, 0L, 1L) as n_insert",
+        f"first(_created) over {so_far} as _created",
+        f"last(coalesce(_label, if(_changed or _part = 1, _first_label, null)), true) over {so_far} as _label",
+        f"sum(if(_chunk = {STORED_CHUNK}, 0, _rows)) over {so_far} as _rows",
+        f"sum(_changes + if(_changed, 1, 0)) over {so_far} as n_update",
+        f"if(min(_chunk) over {so_far} = {STORED_CHUNK}, 0L, 1L) as n_insert",
     )
-    immutable = rule.immutable(columns)
     return running.filter("_is_last").selectExpr(
         *_quoted(rule.keys),
-        *[f"_first.`{c}` as `{c}`" for c in immutable],
+        *[f"_created.`{c}` as `{c}`" for c in rule.immutable(columns)],
         *_quoted(rule.guard),
         *[f"_label.`{c}` as `{c}`" for c in rule.carried],
         "n_insert",
@@ -175,10 +177,9 @@ def _names(columns: list[str]) -> str:
     return ", ".join(_quoted(columns))
 
 
-def _label(rule: UpsertRule, prefix: str = "") -> str:
-    """Carried columns as one value that is never NULL itself."""
-    carried = [f"{prefix}`{c}` as `{c}`" for c in rule.carried]
-    return f"struct({', '.join(['true as _set', *carried])})"
+def _value(columns: list[str]) -> str:
+    """The columns as one value that is never NULL itself."""
+    return f"struct({', '.join(['true as _set', *_quoted(columns)])})"
 
 
 def guarded_upsert(
