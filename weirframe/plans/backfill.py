@@ -59,6 +59,7 @@ def level_rows(document_items: Column, year: Column) -> Column:
             as_date(i.getField("date")).alias("date"),
             coerce(i.getField("value"), RIVER_LEVELS.columns["value_m"].dataType).alias("value_m"),
             i.getField("quality").alias("quality"),
+            F.lit(LEVEL_SOURCE).alias("source"),
             n.alias("pos"),
         ),
     )
@@ -101,6 +102,51 @@ def arrays_cover_axis(daily: Column) -> Column:
     return axis.isNull() | condition
 
 
+def parse_levels(documents: DataFrame) -> DataFrame:
+    """Level documents -> (unit, page, rows, bad), still one row per document."""
+    return documents.select(
+        *UNIT,
+        "page",
+        level_rows(F.col("items"), F.col("year")).alias("rows"),
+        F.col(CORRUPT).isNotNull().alias("corrupt"),
+    ).select(
+        *UNIT, "page", "rows", (F.col("corrupt") | F.coalesce(F.exists("rows", bad_level), F.lit(False))).alias("bad")
+    )
+
+
+def parse_weather(documents: DataFrame, start_date: str, end_date: str | None) -> DataFrame:
+    """Weather documents -> (unit, page, rows, bad), still one row per document."""
+    daily = F.col("daily")
+    covered = F.coalesce(arrays_cover_axis(daily), F.lit(True))
+    return documents.select(
+        *UNIT,
+        "page",
+        # Rows of a unit whose arrays do not line up are never used.
+        F.when(covered, weather_rows(daily, start_date, end_date)).alias("rows"),
+        (F.col(CORRUPT).isNotNull() | ~covered).alias("broken"),
+    ).select(
+        *UNIT,
+        "page",
+        "rows",
+        (F.col("broken") | F.coalesce(F.exists("rows", lambda r: r.getField("bad")), F.lit(False))).alias("bad"),
+    )
+
+
+def unit_outcomes(parsed: DataFrame) -> DataFrame:
+    """Per unit: rows parsed, and whether any of its documents is bad."""
+    return parsed.groupBy(*UNIT).agg(
+        F.sum(F.coalesce(F.size("rows"), F.lit(0))).cast("long").alias("n_rows"),
+        F.bool_or("bad").alias("failed"),
+    )
+
+
+def accepted_rows(parsed: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Rows of the units that did not fail."""
+    failed = size_checked(outcomes.filter("failed").select(*UNIT))
+    valid = parsed.filter(~F.col("bad")).join(failed, UNIT, "left_anti")
+    return valid.select(*UNIT, "page", F.explode("rows").alias("row")).select(*UNIT, "page", "row.*")
+
+
 def backfill_rivers(
     spark: SparkSession,
     landing: str,
@@ -132,21 +178,13 @@ def backfill_rivers(
     wanted = documents.filter(F.col("year").isin(partition_values(measured, "year"))).join(
         size_checked(measured), UNIT
     )
-    parsed = wanted.select(
-        *UNIT,
-        "page",
-        level_rows(F.col("items"), F.col("year")).alias("rows"),
-        F.col(CORRUPT).isNotNull().alias("corrupt"),
-    ).withColumn("bad", F.col("corrupt") | F.coalesce(F.exists("rows", bad_level), F.lit(False)))
     without_measure = todo.filter(~F.coalesce(non_empty(F.col("daily_level_measure_url")), F.lit(False)))
     return _run(
         spark,
         scratch,
         store,
         RIVER_LEVELS,
-        parsed.drop("corrupt"),
-        UNIT,
-        lambda rows: rows.withColumn("source", F.lit(LEVEL_SOURCE)),
+        parse_levels(wanted),
         grid,
         done,
         todo,
@@ -186,23 +224,12 @@ def backfill_weather(
     # stations are pruned at run time.
     open_units = todo.filter(F.col("year") == WHOLE_RANGE_YEAR).select(*UNIT)
     wanted = documents.join(size_checked(open_units), "station_ref")
-    daily = F.col("daily")
-    covered = F.coalesce(arrays_cover_axis(daily), F.lit(True))
-    parsed = wanted.select(
-        *UNIT,
-        "page",
-        # Rows of a unit whose arrays do not line up are never used.
-        F.when(covered, weather_rows(daily, start_date, end_date)).alias("rows"),
-        (F.col(CORRUPT).isNotNull() | ~covered).alias("broken"),
-    ).withColumn("bad", F.col("broken") | F.coalesce(F.exists("rows", lambda r: r.getField("bad")), F.lit(False)))
     return _run(
         spark,
         scratch,
         store,
         WEATHER_HISTORY,
-        parsed.drop("broken"),
-        UNIT,
-        lambda rows: rows,
+        parse_weather(wanted, start_date, end_date),
         grid,
         done,
         todo,
@@ -213,20 +240,13 @@ def backfill_weather(
 
 
 def _run(
-    spark, scratch, store, table: Table, parsed, unit, finish, grid, done, todo, empty_units, ledger_path, total
+    spark, scratch, store, table: Table, parsed, grid, done, todo, empty_units, ledger_path, total
 ) -> BackfillResult:
     """Shared tail: unit status, insert-ignore, ledger, summary."""
     parsed = scratch.keep(parsed, "parsed")
-    landed_units = parsed.groupBy(*unit).agg(
-        F.sum(F.coalesce(F.size("rows"), F.lit(0))).cast("long").alias("n_rows"),
-        F.bool_or("bad").alias("failed"),
-    )
-    no_rows = empty_units.select(*unit, F.lit(0).cast("long").alias("n_rows"), F.lit(False).alias("failed"))
-    status = scratch.keep(landed_units.unionByName(no_rows), "status")
-
-    valid = parsed.filter(~F.col("bad")).join(size_checked(status.filter("failed").select(*unit)), unit, "left_anti")
-    rows = finish(valid.select(*unit, "page", F.explode("rows").alias("row")).select(*unit, "page", "row.*"))
-    batch = rows.withColumn("unit_year", F.col("year")).drop("year")
+    no_rows = empty_units.select(*UNIT, F.lit(0).cast("long").alias("n_rows"), F.lit(False).alias("failed"))
+    status = scratch.keep(unit_outcomes(parsed).unionByName(no_rows), "status")
+    batch = accepted_rows(parsed, status).withColumnRenamed("year", "unit_year")
     stored = store.read(table, partition_values(batch.select(F.year("date").alias("y")), "y"))
     added = scratch.keep(
         insert_ignore(batch, list(table.key), ["page", "pos"], stored, null_keys=False), "added"
@@ -238,10 +258,10 @@ def _run(
 
     inserted = added.groupBy("station_ref", F.col("unit_year").alias("year")).agg(F.count(F.lit(1)).alias("n_inserted"))
     units = (
-        status.join(inserted, unit, "left")
+        status.join(inserted, UNIT, "left")
         .withColumn("n_inserted", F.coalesce("n_inserted", F.lit(0)))
         .withColumn("status", F.when(F.col("failed"), "failed").otherwise("done"))
-        .select(*unit, "n_rows", "n_inserted", "status")
+        .select(*UNIT, "n_rows", "n_inserted", "status")
     )
     return BackfillResult(_summary(spark, grid, todo, status, added, total), units, scratch)
 

@@ -47,6 +47,48 @@ _STATE = (
 """
 )
 
+# Good lines as level readings; NULL where the price is too wide for the column.
+_LEVELS = """
+with good as (
+    select 'S' || l_suppkey as station_ref, cast(year(l_shipdate) as integer) as year,
+           cast(l_shipdate as date) as date, l_orderkey, l_linenumber, l_partkey, l_extendedprice,
+           try_cast(round(cast(cast(l_extendedprice as varchar) as decimal(18, 4)), 3) as decimal(8, 3)) as value_m
+    from lineitem where l_returnflag = 'N'
+), units as (
+    select u.station_ref, u.year, count(g.station_ref) as n_rows,
+           coalesce(bool_or(g.value_m is null or g.year not between 2000 and 2026)
+                    filter (where g.station_ref is not null), false) as failed
+    from (select distinct 'S' || l_suppkey as station_ref, cast(year(l_shipdate) as integer) as year from lineitem) u
+    left join good g on g.station_ref = u.station_ref and g.year = u.year
+    group by 1, 2
+)
+"""
+
+# All events as the warnings of one poll. Rows without an area stand alone.
+_POLL = """
+with warnings as (
+    select case when user_id <> 0 then 'A' || user_id end as area, event_id,
+           cast(length(event_type) as integer) as level, event_type as label,
+           nullif(cast(cast(floor(value / 25) as bigint) as varchar), '0') as message
+    from events
+), linked as (
+    select *, coalesce(area, 'row ' || event_id) as grp from warnings
+), lagged as (
+    select *, row_number() over w as rn, lag(level) over w as p_level, lag(message) over w as p_message
+    from linked window w as (partition by grp order by event_id)
+), steps as (
+    select *, rn = 1 or level is distinct from p_level or message is distinct from p_message as changed
+    from lagged
+), ranked as (
+    select *, row_number() over (partition by grp order by event_id desc) as from_end,
+           row_number() over (partition by grp, changed order by event_id desc) as change_from_end
+    from steps
+), counts as (
+    select grp, count(*) filter (where rn > 1 and changed) as n_update, count(*) filter (where not changed) as n_noop
+    from steps group by 1
+)
+"""
+
 _UNIT_STATUS = """
     select l_suppkey, cast(year(l_shipdate) as integer) as year, count(*) as n_rows,
            count(*) filter (where l_quantity >= 50 or year(l_shipdate) not between 1995 and 2000) as n_bad,
@@ -200,7 +242,7 @@ SQL: dict[str, str] = {
         ), numbered as (
             select vec_id, embedding, cast(unnest(range(0, len(embedding))) as integer) as pos from valid
         )
-        select vec_id, pos, embedding[pos + 1] as value, cast(embedding[pos + 1] as double) * 2 as doubled,
+        select vec_id, pos, cast(embedding[pos + 1] as double) as value, cast(embedding[pos + 1] as double) * 2 as doubled,
                cast(null as double) as absent
         from numbered""",
     "first_match": """
@@ -223,7 +265,8 @@ SQL: dict[str, str] = {
         where contains(url, '//') and contains(segment, '.example') and string_split(segment, '.example')[1] <> ''""",
     "to_decimal": """
         select l_orderkey, l_linenumber, l_partkey, l_shipdate,
-               cast(round(cast(cast(l_extendedprice as varchar) as decimal(18, 4)), 1) as decimal(12, 1)) as price
+               cast(cast(round(cast(cast(l_extendedprice as varchar) as decimal(18, 4)), 1) as decimal(12, 1)) as varchar)
+                   as price
         from lineitem""",
     "to_int": """
         select event_id, cast(round(value) as integer) as rounded, cast(round(-value) as integer) as rounded_negative,
@@ -240,6 +283,52 @@ SQL: dict[str, str] = {
         group by 1""",
     "unique_audit": """
         select l_orderkey, l_linenumber, count(*) as n_rows from lineitem group by 1, 2 having count(*) > 1""",
+    "level_units": _LEVELS + "select station_ref, year, n_rows, failed from units",
+    "level_backfill": _LEVELS
+    + """
+        select station_ref, date, cast(value_m as varchar) as value_m, 'Good' as quality, 'EA' as source
+        from (select g.*, row_number() over (
+                  partition by g.station_ref, g.date order by l_orderkey, l_linenumber, l_partkey, value_m) as rn
+              from good g join units u on u.station_ref = g.station_ref and u.year = g.year and not u.failed)
+        where rn = 1""",
+    "weather_backfill": """
+        with valid as (
+            select vec_id, embedding from embeddings
+            -- elements 10 to 51 are the days of the range
+            where len(list_filter(embedding[10:51], lambda x: abs(round(cast(x as double) * 1000)) * 3 >= 1000)) = 0
+        ), days as (
+            select vec_id, embedding, unnest(range(0, len(embedding))) as i from valid
+        ), kept as (
+            select 'V' || vec_id as station_ref, cast(date '2020-01-01' + cast(i as integer) as date) as date,
+                   cast(round(cast(embedding[i + 1] as double) * 1000) as integer) as n
+            from days
+        )
+        select station_ref, date,
+               cast(cast(round(cast(n || '.125' as decimal(18, 3)), 2) as decimal(7, 2)) as varchar) as precipitation_sum,
+               cast(round(cast(n || '.5' as decimal(18, 1))) as integer) as winddirection_dominant,
+               cast(cast(n * 3 as decimal(5, 2)) as varchar) as temperature_mean,
+               cast(null as double) as windspeed_max
+        from kept where date between date '2020-01-10' and date '2020-02-20'""",
+    "poll_events": _POLL
+    + """
+        select f.area as flood_area_id, cast(f.event_id as varchar) as description, z.level as severity_level,
+               c.label as severity_label, z.message, cast(k.c_nationkey as double) as lat,
+               cast(1 as bigint) as n_insert, n.n_update, n.n_noop
+        from ranked f
+        join ranked z on z.grp = f.grp and z.from_end = 1
+        join ranked c on c.grp = f.grp and c.changed and c.change_from_end = 1
+        join counts n on n.grp = f.grp
+        left join customer k on 'A' || k.c_custkey = f.area
+        where f.rn = 1""",
+    "poll_snapshots": """
+        select 'A' || c.c_custkey as flood_area_id,
+               case when c.c_acctbal > 0
+                    then cast(cast(round(cast(c.c_nationkey || '.125' as decimal(18, 3)), 2) as decimal(5, 2)) as varchar)
+               end as temperature_c,
+               case when c.c_acctbal > 0 then c.c_nationkey + 1 end as wind_direction_deg,
+               cast(null as integer) as humidity_pct
+        from (select distinct user_id from events where user_id <> 0) e
+        join customer c on c.c_custkey = e.user_id and c.c_nationkey <> 0 and c.c_acctbal <> 0""",
     "poll_stream": _STATE + "select * from state",
     "hourly_state": _STATE
     + """

@@ -6,7 +6,6 @@ import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from weirframe.functions.scalars import strict, surrogate_id, truthy
 from weirframe.operators.dedup import first_wins, last_wins
@@ -50,9 +49,9 @@ def _typed(frame: DataFrame, table: Table, keep: list[str]) -> DataFrame:
     typed = []
     for field in table.columns.fields:
         if field.name in frame.columns:
-            is_text = frame.schema[field.name].dataType == T.StringType()
+            fits = frame.schema[field.name].dataType == field.dataType
             column = F.col(field.name)
-            typed.append((strict(column, field.dataType, field.name) if is_text else column.cast(field.dataType)).alias(field.name))
+            typed.append((column if fits else strict(column, field.dataType, field.name)).alias(field.name))
     return frame.select(*typed, *keep)
 
 

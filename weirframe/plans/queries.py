@@ -6,6 +6,7 @@ in an hour. Earlier polls are the rows of the first 20 minutes of each hour.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +16,9 @@ from pyspark.sql import types as T
 from weirframe.functions import arrays, scalars
 from weirframe.operators import checks, dedup, filters, ledger, merge, ordered, paging
 from weirframe.operators.lookup import left_lookup
+from weirframe.plans import backfill, poll
 from weirframe.session import Scratch
-from weirframe.sources.schemas import Table, columns_of
+from weirframe.sources.schemas import CORRUPT, WEATHER_HISTORY_DOC, Table, columns_of
 from weirframe.sources.tables import TableStore
 from weirframe.streaming.polls import stream_upserts
 
@@ -299,7 +301,7 @@ def zip_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select(
         "vec_id",
         axis.alias("axis"),
-        F.col("embedding").alias("value"),
+        F.col("embedding").cast("array<double>").alias("value"),
         F.transform(kept, lambda x: x.cast("double") * 2).alias("doubled"),
         F.lit(None).cast("array<double>").alias("absent"),
     )
@@ -343,7 +345,7 @@ def extract_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
 def to_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     price = scalars.number(F.col("l_extendedprice").cast("string"))
-    return lines.select(*LINE_KEY, "l_partkey", "l_shipdate", scalars.as_decimal(price, 12, 1).alias("price"))
+    return lines.select(*LINE_KEY, "l_partkey", "l_shipdate", scalars.as_decimal(price, 12, 1).cast("string").alias("price"))
 
 
 def to_int(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,6 +375,127 @@ def unique_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.duplicates(table(spark, sf_dir, "lineitem"), LINE_KEY)
 
 
+def _level_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each line as a landed level document of its (supplier, ship year) unit."""
+    item = F.struct(
+        F.col("l_shipdate").cast("date").cast("string").alias("date"),
+        F.col("l_extendedprice").cast("string").alias("value"),
+        F.when(F.col("l_returnflag") == "N", "Good").otherwise("Suspect").alias("quality"),
+    )
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("station_ref"),
+        F.year("l_shipdate").alias("year"),
+        F.struct("l_orderkey", "l_linenumber", "l_partkey").alias("page"),
+        F.array(item).alias("items"),
+        F.lit(None).cast("string").alias(CORRUPT),
+    )
+
+
+def level_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome of every unit: years without a partition and prices too wide for the column fail it."""
+    return backfill.unit_outcomes(backfill.parse_levels(_level_documents(spark, sf_dir)))
+
+
+def level_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the level backfill would write for those documents."""
+    parsed = backfill.parse_levels(_level_documents(spark, sf_dir))
+    rows = backfill.accepted_rows(parsed, backfill.unit_outcomes(parsed))
+    added = merge.insert_ignore(rows, ["station_ref", "date"], ["page", "value_m"], null_keys=False)
+    return added.select("station_ref", "date", F.col("value_m").cast("string").alias("value_m"), "quality", "source")
+
+
+def weather_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the weather backfill would write for vectors read as daily series."""
+
+    def texts(value: Callable[[Column], Column]) -> Column:
+        whole = lambda x: F.round(x.cast("double") * 1000).cast("int")
+        return F.transform("embedding", lambda x: value(whole(x)).cast("string"))
+
+    series = {
+        "time": F.transform("embedding", lambda _, n: F.date_add(F.lit("2020-01-01").cast("date"), n).cast("string")),
+        "precipitation_sum": texts(lambda n: F.concat(n, F.lit(".125"))),
+        "winddirection_10m_dominant": texts(lambda n: F.concat(n, F.lit(".5"))),
+        "temperature_2m_mean": texts(lambda n: n * 3),
+    }
+    absent = F.lit(None).cast("array<string>")
+    daily = F.struct(*[series.get(f.name, absent).alias(f.name) for f in WEATHER_HISTORY_DOC["daily"].dataType.fields])
+    documents = table(spark, sf_dir, "embeddings").select(
+        F.concat(F.lit("V"), F.col("vec_id").cast("string")).alias("station_ref"),
+        F.lit(0).alias("year"),
+        F.lit(0).alias("page"),
+        daily.alias("daily"),
+        F.lit(None).cast("string").alias(CORRUPT),
+    )
+    parsed = backfill.parse_weather(documents, "2020-01-10", "2020-02-20")
+    rows = backfill.accepted_rows(parsed, backfill.unit_outcomes(parsed))
+    added = merge.insert_ignore(rows, ["station_ref", "date"], ["page", "pos"], null_keys=False)
+    return added.select(
+        "station_ref",
+        "date",
+        F.col("precipitation_sum").cast("string").alias("precipitation_sum"),
+        "winddirection_dominant",
+        F.col("temperature_mean").cast("string").alias("temperature_mean"),
+        F.col("windspeed_max").cast("double").alias("windspeed_max"),
+    )
+
+
+def _polled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All events as the warnings of one poll: (folded events, area coordinates, area weather)."""
+    customer = table(spark, sf_dir, "customer")
+    area = F.concat(F.lit("A"), F.col("c_custkey").cast("string"))
+    coords = customer.select(
+        area.alias("notation"), F.col("c_nationkey").cast("double").alias("lat"), (F.col("c_acctbal") / 100).alias("lon")
+    )
+    weather = customer.filter("c_acctbal > 0").select(
+        area.alias("area"),
+        F.lit(0).alias("page"),
+        F.concat(F.col("c_nationkey"), F.lit(".125")).alias("temperature_c"),
+        F.concat(F.col("c_nationkey"), F.lit(".5")).alias("wind_direction_deg"),
+        *[F.lit(None).cast("string").alias(c) for c in ("precipitation_mm", "wind_speed_kmh", "weather_code", "humidity_pct")],
+    )
+    warnings = table(spark, sf_dir, "events").select(
+        paging.page_of(F.col("event_id")).alias("page"),
+        F.col("event_id").alias("pos"),
+        F.concat(F.lit("A"), F.nullif("user_id", F.lit(0)).cast("string")).alias("flood_area_id"),
+        F.col("event_id").cast("string").alias("description"),
+        F.lit("C").alias("county"),
+        F.lit(None).cast("string").alias("river_or_sea"),
+        F.length("event_type").cast("string").alias("severity_level"),
+        F.col("event_type").alias("severity_label"),
+        F.lit("false").alias("is_tidal"),
+        F.nullif(F.floor(F.col("value") / 25).cast("string"), F.lit("0")).alias("message"),
+        F.lit(None).cast("string").alias("time_raised"),
+        F.lit(None).cast("string").alias("time_severity_changed"),
+    )
+    batch = poll.event_batch(warnings, coords, datetime.datetime(2024, 1, 1, 10), "p1")
+    return merge.fold(batch, poll.EVENT_RULE, poll.ARRIVAL, F.col("page")), coords, weather
+
+
+def poll_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flood events after one poll of all events; user 0 has no area and never conflicts."""
+    folded, _, _ = _polled(spark, sf_dir)
+    return folded.select(
+        "flood_area_id",
+        "description",
+        "severity_level",
+        "severity_label",
+        "message",
+        F.col("lat").cast("double").alias("lat"),
+        *merge.ACTIONS,
+    )
+
+
+def poll_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather snapshots of that poll, with the area of the event they link to."""
+    folded, coords, weather = _polled(spark, sf_dir)
+    attempts = poll.snapshot_attempts(folded, coords)
+    areas = attempts.select(F.col("id").alias("flood_event_id"), "flood_area_id")
+    snapshots = poll.snapshot_rows(attempts, weather)
+    return snapshots.join(areas, "flood_event_id").select(
+        "flood_area_id", F.col("temperature_c").cast("string").alias("temperature_c"), "wind_direction_deg", "humidity_pct"
+    )
+
+
 def poll_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two available-now runs over ``events``: the earlier polls, then the later ones."""
     scratch = Scratch(spark, "poll-stream")
@@ -439,6 +562,11 @@ QUERIES: dict[str, Query] = {
     "page_cap": page_cap,
     "fk_orphans": fk_orphans,
     "unique_audit": unique_audit,
+    "level_units": level_units,
+    "level_backfill": level_backfill,
+    "weather_backfill": weather_backfill,
+    "poll_events": poll_events,
+    "poll_snapshots": poll_snapshots,
     "poll_stream": poll_stream,
     "hourly_state": hourly_state,
 }
