@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from weirframe.operators import dedup, lookup, merge, ordered
 from weirframe.plans.queries import QUERIES
+from weirframe.sources.schemas import RIVER_LEVELS
+from weirframe.sources.tables import TableStore
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -67,6 +69,14 @@ def test_scans_read_and_filter_what_is_needed(spark):
     assert "EqualTo(l_returnflag,R)" in lines.split("PushedFilters")[1]
 
 
+def test_writes_are_rebalanced_by_partition(spark, folder):
+    rows = spark.range(3).selectExpr(
+        "'a' station_ref", "date_add(date'2001-12-31', int(id)) date", "1.0BD value_m", "'Good' quality", "'EA' source"
+    )
+    plan = plan_of(TableStore(spark, folder).balanced(RIVER_LEVELS, rows))
+    assert re.search(r"Exchange hashpartitioning\(year#\d+, \d+\), REBALANCE_PARTITIONS_BY_COL", plan)
+
+
 def test_lookup_broadcasts_only_below_the_limit(spark, no_broadcast):
     rows = spark.range(1000)
     assert "BroadcastHashJoin" in plan_of(rows.join(lookup.size_checked(rows), "id"))

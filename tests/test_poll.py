@@ -45,6 +45,7 @@ WARNINGS = [
     warning(None, 3, "alert", "m1", "d4"),
     warning("A0", 1, "severe", "m2", "d5", isTidal=True),
     warning("A3", 1, "severe", "m2", "d6"),
+    warning("A4", 4, "gone", "m3", "d7"),
 ]
 READINGS = [
     {"@id": READING.format("1491TH"), "value": 1.2345, "dateTime": "2024-01-01T00:00:00Z"},

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from weirframe.fixed import DAILY_PARAMETER, DAILY_PERIOD
 from weirframe.functions import arrays
 from weirframe.functions.scalars import number, station_ref
+from weirframe.operators.filters import severe_enough
 from weirframe.operators.paging import reachable_pages
 from weirframe.sources import files, schemas
 
@@ -84,9 +85,13 @@ def areas(spark: SparkSession, landing: str, poll: str) -> DataFrame:
 
 
 def warnings(spark: SparkSession, landing: str, poll: str) -> DataFrame:
-    """Flattened and renamed to the column names of the flood event table."""
+    """Flattened and renamed to the column names of the flood event table.
+
+    Levels beyond the polled severity are dropped, as the request would have done.
+    """
     raw = _poll_items(spark, landing, "warnings", schemas.WARNINGS_DOC, poll)
-    return raw.select(
+    polled = F.coalesce(severe_enough(number(F.col("severityLevel"))), F.lit(True))
+    return raw.filter(polled).select(
         "page",
         "pos",
         F.col("floodAreaID").alias("flood_area_id"),

@@ -51,11 +51,13 @@ class TableStore:
         value = F.year(source) if table.partition == "year" else source.cast("date")
         return frame.select(*table.columns.names, value.alias(table.partition))
 
-    def append(self, table: Table, frame: DataFrame) -> None:
+    def balanced(self, table: Table, frame: DataFrame) -> DataFrame:
         """Few files per partition; a large partition is split by size, not held in one task."""
+        return self.routed(table, frame).hint("rebalance", F.col(table.partition))
+
+    def append(self, table: Table, frame: DataFrame) -> None:
         (
-            self.routed(table, frame)
-            .hint("rebalance", F.col(table.partition))
+            self.balanced(table, frame)
             .write.mode("append")
             .partitionBy(table.partition)
             .parquet(self.path(table))
@@ -69,8 +71,7 @@ class TableStore:
         """
         pending = f"{self._pending(table)}/{batch}"
         (
-            self.routed(table, frame)
-            .hint("rebalance", F.col(table.partition))
+            self.balanced(table, frame)
             .write.mode("overwrite")
             .partitionBy(table.partition)
             .parquet(pending)
