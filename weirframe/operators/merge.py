@@ -96,14 +96,16 @@ def fold(
     summaries = _chunk_summaries(rows, rule, columns, list(positions))
     merged = _merge_chunks(summaries, rule, columns).select(*columns, *ACTIONS)
     if keyless is not None:
-        merged = merged.unionByName(keyless.select(*columns, *_counts(insert=1)))
+        merged = merged.unionByName(unfolded(keyless, order, inserted=True))
     if stored_keyless is not None:
-        merged = merged.unionByName(stored_keyless.select(*columns, *_counts(insert=0)))
+        merged = merged.unionByName(unfolded(stored_keyless, order, inserted=False))
     return merged
 
 
-def _counts(insert: int) -> list[Column]:
-    return [F.lit(n).cast("long").alias(name) for name, n in zip(ACTIONS, (insert, 0, 0))]
+def unfolded(keyless: DataFrame, order: list[str], inserted: bool) -> DataFrame:
+    """Rows with a null key part as ``fold`` returns them: all kept, each an insert if new."""
+    counts = zip(ACTIONS, (int(inserted), 0, 0))
+    return keyless.drop(*order).select("*", *[F.lit(n).cast("long").alias(name) for name, n in counts])
 
 
 def _chunk_summaries(rows: DataFrame, rule: UpsertRule, columns: list[str], order: list[str]) -> DataFrame:

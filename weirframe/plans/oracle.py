@@ -15,20 +15,21 @@ _STEPS = """
 with rows_ as (
     select user_id, cast(date_trunc('hour', ts) as timestamp) as hour, event_type as level,
            nullif(cast(floor(value / 25) as integer), 0) as message, props as label,
-           event_id, value, minute(ts) >= 20 as late
+           event_id, value, coalesce(minute(ts) >= 20, true) as late,
+           case when user_id is null or ts is null then event_id end as lone
     from events
 ), linked as (
     select *, row_number() over w as rn,
            lag(level) over w as p_level, lag(message) over w as p_message
     from rows_
-    window w as (partition by user_id, hour order by late, event_id)
+    window w as (partition by user_id, hour, lone order by late, event_id)
 ), steps as (
     select *, rn = 1 or level is distinct from p_level or message is distinct from p_message as changed_
     from linked
 ), ranked as (
     select *,
-           row_number() over (partition by user_id, hour order by late desc, event_id desc) as from_end,
-           row_number() over (partition by user_id, hour, changed_ order by late desc, event_id desc) as change_from_end
+           row_number() over (partition by user_id, hour, lone order by late desc, event_id desc) as from_end,
+           row_number() over (partition by user_id, hour, lone, changed_ order by late desc, event_id desc) as change_from_end
     from steps
 )
 """
@@ -40,8 +41,10 @@ _STATE = (
     select f.user_id, f.hour, z.level, z.message, cast(null as integer) as changed, c.label,
            f.event_id as created_by, f.value as created_value
     from ranked f
-    join ranked z on f.user_id = z.user_id and f.hour = z.hour and z.from_end = 1
-    join ranked c on f.user_id = c.user_id and f.hour = c.hour and c.changed_ and c.change_from_end = 1
+    join ranked z on f.user_id is not distinct from z.user_id and f.hour is not distinct from z.hour
+        and f.lone is not distinct from z.lone and z.from_end = 1
+    join ranked c on f.user_id is not distinct from c.user_id and f.hour is not distinct from c.hour
+        and f.lone is not distinct from c.lone and c.changed_ and c.change_from_end = 1
     where f.rn = 1
 )
 """
@@ -127,14 +130,14 @@ SQL: dict[str, str] = {
     "null_keys": """
         with keyed as (
             select nullif(user_id, 0) as user_key, cast(date_trunc('hour', ts) as timestamp) as hour,
-                   event_id, minute(ts) >= 20 as late
+                   event_id, coalesce(minute(ts) >= 20, true) as late
             from events
         ), batch as (
             select *, row_number() over (partition by user_key, hour order by event_id) as rn
             from keyed where late
         )
         select user_key, hour, event_id from batch b
-        where user_key is null
+        where user_key is null or hour is null
            or (rn = 1 and not exists (
                 select 1 from keyed t where not t.late and t.user_key = b.user_key and t.hour = b.hour))""",
     "guarded_upsert": _STATE + "select * from state",
@@ -183,7 +186,8 @@ SQL: dict[str, str] = {
     "snapshot_enrich": _STEPS
     + """
         , touched as (
-            select user_id, hour, count(*) as n_attempts from steps where late and changed_ group by 1, 2
+            select user_id, hour, count(*) as n_attempts from steps where late and changed_
+            group by user_id, hour, lone
         )
         select t.user_id, t.hour, t.n_attempts, c.c_nationkey, w.c_acctbal
         from touched t

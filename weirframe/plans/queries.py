@@ -52,7 +52,7 @@ def _hour() -> Column:
 
 
 def _earlier() -> Column:
-    return F.minute("ts") < 20
+    return F.coalesce(F.minute("ts") < 20, F.lit(False))
 
 
 def _warnings(events: DataFrame) -> DataFrame:
@@ -73,9 +73,13 @@ def _folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     chunk = ordered.chunk_of("event_id")
     order = ["event_id"]
-    # User and time of an event are always present, so no keyless rows have to be split off.
-    earlier = merge.guarded_upsert(_warnings(events.filter(_earlier())), EVENT_RULE, order, chunk, null_keys=False)
-    return merge.fold(_warnings(events.filter(~_earlier())), EVENT_RULE, order, chunk, earlier, null_keys=False)
+    # Keyless rows are split off once, at the scan, and not again from the earlier state.
+    keyed, keyless = dedup.split_null_keys(events, ["user_id", "ts"])
+    earlier = merge.guarded_upsert(_warnings(keyed.filter(_earlier())), EVENT_RULE, order, chunk, null_keys=False)
+    folded = merge.fold(_warnings(keyed.filter(~_earlier())), EVENT_RULE, order, chunk, earlier, null_keys=False)
+    return folded.unionByName(merge.unfolded(_warnings(keyless.filter(_earlier())), order, inserted=False)).unionByName(
+        merge.unfolded(_warnings(keyless.filter(~_earlier())), order, inserted=True)
+    )
 
 
 def insert_ignore_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,14 +174,16 @@ def left_lookup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Touched keys with a non-zero "latitude" get their "weather", if there is any."""
+    """Touched keys with a non-zero "latitude" get their "weather", if there is any.
+
+    The fold leaves one row per key and the lookups add none, so a key has one snapshot.
+    """
     customer = table(spark, sf_dir, "customer")
     touched = _folded(spark, sf_dir).select("user_id", "hour", (F.col("n_insert") + F.col("n_update")).alias("n_attempts"))
     located = left_lookup(touched.filter("n_attempts > 0"), customer, {"user_id": "c_custkey"}, ["c_nationkey"])
     attempts = located.filter(scalars.truthy(F.col("c_nationkey")))
     weather = customer.filter("c_acctbal > 0")
-    snapshots = left_lookup(attempts, weather, {"user_id": "c_custkey"}, ["c_acctbal"])
-    return merge.insert_ignore(snapshots, ["user_id", "hour"], ["n_attempts"], null_keys=False)
+    return left_lookup(attempts, weather, {"user_id": "c_custkey"}, ["c_acctbal"])
 
 
 def pending_units(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -513,6 +519,7 @@ def poll_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             store,
             EVENT_STATE,
             scratch.path(f"checkpoint-{name}"),
+            row_id="created_by",
         ).awaitTermination()
     return store.read(EVENT_STATE)
 

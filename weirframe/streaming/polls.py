@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from weirframe.operators.merge import ACTIONS, UpsertRule, fold
+from weirframe.operators.merge import ACTIONS, UpsertRule, drop_replayed, fold
 from weirframe.plans.poll import poll_once
 from weirframe.session import Scratch
 from weirframe.sources.schemas import POLL_DOC, Table
@@ -60,8 +60,12 @@ def stream_upserts(
     store: TableStore,
     table: Table,
     checkpoint: str,
+    row_id: str,
 ) -> StreamingQuery:
-    """Folds each micro-batch into the table partitions that it touches."""
+    """Folds each micro-batch into the table partitions that it touches.
+
+    ``row_id`` tells keyless rows apart, so that a repeated batch adds none twice.
+    """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         store.recover(table)
@@ -69,7 +73,8 @@ def stream_upserts(
             rows = scratch.keep(prepare(batch), "batch")
             touched = partition_values(store.routed(table, rows), table.partition)
             stored = store.read(table, touched)
-            merged = fold(rows, rule, order, chunk, stored, null_keys=False).drop(*ACTIONS)
+            fresh = drop_replayed(rows, stored, rule.keys, row_id)
+            merged = fold(fresh, rule, order, chunk, stored).drop(*ACTIONS)
             store.replace_partitions(table, merged, f"batch-{batch_id}")
 
     return (
