@@ -17,7 +17,6 @@ def spark():
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__driver__memory="8g",
-        spark__checkpoint__dir=tempfile.mkdtemp(prefix="/tmp/run-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

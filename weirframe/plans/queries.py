@@ -503,7 +503,10 @@ def poll_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def poll_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two available-now runs over ``events``: the earlier polls, then the later ones."""
+    """Two available-now runs over ``events``: the earlier polls, then the later ones.
+
+    The table stays in the shared folder, since the returned frame reads it.
+    """
     scratch = Scratch(spark, "poll-stream")
     store = TableStore(spark, scratch.path("tables"))
     schema = table(spark, sf_dir, "events").schema
