@@ -14,9 +14,11 @@ def spark():
     session = build_session(
         "tests",
         "local[8]",
-        spark__sql__shuffle__partitions="4",
-        spark__ui__enabled="false",
-        spark__driver__memory="8g",
+        {
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "8g",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

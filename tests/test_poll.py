@@ -199,6 +199,16 @@ def test_hour_key():
     assert to_hour(datetime.datetime(2024, 1, 1, 10, 5)).hour == 10
 
 
+def test_stream_passes_over_a_poll_with_a_bad_value(spark, folder):
+    landing, store = f"{folder}/l", TableStore(spark, f"{folder}/t")
+    land(landing, "p1", readings=[{"@id": READING.format("1"), "value": "abc", "dateTime": None}])
+    land(landing, "p2", warnings=[warning("A1", 1, "severe", "m", "d")])
+    for poll in ("p1", "p2"):
+        write(f"{landing}/polls/{poll}.json", {"poll": poll, "polled_at": f"2024-01-01T10:0{poll[1]}:00+00:00"})
+    stream_polls(spark, landing, store, f"{folder}/c").awaitTermination()
+    assert rows(store.read(FLOOD_EVENTS), "severity_label") == [("severe",)]
+
+
 def test_stream_runs_each_announced_poll_once(spark, folder):
     landing, store = f"{folder}/l", TableStore(spark, f"{folder}/t")
     land(landing, "p1", warnings=[warning("A1", 3, "alert", "m", "d")])

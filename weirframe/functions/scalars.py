@@ -17,6 +17,7 @@ from weirframe.fixed import REF_AFTER, REF_BEFORE, REF_UNTIL
 
 # A plain decimal literal. Java would also parse "1.5f" or "0x1p3".
 NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+BAD_VALUE = "bad value"
 DATE_TEXT = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
 
 
@@ -73,7 +74,7 @@ def misfit(text: Column, coerced: Column) -> Column:
 def strict(text: Column, to: T.DataType, name: str) -> Column:
     """``coerce`` that raises on a misfit, whatever the session's ANSI mode."""
     coerced = coerce(text, to)
-    message = F.concat(F.lit(f"bad value for {name}: "), text.cast("string"))
+    message = F.concat(F.lit(f"{BAD_VALUE} for {name}: "), text.cast("string"))
     return F.when(misfit(text, coerced), F.raise_error(message)).otherwise(coerced).cast(to)
 
 

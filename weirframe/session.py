@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def build_session(app: str = "weirframe", master: str | None = None, **extra: str) -> SparkSession:
+def build_session(
+    app: str = "weirframe", master: str | None = None, settings: dict[str, str] | None = None
+) -> SparkSession:
     """Session with the settings the jobs rely on.
 
     Shuffle width is left to the cluster and to AQE; only local runs pin it.
@@ -29,8 +31,8 @@ def build_session(app: str = "weirframe", master: str | None = None, **extra: st
     )
     if master:
         builder = builder.master(master)
-    for key, value in extra.items():
-        builder = builder.config(key.replace("__", "."), value)
+    for key, value in (settings or {}).items():
+        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 

@@ -7,17 +7,21 @@ watermark forgets it.
 from __future__ import annotations
 
 import datetime
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from weirframe.functions.scalars import BAD_VALUE
 from weirframe.operators.merge import ACTIONS, UpsertRule, drop_replayed, fold
 from weirframe.plans.poll import poll_once
 from weirframe.session import Scratch
 from weirframe.sources.schemas import POLL_DOC, Table
 from weirframe.sources.tables import TableStore, partition_values
 
+LOG = logging.getLogger(__name__)
+
 
 def stream_polls(
     spark: SparkSession,
@@ -29,6 +33,8 @@ def stream_polls(
     """Runs every landed poll that was not run yet, then stops.
 
     A poll is announced by a small document in ``polls`` once its bodies are in place.
+    A poll with a value that does not fit its column writes nothing and is passed over,
+    so that it does not hold up the polls after it; any other failure stops the stream.
     """
     announced = (
         spark.readStream.schema(POLL_DOC)
@@ -41,7 +47,12 @@ def stream_polls(
         # At most polls_per_batch names; polls of one hour depend on each other.
         for row in batch.filter("poll is not null").orderBy("polled_at", "poll").collect():
             moment = datetime.datetime.fromisoformat(row["polled_at"])
-            poll_once(batch.sparkSession, landing, store, row["poll"], moment)
+            try:
+                poll_once(batch.sparkSession, landing, store, row["poll"], moment)
+            except Exception as error:
+                if BAD_VALUE not in str(error):
+                    raise
+                LOG.warning("poll %s is passed over: %s", row["poll"], str(error).splitlines()[0])
 
     return (
         announced.writeStream.foreachBatch(run)
