@@ -141,9 +141,9 @@ def unit_outcomes(parsed: DataFrame) -> DataFrame:
 
 
 def accepted_rows(parsed: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Rows of the units that did not fail."""
+    """Rows of the units that did not fail, exploded only after the failed units are gone."""
     failed = size_checked(outcomes.filter("failed").select(*UNIT))
-    valid = parsed.filter(~F.col("bad")).join(failed, UNIT, "left_anti")
+    valid = parsed.join(failed, UNIT, "left_anti")
     return valid.select(*UNIT, "page", F.explode("rows").alias("row")).select(*UNIT, "page", "row.*")
 
 
