@@ -73,25 +73,42 @@ def bad_level(row: Column) -> Column:
 
 
 def weather_rows(daily: Column, start_date: str, end_date: str | None) -> Column:
-    """Parallel arrays -> day structs within the date range; each carries its misfit flag."""
+    """Parallel arrays -> day structs within the date range; each carries its misfit flag.
+
+    Steps are separate so that days out of range are not coerced and no value is coerced twice.
+    """
     axis = daily.getField("time")
     zipped = arrays.zipped(axis, "time", {table: daily.getField(source) for source, table in WEATHER_VARIABLES.items()})
+    dated = F.transform(
+        zipped,
+        lambda row, n: F.struct(as_date(row.getField("time")).alias("date"), row.alias("raw"), n.alias("pos")),
+    )
+    wanted = F.filter(
+        dated, lambda r: r.getField("date").isNull() | in_dates(r.getField("date"), start_date, end_date)
+    )
+    typed = F.transform(
+        wanted,
+        lambda r: F.struct(
+            r.getField("date").alias("date"),
+            r.getField("pos").alias("pos"),
+            r.getField("raw").alias("raw"),
+            F.struct(*[coerce(r.getField("raw").getField(f.name), f.dataType).alias(f.name) for f in MEASURES]).alias("fit"),
+        ),
+    )
 
-    def typed(row: Column, position: Column) -> Column:
-        day = as_date(row.getField("time"))
-        values = {f.name: coerce(row.getField(f.name), f.dataType) for f in MEASURES}
+    def judged(r: Column) -> Column:
+        day, raw, fit = r.getField("date"), r.getField("raw"), r.getField("fit")
         bad = checks.missing_required([day]) | ~checks.routable(day)
-        for name, value in values.items():
-            bad = bad | misfit(row.getField(name), value)
+        for f in MEASURES:
+            bad = bad | misfit(raw.getField(f.name), fit.getField(f.name))
         return F.struct(
             day.alias("date"),
-            *[value.alias(name) for name, value in values.items()],
+            *[fit.getField(f.name).alias(f.name) for f in MEASURES],
             F.coalesce(bad, F.lit(True)).alias("bad"),
-            position.alias("pos"),
+            r.getField("pos").alias("pos"),
         )
 
-    rows = F.transform(zipped, typed)
-    return F.filter(rows, lambda r: r.getField("date").isNull() | in_dates(r.getField("date"), start_date, end_date))
+    return F.transform(typed, judged)
 
 
 def arrays_cover_axis(daily: Column) -> Column:
@@ -144,7 +161,9 @@ def accepted_rows(parsed: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Rows of the units that did not fail, exploded only after the failed units are gone."""
     failed = size_checked(outcomes.filter("failed").select(*UNIT))
     valid = parsed.join(failed, UNIT, "left_anti")
-    return valid.select(*UNIT, "page", F.explode("rows").alias("row")).select(*UNIT, "page", "row.*")
+    # An outer explode infers no filter on the array, which would parse it once more below.
+    exploded = valid.select(*UNIT, "page", F.explode_outer("rows").alias("row"))
+    return exploded.filter("row is not null").select(*UNIT, "page", "row.*")
 
 
 def backfill_rivers(
