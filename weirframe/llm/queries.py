@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirframe.llm import hamming_dedup, packing, quality_trees, url_rules, weak_toxicity, weighted_fingerprint
+from weirframe.llm import (
+    cotrain,
+    hamming_dedup,
+    html_render,
+    packing,
+    piece_codec,
+    quality_trees,
+    surrogates,
+    url_rules,
+    weak_toxicity,
+    weighted_fingerprint,
+)
 from weirframe.session import Scratch
 
 
@@ -26,6 +37,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_render.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_fingerprint.fingerprint_pairs(table(spark, sf_dir, "documents"))
 
@@ -35,6 +50,21 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.judge(docs, quality_trees.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cotrain.score(docs, cotrain.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = surrogates.pseudonymise(docs, Scratch(spark, "op7"), count_col="n_replaced")
+    return found.select("doc_id", "text", "n_replaced")
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = hamming_dedup.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "op8"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -51,8 +81,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_html_text": op2_html_text,
     "op3_fingerprints": op3_fingerprints,
     "op4_quality_rules": op4_quality_rules,
+    "op5_cotraining": op5_cotraining,
+    "op6_pieces": op6_pieces,
+    "op7_surrogates": op7_surrogates,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
