@@ -1,8 +1,8 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier.
 
-Voters. Lexicon voters are words and word beginnings that stand out in toxic training
-documents, found by counting over the labelled sample; pattern voters are fixed rules
-over a text's shape. A voter fires or abstains on a document; the given label is one
+Voters. Lexicon voters are words and word beginnings, and the same found more than once,
+that stand out in toxic training documents, found by counting over the labelled sample;
+pattern voters are fixed rules over a text's shape. A voter fires or abstains on a document; the given label is one
 more voter, which only labelled documents have.
 
 Label model. Expectation maximisation estimates the share of toxic documents and, for
@@ -45,9 +45,11 @@ LABELLED_ROWS, SAMPLE_ROWS = 12_000, 15_000
 FOLDS, HELD_OUT_FOLD = 4, 2
 THRESHOLD = 0.3
 #: A lexicon voter fires on this many toxic training documents at least, and that share of its documents is toxic.
-LEAST_DOCS, LEAST_SHARE, LEXICON = 4, 0.5, 400
+LEAST_DOCS, LEAST_SHARE, LEXICON = 4, 0.5, 600
 #: Lengths of word beginnings that may become voters; marked by a trailing star.
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7, 8)
+#: Marks an entry that a text must match more than once.
+TWICE = "+"
 GOLD_ACCURACY = 0.99
 WORD = re.compile(r"\w+")
 PATTERNS = {
@@ -64,7 +66,7 @@ def held_out(doc_id: Column) -> Column:
 
 def signs(word: str) -> list[str]:
     """The lexicon entries that a word can match: itself and its beginnings."""
-    return [word, *(f"{word[:size]}*" for size in BEGINNINGS if len(word) >= size)]
+    return [word, *[f"{word[:size]}*" for size in BEGINNINGS if len(word) >= size]]
 
 
 def _words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -78,7 +80,10 @@ class Voters:
 
     def __init__(self, lexicon: list[str]) -> None:
         self.names = [*lexicon, *PATTERNS]
-        self.place = {entry: at for at, entry in enumerate(lexicon)}
+        bases = sorted({entry.removesuffix(TWICE) for entry in lexicon})
+        self.place = {base: at for at, base in enumerate(bases)}
+        self.base = np.array([self.place[entry.removesuffix(TWICE)] for entry in lexicon], np.int64)
+        self.less = np.array([float(entry.endswith(TWICE)) for entry in lexicon], np.float32)
 
     def count(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Voter counts (a row for each text) and words of each text."""
@@ -91,12 +96,12 @@ class Voters:
         text = np.repeat(np.arange(len(texts)), sizes)[found]
         again = per_word[numbers[found]]
         ends = starts_of(again)
-        voters = flat[np.repeat(hit_at[numbers[found]] - ends[:-1], again) + np.arange(ends[-1])]
-        counts = np.zeros((len(texts), len(self.names)), np.float32)
-        np.add.at(counts, (np.repeat(text, again), voters), 1)
-        for at, pattern in enumerate(PATTERNS.values(), len(self.place)):
-            counts[:, at] = [len(pattern.findall(text)) for text in texts]
-        return counts, sizes
+        bases = flat[np.repeat(hit_at[numbers[found]] - ends[:-1], again) + np.arange(ends[-1])]
+        counts = np.zeros((len(texts), len(self.place)), np.float32)
+        np.add.at(counts, (np.repeat(text, again), bases), 1)
+        shapes = [[len(pattern.findall(text)) for pattern in PATTERNS.values()] for text in texts]
+        shapes = np.array(shapes, np.float32).reshape(len(texts), len(PATTERNS))
+        return np.column_stack([np.maximum(counts[:, self.base] - self.less, 0), shapes]), sizes
 
 
 def features(counts: np.ndarray, sizes: np.ndarray, lexicon: int) -> np.ndarray:
@@ -146,19 +151,19 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
-def logistic(rows: np.ndarray, target: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> tuple[np.ndarray, float]:
+def logistic(rows: np.ndarray, target: np.ndarray, ridge: float = 1.0, rounds: int = 12) -> tuple[np.ndarray, float]:
     """Weights and bias for soft labels, by Newton steps with a ridge on the weights."""
-    inputs = np.column_stack([rows, np.ones(len(rows))]).astype(float)
+    inputs = np.column_stack([rows, np.ones(len(rows))]).astype(np.float32)
     penalty = np.full(inputs.shape[1], ridge)
     penalty[-1] = 1e-6
     weight = np.zeros(inputs.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(inputs @ weight, -30, 30)))
-        curve = np.maximum(p * (1 - p), 1e-6)
-        slope = inputs.T @ (p - target) + penalty * weight
-        step = np.linalg.solve((inputs * curve[:, None]).T @ inputs + np.diag(penalty), slope)
+        curve = np.maximum(p * (1 - p), 1e-6).astype(np.float32)
+        slope = (p - target) @ inputs.astype(float) + penalty * weight
+        step = np.linalg.solve(((inputs * curve[:, None]).T @ inputs).astype(float) + np.diag(penalty), slope)
         weight -= step
-        if np.abs(step).max() < 1e-6:
+        if np.abs(step).max() < 1e-3:
             break
     return weight[:-1], float(weight[-1])
 
@@ -171,7 +176,11 @@ def mine(training: DataFrame) -> list[str]:
             toxic, all_docs = Counter(), Counter()
             for part in slices(batch, "text"):
                 for text, label in zip(strings(part, "text"), part.column("label").to_pylist(), strict=True):
-                    found = {sign for word in set(WORD.findall(text.lower())) for sign in signs(word)}
+                    seen = Counter()
+                    for word, times in Counter(WORD.findall(text.lower())).items():
+                        for sign in signs(word):
+                            seen[sign] += times
+                    found = [*seen, *[sign + TWICE for sign, times in seen.items() if times > 1]]
                     all_docs.update(found)
                     if label:
                         toxic.update(found)
