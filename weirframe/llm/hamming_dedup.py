@@ -11,8 +11,9 @@ fingerprints that share a key are candidates, verified over all 64 bits.
 
 Crowded keys. All pairs of a crowd are never made. First every member is compared with
 the key's least member; keys whose members that already puts into one component are
-done. In the others, keys of up to ``PAIR_LIMIT`` members compare across components.
-Larger ones use the middle point: fingerprints at distance 4 or less share a point
+done. In the others, the members outside the key's largest component, where they are up
+to ``REST_LIMIT``, are compared with all members of other components, which is linear in
+the key's members. The remaining keys use the middle point: fingerprints at distance 4 or less share a point
 within 2 bits of both, and fingerprints that share such a point are that close. Each
 member is filed under its points that agree with the key (529 or 33 of them), and all
 members of a point link to the least one. So work grows with the members, and no link
@@ -42,7 +43,7 @@ SHINGLE_WORDS = 4
 HASH_SEED = 42
 MAX_DISTANCE = 4
 HALF = 32
-PAIR_LIMIT = 12
+REST_LIMIT = 32
 #: Hashes whose bits are counted at a time.
 CHUNK = 1 << 16
 
@@ -179,23 +180,30 @@ def links(fps: DataFrame, scratch: Scratch) -> DataFrame:
         "keys",
     )
     pairs = keys.filter("n = 2").filter(_close(F.col("u"), F.col("v"))).select("u", "v")
-    members = scratch.keep(probes.join(keys.filter("n > 2").select("key", "n", "u"), "key"), "members")
+    crowded = keys.filter("n > 2").select("key", "u")
+    members = scratch.keep(probes.join(crowded, "key"), "members")
     to_least = members.filter("fp <> u").filter(_close(F.col("u"), F.col("fp"))).select("u", F.col("fp").alias("v"))
     first = scratch.keep(pairs.union(to_least).distinct(), "first-edges")
 
     parts = connected(first, scratch, "first")
     placed = members.join(parts, members["fp"] == parts["node"], "left").select(
-        "key", "n", "fp", F.coalesce("root", "fp").alias("part")
+        "key", "fp", F.coalesce("root", "fp").alias("part")
     )
     placed = scratch.keep(placed, "placed")
+    sizes = placed.groupBy("key", "part").agg(F.count("*").alias("size"))
     open_keys = (
-        placed.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b")).filter("a < b").select("key")
-    )
+        sizes.groupBy("key")
+        .agg(F.count("*").alias("parts"), F.max_by("part", F.struct("size", "part")).alias("big"),
+             (F.sum("size") - F.max("size")).alias("rest"))
+        .filter("parts > 1")
+        .select("key", "big", "rest")
+    )
     unsettled = scratch.keep(placed.join(open_keys, "key"), "unsettled")
-    few, many = unsettled.filter(F.col("n") <= PAIR_LIMIT), unsettled.filter(F.col("n") > PAIR_LIMIT)
-    left = few.select("key", F.col("fp").alias("u"), F.col("part").alias("a"))
-    right = few.select("key", F.col("fp").alias("v"), F.col("part").alias("b"))
-    across = left.join(right, "key").filter("a < b").filter(_close(F.col("u"), F.col("v"))).select("u", "v")
+    few, many = unsettled.filter(F.col("rest") <= REST_LIMIT), unsettled.filter(F.col("rest") > REST_LIMIT)
+    left = few.filter("part <> big").select("key", F.col("fp").alias("u"), F.col("part").alias("a"))
+    right = few.select("key", F.col("fp").alias("v"), F.col("part").alias("b"), "big")
+    differ = (F.col("b") == F.col("big")) | ((F.col("a") != F.col("b")) & (F.col("u") < F.col("v")))
+    across = left.join(right, "key").filter(differ & _close(F.col("u"), F.col("v"))).select("u", "v")
     points = _middle_points(many).distinct()
     return first.union(across).union(_members_to_least(points, "point"))
 
