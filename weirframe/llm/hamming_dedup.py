@@ -180,7 +180,8 @@ def links(fps: DataFrame, scratch: Scratch) -> DataFrame:
         "keys",
     )
     pairs = keys.filter("n = 2").filter(_close(F.col("u"), F.col("v"))).select("u", "v")
-    crowded = keys.filter("n > 2").select("key", "u")
+    # Without the hint small inputs would broadcast the keys; they grow with the input.
+    crowded = keys.filter("n > 2").select("key", "u").hint("merge")
     members = scratch.keep(probes.join(crowded, "key"), "members")
     to_least = members.filter("fp <> u").filter(_close(F.col("u"), F.col("fp"))).select("u", F.col("fp").alias("v"))
     first = scratch.keep(pairs.union(to_least).distinct(), "first-edges")
