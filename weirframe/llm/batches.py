@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
+from types import ModuleType
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +13,15 @@ from pyspark.sql import DataFrame
 
 #: Bytes of text that a task holds as Python objects at a time.
 SLICE_BYTES = 4 << 20
+WORKER_STORE = "weirframe_worker_store"
+
+
+def kept_in_worker(name: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once in a worker process and used by its later tasks too."""
+    store = sys.modules.setdefault(WORKER_STORE, ModuleType(WORKER_STORE)).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
 
 
 def unused(frame: DataFrame, name: str) -> str:

@@ -20,8 +20,9 @@ alone. Repeated rows are packed each. Columns other than id and text are ignored
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
+from itertools import repeat
 from operator import is_not
 
 import numpy as np
@@ -29,14 +30,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirframe.llm.batches import slices, starts_of, strings
+from weirframe.llm.batches import kept_in_worker, slices, starts_of, strings
 
 CAPACITY = 2048
 END_ID = 1
 #: Rests that wait before windows are filled, and that stay for better fits afterwards.
 POOL, KEPT = 6000, 2000
 #: Distinct words whose ids a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
+#: Marks behind a word that never share a token with it, and the key under which their own ids are kept.
+MARKS = ".,;:!?)*#$%&|<>"
+MARK_KEY = "\0 "
 #: Words that are encoded in one call.
 JOINED = 1000
 SCHEMA = (
@@ -44,6 +48,13 @@ SCHEMA = (
 )
 
 
+def gather(values: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The runs ``values[starts[k] : starts[k + 1]]`` of all ``k`` in ``rows``, end to end."""
+    sizes = starts[rows + 1] - starts[rows]
+    ends = starts_of(sizes)
+    return values[np.repeat(starts[rows] - ends[:-1], sizes) + np.arange(ends[-1])]
+
+
 class ChunkEncoder:
     """Token ids of texts, with the ids of words remembered.
 
@@ -64,34 +75,63 @@ class ChunkEncoder:
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.sizes: list[np.ndarray] = []
-        self.odd: list[np.ndarray] = []
-
-    def _learn(self, words: list[str]) -> None:
-        distinct = set(words)
-        new = list(distinct.difference(self.number))
-        if len(self.number) + len(new) > REMEMBERED:
-            self._forget()
-            new = list(distinct)
+        self.ids = np.zeros(0, np.uint32)
+        self.sizes = np.zeros(0, np.int64)
+        self.odd = np.zeros(0, bool)
+        self.uses = np.zeros(0, np.int64)
+
+    def _thin(self) -> None:
+        """Forget words, the least used first, until half as many are left."""
+        keep = np.sort(np.argsort(-self.uses, kind="stable")[: REMEMBERED // 2])
+        words = list(self.number)
+        self.ids = gather(self.ids, starts_of(self.sizes), keep)
+        self.sizes, self.odd, self.uses = self.sizes[keep], self.odd[keep], self.uses[keep] // 2
+        self.number = {words[at]: k for k, at in enumerate(keep.tolist())}
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self.number) > REMEMBERED:
+            self._thin()
+        new = list(words.difference(self.number))
         if not new:
             return
+        stems = list(map(str.rstrip, new, repeat(MARKS)))
+        # A word and the marks behind it are tokens of their own: encode the word once.
+        marked = [k for k, (word, stem) in enumerate(zip(new, stems, strict=True)) if word is not stem and stem.isalpha()]
+        if marked:
+            self._learn_plain(list({stems[k] for k in marked}.difference(self.number)))
+            behind = [new[k][len(stems[k]) :] for k in marked]
+            self._learn_plain(list({MARK_KEY + marks for marks in behind}.difference(self.number)))
+            at = np.array([(self.number[stems[k]], self.number[MARK_KEY + marks]) for k, marks in zip(marked, behind, strict=True)])
+            ids = gather(self.ids, starts_of(self.sizes), at.ravel())
+            self._add([new[k] for k in marked], ids, self.sizes[at].sum(axis=1), np.zeros(len(marked), bool))
+            new = list(words.difference(self.number))
+        self._learn_plain(new)
+
+    def _learn_plain(self, new: list[str]) -> None:
+        if not new:
+            return
+        if new[0].startswith(MARK_KEY):
+            found = [np.array(one.ids, np.uint32) for one in self._batch([word[len(MARK_KEY) :] for word in new])]
+            self._add(new, np.concatenate(found), np.array([len(ids) for ids in found]), np.zeros(len(new), bool))
+            return
         odd = np.fromiter(map(is_not, map(str.strip, new), new), bool, len(new))
         odd |= np.fromiter(map(len, new), np.int64, len(new)) == 0
         plain = ["" if bad else word for word, bad in zip(new, odd.tolist(), strict=True)] if odd.any() else new
-        runs = [" " + " ".join(plain[at : at + JOINED]) for at in range(0, len(plain), JOINED)]
-        if odd.any():
-            runs = ["".join(f" {word}" for word in plain[at : at + JOINED] if word) for at in range(0, len(plain), JOINED)]
+        runs = [" ".join(["", *filter(None, plain[at : at + JOINED])]) for at in range(0, len(plain), JOINED)]
         found = [np.array(one.ids, np.uint32) for one in self._batch(runs)]
-        flat = np.concatenate([*found, np.zeros(0, np.uint32)])
+        flat = np.concatenate(found)
         # A token's place in the joined words follows from the bytes before it.
         taken = np.fromiter(map(len, map(str.encode, plain)), np.int64, len(plain))
         ends = np.cumsum(taken + (taken > 0))
         borders = np.searchsorted(np.cumsum(self.bytes_of[flat]), ends, side="right")
-        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
-        self.ids.append(flat)
-        self.sizes.append(np.diff(borders, prepend=0))
-        self.odd.append(odd)
+        self._add(new, flat, np.diff(borders, prepend=0), odd)
+
+    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray, odd: np.ndarray) -> None:
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
+        self.ids = np.concatenate([self.ids, ids])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.odd = np.concatenate([self.odd, odd])
+        self.uses = np.concatenate([self.uses, np.zeros(len(words), np.int64)])
 
     def _batch(self, texts: list[str]) -> list:
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -99,16 +139,13 @@ class ChunkEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [[""] if self._marked(text) else text.split(" ") for text in texts]
         words = [word for parts in split for word in parts[1:]]
-        self._learn(words)
-        all_ids, all_sizes, all_odd = map(np.concatenate, (self.ids, self.sizes, self.odd)) if self.ids else (
-            np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, bool))
-        first = starts_of(all_sizes)
+        self._learn(set(words))
         numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        sizes, ends = all_sizes[numbers], starts_of(all_sizes[numbers])
-        # Token k of the result is token k - (where its word begins) of that word.
-        flat = all_ids[np.repeat(first[numbers] - ends[:-1], sizes) + np.arange(ends[-1])]
+        self.uses += np.bincount(numbers, minlength=len(self.uses))
+        flat = gather(self.ids, starts_of(self.sizes), numbers)
+        ends = starts_of(self.sizes[numbers])
         words_before = starts_of(np.fromiter(map(len, split), np.int64, len(split)) - 1)
-        odd_before = starts_of(all_odd[numbers])
+        odd_before = starts_of(self.odd[numbers])
         whole = odd_before[words_before[1:]] > odd_before[words_before[:-1]]
         heads = self._batch(
             [
@@ -128,13 +165,17 @@ class ChunkEncoder:
         return any(token in text for token in self.special)
 
 
-def fill(counts: dict[int, int], room: int) -> list[tuple[int, int]]:
-    """Lengths and how often each is taken, so that their sum comes closest to ``room``."""
+def fill(pool: dict[int, list], lengths: list[int], room: int) -> list[tuple[int, int]]:
+    """Lengths and how often each is taken, so that their sum comes closest to ``room``.
+
+    ``lengths`` are the keys of ``pool`` in rising order.
+    """
     full = (1 << (room + 1)) - 1
     reach, steps = 1, []
-    for length in sorted((n for n in counts if n <= room), reverse=True):
+    for k in range(bisect_right(lengths, room) - 1, -1, -1):
+        length = lengths[k]
         steps.append((length, reach))
-        for _ in range(min(counts[length], room // length)):
+        for _ in range(min(len(pool[length]), room // length)):
             grown = (reach | reach << length) & full
             if grown == reach:
                 break
@@ -159,7 +200,8 @@ class Packer:
     def __init__(self, capacity: int, first_sequence: int) -> None:
         self.capacity = capacity
         self.sequence = first_sequence
-        self.pool: dict[int, list[tuple]] = defaultdict(list)
+        self.pool: dict[int, list[tuple]] = {}
+        self.lengths: list[int] = []
         self.waiting = 0
 
     def _place(self, pieces: list[tuple]) -> Iterator[tuple]:
@@ -170,21 +212,27 @@ class Packer:
         self.sequence += 1
 
     def _wait(self, piece: tuple) -> None:
-        if len(piece[2]):
-            self.pool[len(piece[2])].append(piece)
-            self.waiting += 1
+        length = len(piece[2])
+        if not length:
+            return
+        if length not in self.pool:
+            self.pool[length] = []
+            insort(self.lengths, length)
+        self.pool[length].append(piece)
+        self.waiting += 1
 
     def _take(self, length: int) -> tuple:
         pieces = self.pool[length]
         piece = pieces.pop()
         if not pieces:
             del self.pool[length]
+            del self.lengths[bisect_left(self.lengths, length)]
         self.waiting -= 1
         return piece
 
     def _cut(self, room: int) -> tuple:
         """A piece of at most ``room`` tokens from the longest rest; what is left waits on."""
-        doc_id, start, ids, total = self._take(max(self.pool))
+        doc_id, start, ids, total = self._take(self.lengths[-1])
         self._wait((doc_id, start + room, ids[room:], total))
         return doc_id, start, ids[:room], total
 
@@ -200,9 +248,9 @@ class Packer:
     def _pack(self, keep: int) -> Iterator[tuple]:
         tokens = sum(length * len(pieces) for length, pieces in self.pool.items())
         while self.waiting > keep and tokens >= self.capacity:
-            window = [self._take(max(self.pool))]
+            window = [self._take(self.lengths[-1])]
             room = self.capacity - len(window[0][2])
-            for length, used in fill({n: len(p) for n, p in self.pool.items()}, room):
+            for length, used in fill(self.pool, self.lengths, room):
                 window += [self._take(length) for _ in range(used)]
                 room -= length * used
             while room:
@@ -240,7 +288,7 @@ def pack(
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = ChunkEncoder(tokenizer_path)
+        encoder = kept_in_worker(f"encoder {tokenizer_path}", lambda: ChunkEncoder(tokenizer_path))
         packer = Packer(capacity, TaskContext.get().partitionId() << 33)
         for batch in batches:
             for part in slices(batch, "text"):
