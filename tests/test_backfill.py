@@ -4,6 +4,7 @@ from decimal import Decimal
 
 import pytest
 
+from weirframe.operators.paging import IncompleteListing
 from weirframe.plans.backfill import backfill_rivers, backfill_weather
 from weirframe.sources import landed, ledger_files
 from weirframe.sources.schemas import RIVER_LEVELS, WEATHER_HISTORY
@@ -46,13 +47,27 @@ def test_catalogue_measures(spark, folder):
     assert (got["s1"]["lat"], got["s1"]["lon"], got["s1"]["catchment"]) == (51.0, -1.0, "c")
 
 
-def test_catalogue_stops_after_a_short_page(spark, folder):
-    full = [station(f"a{i}", measures=[]) for i in range(500)]
-    write(f"{folder}/catalogue/page=0.json", {"items": full})
+def test_catalogue_reads_on_after_a_short_page(spark, folder):
+    write(f"{folder}/catalogue/page=0.json", {"items": [station(f"a{i}", measures=[]) for i in range(500)]})
     write(f"{folder}/catalogue/page=1.json", {"items": [station("b0")]})
     write(f"{folder}/catalogue/page=2.json", {"items": [station("c0")]})
     refs = {r["station_ref"] for r in landed.catalogue(spark, folder).collect()}
-    assert len(refs) == 501 and "b0" in refs and "c0" not in refs
+    assert len(refs) == 502 and {"b0", "c0"} <= refs
+
+
+def test_incomplete_catalogue_raises_and_is_not_cached(spark, folder):
+    cache = f"{folder}/cache"
+    for page in (0, 2, 3):
+        write(f"{folder}/catalogue/page={page}.json", {"items": [station(f"s{page}-{i}") for i in range(500)]})
+    write(f"{folder}/catalogue/page=1.json", "not json")
+    with pytest.raises(IncompleteListing, match="the first is page 1"):
+        landed.saved_catalogue(spark, folder, cache)
+    os.remove(f"{folder}/catalogue/page=1.json")
+    with pytest.raises(IncompleteListing, match="1 pages are missing"):
+        landed.saved_catalogue(spark, folder, cache)
+    assert not os.path.exists(cache)
+    write(f"{folder}/catalogue/page=1.json", {"items": [station(f"s1-{i}") for i in range(20)]})
+    assert landed.saved_catalogue(spark, folder, cache).count() == 1520
 
 
 def test_saved_catalogue(spark, folder):

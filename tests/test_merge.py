@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from weirframe.operators import checks, dedup, merge, ordered, paging
@@ -46,7 +47,14 @@ def without_order(spark, table):
     return spark.createDataFrame(rows, SCHEMA.rsplit(",", 1)[0])
 
 
-def test_fold_equals_row_by_row(spark):
+# Heavy rows and keys: all keys whole, some keys in chunks, all keys in chunks.
+PATHS = [(1 << 20, 1000), (3, 1 << 20), (0, 0)]
+
+
+@pytest.mark.parametrize(("heavy_rows", "many_heavy"), PATHS)
+def test_fold_equals_row_by_row(spark, monkeypatch, heavy_rows, many_heavy):
+    monkeypatch.setattr(merge, "HEAVY_ROWS", heavy_rows)
+    monkeypatch.setattr(merge, "MANY_HEAVY", many_heavy)
     rng = random.Random(1)
     stored, batch, actions, after = [], [], {"insert": 0, "update": 0, "noop": 0}, []
     for case in range(400):
@@ -59,13 +67,24 @@ def test_fold_equals_row_by_row(spark):
             actions[action] += 1
         after += table
     frame = spark.createDataFrame(batch, SCHEMA)
-    for width in (1, 3, 100):
+    for width in (2, 100):
         folded = merge.fold(frame, RULE, ["seq"], ordered.chunk_of("seq", width), without_order(spark, stored))
         assert frame_rows(folded) == flat(after)
         totals = merge.action_totals(folded).first()
         assert (totals["n_insert"], totals["n_update"], totals["n_noop"]) == tuple(actions.values())
 
 
+@pytest.mark.parametrize(("heavy_rows", "many_heavy"), PATHS)
+def test_fold_with_negative_and_sparse_order_values(spark, monkeypatch, heavy_rows, many_heavy):
+    monkeypatch.setattr(merge, "HEAVY_ROWS", heavy_rows)
+    monkeypatch.setattr(merge, "MANY_HEAVY", many_heavy)
+    rule = merge.UpsertRule(["k"], ["g"])
+    stored = spark.createDataFrame([("a", 9), ("b", 1)], "k string, g int")
+    rows = [("a", 1, -3_145_728), ("a", 2, -1_048_581), ("a", 2, 7), ("b", 1, 2**60), ("c", 5, -(2**60))]
+    folded = merge.fold(spark.createDataFrame(rows, "k string, g int, seq long"), rule, ["seq"], ordered.chunk_of("seq"), stored)
+    assert sorted(map(tuple, folded.collect())) == [("a", 2, 0, 2, 1), ("b", 1, 0, 0, 1), ("c", 5, 1, 0, 0)]
+
+
 def test_split_batch_gives_the_same_table(spark):
     rng = random.Random(2)
     batch = [row for case in range(100) for row in random_batch(rng, case, 8)]
@@ -184,39 +203,23 @@ def test_position_over_chunks(spark):
         assert sorted(r["position"] for r in got) == list(range(200))
 
 
-def test_reachable_pages_equal_an_offset_loop(spark):
-    rng = random.Random(7)
-    pages, expected = [], []
-    for listing in range(200):
-        sizes = {p: rng.choice([0, 2, 3, 3, 3]) for p in range(6) if rng.random() < 0.85}
-        pages += [(listing, p, n) for p, n in sizes.items()]
-        page = 0
-        while sizes.get(page, 0) > 0:
-            expected.append((listing, page, sizes[page]))
-            if sizes[page] < 3:
-                break
-            page += 1
-    frame = spark.createDataFrame(pages, "listing int, page int, n_items int")
-    got = paging.reachable_pages(frame, ["listing"], 3).select("listing", "page", "n_items").collect()
-    assert sorted(map(tuple, got)) == sorted(expected)
-
-
-def test_reachable_pages_of_one_listing(spark):
-    for sizes, reached in [
-        ({0: 3, 1: 3, 2: 1, 3: 3}, [0, 1, 2]),
-        ({0: 3, 2: 3}, [0]),
-        ({1: 3}, []),
-        ({0: 3, 1: 0, 2: 3}, [0]),
-        ({0: 3, 1: 3}, [0, 1]),
-    ]:
-        frame = spark.createDataFrame(list(sizes.items()), "page int, n_items int")
-        assert sorted(r["page"] for r in paging.reachable_pages(frame, size=3).collect()) == reached
-
-
-def test_row_cap_keeps_arrival_order(spark):
-    frame = spark.createDataFrame([(i,) for i in (3, 1, 2)], "pos int")
-    assert [r[0] for r in paging.capped(frame, ["pos"], 2).collect()] == [1, 2]
-    assert paging.capped(frame, ["pos"], None).count() == 3
+@pytest.mark.parametrize(
+    ("pages", "fault"),
+    [
+        ([], None),
+        ([(0, False), (1, False), (2, False)], None),
+        ([(0, False), (2, False)], "1 pages are missing"),
+        ([(1, False)], "1 pages are missing"),
+        ([(0, False), (1, True), (2, True)], "2 malformed pages, the first is page 1"),
+    ],
+)
+def test_a_listing_must_be_complete(spark, pages, fault):
+    frame = spark.createDataFrame(pages, "page int, malformed boolean")
+    if fault is None:
+        paging.require_complete(frame, "listing")
+        return
+    with pytest.raises(paging.IncompleteListing, match=fault):
+        paging.require_complete(frame, "listing")
 
 
 def test_unit_status_and_audits(spark):

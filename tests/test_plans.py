@@ -48,11 +48,15 @@ def test_insert_ignore_shuffles_batch_and_target_once(spark, no_broadcast):
     assert shuffles(merge.insert_ignore(lines, key, ["l_partkey"], lines, null_keys=False)) == 2
 
 
-def test_fold_shuffles_rows_once_and_summaries_once(spark):
+def test_fold_shuffles_rows_once_and_heavy_keys_twice(spark, monkeypatch):
     rows = spark.range(100).select((F.col("id") % 7).alias("k"), (F.col("id") % 3).alias("g"), "id")
     rule = merge.UpsertRule(["k"], ["g"])
     folded = merge.fold(rows, rule, ["id"], ordered.chunk_of("id"), null_keys=False)
-    assert shuffles(folded) == 2 and plan_of(folded).count("Sort [") == 2
+    assert shuffles(folded) == 1 and plan_of(folded).count("Sort [") == 1
+    monkeypatch.setattr(merge, "HEAVY_ROWS", 10)
+    monkeypatch.setattr(merge, "MANY_HEAVY", 3)
+    everything = merge.fold(rows, rule, ["id"], ordered.chunk_of("id"), null_keys=False)
+    assert shuffles(everything) == 2
 
 
 def test_previous_row_moves_rows_once(spark, no_broadcast):
@@ -77,7 +81,15 @@ def test_writes_are_rebalanced_by_partition(spark, folder):
     assert re.search(r"Exchange hashpartitioning\(year#\d+, \d+\), REBALANCE_PARTITIONS_BY_COL", plan)
 
 
-def test_lookup_broadcasts_only_below_the_limit(spark, no_broadcast):
+def test_lookup_broadcasts_only_what_is_counted_to_be_small(spark, no_broadcast):
     rows = spark.range(1000)
-    assert "BroadcastHashJoin" in plan_of(rows.join(lookup.size_checked(rows), "id"))
-    assert "SortMergeJoin" in plan_of(rows.join(lookup.size_checked(rows, limit=10), "id"))
+    assert "BroadcastHashJoin" in plan_of(rows.join(lookup.size_checked(rows, 1000), "id"))
+    assert "SortMergeJoin" in plan_of(rows.join(lookup.size_checked(rows, 1000, limit=10), "id"))
+    assert "SortMergeJoin" in plan_of(rows.join(lookup.size_checked(rows), "id"))
+
+
+def test_an_exploded_grid_is_not_broadcast(spark):
+    grid = spark.range(400_000).select("id", F.explode(F.sequence(F.lit(1), F.lit(25))).alias("year"))
+    assert grid._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue() < 1 << 25
+    documents = spark.range(10).select("id", F.lit(1).alias("year"))
+    assert "Broadcast" not in plan_of(documents.join(lookup.size_checked(grid, grid.count()), ["id", "year"]))

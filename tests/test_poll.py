@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from weirframe.plans.poll import poll_once, to_hour
 from weirframe.sources.schemas import FLOOD_EVENTS, STATION_READINGS, WEATHER_SNAPSHOTS
 from weirframe.sources.tables import TableStore
-from weirframe.streaming.polls import stream_polls
+from weirframe.streaming.polls import rejected_polls, rejection_of, rerun_rejected, stream_polls
 
 AT = datetime.datetime(2024, 1, 1, 10, 25, tzinfo=datetime.timezone.utc)
 READING = "http://x/data/readings/{}-level-stage-i-15_min-mASD/2024-01-01T00-00-00Z"
@@ -88,7 +88,7 @@ def test_one_poll(spark, folder):
     assert summary == {
         "n_areas": 2, "n_warnings": 6, "n_readings": 3,
         "n_events_inserted": 4, "n_events_updated": 1, "n_events_stored": 5, "n_events_noop": 1,
-        "n_snapshots_stored": 1, "n_snapshots_skipped": 1, "n_readings_stored": 2,
+        "n_snapshots_stored": 1, "n_snapshots_skipped": 1, "n_readings_stored": 2, "n_malformed_bodies": 0,
     }
     events = {r["flood_area_id"]: r for r in store.read(FLOOD_EVENTS).collect()}
     a1 = events["A1"]
@@ -135,7 +135,7 @@ def test_missing_weather_and_envelopes(spark, folder):
     write(f"{landing}/readings/poll=p1/page=0.json", {"other": 1})
     write(f"{landing}/areas/poll=p1/page=1.json", "not json")
     store = TableStore(spark, f"{folder}/t")
-    poll_once(spark, landing, store, "p1", AT)
+    assert poll_once(spark, landing, store, "p1", AT).first()["n_malformed_bodies"] == 1
     snapshot = store.read(WEATHER_SNAPSHOTS).first()
     assert snapshot["temperature_c"] is None and snapshot["humidity_pct"] is None
     assert store.read(STATION_READINGS).count() == 0
@@ -199,14 +199,31 @@ def test_hour_key():
     assert to_hour(datetime.datetime(2024, 1, 1, 10, 5)).hour == 10
 
 
-def test_stream_passes_over_a_poll_with_a_bad_value(spark, folder):
+def test_stream_records_rejected_polls_and_runs_them_again(spark, folder):
     landing, store = f"{folder}/l", TableStore(spark, f"{folder}/t")
-    land(landing, "p1", readings=[{"@id": READING.format("1"), "value": "abc", "dateTime": None}])
+    bad = [{"@id": READING.format("1"), "value": "abc", "dateTime": None}]
+    land(landing, "p1", warnings=[warning("A9", 1, "late", "m", "d")], readings=bad)
     land(landing, "p2", warnings=[warning("A1", 1, "severe", "m", "d")])
     for poll in ("p1", "p2"):
         write(f"{landing}/polls/{poll}.json", {"poll": poll, "polled_at": f"2024-01-01T10:0{poll[1]}:00+00:00"})
+    write(f"{landing}/polls/p3.json", "not json")
+    write(f"{landing}/polls/p4.json", {"poll": "p4", "polled_at": "soon"})
     stream_polls(spark, landing, store, f"{folder}/c").awaitTermination()
     assert rows(store.read(FLOOD_EVENTS), "severity_label") == [("severe",)]
+    assert rows(rejected_polls(spark, store), "announcement", "poll", "reason") == [
+        ("p1.json", "p1", "bad value for value_m: abc"),
+        ("p3.json", None, "the announcement has no poll or no time"),
+        ("p4.json", "p4", "the announcement has no poll or no time"),
+    ]
+    write(f"{landing}/readings/poll=p1/page=0.json", {"items": []})
+    assert rerun_rejected(spark, landing, store) == 2
+    assert rows(store.read(FLOOD_EVENTS), "severity_label") == [("late",), ("severe",)]
+    assert rows(rejected_polls(spark, store), "announcement") == [("p3.json",), ("p4.json",)]
+
+
+def test_only_a_bad_value_rejects_a_poll():
+    assert rejection_of(ValueError("plan: raise_error(concat(bad value for x: , y))")) is None
+    assert rejection_of(ValueError("org.x: [USER_RAISED_EXCEPTION] bad value for x: y SQLSTATE: P0001\n at")) is not None
 
 
 def test_stream_runs_each_announced_poll_once(spark, folder):

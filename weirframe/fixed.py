@@ -16,10 +16,8 @@ REF_AFTER = "/readings/"
 REF_UNTIL = "/"
 REF_BEFORE = "-level-"
 
-# Request limits.
+# Items of a full catalogue page.
 PAGE_SIZE = 500
-AREAS_CAP = 1500
-READINGS_CAP = 500
 
 # Yearly partitions of the history tables.
 FIRST_YEAR = 2000

@@ -83,10 +83,6 @@ def distinct_from(left: Column, right: Column) -> Column:
     return ~left.eqNullSafe(right)
 
 
-def any_distinct(pairs: list[tuple[Column, Column]]) -> Column:
-    return reduce(lambda a, b: a | b, [distinct_from(left, right) for left, right in pairs])
-
-
 def all_present(columns: list[str]) -> Column:
     """Every named column is non-null."""
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns], F.lit(True))

@@ -3,22 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Largest estimate that is sent whole to every executor. Low enough that files which
-# unpack tenfold still fit.
-BROADCAST_BYTES = 32 << 20
+# Rows that are sent whole to every executor at most.
+BROADCAST_ROWS = 200_000
 
 
-def estimated_bytes(frame: DataFrame) -> int:
-    """Catalyst's size estimate; for files their compressed size, scaled to the columns read."""
-    plan = frame._jdf.queryExecution().optimizedPlan()
-    return int(str(plan.stats().sizeInBytes()))
+def size_checked(frame: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A join side that is broadcast only for what it is at run time.
 
-
-def size_checked(frame: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint behind a size check; beyond it Spark shuffles (and AQE splits skew)."""
-    return F.broadcast(frame) if estimated_bytes(frame) <= limit else frame
+    ``rows`` is the counted size of a frame that is already written. Without it the
+    choice is left to Spark, which knows run-time sizes once the side is shuffled. With
+    more than ``limit`` rows the side is never broadcast, however small its estimate
+    (an exploded frame is estimated as if it were not exploded).
+    """
+    if rows is None:
+        return frame
+    return frame.hint("broadcast") if rows <= limit else frame.hint("merge")
 
 
 def left_lookup(
@@ -31,4 +31,4 @@ def left_lookup(
     renamed = {right: f"_k_{right}" for right in on.values()}
     right = table.select(*on.values(), *[v for v in values if v not in renamed]).withColumnsRenamed(renamed)
     condition = [frame[left] == right[renamed[key]] for left, key in on.items()]
-    return frame.join(size_checked(right), condition, "left").drop(*renamed.values())
+    return frame.join(right, condition, "left").drop(*renamed.values())

@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 
 from weirframe.operators.dedup import first_wins, split_null_keys
 
-STORED_CHUNK = -1
+# Batch rows of one key beyond which the key is folded chunk by chunk, and the number of
+# such keys beyond which all keys are.
+HEAVY_ROWS = 1 << 20
+MANY_HEAVY = 1000
 SO_FAR = "rows between unbounded preceding and current row"
 
 
@@ -76,12 +79,14 @@ def fold(
     """Applies the batch row by row, in order, to the stored rows.
 
     Returns the merged table with the number of inserts, updates and no-ops of each
-    key. ``chunk`` is a non-negative whole number that never decreases along the
-    order; it splits a hot key over tasks (see ``ordered``).
-
-    A row changes the table iff its guard differs from the preceding row's guard, so
-    the state after any prefix is the last guard and the label of the last changing
-    row. Both combine over chunks: one aggregate per (key, chunk), then one per key.
+    key. A row changes the table iff its guard differs from the preceding row's guard,
+    so the state after any prefix is the last guard and the label of the last changing
+    row. One shuffle by key brings a key's rows together.
+
+    A key with more than ``HEAVY_ROWS`` batch rows (one count per key finds them) would
+    overload its task. State and counts combine over chunks, so such a key is folded
+    per (key, chunk) first. ``chunk`` is a whole number that never decreases along the
+    order (see ``ordered``). Stored rows are one per key and come before the batch.
     """
     columns = [c for c in batch.columns if c not in order]
     keyed, keyless = split_null_keys(batch, rule.keys) if null_keys else (batch, None)
@@ -92,9 +97,13 @@ def fold(
         kept = stored.select(*columns)
         kept, stored_keyless = split_null_keys(kept, rule.keys) if null_keys else (kept, None)
         no_order = [F.lit(None).cast(rows.schema[name].dataType).alias(name) for name in positions]
-        rows = rows.unionByName(kept.select("*", *no_order, F.lit(STORED_CHUNK).cast("long").alias("_chunk")))
-    summaries = _chunk_summaries(rows, rule, columns, list(positions))
-    merged = _merge_chunks(summaries, rule, columns).select(*columns, *ACTIONS)
+        no_chunk = F.lit(None).cast(rows.schema["_chunk"].dataType).alias("_chunk")
+        rows = rows.withColumn("_new", F.lit(True)).unionByName(
+            kept.select("*", *no_order, no_chunk, F.lit(False).alias("_new"))
+        )
+    else:
+        rows = rows.withColumn("_new", F.lit(True))
+    merged = _fold_rows(rows, heavy_keys(keyed, rule.keys), rule, columns, list(positions))
     if keyless is not None:
         merged = merged.unionByName(unfolded(keyless, order, inserted=True))
     if stored_keyless is not None:
@@ -108,6 +117,68 @@ def unfolded(keyless: DataFrame, order: list[str], inserted: bool) -> DataFrame:
     return keyless.drop(*order).select("*", *[F.lit(n).cast("long").alias(name) for name, n in counts])
 
 
+def heavy_keys(batch: DataFrame, keys: list[str]) -> list[tuple] | None:
+    """Keys with more than ``HEAVY_ROWS`` rows; None if there are more than ``MANY_HEAVY`` of them."""
+    counted = batch.groupBy(*keys).count().filter(F.col("count") > HEAVY_ROWS)
+    found = counted.select(*keys).limit(MANY_HEAVY + 1).collect()
+    return None if len(found) > MANY_HEAVY else [tuple(row) for row in found]
+
+
+def _fold_rows(
+    rows: DataFrame, heavy: list[tuple] | None, rule: UpsertRule, columns: list[str], order: list[str]
+) -> DataFrame:
+    """Heavy keys in two levels, all others in one."""
+
+    def in_chunks(part: DataFrame) -> DataFrame:
+        return _merge_chunks(_chunk_summaries(part, rule, columns, order), rule, columns)
+
+    if heavy is None:
+        return in_chunks(rows)
+    if not heavy:
+        return _fold_whole(rows, rule, columns, order)
+    kinds = rows.select(*rule.keys).schema
+    # At most MANY_HEAVY rows.
+    table = F.broadcast(rows.sparkSession.createDataFrame(heavy, kinds))
+    light = _fold_whole(rows.join(table, rule.keys, "left_anti"), rule, columns, order)
+    return light.unionByName(in_chunks(rows.join(table, rule.keys, "left_semi")))
+
+
+def _fold_whole(rows: DataFrame, rule: UpsertRule, columns: list[str], order: list[str]) -> DataFrame:
+    """All rows of a key in one window."""
+    window = f"partition by {_names(rule.keys)} order by _new, {_names(order)}"
+    changed = " or ".join(f"`{g}` is distinct from _previous.`{g}`" for g in rule.guard)
+    linked = rows.selectExpr(
+        "*",
+        f"row_number() over ({window}) as _row",
+        f"lead(true) over ({window}) is null as _is_last",
+        f"lag({_value(rule.guard)}) over ({window}) as _previous",
+    ).selectExpr("*", f"_row > 1 and ({changed}) as _changed")
+    so_far = f"({window} {SO_FAR})"
+    running = linked.selectExpr(
+        *_quoted(rule.keys),
+        *_quoted(rule.guard),
+        "_is_last",
+        f"first({_value(rule.immutable(columns))}) over {so_far} as _created",
+        f"last(if(_changed or _row = 1, {_value(rule.carried)}, null), true) over {so_far} as _label",
+        f"count_if(_changed) over {so_far} as n_update",
+        f"count_if(_new) over {so_far} as _rows",
+        f"if(first(_new) over {so_far}, 1L, 0L) as n_insert",
+    )
+    return _result(running.filter("_is_last"), rule, columns)
+
+
+def _result(folded: DataFrame, rule: UpsertRule, columns: list[str]) -> DataFrame:
+    return folded.selectExpr(
+        *_quoted(rule.keys),
+        *[f"_created.`{c}` as `{c}`" for c in rule.immutable(columns)],
+        *_quoted(rule.guard),
+        *[f"_label.`{c}` as `{c}`" for c in rule.carried],
+        "n_insert",
+        "n_update",
+        "_rows - n_insert - n_update as n_noop",
+    ).select(*columns, *ACTIONS)
+
+
 def _chunk_summaries(rows: DataFrame, rule: UpsertRule, columns: list[str], order: list[str]) -> DataFrame:
     """One row per (key, chunk): first row, last guard, last label set inside it, and counts.
 
@@ -115,7 +186,7 @@ def _chunk_summaries(rows: DataFrame, rule: UpsertRule, columns: list[str], orde
     window's sort, where an aggregate of structs would copy a buffer per row. The first
     row is kept in three parts, so that parts nobody asks for are pruned before the shuffle.
     """
-    window = f"partition by {_names(rule.keys)}, _chunk order by {_names(order)}"
+    window = f"partition by {_names(rule.keys)}, _new, _chunk order by {_names(order)}"
     changed = " or ".join(f"`{g}` is distinct from _previous.`{g}`" for g in rule.guard)
     linked = rows.selectExpr(
         "*",
@@ -126,6 +197,7 @@ def _chunk_summaries(rows: DataFrame, rule: UpsertRule, columns: list[str], orde
     so_far = f"({window} {SO_FAR})"
     running = linked.selectExpr(
         *_quoted(rule.keys),
+        "_new",
         "_chunk",
         *_quoted(rule.guard),
         "_is_last",
@@ -141,7 +213,7 @@ def _chunk_summaries(rows: DataFrame, rule: UpsertRule, columns: list[str], orde
 
 def _merge_chunks(chunks: DataFrame, rule: UpsertRule, columns: list[str]) -> DataFrame:
     """The same over the chunks of a key, one summary row each."""
-    window = f"partition by {_names(rule.keys)} order by _chunk"
+    window = f"partition by {_names(rule.keys)} order by _new, _chunk"
     changed = " or ".join(f"_first_guard.`{g}` is distinct from _previous.`{g}`" for g in rule.guard)
     linked = chunks.selectExpr(
         "*",
@@ -156,19 +228,11 @@ def _merge_chunks(chunks: DataFrame, rule: UpsertRule, columns: list[str]) -> Da
         "_is_last",
         f"first(_created) over {so_far} as _created",
         f"last(coalesce(_label, if(_changed or _part = 1, _first_label, null)), true) over {so_far} as _label",
-        f"sum(if(_chunk = {STORED_CHUNK}, 0, _rows)) over {so_far} as _rows",
+        f"sum(if(_new, _rows, 0)) over {so_far} as _rows",
         f"sum(_changes + if(_changed, 1, 0)) over {so_far} as n_update",
-        f"if(min(_chunk) over {so_far} = {STORED_CHUNK}, 0L, 1L) as n_insert",
-    )
-    return running.filter("_is_last").selectExpr(
-        *_quoted(rule.keys),
-        *[f"_created.`{c}` as `{c}`" for c in rule.immutable(columns)],
-        *_quoted(rule.guard),
-        *[f"_label.`{c}` as `{c}`" for c in rule.carried],
-        "n_insert",
-        "n_update",
-        "_rows - n_insert - n_update as n_noop",
+        f"if(first(_new) over {so_far}, 1L, 0L) as n_insert",
     )
+    return _result(running.filter("_is_last"), rule, columns)
 
 
 def _quoted(columns: list[str]) -> list[str]:

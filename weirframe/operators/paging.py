@@ -1,4 +1,4 @@
-"""Offset paging over landed pages."""
+"""Pages of a listing."""
 
 from __future__ import annotations
 
@@ -8,38 +8,28 @@ from pyspark.sql import functions as F
 from weirframe.fixed import PAGE_SIZE
 
 
+class IncompleteListing(ValueError):
+    """A landed listing that misses a page or has one that cannot be read."""
+
+
 def page_of(position: Column, size: int = PAGE_SIZE) -> Column:
     """Page that holds a 0-based position."""
     return F.call_function("div", position.cast("long"), F.lit(size))
 
 
-def capped(frame: DataFrame, order: list[str], limit: int | None) -> DataFrame:
-    """At most ``limit`` rows in arrival order; no cap by default."""
-    return frame if limit is None else frame.orderBy(*order).limit(limit)
-
-
-def reachable_pages(pages: DataFrame, listing: list[str] | None = None, size: int = PAGE_SIZE) -> DataFrame:
-    """Pages an offset loop would fetch, out of narrow (page, n_items) rows.
+def require_complete(pages: DataFrame, what: str) -> None:
+    """Raises unless narrow (page, malformed) rows cover page 0 to the last one, all readable.
 
-    The loop starts at page 0 and stops at the first missing or empty page, or after
-    the first short one. Both stops come from aggregates and one anti join, so very
-    many pages are not walked in one task. ``listing`` columns page independently.
+    No pages at all are complete. A short or empty page does not end a listing.
     """
-    listing = listing or []
-    successors = pages.select(*listing, (F.col("page") - 1).alias("page"))
-    run_ends = pages.select(*listing, "page").join(successors, [*listing, "page"], "left_anti")
-    first = F.min("page").alias("_first")
-    short = F.min(F.when(F.col("n_items") < size, F.col("page"))).alias("_short")
-    run_end = F.min("page").alias("_run_end")
-    has_items = F.col("n_items") > 0
-    if not listing:
-        stop = F.least(run_ends.agg(run_end).scalar(), pages.agg(short).scalar())
-        return pages.filter((pages.agg(first).scalar() == 0) & (F.col("page") <= stop) & has_items)
-    stops = (
-        pages.groupBy(*listing)
-        .agg(first, short)
-        .filter("_first = 0")
-        .join(run_ends.groupBy(*listing).agg(run_end), listing)
-        .select(*listing, F.least("_run_end", "_short").alias("_stop"))
-    )
-    return pages.join(stops, listing).filter((F.col("page") <= F.col("_stop")) & has_items).drop("_stop")
+    found = pages.groupBy("page").agg(F.bool_or("malformed").alias("malformed"))
+    state = found.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("page").alias("last"),
+        F.count_if("malformed").alias("bad"),
+        F.min(F.when(F.col("malformed"), F.col("page"))).alias("first_bad"),
+    ).first()
+    if state["bad"]:
+        raise IncompleteListing(f"{what}: {state['bad']} malformed pages, the first is page {state['first_bad']}")
+    if state["n"] and state["n"] != state["last"] + 1:
+        raise IncompleteListing(f"{what}: {state['last'] + 1 - state['n']} pages are missing before page {state['last']}")

@@ -7,12 +7,14 @@ after their rows are written.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirframe.fixed import END_YEAR, LEVEL_SOURCE, START_DATE, START_YEAR, WHOLE_RANGE_YEAR
+from weirframe.fixed import END_YEAR, FIRST_YEAR, LAST_YEAR, LEVEL_SOURCE, START_DATE, START_YEAR, WHOLE_RANGE_YEAR
 from weirframe.functions import arrays
 from weirframe.functions.scalars import as_date, coerce, misfit
 from weirframe.operators import checks, ledger
@@ -44,71 +46,88 @@ class BackfillResult:
         self.scratch.drop()
 
 
+@contextmanager
+def dropped_on_failure(scratch: Scratch) -> Iterator[Scratch]:
+    """A job that returns keeps its scratch files, since its result reads them."""
+    try:
+        yield scratch
+    except BaseException:
+        scratch.drop()
+        raise
+
+
 def stations(catalogue: DataFrame, usable: Column, values: list[str]) -> DataFrame:
     """First usable entry per reference, with the number of usable entries."""
     first = first_entries(catalogue, ["station_ref"], ["page", "pos"], values, {"entry": usable})
     return first.filter("entry is not null").select("station_ref", "entry.*", F.col("entry_entries").alias("entries"))
 
 
-def level_rows(document_items: Column, year: Column) -> Column:
-    """Good rows of a unit as structs; a bad date is kept so that it fails the unit."""
-    good = F.filter(document_items, lambda i: passes_quality(i.getField("quality"), i.getField("value")))
-    typed = F.transform(
-        good,
-        lambda i, n: F.struct(
-            as_date(i.getField("date")).alias("date"),
-            coerce(i.getField("value"), RIVER_LEVELS.columns["value_m"].dataType).alias("value_m"),
-            i.getField("quality").alias("quality"),
-            F.lit(LEVEL_SOURCE).alias("source"),
-            n.alias("pos"),
-        ),
+def parse_levels(documents: DataFrame, last_year: int = LAST_YEAR) -> DataFrame:
+    """Level documents -> one typed row per item, judged.
+
+    ``kept`` marks good items of the unit's year and those without a valid date; ``bad``
+    marks what fails the unit. A document without items is one row that is not kept.
+    """
+    item = documents.select(
+        *UNIT,
+        "page",
+        F.col(CORRUPT).isNotNull().alias("corrupt"),
+        F.posexplode_outer("items").alias("pos", "item"),
     )
-    return F.filter(typed, lambda r: r.getField("date").isNull() | in_year(r.getField("date"), year))
+    typed = item.select(
+        *UNIT,
+        "page",
+        "pos",
+        "corrupt",
+        as_date(F.col("item.date")).alias("date"),
+        coerce(F.col("item.value"), RIVER_LEVELS.columns["value_m"].dataType).alias("value_m"),
+        F.col("item.quality").alias("quality"),
+        F.lit(LEVEL_SOURCE).alias("source"),
+        F.coalesce(passes_quality(F.col("item.quality"), F.col("item.value")), F.lit(False)).alias("good"),
+    )
+    kept = F.col("good") & (F.col("date").isNull() | in_year(F.col("date"), F.col("year")))
+    unfit = checks.missing_required([F.col("date"), F.col("value_m")]) | ~checks.routable(F.col("date"), FIRST_YEAR, last_year)
+    return _judged(typed.withColumn("kept", F.coalesce(kept, F.lit(False))), unfit).drop("good")
 
 
-def bad_level(row: Column) -> Column:
-    return checks.missing_required([row.getField("date"), row.getField("value_m")]) | ~checks.routable(
-        row.getField("date")
-    )
+def _judged(rows: DataFrame, unfit: Column) -> DataFrame:
+    bad = F.col("corrupt") | (F.col("kept") & F.coalesce(unfit, F.lit(True)))
+    return rows.withColumn("bad", bad).drop("corrupt")
 
 
-def weather_rows(daily: Column, start_date: str, end_date: str | None) -> Column:
-    """Parallel arrays -> day structs within the date range; each carries its misfit flag.
+def parse_weather(
+    documents: DataFrame, start_date: str, end_date: str | None, last_year: int = LAST_YEAR
+) -> DataFrame:
+    """Weather documents -> one typed row per day of the axis, judged as ``parse_levels`` does.
 
-    Steps are separate so that days out of range are not coerced and no value is coerced twice.
+    The axis is exploded first, and every other array is read by position.
     """
-    axis = daily.getField("time")
-    zipped = arrays.zipped(axis, "time", {table: daily.getField(source) for source, table in WEATHER_VARIABLES.items()})
-    dated = F.transform(
-        zipped,
-        lambda row, n: F.struct(as_date(row.getField("time")).alias("date"), row.alias("raw"), n.alias("pos")),
-    )
-    wanted = F.filter(
-        dated, lambda r: r.getField("date").isNull() | in_dates(r.getField("date"), start_date, end_date)
+    covered = F.coalesce(arrays_cover_axis(F.col("daily")), F.lit(True))
+    days = documents.select(
+        *UNIT,
+        "page",
+        F.col(CORRUPT).isNotNull().alias("unreadable"),
+        covered.alias("covered"),
+        *[F.col("daily").getField(source).alias(f"_{table}") for source, table in WEATHER_VARIABLES.items()],
+        F.posexplode_outer(F.col("daily.time")).alias("pos", "day"),
     )
-    typed = F.transform(
-        wanted,
-        lambda r: F.struct(
-            r.getField("date").alias("date"),
-            r.getField("pos").alias("pos"),
-            r.getField("raw").alias("raw"),
-            F.struct(*[coerce(r.getField("raw").getField(f.name), f.dataType).alias(f.name) for f in MEASURES]).alias("fit"),
-        ),
+    raw = days.select(
+        *UNIT,
+        "page",
+        "pos",
+        "covered",
+        (F.col("unreadable") | ~F.col("covered")).alias("corrupt"),
+        as_date(F.col("day")).alias("date"),
+        *[F.get(f"_{f.name}", F.col("pos")).alias(f"_{f.name}") for f in MEASURES],
     )
-
-    def judged(r: Column) -> Column:
-        day, raw, fit = r.getField("date"), r.getField("raw"), r.getField("fit")
-        bad = checks.missing_required([day]) | ~checks.routable(day)
-        for f in MEASURES:
-            bad = bad | misfit(raw.getField(f.name), fit.getField(f.name))
-        return F.struct(
-            day.alias("date"),
-            *[fit.getField(f.name).alias(f.name) for f in MEASURES],
-            F.coalesce(bad, F.lit(True)).alias("bad"),
-            r.getField("pos").alias("pos"),
-        )
-
-    return F.transform(typed, judged)
+    typed = raw.select("*", *[coerce(F.col(f"_{f.name}"), f.dataType).alias(f.name) for f in MEASURES])
+    in_range = F.col("date").isNull() | in_dates(F.col("date"), start_date, end_date)
+    kept = F.col("covered") & F.col("pos").isNotNull() & in_range
+    unfit = checks.missing_required([F.col("date")]) | ~checks.routable(F.col("date"), FIRST_YEAR, last_year)
+    for f in MEASURES:
+        unfit = unfit | misfit(F.col(f"_{f.name}"), F.col(f.name))
+    judged = _judged(typed.withColumn("kept", F.coalesce(kept, F.lit(False))), unfit)
+    return judged.drop("covered", *[f"_{f.name}" for f in MEASURES])
 
 
 def arrays_cover_axis(daily: Column) -> Column:
@@ -119,51 +138,15 @@ def arrays_cover_axis(daily: Column) -> Column:
     return axis.isNull() | condition
 
 
-def parse_levels(documents: DataFrame) -> DataFrame:
-    """Level documents -> (unit, page, rows, bad), still one row per document."""
-    return documents.select(
-        *UNIT,
-        "page",
-        level_rows(F.col("items"), F.col("year")).alias("rows"),
-        F.col(CORRUPT).isNotNull().alias("corrupt"),
-    ).select(
-        *UNIT, "page", "rows", (F.col("corrupt") | F.coalesce(F.exists("rows", bad_level), F.lit(False))).alias("bad")
-    )
-
-
-def parse_weather(documents: DataFrame, start_date: str, end_date: str | None) -> DataFrame:
-    """Weather documents -> (unit, page, rows, bad), still one row per document."""
-    daily = F.col("daily")
-    covered = F.coalesce(arrays_cover_axis(daily), F.lit(True))
-    return documents.select(
-        *UNIT,
-        "page",
-        # Rows of a unit whose arrays do not line up are never used.
-        F.when(covered, weather_rows(daily, start_date, end_date)).alias("rows"),
-        (F.col(CORRUPT).isNotNull() | ~covered).alias("broken"),
-    ).select(
-        *UNIT,
-        "page",
-        "rows",
-        (F.col("broken") | F.coalesce(F.exists("rows", lambda r: r.getField("bad")), F.lit(False))).alias("bad"),
-    )
-
-
 def unit_outcomes(parsed: DataFrame) -> DataFrame:
-    """Per unit: rows parsed, and whether any of its documents is bad."""
-    return parsed.groupBy(*UNIT).agg(
-        F.sum(F.coalesce(F.size("rows"), F.lit(0))).cast("long").alias("n_rows"),
-        F.bool_or("bad").alias("failed"),
-    )
+    """Per unit: rows kept, and whether any of its documents is bad. Reduced per task before the shuffle."""
+    return parsed.groupBy(*UNIT).agg(F.count_if("kept").alias("n_rows"), F.bool_or("bad").alias("failed"))
 
 
 def accepted_rows(parsed: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Rows of the units that did not fail, exploded only after the failed units are gone."""
-    failed = size_checked(outcomes.filter("failed").select(*UNIT))
-    valid = parsed.join(failed, UNIT, "left_anti")
-    # An outer explode infers no filter on the array, which would parse it once more below.
-    exploded = valid.select(*UNIT, "page", F.explode_outer("rows").alias("row"))
-    return exploded.filter("row is not null").select(*UNIT, "page", "row.*")
+    """Kept rows of the units that did not fail."""
+    failed = outcomes.filter("failed").select(*UNIT)
+    return parsed.filter("kept").join(failed, UNIT, "left_anti").drop("kept", "bad")
 
 
 def backfill_rivers(
@@ -175,14 +158,24 @@ def backfill_rivers(
     start_year: int = START_YEAR,
     end_year: int = END_YEAR,
     reset: bool = False,
+    last_year: int = LAST_YEAR,
 ) -> BackfillResult:
     """Daily levels of every station and year of the range.
 
     A unit without a daily measure is done with no rows, one without a landed
-    document stays pending, and one with malformed or misfitting data fails.
+    document stays pending, and one with malformed or misfitting data fails, as does one
+    with a date after ``last_year``.
     """
     require_utc(spark)
-    scratch = Scratch(spark, "rivers")
+    with dropped_on_failure(Scratch(spark, "rivers")) as scratch:
+        return _backfill_rivers(
+            spark, scratch, landing, store, ledger_path, catalogue_cache, start_year, end_year, reset, last_year
+        )
+
+
+def _backfill_rivers(
+    spark, scratch, landing, store, ledger_path, catalogue_cache, start_year, end_year, reset, last_year
+) -> BackfillResult:
     if reset:
         ledger_files.reset(spark, ledger_path)
     catalogue = landed.saved_catalogue(spark, landing, catalogue_cache)
@@ -195,7 +188,7 @@ def backfill_rivers(
     documents = landed.daily_levels(spark, landing)
     # Pruned to the pending years by folder; the join prunes further at run time.
     wanted = documents.filter(F.col("year").isin(partition_values(measured, "year"))).join(
-        size_checked(measured), UNIT
+        size_checked(measured, measured.count()), UNIT
     )
     without_measure = todo.filter(~F.coalesce(non_empty(F.col("daily_level_measure_url")), F.lit(False)))
     return _run(
@@ -203,7 +196,7 @@ def backfill_rivers(
         scratch,
         store,
         RIVER_LEVELS,
-        parse_levels(wanted),
+        parse_levels(wanted, last_year),
         grid,
         done,
         todo,
@@ -222,13 +215,22 @@ def backfill_weather(
     start_date: str = START_DATE,
     end_date: str | None = None,
     reset: bool = False,
+    last_year: int = LAST_YEAR,
 ) -> BackfillResult:
     """Daily weather of every station with coordinates; one unit spans the whole range.
 
     The ledger year is a fixed marker, so a wider range does not reopen a unit.
     """
     require_utc(spark)
-    scratch = Scratch(spark, "weather")
+    with dropped_on_failure(Scratch(spark, "weather")) as scratch:
+        return _backfill_weather(
+            spark, scratch, landing, store, ledger_path, catalogue_cache, start_date, end_date, reset, last_year
+        )
+
+
+def _backfill_weather(
+    spark, scratch, landing, store, ledger_path, catalogue_cache, start_date, end_date, reset, last_year
+) -> BackfillResult:
     if reset:
         ledger_files.reset(spark, ledger_path)
     catalogue = landed.saved_catalogue(spark, landing, catalogue_cache)
@@ -242,13 +244,13 @@ def backfill_weather(
     # The filter tells Spark that the pending side is selective, so that folders of done
     # stations are pruned at run time.
     open_units = todo.filter(F.col("year") == WHOLE_RANGE_YEAR).select(*UNIT)
-    wanted = documents.join(size_checked(open_units), "station_ref")
+    wanted = documents.join(size_checked(open_units, open_units.count()), "station_ref")
     return _run(
         spark,
         scratch,
         store,
         WEATHER_HISTORY,
-        parse_weather(wanted, start_date, end_date),
+        parse_weather(wanted, start_date, end_date, last_year),
         grid,
         done,
         todo,

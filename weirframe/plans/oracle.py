@@ -15,16 +15,18 @@ _STEPS = """
 with rows_ as (
     select user_id, cast(date_trunc('hour', ts) as timestamp) as hour, event_type as level,
            nullif(cast(floor(value / 25) as integer), 0) as message, props as label,
+           cast(nullif(length(props) % 3, 0) as integer) as noted,
            event_id, value, coalesce(minute(ts) >= 20, true) as late,
            case when user_id is null or ts is null then event_id end as lone
     from events
 ), linked as (
     select *, row_number() over w as rn,
-           lag(level) over w as p_level, lag(message) over w as p_message
+           lag(level) over w as p_level, lag(message) over w as p_message, lag(noted) over w as p_noted
     from rows_
     window w as (partition by user_id, hour, lone order by late, event_id)
 ), steps as (
-    select *, rn = 1 or level is distinct from p_level or message is distinct from p_message as changed_
+    select *, rn = 1 or level is distinct from p_level or message is distinct from p_message
+        or noted is distinct from p_noted as changed_
     from linked
 ), ranked as (
     select *,
@@ -38,7 +40,7 @@ _STATE = (
     _STEPS
     + """
 , state as (
-    select f.user_id, f.hour, z.level, z.message, cast(null as integer) as changed, c.label,
+    select f.user_id, f.hour, z.level, z.message, z.noted as changed, c.label,
            f.event_id as created_by, f.value as created_value
     from ranked f
     join ranked z on f.user_id is not distinct from z.user_id and f.hour is not distinct from z.hour
@@ -72,15 +74,18 @@ _POLL = """
 with warnings as (
     select case when user_id <> 0 then 'A' || user_id end as area, event_id,
            cast(length(event_type) as integer) as level, event_type as label,
-           nullif(cast(cast(floor(value / 25) as bigint) as varchar), '0') as message
+           nullif(cast(cast(floor(value / 25) as bigint) as varchar), '0') as message,
+           '2024-01-0' || nullif(length(props) % 3, 0) || ' 09:00:00' as noted
     from events
 ), linked as (
     select *, coalesce(area, 'row ' || event_id) as grp from warnings
 ), lagged as (
-    select *, row_number() over w as rn, lag(level) over w as p_level, lag(message) over w as p_message
+    select *, row_number() over w as rn, lag(level) over w as p_level, lag(message) over w as p_message,
+           lag(noted) over w as p_noted
     from linked window w as (partition by grp order by event_id)
 ), steps as (
-    select *, rn = 1 or level is distinct from p_level or message is distinct from p_message as changed
+    select *, rn = 1 or level is distinct from p_level or message is distinct from p_message
+        or noted is distinct from p_noted as changed
     from lagged
 ), ranked as (
     select *, row_number() over (partition by grp order by event_id desc) as from_end,
@@ -281,6 +286,17 @@ SQL: dict[str, str] = {
             select p_partkey, row_number() over (order by p_partkey) - 1 as pos from part
         )
         select p_partkey, pos, pos // 500 as page from numbered""",
+    "catalogue_pages": """
+        with numbered as (
+            select *, row_number() over (order by p_partkey) - 1 as n from part
+        ), paged as (
+            select *, n // 1498 as block, n % 1498 as place from numbered
+        )
+        select cast(block * 3 + (place >= 500)::int + (place >= 998)::int as int) as page,
+            cast(case when place < 500 then place when place < 998 then place - 500 else place - 998 end as int) as pos,
+            'P' || p_partkey as station_ref, p_name as label, p_size::double as lat, p_retailprice as lon,
+            p_type as catchment, 'm' || p_size as daily_level_measure_url
+        from paged""",
     "fk_orphans": """
         select l_orderkey, count(*) as n_rows from lineitem l
         where not exists (select 1 from orders o where o.o_orderkey = l.l_orderkey and o.o_totalprice > 100000)
@@ -313,11 +329,53 @@ SQL: dict[str, str] = {
                cast(cast(n * 3 as decimal(5, 2)) as varchar) as temperature_mean,
                cast(null as double) as windspeed_max
         from kept where date between date '2020-01-10' and date '2020-02-20'""",
+    "landed_rivers": """
+        with lines as (
+            select 'S' || l_suppkey as station_ref, l_suppkey, cast(year(l_shipdate) as integer) as own_year,
+                   cast(year(l_shipdate) as integer) + (l_linenumber = 7)::int as year, cast(l_shipdate as date) as date,
+                   l_returnflag, l_orderkey, l_linenumber, l_partkey, l_extendedprice,
+                   try_cast(round(cast(cast(l_extendedprice as varchar) as decimal(18, 4)), 3) as decimal(8, 3)) as value_m
+            from lineitem
+        ), kept as (
+            select *, row_number() over (
+                partition by station_ref, date order by l_orderkey, l_linenumber, l_partkey, l_extendedprice) as turn
+            from lines where l_returnflag = 'N' and own_year = year
+        ), landed as (
+            select station_ref, year from lines where l_suppkey % 10 <> 0 group by 1, 2
+            union
+            select 'S' || s_suppkey, y.year from supplier, (select unnest(range(1995, 2002))::int as year) y
+            where s_suppkey % 10 = 0
+        ), units as (
+            select u.station_ref, u.year, count(k.station_ref) filter (where k.l_suppkey % 10 <> 0) as n_rows,
+                   coalesce(bool_or(k.value_m is null or k.year < 2000) filter (where k.l_suppkey % 10 <> 0), false) as failed
+            from landed u left join kept k on k.station_ref = u.station_ref and k.year = u.year
+            where u.year between 1995 and 2001 group by 1, 2
+        ), added as (
+            select k.* from kept k join units u on u.station_ref = k.station_ref and u.year = k.year
+            where not u.failed and k.turn = 1 and k.l_suppkey % 10 <> 0
+        )
+        select u.station_ref, u.year, case when u.failed then 'failed' else 'done' end as status, u.n_rows,
+               count(a.date) over (partition by u.station_ref, u.year) as n_inserted, a.date,
+               cast(a.value_m as varchar) as value_m, case when a.date is not null then 'Good' end as quality,
+               case when a.date is not null then 'EA' end as source
+        from units u left join added a on a.station_ref = u.station_ref and a.year = u.year""",
+    "landed_weather": """
+        with days as (
+            select vec_id, 'V' || vec_id as station_ref, unnest(range(len(embedding)))::int as i, embedding from embeddings
+            where vec_id % 7 <> 0 and vec_id % 11 <> 0
+        ), rows_ as (
+            select station_ref, cast(date '2020-01-01' + i as date) as date,
+                   cast(round(cast(embedding[i + 1] as double) * 1000) as integer) as n from days
+        )
+        select station_ref, date, cast(cast(cast(n as decimal(9, 0)) / 100 as decimal(7, 2)) as varchar) as precipitation_sum,
+               cast(round(cast(n as decimal(9, 0)) + 0.5) as integer) as winddirection_dominant,
+               cast(null as double) as windspeed_max
+        from rows_ where date between date '2020-01-10' and date '2020-02-20'""",
     "poll_events": _POLL
     + """
         select f.area as flood_area_id, cast(f.event_id as varchar) as description, z.level as severity_level,
                c.label as severity_label, z.message, cast(k.c_nationkey as double) as lat,
-               cast(1 as bigint) as n_insert, n.n_update, n.n_noop
+               z.noted as noted_at, cast(1 as bigint) as n_insert, n.n_update, n.n_noop
         from ranked f
         join ranked z on z.grp = f.grp and z.from_end = 1
         join ranked c on c.grp = f.grp and c.changed and c.change_from_end = 1

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from weirframe.functions.scalars import strict, surrogate_id, truthy
 from weirframe.operators.dedup import first_wins, last_wins
 from weirframe.operators.filters import complete_coords
-from weirframe.operators.lookup import left_lookup, size_checked
+from weirframe.operators.lookup import left_lookup
 from weirframe.operators.merge import (
     UpsertRule,
     absent,
@@ -19,7 +19,6 @@ from weirframe.operators.merge import (
     fold,
     insert_ignore,
 )
-from weirframe.operators.paging import capped
 from weirframe.session import Scratch, require_utc
 from weirframe.sources import landed
 from weirframe.sources.schemas import (
@@ -59,9 +58,9 @@ def _instant(moment: datetime.datetime):
     return F.lit(moment.strftime("%Y-%m-%dT%H:%M:%SZ")).cast("timestamp")
 
 
-def area_coords(spark: SparkSession, landing: str, poll: str, cap: int | None = None) -> DataFrame:
+def area_coords(spark: SparkSession, landing: str, poll: str) -> DataFrame:
     """Complete areas; a repeated notation keeps its last entry."""
-    scanned = capped(landed.areas(spark, landing, poll), ARRIVAL, cap)
+    scanned = landed.areas(spark, landing, poll)
     complete = scanned.filter(complete_coords(F.col("notation"), F.col("lat"), F.col("lon")))
     return last_wins(complete, ["notation"], ARRIVAL).select("notation", "lat", "lon")
 
@@ -94,9 +93,9 @@ def snapshot_attempts(folded: DataFrame, coords: DataFrame) -> DataFrame:
 
 def snapshot_rows(attempts: DataFrame, weather: DataFrame) -> DataFrame:
     """One snapshot per event; without a weather document all measures are NULL."""
-    one_per_area = first_wins(weather, ["area"], ["page"])
+    one_per_area = first_wins(weather, ["area"], ["page", "document"])
     joined = attempts.select(F.col("id").alias("flood_event_id"), "flood_area_id", "polled_at").join(
-        size_checked(one_per_area), F.col("flood_area_id") == F.col("area"), "left"
+        one_per_area, F.col("flood_area_id") == F.col("area"), "left"
     )
     identified = joined.withColumn("id", surrogate_id(F.col("flood_event_id"), F.col("polled_at")))
     return _typed(identified, WEATHER_SNAPSHOTS, [])
@@ -119,8 +118,6 @@ def poll_once(
     store: TableStore,
     poll: str,
     polled_at: datetime.datetime,
-    areas_cap: int | None = None,
-    readings_cap: int | None = None,
 ) -> DataFrame:
     """Runs the poll whose bodies landed under ``poll`` and returns its one-row summary.
 
@@ -134,10 +131,9 @@ def poll_once(
     hour = to_hour(polled_at)
     day = hour.date()
     with Scratch(spark, "poll") as scratch:
-        coords = scratch.keep(area_coords(spark, landing, poll, areas_cap), "coords")
+        coords = scratch.keep(area_coords(spark, landing, poll), "coords")
         events = scratch.keep(event_batch(landed.warnings(spark, landing, poll), coords, hour, poll), "events")
-        scanned = capped(landed.readings(spark, landing, poll), ARRIVAL, readings_cap)
-        readings = scratch.keep(reading_batch(scanned, poll), "readings")
+        readings = scratch.keep(reading_batch(landed.readings(spark, landing, poll), poll), "readings")
 
         stored_events = store.read(FLOOD_EVENTS, [day])
         folded = scratch.keep(
@@ -164,6 +160,7 @@ def poll_once(
         )
 
         summary = _summary(spark, coords, events, readings, folded, attempts, snapshots, new_readings)
+        summary["n_malformed_bodies"] = landed.malformed_bodies(spark, landing, poll)
         store.append(WEATHER_SNAPSHOTS, snapshots)
         store.append(STATION_READINGS, new_readings)
         if summary["n_events_inserted"] + summary["n_events_updated"] > 0:

@@ -18,7 +18,15 @@ from weirframe.operators import checks, dedup, filters, ledger, merge, ordered,
 from weirframe.operators.lookup import left_lookup
 from weirframe.plans import backfill, poll
 from weirframe.session import Scratch
-from weirframe.sources.schemas import CORRUPT, WEATHER_HISTORY_DOC, Table, columns_of
+from weirframe.sources import landed
+from weirframe.sources.schemas import (
+    CORRUPT,
+    RIVER_LEVELS,
+    WEATHER_HISTORY,
+    WEATHER_HISTORY_DOC,
+    Table,
+    columns_of,
+)
 from weirframe.sources.tables import TableStore
 from weirframe.streaming.polls import stream_upserts
 
@@ -51,6 +59,12 @@ def _hour() -> Column:
     return scalars.hour_bucket(F.col("ts")).cast("timestamp_ntz")
 
 
+def _noted() -> Column:
+    """An instant that changes with the length of ``props``; none for some lengths."""
+    day = F.nullif(F.length("props") % 3, F.lit(0))
+    return F.concat(F.lit("2024-01-0"), day.cast("string"), F.lit("T10:00:00+01:00"))
+
+
 def _earlier() -> Column:
     return F.coalesce(F.minute("ts") < 20, F.lit(False))
 
@@ -61,7 +75,7 @@ def _warnings(events: DataFrame) -> DataFrame:
         _hour().alias("hour"),
         F.col("event_type").alias("level"),
         F.nullif(F.floor(F.col("value") / 25).cast("int"), F.lit(0)).alias("message"),
-        F.lit(None).cast("int").alias("changed"),
+        F.nullif(F.length("props") % 3, F.lit(0)).cast("int").alias("changed"),
         F.col("props").alias("label"),
         F.col("event_id").alias("created_by"),
         F.col("value").alias("created_value"),
@@ -364,12 +378,50 @@ def to_int(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts in pages of 500 by key, as far as an offset loop would read them."""
-    parts = ordered.with_position(
+    """Parts in pages of 500 by key."""
+    return ordered.with_position(
         table(spark, sf_dir, "part").select("p_partkey"), "p_partkey", ordered.chunk_of("p_partkey"), "pos"
     ).select("p_partkey", "pos", paging.page_of(F.col("pos")).alias("page"))
-    pages = parts.groupBy("page").agg(F.count(F.lit(1)).alias("n_items"))
-    return parts.join(paging.reachable_pages(pages).select("page"), "page", "left_semi")
+
+
+def catalogue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts landed as catalogue pages of 500 (every third page two entries short), then scanned.
+
+    The landed pages stay in the shared folder, since the returned frame reads them.
+    """
+    scratch = Scratch(spark, "catalogue-pages")
+    parts = ordered.with_position(
+        table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size", "p_retailprice"),
+        "p_partkey",
+        ordered.chunk_of("p_partkey"),
+        "pos",
+    )
+    block, place = paging.page_of(F.col("pos"), 1498), F.col("pos") % 1498
+    entry = F.struct(
+        F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("stationReference"),
+        F.col("p_name").alias("label"),
+        F.col("p_size").alias("lat"),
+        F.col("p_retailprice").cast("string").alias("long"),
+        F.col("p_type").alias("catchmentName"),
+        F.array(
+            F.lit("text"),
+            F.to_json(
+                F.struct(
+                    F.lit("level").alias("parameter"),
+                    F.lit(86400).alias("period"),
+                    F.concat(F.lit("m"), F.col("p_size").cast("string")).alias("@id"),
+                )
+            ),
+        ).alias("measures"),
+    )
+    # 500, 498 and 500 entries: the middle page of each three is short.
+    page = block * 3 + F.when(place < 500, 0).when(place < 998, 1).otherwise(2)
+    pages = parts.select(page.cast("int").alias("page"), "pos", entry.alias("item"))
+    bodies = pages.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("pos", "item"))).alias("rows"))
+    bodies.select("page", F.col("rows.item").alias("items")).write.partitionBy("page").json(
+        f"{scratch.path('landing')}/catalogue"
+    )
+    return landed.catalogue(spark, scratch.path("landing"))
 
 
 def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -403,15 +455,19 @@ def level_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def level_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that the level backfill would write for those documents."""
-    parsed = backfill.parse_levels(_level_documents(spark, sf_dir))
+    """Rows that the level backfill would write for those documents.
+
+    As in the job, parsed rows are written once; they stay in the shared folder, since
+    the returned frame reads them.
+    """
+    parsed = Scratch(spark, "level-backfill").keep(backfill.parse_levels(_level_documents(spark, sf_dir)), "parsed")
     rows = backfill.accepted_rows(parsed, backfill.unit_outcomes(parsed))
     added = merge.insert_ignore(rows, ["station_ref", "date"], ["page", "value_m"], null_keys=False)
     return added.select("station_ref", "date", F.col("value_m").cast("string").alias("value_m"), "quality", "source")
 
 
 def weather_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that the weather backfill would write for vectors read as daily series."""
+    """Rows that the weather backfill would write for vectors read as daily series, parsed once."""
 
     def texts(value: Callable[[Column], Column]) -> Column:
         whole = lambda x: F.round(x.cast("double") * 1000).cast("int")
@@ -433,6 +489,7 @@ def weather_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias(CORRUPT),
     )
     parsed = backfill.parse_weather(documents, "2020-01-10", "2020-02-20")
+    parsed = Scratch(spark, "weather-backfill").keep(parsed, "parsed")
     rows = backfill.accepted_rows(parsed, backfill.unit_outcomes(parsed))
     added = merge.insert_ignore(rows, ["station_ref", "date"], ["page", "pos"], null_keys=False)
     return added.select(
@@ -445,6 +502,110 @@ def weather_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _land_catalogue(scratch: Scratch, stations: DataFrame) -> str:
+    """One catalogue page of each 500 stations ``(n, entry)``, numbered from 0."""
+    landing = scratch.path("landing")
+    pages = stations.groupBy(paging.page_of(F.col("n")).cast("int").alias("page")).agg(
+        F.sort_array(F.collect_list(F.struct("n", "entry"))).alias("rows")
+    )
+    pages.select("page", F.col("rows.entry").alias("items")).write.partitionBy("page").json(f"{landing}/catalogue")
+    return landing
+
+
+def _station(ref: Column, lat: Column, measures: Column) -> Column:
+    return F.struct(
+        ref.alias("stationReference"),
+        ref.alias("label"),
+        lat.alias("lat"),
+        F.lit(-1.5).alias("long"),
+        F.lit("c").alias("catchmentName"),
+        measures.alias("measures"),
+    )
+
+
+def landed_rivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Levels after a backfill of all lines landed as bodies, with the outcome of each unit.
+
+    Each line is a reading of its supplier; the seventh lines of orders land in the year
+    after their own. Every tenth supplier has no daily measure. The tables stay in the
+    shared folder, since the returned frame reads them.
+    """
+    scratch = Scratch(spark, "landed-rivers")
+    ref = F.concat(F.lit("S"), F.col("s_suppkey").cast("string"))
+    measure = F.array(F.lit("7"), F.lit('{"parameter": "level", "period": 86400, "@id": "m"}'))
+    measures = F.when(F.col("s_suppkey") % 10 == 0, F.array().cast("array<string>")).otherwise(measure)
+    landing = _land_catalogue(
+        scratch,
+        table(spark, sf_dir, "supplier").select(
+            (F.col("s_suppkey") - 1).alias("n"), _station(ref, F.lit(51.5), measures).alias("entry")
+        ),
+    )
+    item = F.struct(
+        F.col("l_shipdate").cast("date").cast("string").alias("date"),
+        F.col("l_extendedprice").alias("value"),
+        F.when(F.col("l_returnflag") == "N", "Good").otherwise("Suspect").alias("quality"),
+    )
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("station_ref"),
+        (F.year("l_shipdate") + F.when(F.col("l_linenumber") == 7, 1).otherwise(0)).alias("year"),
+        # Bodies of a unit are cut by order, so that a hot supplier's fit in a task.
+        F.call_function("div", F.col("l_orderkey"), F.lit(500)).cast("int").alias("page"),
+        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", item.alias("item")).alias("row"),
+    )
+    bodies = lines.groupBy("station_ref", "year", "page").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    bodies.select(
+        "station_ref", "year", "page", F.to_json(F.struct(F.col("rows.item").alias("items"))).alias("body")
+    ).write.partitionBy("year").parquet(f"{landing}/daily_level_bodies")
+    store = TableStore(spark, scratch.path("tables"))
+    run = backfill.backfill_rivers(
+        spark, landing, store, scratch.path("ledger"), scratch.path("catalogue"), FIRST_YEAR, LAST_YEAR
+    )
+    levels = store.read(RIVER_LEVELS).withColumn("year", F.year("date"))
+    joined = run.units.join(levels, backfill.UNIT, "left")
+    return joined.select(
+        "station_ref", "year", "status", "n_rows", "n_inserted", "date",
+        F.col("value_m").cast("string").alias("value_m"), "quality", "source",
+    )
+
+
+def landed_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily weather after a backfill of all vectors landed as bodies.
+
+    Every seventh vector's second array is one day short, which fails its unit; every
+    eleventh station has no latitude and is not a unit. The tables stay in the shared folder.
+    """
+    scratch = Scratch(spark, "landed-weather")
+    vectors = table(spark, sf_dir, "embeddings")
+    ref = F.concat(F.lit("V"), F.col("vec_id").cast("string"))
+    lat = F.when(F.col("vec_id") % 11 != 0, F.lit(51.5))
+    landing = _land_catalogue(
+        scratch, vectors.select(F.col("vec_id").alias("n"), _station(ref, lat, F.array()).alias("entry"))
+    )
+    thousandths = F.transform("embedding", lambda x: F.round(x.cast("double") * 1000).cast("int"))
+    short = F.slice("whole", F.lit(1), F.size("whole") - F.when(F.col("vec_id") % 7 == 0, 1).otherwise(0))
+    day = lambda _, n: F.date_add(F.lit("2020-01-01").cast("date"), n).cast("string")
+    daily = F.struct(
+        F.transform("embedding", day).alias("time"),
+        F.transform("whole", lambda n: n / 100).alias("precipitation_sum"),
+        F.transform(short, lambda n: n + F.lit(0.5)).alias("winddirection_10m_dominant"),
+    )
+    whole = vectors.select("vec_id", "embedding", ref.alias("station_ref"), thousandths.alias("whole"))
+    whole.select("station_ref", F.lit(0).alias("page"), F.to_json(F.struct(daily.alias("daily"))).alias("body")).write.parquet(
+        f"{landing}/weather_history_bodies"
+    )
+    store = TableStore(spark, scratch.path("tables"))
+    backfill.backfill_weather(
+        spark, landing, store, scratch.path("ledger"), scratch.path("catalogue"), "2020-01-10", "2020-02-20"
+    )
+    return store.read(WEATHER_HISTORY).select(
+        "station_ref",
+        "date",
+        F.col("precipitation_sum").cast("string").alias("precipitation_sum"),
+        "winddirection_dominant",
+        F.col("windspeed_max").cast("double").alias("windspeed_max"),
+    )
+
+
 def _polled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All events as the warnings of one poll: (folded events, area coordinates, area weather)."""
     customer = table(spark, sf_dir, "customer")
@@ -455,6 +616,7 @@ def _polled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Dat
     weather = customer.filter("c_acctbal > 0").select(
         area.alias("area"),
         F.lit(0).alias("page"),
+        F.lit("body.json").alias("document"),
         F.concat(F.col("c_nationkey"), F.lit(".125")).alias("temperature_c"),
         F.concat(F.col("c_nationkey"), F.lit(".5")).alias("wind_direction_deg"),
         *[F.lit(None).cast("string").alias(c) for c in ("precipitation_mm", "wind_speed_kmh", "weather_code", "humidity_pct")],
@@ -471,7 +633,7 @@ def _polled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Dat
         F.lit("false").alias("is_tidal"),
         F.nullif(F.floor(F.col("value") / 25).cast("string"), F.lit("0")).alias("message"),
         F.lit(None).cast("string").alias("time_raised"),
-        F.lit(None).cast("string").alias("time_severity_changed"),
+        _noted().alias("time_severity_changed"),
     )
     batch = poll.event_batch(warnings, coords, datetime.datetime(2024, 1, 1, 10), "p1")
     return merge.fold(batch, poll.EVENT_RULE, poll.ARRIVAL, F.col("page")), coords, weather
@@ -487,6 +649,7 @@ def poll_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "severity_label",
         "message",
         F.col("lat").cast("double").alias("lat"),
+        F.col("time_severity_changed").cast("string").alias("noted_at"),
         *merge.ACTIONS,
     )
 
@@ -570,11 +733,14 @@ QUERIES: dict[str, Query] = {
     "to_decimal": to_decimal,
     "to_int": to_int,
     "page_cap": page_cap,
+    "catalogue_pages": catalogue_pages,
     "fk_orphans": fk_orphans,
     "unique_audit": unique_audit,
     "level_units": level_units,
     "level_backfill": level_backfill,
     "weather_backfill": weather_backfill,
+    "landed_rivers": landed_rivers,
+    "landed_weather": landed_weather,
     "poll_events": poll_events,
     "poll_snapshots": poll_snapshots,
     "poll_stream": poll_stream,

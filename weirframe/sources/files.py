@@ -15,12 +15,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def any_match(spark: SparkSession, pattern: str) -> bool:
-    fs, hadoop_path = _resolve(spark, pattern)
-    found = fs.globStatus(hadoop_path)
-    return found is not None and len(found) > 0
-
-
 def child_names(spark: SparkSession, path: str) -> list[str]:
     fs, hadoop_path = _resolve(spark, path)
     if not fs.exists(hadoop_path):

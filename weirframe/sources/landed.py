@@ -5,10 +5,18 @@ Layout below a landing folder:
     polls/<any>.json                                   one {"poll", "polled_at"} each
     areas | warnings | readings / poll=<p>/page=<n>.json
     weather/poll=<p>/area=<id>/body.json
-    catalogue/page=<n>.json
+    catalogue/page=<n>.json                            or catalogue/page=<n>/<any>.json
     daily_levels/station_ref=<ref>/year=<y>/body.json
     weather_history/station_ref=<ref>/body.json
 
+History bodies also land as rows of Parquet files, which is the layout for many units:
+
+    daily_level_bodies/year=<y>/*.parquet              station_ref, page, body
+    weather_history_bodies/*.parquet                   station_ref, page, body
+
+A unit may have bodies in either layout. A malformed body still knows its unit there,
+and finished years are pruned by folder without listing a file per unit.
+
 Arrival order is (page, pos). A missing folder, a body without its envelope and an
 empty one give no rows. Folder values are read as text to keep leading zeros.
 """
@@ -23,7 +31,7 @@ from weirframe.fixed import DAILY_PARAMETER, DAILY_PERIOD
 from weirframe.functions import arrays
 from weirframe.functions.scalars import number, station_ref
 from weirframe.operators.filters import severe_enough
-from weirframe.operators.paging import reachable_pages
+from weirframe.operators.paging import require_complete
 from weirframe.sources import files, schemas
 
 PAGE_NUMBER = r"page=([0-9]+)"
@@ -36,7 +44,7 @@ def read_documents(
     folders: dict[str, T.DataType] | None = None,
     below: str = "",
 ) -> DataFrame:
-    """One row per document, with its folder values and page number (0 if unnamed).
+    """One row per document, with its folder values, page number (0 if unnamed) and file name.
 
     ``below`` narrows the scan to part of the tree. Malformed text is kept in the
     corrupt-record column.
@@ -51,7 +59,9 @@ def read_documents(
     )
     path = f"{root}/{below}" if below else root
     if not files.exists(spark, path):
-        return spark.createDataFrame([], T.StructType([*full.fields, T.StructField("page", T.IntegerType())]))
+        fields = [field for field in full.fields if field.name != "page"]
+        found = [T.StructField("page", T.IntegerType()), T.StructField("document", T.StringType())]
+        return spark.createDataFrame([], T.StructType([*fields, *found]))
     documents = (
         spark.read.schema(full)
         .option("multiLine", True)
@@ -62,7 +72,28 @@ def read_documents(
         .json(path)
     )
     page = F.regexp_extract("_metadata.file_name", PAGE_NUMBER, 1).try_cast("int")
-    return documents.withColumn("page", F.coalesce(page, F.lit(0)))
+    if "page" in folders:
+        page = F.coalesce("page", page)
+    return documents.withColumns({"page": F.coalesce(page, F.lit(0)), "document": F.col("_metadata.file_name")})
+
+
+def read_bodies(
+    spark: SparkSession, path: str, schema: T.StructType, folders: dict[str, T.DataType]
+) -> DataFrame | None:
+    """The same rows as ``read_documents`` gives, out of bodies that landed as rows."""
+    if not files.exists(spark, path):
+        return None
+    columns = {"station_ref": T.StringType(), "page": T.IntegerType(), "body": T.StringType(), **folders}
+    landed = spark.read.schema(T.StructType([T.StructField(n, k) for n, k in columns.items()])).parquet(path)
+    full = T.StructType([*schema.fields, T.StructField(schemas.CORRUPT, T.StringType())])
+    parsed = F.from_json("body", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT})
+    return landed.withColumns({"parsed": parsed, "document": F.col("_metadata.file_name")}).select(
+        "parsed.*", *[name for name in columns if name != "body"], "document"
+    )
+
+
+def _either(documents: DataFrame, bodies: DataFrame | None) -> DataFrame:
+    return documents if bodies is None else documents.unionByName(bodies.select(*documents.columns))
 
 
 def items(documents: DataFrame, *keep: str) -> DataFrame:
@@ -78,6 +109,24 @@ def _poll_items(spark: SparkSession, landing: str, source: str, schema: T.Struct
     )
 
 
+def malformed_bodies(spark: SparkSession, landing: str, poll: str) -> int:
+    """Bodies of a poll that are no valid JSON: their rows are lost, so they are counted."""
+    total = 0
+    for source, schema, folders in (
+        ("areas", schemas.AREAS_DOC, {}),
+        ("warnings", schemas.WARNINGS_DOC, {}),
+        ("readings", schemas.READINGS_DOC, {}),
+        ("weather", schemas.CURRENT_WEATHER_DOC, {"area": T.StringType()}),
+    ):
+        found = read_documents(
+            spark, f"{landing}/{source}", schema, {"poll": T.StringType(), **folders}, f"poll={poll}"
+        )
+        # A second column is read as well, since Spark refuses to read the corrupt one alone.
+        bad = F.col(schemas.CORRUPT).isNotNull() & F.col(schema[0].name).isNull()
+        total += found.select(bad.alias("bad")).agg(F.count_if("bad")).first()[0]
+    return total
+
+
 def areas(spark: SparkSession, landing: str, poll: str) -> DataFrame:
     return _poll_items(spark, landing, "areas", schemas.AREAS_DOC, poll).select(
         "page", "pos", "notation", number(F.col("lat")).alias("lat"), number(F.col("long")).alias("lon")
@@ -138,6 +187,7 @@ def current_weather(spark: SparkSession, landing: str, poll: str) -> DataFrame:
     return documents.select(
         "area",
         "page",
+        "document",
         F.col("current_weather.temperature").alias("temperature_c"),
         arrays.head(F.col("hourly.precipitation")).alias("precipitation_mm"),
         F.col("current_weather.windspeed").alias("wind_speed_kmh"),
@@ -158,11 +208,15 @@ def daily_measure_url(measures: Column) -> Column:
 
 
 def catalogue(spark: SparkSession, landing: str) -> DataFrame:
-    """Station entries of the pages that an offset loop would reach, in order."""
-    documents = read_documents(spark, f"{landing}/catalogue", schemas.CATALOGUE_DOC)
-    sizes = documents.select("page", F.coalesce(F.size("items"), F.lit(0)).alias("n_items"))
-    reached = reachable_pages(sizes).select("page")
-    return items(documents.join(reached, "page", "left_semi")).select(
+    """Station entries of all landed pages, in order.
+
+    A malformed page or a gap in the page numbers raises, since later jobs would lack
+    those stations without a word.
+    """
+    documents = read_documents(spark, f"{landing}/catalogue", schemas.CATALOGUE_DOC, {"page": T.IntegerType()})
+    malformed = F.col(schemas.CORRUPT).isNotNull() & F.col("items").isNull()
+    require_complete(documents.select("page", malformed.alias("malformed")), "catalogue")
+    return items(documents).select(
         "page",
         "pos",
         F.col("stationReference").alias("station_ref"),
@@ -175,7 +229,7 @@ def catalogue(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def saved_catalogue(spark: SparkSession, landing: str, cache: str) -> DataFrame:
-    """The saved catalogue, or a scan that is saved first. An empty scan is not saved."""
+    """The saved catalogue, or a scan that is saved first. Only a complete scan with rows is saved."""
     if not files.exists(spark, f"{cache}/_SUCCESS"):
         scanned = catalogue(spark, landing)
         if scanned.isEmpty():
@@ -185,17 +239,18 @@ def saved_catalogue(spark: SparkSession, landing: str, cache: str) -> DataFrame:
 
 
 def daily_levels(spark: SparkSession, landing: str) -> DataFrame:
-    """One document per (station_ref, year); its items stay an array so a unit stays one row."""
-    return read_documents(
-        spark,
-        f"{landing}/daily_levels",
-        schemas.DAILY_LEVELS_DOC,
-        {"station_ref": T.StringType(), "year": T.IntegerType()},
+    """Documents of (station_ref, year) units."""
+    year = {"year": T.IntegerType()}
+    documents = read_documents(
+        spark, f"{landing}/daily_levels", schemas.DAILY_LEVELS_DOC, {"station_ref": T.StringType(), **year}
     )
+    return _either(documents, read_bodies(spark, f"{landing}/daily_level_bodies", schemas.DAILY_LEVELS_DOC, year))
 
 
 def weather_history(spark: SparkSession, landing: str) -> DataFrame:
-    """One document per station_ref; parallel daily arrays."""
-    return read_documents(
+    """Documents of station_ref units; parallel daily arrays."""
+    documents = read_documents(
         spark, f"{landing}/weather_history", schemas.WEATHER_HISTORY_DOC, {"station_ref": T.StringType()}
     )
+    bodies = read_bodies(spark, f"{landing}/weather_history_bodies", schemas.WEATHER_HISTORY_DOC, {})
+    return _either(documents, bodies)

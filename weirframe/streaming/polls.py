@@ -8,19 +8,79 @@ from __future__ import annotations
 
 import datetime
 import logging
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from weirframe.functions.scalars import BAD_VALUE
 from weirframe.operators.merge import ACTIONS, UpsertRule, drop_replayed, fold
+from weirframe.sources import files
 from weirframe.plans.poll import poll_once
 from weirframe.session import Scratch
 from weirframe.sources.schemas import POLL_DOC, Table
 from weirframe.sources.tables import TableStore, partition_values
 
 LOG = logging.getLogger(__name__)
+REJECTED = "rejected_polls"
+REJECTED_COLUMNS = "announcement string, poll string, polled_at string, reason string, rejected boolean"
+#: How Spark words an error that ``strict`` raises; a plan quoted in an error does not look so.
+REJECTION = re.compile(rf"^.*\[USER_RAISED_EXCEPTION\] ({BAD_VALUE} for .*?)(?: SQLSTATE: \w+)?$", re.MULTILINE)
+
+
+def rejection_of(error: Exception) -> str | None:
+    """Why a poll is rejected, if a bad value is what failed it."""
+    found = REJECTION.search(str(error))
+    return found.group(1).strip()[:500] if found else None
+
+
+def rejected_polls(spark: SparkSession, store: TableStore) -> DataFrame:
+    """Polls that wrote nothing: those whose last record is a rejection."""
+    path = f"{store.root}/{REJECTED}"
+    if not files.exists(spark, path):
+        return spark.createDataFrame([], REJECTED_COLUMNS).drop("rejected")
+    records = spark.read.schema(f"{REJECTED_COLUMNS}, at timestamp").parquet(path)
+    last = records.groupBy("announcement").agg(F.max_by(F.struct(*records.columns), "at").alias("last"))
+    return last.select("last.*").filter("rejected").drop("rejected", "at")
+
+
+def _record(spark: SparkSession, store: TableStore, row: tuple, reason: str | None) -> None:
+    frame = spark.createDataFrame([(*row, reason, reason is not None)], REJECTED_COLUMNS)
+    frame.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{store.root}/{REJECTED}")
+
+
+def _attempt(
+    spark: SparkSession, landing: str, store: TableStore, row: tuple[str | None, str | None, str | None]
+) -> str | None:
+    """Runs one announced poll; the reason if it is rejected."""
+    _, poll, polled_at = row
+    try:
+        moment = datetime.datetime.fromisoformat(polled_at) if poll and polled_at else None
+    except ValueError:
+        moment = None
+    if moment is None:
+        return "the announcement has no poll or no time"
+    try:
+        poll_once(spark, landing, store, poll, moment)
+    except Exception as error:
+        reason = rejection_of(error)
+        if reason is None:
+            raise
+        return reason
+    return None
+
+
+def rerun_rejected(spark: SparkSession, landing: str, store: TableStore) -> int:
+    """Tries rejected polls again, in order; returns how many are still rejected."""
+    left = 0
+    for row in rejected_polls(spark, store).orderBy("polled_at", "poll").collect():
+        announced = (row["announcement"], row["poll"], row["polled_at"])
+        reason = _attempt(spark, landing, store, announced)
+        _record(spark, store, announced, reason)
+        left += reason is not None
+    return left
 
 
 def stream_polls(
@@ -33,26 +93,27 @@ def stream_polls(
     """Runs every landed poll that was not run yet, then stops.
 
     A poll is announced by a small document in ``polls`` once its bodies are in place.
-    A poll with a value that does not fit its column writes nothing and is passed over,
-    so that it does not hold up the polls after it; any other failure stops the stream.
+    A poll with a value that does not fit its column writes nothing, and an announcement
+    without poll or time cannot be run. Neither holds up the polls after it: they are
+    recorded in ``rejected_polls`` and can be run by ``rerun_rejected`` once mended. Any
+    other failure stops the stream.
     """
     announced = (
         spark.readStream.schema(POLL_DOC)
         .option("multiLine", True)
         .option("maxFilesPerTrigger", polls_per_batch)
         .json(f"{landing}/polls")
+        .select("poll", "polled_at", F.col("_metadata.file_name").alias("announcement"))
     )
 
     def run(batch: DataFrame, _batch_id: int) -> None:
         # At most polls_per_batch names; polls of one hour depend on each other.
-        for row in batch.filter("poll is not null").orderBy("polled_at", "poll").collect():
-            moment = datetime.datetime.fromisoformat(row["polled_at"])
-            try:
-                poll_once(batch.sparkSession, landing, store, row["poll"], moment)
-            except Exception as error:
-                if BAD_VALUE not in str(error):
-                    raise
-                LOG.warning("poll %s is passed over: %s", row["poll"], str(error).splitlines()[0])
+        for row in batch.orderBy("polled_at", "poll", "announcement").collect():
+            announced = (row["announcement"], row["poll"], row["polled_at"])
+            reason = _attempt(batch.sparkSession, landing, store, announced)
+            if reason is not None:
+                LOG.warning("poll %s is rejected: %s", row["poll"], reason)
+                _record(batch.sparkSession, store, announced, reason)
 
     return (
         announced.writeStream.foreachBatch(run)
