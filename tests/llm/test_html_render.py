@@ -43,7 +43,8 @@ def test_broken_markup_never_fails():
     for _ in range(3000):
         text_of("".join(rng.choice(parts) for _ in range(rng.randint(0, 25))))
     assert text_of("<div>" * 20_000 + "x") == "x"
-    assert text_of("<p" * 50_000) != "x"
+    for part in ("<p", "<p ", '<a "', "<!", "<!--", "<a b='", "</span>", "&", "<b><i>", "<p></b>", "<table><p>"):
+        text_of("<div>" * 5000 + part * 30_000)
 
 
 def test_given_pages(spark):

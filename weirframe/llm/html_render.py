@@ -17,6 +17,7 @@ page. Repeated rows get equal texts. Columns other than id and page are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from weirframe.llm.batches import slices
 
 TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.DOTALL
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.DOTALL
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPACES = re.compile(r"[ \t\n\r\f]+")
@@ -83,11 +84,15 @@ def build(page: str) -> Node:
     """Tree of a page, with implied ends and table parts."""
     root = Node("html", {})
     open_nodes = [root]
+    open_tags = Counter(["html"])
 
     def close(names: set[str] | frozenset[str], bounds: set[str] | frozenset[str]) -> None:
+        if not any(open_tags[name] for name in names):
+            return
         for at in range(len(open_nodes) - 1, 0, -1):
             tag = open_nodes[at].tag
             if tag in names:
+                open_tags.subtract(node.tag for node in open_nodes[at:])
                 del open_nodes[at:]
                 return
             if tag in bounds:
@@ -106,6 +111,7 @@ def build(page: str) -> Node:
         open_nodes[-1].children.append(node)
         if tag not in VOID:
             open_nodes.append(node)
+            open_tags[tag] += 1
 
     at, size, lowered = 0, len(page), None
     while at < size:
