@@ -90,6 +90,6 @@ def test_lookup_broadcasts_only_what_is_counted_to_be_small(spark, no_broadcast)
 
 def test_an_exploded_grid_is_not_broadcast(spark):
     grid = spark.range(400_000).select("id", F.explode(F.sequence(F.lit(1), F.lit(25))).alias("year"))
-    assert grid._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue() < 1 << 25
+    assert grid._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 1 << 25
     documents = spark.range(10).select("id", F.lit(1).alias("year"))
     assert "Broadcast" not in plan_of(documents.join(lookup.size_checked(grid, grid.count()), ["id", "year"]))
