@@ -5,11 +5,11 @@ that stand out in toxic training documents, found by counting over the labelled
 pattern voters are fixed rules over a text's shape. A voter fires or abstains on a document; the given label is one
 more voter, which only labelled documents have.
 
-Label model. Expectation maximisation estimates the share of toxic documents and, for
-each voter, how often it fires on toxic and on other documents. What voters fire
-together beyond that is their correlation; a voter's vote then counts in inverse
-proportion to the voters it repeats, and the model is fitted again. It ends in a
-posterior label for each training document, labelled or not.
+Label model. It estimates the share of toxic documents and, for each voter, how often it
+fires on toxic and on other documents. What voters fire together beyond that is their
+correlation; a voter's vote counts in inverse proportion to the voters it repeats.
+Rates and correlations are fitted by turns (expectation maximisation). The model ends
+in a posterior label for each training document, labelled or not.
 
 Classifier. Logistic regression over the voters' counts and their density is trained on
 the posterior labels and scores every text. Ids, labels, languages and sources are no
@@ -113,29 +113,44 @@ def features(counts: np.ndarray, sizes: np.ndarray, lexicon: int) -> np.ndarray:
 
 
 def label_model(fires: np.ndarray, given: np.ndarray, rounds: int = 30) -> np.ndarray:
-    """Posterior of label 1 for each row of votes; ``given`` is 0, 1 or -1 (not labelled)."""
+    """Posterior of label 1 for each row of votes; ``given`` is 0, 1 or -1 (not labelled).
+
+    Rates are first taken from labelled rows alone, so that a crowd of correlated voters
+    cannot make its common vote the label before the correlations are known.
+    """
     fires = fires.astype(float)
     n, voters = fires.shape
     gold = np.where(given < 0, 0.0, np.where(given > 0, 1, -1)) * np.log(GOLD_ACCURACY / (1 - GOLD_ACCURACY))
-    share = float(np.clip((given == 1).sum() / max((given >= 0).sum(), 1), 0.01, 0.99))
-    posterior = np.where(given < 0, share, given).astype(float)
+    known = (given >= 0).astype(float)
+    posterior = np.where(given > 0, 1.0, 0.0)
     counted = np.ones(voters)
+
+    def rates(weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        toxic, other = posterior * weight, (1 - posterior) * weight
+        return (
+            (toxic @ fires + 0.5) / (toxic.sum() + 1),
+            (other @ fires + 0.5) / (other.sum() + 1),
+            float(np.clip(toxic.sum() / max(weight.sum(), 1), 0.005, 0.995)),
+        )
+
+    def vote(on_toxic: np.ndarray, on_other: np.ndarray, share: float) -> np.ndarray:
+        for_fire = np.log(on_toxic / on_other) * counted
+        for_none = np.log((1 - on_toxic) / (1 - on_other)) * counted
+        odds = np.log(share / (1 - share)) + gold + fires @ for_fire + (1 - fires) @ for_none
+        return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+
+    found = rates(known if known.any() else np.ones(n))
+    posterior = vote(*found)
     for _ in range(2):
-        for _ in range(rounds):
-            mass = posterior.sum()
-            on_toxic = (posterior @ fires + 0.5) / (mass + 1)
-            on_other = ((1 - posterior) @ fires + 0.5) / (n - mass + 1)
-            share = np.clip(mass / n, 0.005, 0.995)
-            for_fire = np.log(on_toxic / on_other) * counted
-            for_none = np.log((1 - on_toxic) / (1 - on_other)) * counted
-            odds = np.log(share / (1 - share)) + gold + fires @ for_fire + (1 - fires) @ for_none
-            posterior = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         # What is left of the votes after each row's expected vote is taken off.
-        rest = fires - np.outer(posterior, on_toxic) - np.outer(1 - posterior, on_other)
+        rest = fires - np.outer(posterior, found[0]) - np.outer(1 - posterior, found[1])
         spread = np.sqrt((rest**2).mean(axis=0)) + 1e-6
         correlation = (rest.T @ rest) / n / np.outer(spread, spread)
         np.fill_diagonal(correlation, 0)
         counted = 1 / (1 + np.maximum(correlation, 0).sum(axis=0))
+        for _ in range(rounds):
+            found = rates(np.ones(n))
+            posterior = vote(*found)
     return posterior
 
 
