@@ -21,9 +21,12 @@ from weirframe.session import Scratch
 from weirframe.sources import landed
 from weirframe.sources.schemas import (
     CORRUPT,
+    FLOOD_EVENTS,
     RIVER_LEVELS,
+    STATION_READINGS,
     WEATHER_HISTORY,
     WEATHER_HISTORY_DOC,
+    WEATHER_SNAPSHOTS,
     Table,
     columns_of,
 )
@@ -105,7 +108,7 @@ def insert_ignore_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     order = [c for c in lines.columns if c not in LINE_KEY]
     early = F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")
-    stored = merge.insert_ignore(lines.filter(early), LINE_KEY, order)
+    stored = Scratch(spark, "insert-ignore").keep(merge.insert_ignore(lines.filter(early), LINE_KEY, order), "stored")
     added = merge.insert_ignore(lines.filter(~early), LINE_KEY, order, stored)
     return stored.unionByName(added)
 
@@ -285,8 +288,9 @@ def date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def year_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in yearly units; every seventh order stands in the unit of the year after its own and is dropped."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
-    year = F.year("day")
+    year = F.year("day") + F.when(F.col("o_orderkey") % 7 == 0, 1).otherwise(0)
     return orders.filter(filters.in_year(F.col("day"), year)).select(
         "o_orderkey",
         "day",
@@ -606,6 +610,96 @@ def landed_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _poll_landed(spark: SparkSession, sf_dir: str, label: str) -> TableStore:
+    """The tables after one poll of all events, landed as bodies of 500 entries each.
+
+    Users are areas (user 0 has none) and stations. The tables stay in the shared folder.
+    """
+    scratch = Scratch(spark, label)
+    landing = scratch.path("landing")
+    events = table(spark, sf_dir, "events")
+    customer = table(spark, sf_dir, "customer")
+
+    def land(source: str, entries: DataFrame) -> None:
+        pages = entries.groupBy(paging.page_of(F.col("n")).cast("int").alias("page")).agg(
+            F.sort_array(F.collect_list(F.struct("n", "entry"))).alias("rows")
+        )
+        pages.select("page", F.col("rows.entry").alias("items")).write.partitionBy("page").json(
+            f"{landing}/{source}/poll=p1"
+        )
+
+    area = F.concat(F.lit("A"), F.col("c_custkey").cast("string"))
+    land(
+        "areas",
+        customer.select(
+            F.col("c_custkey").alias("n"),
+            F.struct(
+                area.alias("notation"), F.col("c_nationkey").alias("lat"), (F.col("c_acctbal") / 100).alias("long")
+            ).alias("entry"),
+        ),
+    )
+    warning = F.struct(
+        F.concat(F.lit("A"), F.nullif("user_id", F.lit(0)).cast("string")).alias("floodAreaID"),
+        F.col("event_id").cast("string").alias("description"),
+        F.struct(F.lit("C").alias("county"), F.lit("R").alias("riverOrSea")).alias("floodArea"),
+        # Levels of more than 3 are not polled.
+        (F.length("event_type") - 4).alias("severityLevel"),
+        F.col("event_type").alias("severity"),
+        F.when(F.col("event_id") % 3 == 0, True).alias("isTidal"),
+        F.floor(F.col("value") / 25).cast("string").alias("message"),
+        F.lit("2024-01-01T09:30:00+02:00").alias("timeRaised"),
+        _noted().alias("timeSeverityChanged"),
+    )
+    land("warnings", events.select(F.col("event_id").alias("n"), warning.alias("entry")))
+    day = F.date_format(F.date_trunc("day", "ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    station = F.concat(F.lit("http://x/data/readings/U"), F.col("user_id").cast("string"), F.lit("-level-i-15_min/1"))
+    reading = F.struct(station.alias("@id"), F.col("value"), day.alias("dateTime"))
+    land("readings", events.select(F.col("event_id").alias("n"), reading.alias("entry")))
+    weather = events.select(F.col("user_id").alias("c_custkey")).distinct().join(customer, "c_custkey").filter("c_acctbal > 0")
+    weather.select(
+        area.alias("area"),
+        F.struct(
+            F.col("c_nationkey").alias("temperature"),
+            (F.col("c_nationkey") + 0.5).alias("winddirection"),
+            (F.col("c_nationkey") * 2).alias("weathercode"),
+        ).alias("current_weather"),
+        F.struct(F.array(F.lit(0.25), F.lit(9.0)).alias("precipitation")).alias("hourly"),
+    ).write.partitionBy("area").json(f"{landing}/weather/poll=p1")
+    store = TableStore(spark, scratch.path("tables"))
+    poll.poll_once(spark, landing, store, "p1", datetime.datetime(2024, 1, 1, 10, 25))
+    return store
+
+
+def landed_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flood events after that poll, with their weather snapshots."""
+    store = _poll_landed(spark, sf_dir, "landed-poll")
+    snapshots = store.read(WEATHER_SNAPSHOTS).select(
+        F.col("flood_event_id").alias("id"), "temperature_c", "precipitation_mm", "wind_direction_deg", "weather_code"
+    )
+    return store.read(FLOOD_EVENTS).join(snapshots, "id", "left").select(
+        "flood_area_id", "description", "county", "severity_level", "severity_label", "is_tidal", "message",
+        F.col("lat").cast("double").alias("lat"),
+        F.col("lon").cast("string").alias("lon"),
+        F.col("time_raised").cast("string").alias("time_raised"),
+        F.col("time_severity_changed").cast("string").alias("changed_at"),
+        F.col("polled_at").cast("string").alias("polled_at"),
+        F.col("temperature_c").cast("double").alias("temperature_c"),
+        F.col("precipitation_mm").cast("double").alias("precipitation_mm"),
+        "wind_direction_deg", "weather_code",
+    )
+
+
+def landed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station readings after that poll: the first of each station and day."""
+    return _poll_landed(spark, sf_dir, "landed-readings").read(STATION_READINGS).select(
+        "station_ref",
+        "station_label",
+        F.col("lat").cast("double").alias("lat"),
+        F.col("value_m").cast("string").alias("value_m"),
+        F.col("reading_at").cast("string").alias("reading_at"),
+    )
+
+
 def _polled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All events as the warnings of one poll: (folded events, area coordinates, area weather)."""
     customer = table(spark, sf_dir, "customer")
@@ -741,6 +835,8 @@ QUERIES: dict[str, Query] = {
     "weather_backfill": weather_backfill,
     "landed_rivers": landed_rivers,
     "landed_weather": landed_weather,
+    "landed_poll": landed_poll,
+    "landed_readings": landed_readings,
     "poll_events": poll_events,
     "poll_snapshots": poll_snapshots,
     "poll_stream": poll_stream,

@@ -3,7 +3,7 @@
 Layout below a landing folder:
 
     polls/<any>.json                                   one {"poll", "polled_at"} each
-    areas | warnings | readings / poll=<p>/page=<n>.json
+    areas | warnings | readings / poll=<p>/page=<n>.json      or poll=<p>/page=<n>/<any>.json
     weather/poll=<p>/area=<id>/body.json
     catalogue/page=<n>.json                            or catalogue/page=<n>/<any>.json
     daily_levels/station_ref=<ref>/year=<y>/body.json
@@ -104,18 +104,17 @@ def items(documents: DataFrame, *keep: str) -> DataFrame:
 
 
 def _poll_items(spark: SparkSession, landing: str, source: str, schema: T.StructType, poll: str) -> DataFrame:
-    return items(
-        read_documents(spark, f"{landing}/{source}", schema, {"poll": T.StringType()}, f"poll={poll}")
-    )
+    folders = {"poll": T.StringType(), "page": T.IntegerType()}
+    return items(read_documents(spark, f"{landing}/{source}", schema, folders, f"poll={poll}"))
 
 
 def malformed_bodies(spark: SparkSession, landing: str, poll: str) -> int:
     """Bodies of a poll that are no valid JSON: their rows are lost, so they are counted."""
     total = 0
     for source, schema, folders in (
-        ("areas", schemas.AREAS_DOC, {}),
-        ("warnings", schemas.WARNINGS_DOC, {}),
-        ("readings", schemas.READINGS_DOC, {}),
+        ("areas", schemas.AREAS_DOC, {"page": T.IntegerType()}),
+        ("warnings", schemas.WARNINGS_DOC, {"page": T.IntegerType()}),
+        ("readings", schemas.READINGS_DOC, {"page": T.IntegerType()}),
         ("weather", schemas.CURRENT_WEATHER_DOC, {"area": T.StringType()}),
     ):
         found = read_documents(
