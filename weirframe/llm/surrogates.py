@@ -51,7 +51,7 @@ PATTERNS = {
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "phone": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
     r"|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
-    "ip": rf"{OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])",
+    "ip": rf"(?<![0-9]\.){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}(?![0-9])",
     "person": rf"(?:{TITLE})\.? {NAME}(?: {NAME})?",
