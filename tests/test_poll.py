@@ -185,6 +185,20 @@ def test_run_that_was_cut_off_is_repaired(spark, folder, monkeypatch):
     assert os.listdir(f"{folder}/t/_pending/flood_events") == []
 
 
+def test_a_poll_touches_its_hour_alone(spark, folder):
+    landing, store = f"{folder}/l", TableStore(spark, f"{folder}/t")
+    for k, poll in enumerate(("p1", "p2")):
+        land(landing, poll, readings=[])
+        poll_once(spark, landing, store, poll, AT + datetime.timedelta(hours=k))
+    table = f"{folder}/t/flood_events"
+    assert sorted(os.listdir(table)) == ["polled_hour=2024-01-01-10", "polled_hour=2024-01-01-11"]
+    first = {f: os.stat(f"{table}/polled_hour=2024-01-01-10/{f}").st_mtime_ns for f in os.listdir(f"{table}/polled_hour=2024-01-01-10")}
+    land(landing, "p3", warnings=[warning("A1", 1, "severe", "m", "d")], readings=[])
+    poll_once(spark, landing, store, "p3", AT + datetime.timedelta(hours=1))
+    assert first == {f: os.stat(f"{table}/polled_hour=2024-01-01-10/{f}").st_mtime_ns for f in first}
+    assert store.read(FLOOD_EVENTS).filter("severity_label = 'severe' and flood_area_id = 'A1'").count() == 1
+
+
 def test_pages_are_read_in_order(spark, folder):
     landing, store = f"{folder}/l", TableStore(spark, f"{folder}/t")
     land(landing, "p1", warnings=[warning("A1", 3, "a", "m", "first")], readings=[])

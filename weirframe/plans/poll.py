@@ -27,7 +27,7 @@ from weirframe.sources.schemas import (
     WEATHER_SNAPSHOTS,
     Table,
 )
-from weirframe.sources.tables import TableStore, partition_values
+from weirframe.sources.tables import PY_HOUR_FORMAT, TableStore, partition_values
 
 EVENT_RULE = UpsertRule(
     keys=list(FLOOD_EVENTS.key),
@@ -135,7 +135,8 @@ def poll_once(
         events = scratch.keep(event_batch(landed.warnings(spark, landing, poll), coords, hour, poll), "events")
         readings = scratch.keep(reading_batch(landed.readings(spark, landing, poll), poll), "readings")
 
-        stored_events = store.read(FLOOD_EVENTS, [day])
+        # Only rows of this hour can share a key with the batch.
+        stored_events = store.read(FLOOD_EVENTS, [hour.strftime(PY_HOUR_FORMAT)])
         folded = scratch.keep(
             fold(
                 drop_replayed(events, stored_events, EVENT_RULE.keys),

@@ -27,6 +27,15 @@ def make_dir(spark: SparkSession, path: str) -> None:
     fs.mkdirs(hadoop_path)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Puts a folder in the place of another; fails unless it is there afterwards."""
+    fs, source_path = _resolve(spark, source)
+    _, target_path = _resolve(spark, target)
+    fs.delete(target_path, True)
+    if not fs.rename(source_path, target_path):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _resolve(spark, path)
     fs.delete(hadoop_path, True)

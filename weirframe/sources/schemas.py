@@ -155,8 +155,8 @@ FLOOD_EVENTS = _table(
     " message string, time_raised timestamp, time_severity_changed timestamp, polled_at timestamp",
     "flood_area_id polled_at",
     "",
-    "polled_date",
-    T.DateType(),
+    "polled_hour",
+    TEXT,
     "polled_at",
 )
 WEATHER_SNAPSHOTS = _table(

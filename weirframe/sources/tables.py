@@ -11,6 +11,10 @@ from weirframe.sources import files
 from weirframe.sources.schemas import Table
 
 
+#: Partition of an hour, and the same for Python datetimes.
+HOUR_FORMAT, PY_HOUR_FORMAT = "yyyy-MM-dd-HH", "%Y-%m-%d-%H"
+
+
 class TableStore:
     """Tables below one root folder."""
 
@@ -48,7 +52,12 @@ class TableStore:
     def routed(self, table: Table, frame: DataFrame) -> DataFrame:
         """Table columns in order, plus the partition column."""
         source = F.col(table.partition_source)
-        value = F.year(source) if table.partition == "year" else source.cast("date")
+        if table.partition == "year":
+            value = F.year(source)
+        elif table.partition == "polled_hour":
+            value = F.date_format(source, HOUR_FORMAT)
+        else:
+            value = source.cast("date")
         return frame.select(*table.columns.names, value.alias(table.partition))
 
     def balanced(self, table: Table, frame: DataFrame) -> DataFrame:
@@ -66,8 +75,9 @@ class TableStore:
     def replace_partitions(self, table: Table, frame: DataFrame, batch: str) -> None:
         """Overwrites the partitions present in the frame.
 
-        The frame may read the table itself: it is first written to a pending folder,
-        and published from there. ``recover`` repeats a publication that was cut off.
+        The frame may read the table itself: it is first written to a pending folder, and
+        its partition folders are then moved into the table, so each row is written
+        once. ``recover`` goes on with a publication that was cut off.
         """
         pending = f"{self._pending(table)}/{batch}"
         (
@@ -91,14 +101,10 @@ class TableStore:
         return f"{self.root}/_pending/{table.name}"
 
     def _publish(self, table: Table, pending: str) -> None:
-        (
-            self.spark.read.schema(table.stored)
-            .parquet(pending)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(table.partition)
-            .parquet(self.path(table))
-        )
+        self.create_if_absent(table)
+        for folder in files.child_names(self.spark, pending):
+            if folder.startswith(f"{table.partition}="):
+                files.move(self.spark, f"{pending}/{folder}", f"{self.path(table)}/{folder}")
         files.remove(self.spark, pending)
 
 
