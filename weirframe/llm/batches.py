@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Bytes of text that a task holds as Python objects at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 WORKER_STORE = "weirframe_worker_store"
 
 

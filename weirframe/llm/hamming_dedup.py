@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirframe.llm.batches import unused, utf8
+from weirframe.llm.batches import slices, unused, utf8
 from weirframe.session import Scratch
 
 SHINGLE_WORDS = 4
@@ -78,10 +78,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([simhash(text) for text in utf8(batch, "text")], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(found.view(np.int64))], ["doc_id", "fp"]
-            )
+            for part in slices(batch, "text"):
+                found = np.array([simhash(text) for text in utf8(part, "text")], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"]
+                )
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(run, "doc_id long, fp long")
@@ -235,10 +236,11 @@ def keep_one(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([simhash(text) for text in utf8(batch, text_col)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found.view(np.int64))], [*batch.schema.names, fp]
-            )
+            for part in slices(batch, text_col):
+                found = np.array([simhash(text) for text in utf8(part, text_col)], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(found.view(np.int64))], [*part.schema.names, fp]
+                )
 
     schema = T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType())])
     marked = scratch.keep(docs.mapInArrow(run, schema), "marked")

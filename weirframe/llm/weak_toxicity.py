@@ -51,6 +51,8 @@ BEGINNINGS = (4, 5, 6, 7, 8)
 #: Marks an entry that a text must match more than once.
 TWICE = "+"
 GOLD_ACCURACY = 0.99
+#: Rows that training works on at a time beyond the inputs themselves.
+CHUNK = 1024
 WORD = re.compile(r"\w+")
 PATTERNS = {
     "shouting": re.compile(r"\b[A-Z]{4,}\b"),
@@ -118,34 +120,42 @@ def label_model(fires: np.ndarray, given: np.ndarray, rounds: int = 30) -> np.nd
     Rates are first taken from labelled rows alone, so that a crowd of correlated voters
     cannot make its common vote the label before the correlations are known.
     """
-    fires = fires.astype(float)
+    fires = fires.astype(np.float32)
     n, voters = fires.shape
+    together = (fires.T @ fires).astype(float)
     gold = np.where(given < 0, 0.0, np.where(given > 0, 1, -1)) * np.log(GOLD_ACCURACY / (1 - GOLD_ACCURACY))
     known = (given >= 0).astype(float)
     posterior = np.where(given > 0, 1.0, 0.0)
     counted = np.ones(voters)
 
+    def product(rows: np.ndarray) -> np.ndarray:
+        return (rows.astype(np.float32) @ fires).astype(float)
+
     def rates(weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         toxic, other = posterior * weight, (1 - posterior) * weight
         return (
-            (toxic @ fires + 0.5) / (toxic.sum() + 1),
-            (other @ fires + 0.5) / (other.sum() + 1),
+            (product(toxic) + 0.5) / (toxic.sum() + 1),
+            (product(other) + 0.5) / (other.sum() + 1),
             float(np.clip(toxic.sum() / max(weight.sum(), 1), 0.005, 0.995)),
         )
 
     def vote(on_toxic: np.ndarray, on_other: np.ndarray, share: float) -> np.ndarray:
         for_fire = np.log(on_toxic / on_other) * counted
         for_none = np.log((1 - on_toxic) / (1 - on_other)) * counted
-        odds = np.log(share / (1 - share)) + gold + fires @ for_fire + (1 - fires) @ for_none
+        votes = fires @ (for_fire - for_none).astype(np.float32)
+        odds = np.log(share / (1 - share)) + gold + votes + for_none.sum()
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
     found = rates(known if known.any() else np.ones(n))
     posterior = vote(*found)
     for _ in range(2):
-        # What is left of the votes after each row's expected vote is taken off.
-        rest = fires - np.outer(posterior, found[0]) - np.outer(1 - posterior, found[1])
-        spread = np.sqrt((rest**2).mean(axis=0)) + 1e-6
-        correlation = (rest.T @ rest) / n / np.outer(spread, spread)
+        # Products of what is left of the votes when each row's expected vote is taken off.
+        sides = np.stack([posterior, 1 - posterior])
+        expected = np.stack(found[:2])
+        cross = np.stack([product(side) for side in sides]).T @ expected
+        rest = (together - cross - cross.T + expected.T @ (sides @ sides.T) @ expected) / n
+        spread = np.sqrt(np.maximum(np.diag(rest), 0)) + 1e-6
+        correlation = rest / np.outer(spread, spread)
         np.fill_diagonal(correlation, 0)
         counted = 1 / (1 + np.maximum(correlation, 0).sum(axis=0))
         for _ in range(rounds):
@@ -168,15 +178,21 @@ class Model:
 
 def logistic(rows: np.ndarray, target: np.ndarray, ridge: float = 1.0, rounds: int = 12) -> tuple[np.ndarray, float]:
     """Weights and bias for soft labels, by Newton steps with a ridge on the weights."""
-    inputs = np.column_stack([rows, np.ones(len(rows))]).astype(np.float32)
+    inputs = np.empty((rows.shape[0], rows.shape[1] + 1), np.float32)
+    inputs[:, :-1] = rows
+    inputs[:, -1] = 1
     penalty = np.full(inputs.shape[1], ridge)
     penalty[-1] = 1e-6
     weight = np.zeros(inputs.shape[1])
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(inputs @ weight, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(inputs @ weight.astype(np.float32), -30, 30)))
         curve = np.maximum(p * (1 - p), 1e-6).astype(np.float32)
-        slope = (p - target) @ inputs.astype(float) + penalty * weight
-        step = np.linalg.solve(((inputs * curve[:, None]).T @ inputs).astype(float) + np.diag(penalty), slope)
+        slope, bend = penalty * weight, np.diag(penalty)
+        for at in range(0, len(inputs), CHUNK):
+            part = inputs[at : at + CHUNK]
+            slope += (p - target)[at : at + CHUNK] @ part.astype(float)
+            bend += ((part * curve[at : at + CHUNK, None]).T @ part).astype(float)
+        step = np.linalg.solve(bend, slope)
         weight -= step
         if np.abs(step).max() < 1e-3:
             break
@@ -243,14 +259,22 @@ def train(
         for batch in batches:
             for part in slices(batch, "text"):
                 counts, sizes = voters.count(strings(part, "text"))
-                packed = [row.astype("<f4").tobytes() for row in counts]
+                # Few voters fire on a document: send their places and counts.
+                packed = [
+                    np.stack([at, row[at]], axis=1).astype("<f4").tobytes()
+                    for row in counts
+                    for at in [np.flatnonzero(row)]
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("label"), pa.array(packed, pa.binary()), pa.array(sizes)], ["label", "counts", "words"]
                 )
 
     table = with_labels(docs, chosen, id_col, text_col).mapInArrow(run, "label int, counts binary, words long").toPandas()
     table = table.sort_values(["counts", "words", "label"])
-    counts = np.frombuffer(b"".join(table["counts"]), "<f4").reshape(len(table), len(voters.names))
+    counts = np.zeros((len(table), len(voters.names)), np.float32)
+    for row, packed in enumerate(table["counts"]):
+        found = np.frombuffer(packed, "<f4").reshape(-1, 2)
+        counts[row, found[:, 0].astype(np.int64)] = found[:, 1]
     posterior = label_model(counts > 0, table["label"].to_numpy())
     weight, bias = logistic(features(counts, table["words"].to_numpy(), len(lexicon)), posterior)
     return Model(lexicon, weight, bias)

@@ -37,6 +37,8 @@ SEED = 0x5EED
 #: Terms whose bids are computed or compared at a time.
 ROWS = 1 << 14
 BITS = 16
+#: Bytes of text whose terms share their bids.
+SLICE_BYTES = 4 << 20
 #: Ranges of ids for each shuffle partition, so that partitions come out even.
 RANGES_PER_TASK = 4
 SCHEMA = (
@@ -147,7 +149,7 @@ def fingerprint_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: tuple | None = None
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", SLICE_BYTES):
                 columns = (piece.column(name).to_pylist() for name in ("doc_id", "text", "part", "ghost"))
                 pairs = []
                 for doc_id, text, part, ghost in zip(*columns, strict=True):
