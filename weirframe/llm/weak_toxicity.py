@@ -270,6 +270,8 @@ def train(
                 )
 
     table = with_labels(docs, chosen, id_col, text_col).mapInArrow(run, "label int, counts binary, words long").toPandas()
+    if not len(table):
+        return Model([], np.zeros(len(PATTERNS) + len(FEATURES_AFTER)), _odds(share))
     table = table.sort_values(["counts", "words", "label"])
     counts = np.zeros((len(table), len(voters.names)), np.float32)
     for row, packed in enumerate(table["counts"]):

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirframe.llm.batches import mix, numbered, slices, starts_of, strings
@@ -131,8 +131,15 @@ def fingerprint_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     heads = sorted((row["part"], row["least"]) for row in dealt.groupBy("part").agg(F.min("at").alias("least")).collect())
     if not heads:
         return spark.createDataFrame([], SCHEMA)
-    before = {least: heads[k - 1][0] for k, (_, least) in enumerate(heads)}
-    copied = F.element_at(F.create_map(*[F.lit(x) for pair in before.items() for x in pair]), F.col("at"))
+    # By range: its least id, and the range before it that has rows (for the first, the last).
+    least, before = [None] * (len(bounds) + 1), [None] * (len(bounds) + 1)
+    for k, (part, first) in enumerate(heads):
+        least[part], before[part] = first, heads[k - 1][0]
+
+    def of_range(values: list[int | None]) -> Column:
+        return F.get(F.array(*[F.lit(value).cast("long") for value in values]), F.col("part"))
+
+    copied = F.when(F.col("at") == of_range(least), of_range(before).cast("int"))
     rows = dealt.select(
         "doc_id", "at", "text",
         F.explode(
@@ -164,7 +171,7 @@ def fingerprint_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return ordered.mapInArrow(run, SCHEMA)
 
 
-def _range_of(value, bounds: list[int]):
+def _range_of(value: Column, bounds: list[int]) -> Column:
     """How many of the sorted bounds are at most ``value``, by halving."""
     if not bounds:
         return F.lit(0)
