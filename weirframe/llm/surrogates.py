@@ -1,6 +1,6 @@
 """Personal data and secrets replaced by keyed surrogates, in DataFrame functions alone.
 
-Detection is one regular expression (``ENTITY``): e-mail addresses, IPv4 addresses,
+Detection is one regular expression (``ENTITY``): e-mail addresses, IPv4 and IPv6 addresses,
 phone, card and social security numbers, IBANs, access keys, assigned passwords and
 tokens, and names behind a title. A match falls into parts; some are kept (a title, the
 name of an assigned secret), the others are replaced.
@@ -44,19 +44,37 @@ SYLLABLES = {
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 TITLE = "|".join(sorted({*MALE_TITLES, *FEMALE_TITLES}, key=lambda title: (-len(title), title)))
 NAME = r"\p{Lu}[\p{L}'’-]{1,40}"
+HEX = "[0-9A-Fa-f]{1,4}"
+# Up to the closing quote, or else up to white space but for closing marks; with four letters or digits at least.
+SECRET = (
+    r"\"(?=(?:[^\"\n\p{L}0-9]*+[\p{L}0-9]){4})[^\"\n]{8,256}(?=\"|$)|'(?=(?:[^'\n\p{L}0-9]*+[\p{L}0-9]){4})[^'\n]{8,256}(?='|$)"
+    r"|[\"']?(?=(?:[^\s\"'\p{L}0-9]*+[\p{L}0-9]){4})[^\s\"']{7,}[^\s\"'.,;)]"
+)
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "key": r"AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "secret": r"(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_-]{8,}+",
+    "secret": r"(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}(?:" + SECRET + ")",
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "phone": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
-    r"|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "ip": rf"(?<![0-9]\.){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])",
+    "ip6": rf"(?<!:)(?:(?:{HEX}:){{7}}{HEX}|(?=[A-Fa-f:]{{0,40}}[0-9])(?:{HEX}:){{1,6}}(?::{HEX}){{1,6}}|(?=[A-Fa-f:]{{0,40}}[0-9])(?:{HEX}:){{2,7}}:)"
+    r"(?![0-9A-Za-z]|:[0-9A-Fa-f:])",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "card": r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}(?![0-9])",
+    # With +; three groups of 3, 3 and 4; with brackets; with a leading 0, in groups that are no date, or without groups.
+    "phone": r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\+(?:\(?[0-9]\)?[ ./-]?){6,15}[0-9](?![0-9])"
+    r"|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"
+    r"|\((?=(?:[^0-9]{0,2}[0-9]){7})[0-9]{2,5}\)[ .-]?[0-9]{1,8}(?:[ .-][0-9]{2,8}){0,4}(?![0-9])"
+    r"|(?<![0-9][ .-])(?!0[0-9][ .-][0-9]{2}[ .-][0-9]{4}(?![0-9]|[ .-][0-9]))(?=(?:[^0-9]?[0-9]){7})0[0-9]{1,4}(?:[ ./-][0-9]{2,8}){1,4}(?![0-9])"
+    r"|0[1-9][0-9]{7,9}(?![0-9])",
+    "card": r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}(?![0-9])"
+    r"|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}(?![0-9])",
     "person": rf"(?:{TITLE})\.? {NAME}(?: {NAME})?",
 }
-ENTITY = r"(?<![\p{L}0-9])(?=[\p{L}0-9+(])(?:" + "|".join(PATTERNS.values()) + ")"
+# Addresses, keys and numbers may stand right behind a letter of another script, titles not.
+ENTITY = (
+    r"(?<![A-Za-z0-9])(?=[\p{L}0-9+(])(?:"
+    + "|".join(rf"(?<!\p{{L}})(?:{pattern})" if kind == "person" else pattern for kind, pattern in PATTERNS.items())
+    + ")"
+)
 KEPT = "kept"
 
 
@@ -95,7 +113,7 @@ def parts_of(entity: Column) -> Column:
             _part(KEPT, F.regexp_extract(entity, assigned, 1)), _part("secret", F.regexp_extract(entity, assigned, 2))
         ),
     )
-    for kind in ("iban", "phone", "ip", "ssn", "card"):
+    for kind in ("iban", "ip", "ip6", "ssn", "phone", "card"):
         cases = cases.when(_matches(entity, kind), F.array(_part(kind, entity)))
     return cases.otherwise(person)
 
@@ -117,7 +135,7 @@ def _like(value: Column, digest: Column) -> Column:
             F.when(char.rlike("[0-9a-f]") & lower_hex, F.substr(digest, place, F.lit(1)))
             .when(char.rlike("[0-9]"), F.substr(digits, place, F.lit(1)))
             .when(char.rlike("[A-Z]"), F.upper(F.substr(letters, place, F.lit(1))))
-            .when(char.rlike("[a-z]"), F.substr(letters, place, F.lit(1)))
+            .when(char.rlike(r"[a-z]|\p{L}"), F.substr(letters, place, F.lit(1)))
             .otherwise(char)
         )
 
@@ -164,6 +182,11 @@ def _ip(digest: Column) -> Column:
     return F.concat_ws(".", *[(_byte(digest, at) % 254 + 1).cast("string") for at in range(4)])
 
 
+def _ip6(digest: Column) -> Column:
+    """An address of the block set aside for examples."""
+    return F.concat_ws(":", F.lit("2001:db8"), *[F.substring(digest, 4 * at + 1, 4) for at in range(6)])
+
+
 def _email(value: Column, digest: Column, key: str) -> Column:
     """Addresses of one domain stay in one domain."""
     domain = F.sha2(F.concat_ws("|", F.lit(key), F.lit("domain"), F.substring_index(value, "@", -1)), 256)
@@ -203,6 +226,7 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str = KEY) -> C
     return (
         F.when(kind == "email", _email(value, digest, key))
         .when(kind == "ip", _ip(digest))
+        .when(kind == "ip6", _ip6(digest))
         .when(kind == "phone", _phone(value, digest))
         .when(kind == "card", _card(value, digest))
         .when(kind.isin("family", "given_m", "given_f"), _name(kind, value, digest, attempt))
