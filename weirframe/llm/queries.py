@@ -11,9 +11,12 @@ from weirframe.llm import (
     cotrain,
     hamming_dedup,
     html_render,
+    one_bit_search,
     packing,
     piece_codec,
     quality_trees,
+    sketch_search,
+    spelling,
     surrogates,
     url_rules,
     weak_toxicity,
@@ -79,6 +82,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_toxicity.score(docs, weak_toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return sketch_search.search(docs, items, Scratch(spark, "op11"))
+
+
+def op12_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return one_bit_search.neighbours(table(spark, sf_dir, "embeddings"), Scratch(spark, "op12"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), Scratch(spark, "op13"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_html_text": op2_html_text,
@@ -90,5 +106,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
+    "op11_sketch_search": op11_sketch_search,
+    "op12_one_bit_search": op12_one_bit_search,
+    "op13_spelling": op13_spelling,
 }
-SQL: dict[str, str] = {"op9_url_filter": url_rules.judge_sql()}
+SQL: dict[str, str] = {"op9_url_filter": url_rules.judge_sql(), "op11_sketch_search": sketch_search.search_sql()}
