@@ -104,6 +104,6 @@ def test_estimates_hold_their_bounds_and_spare_most_vectors():
         work = O.Queries(np.arange(30), queries, centres, 20)
         guess, width = work.estimates(slice(0, 30), cell, words, length, factor)
         wrong = np.abs(guess - queries @ points.T) > width + 1e-9
-        assert wrong.mean() < 0.02
+        assert wrong.mean() < 0.06
         reranked = work.take(np.arange(1000, 5000), points, cell, words, length, factor)
-        assert reranked < 0.35 * 30 * 4000 or dims == 1
+        assert reranked < 0.4 * 30 * 4000 or dims == 1

@@ -12,7 +12,7 @@ estimate, whose error has a standard deviation of at most
 ``|q| |o - c| sqrt(1/f**2 - 1) / sqrt(D - 1)``, to which that of the rounding adds; ``WIDTH``
 of both bound it on either side. A vector is reranked on the original components, in double
 precision, unless its upper bound is below the query's threshold: the k-th best exact score
-so far, in which the k likeliest vectors of the batch are already counted.
+so far, in which the ``FIRST * k`` likeliest vectors of the batch are already counted.
 
 Shuffle. Queries are cut into blocks of ``QUERY_BYTES`` and vectors into as many segments as
 make a tile for each shuffle partition. A tile holds a block and a segment: its queries are
@@ -46,7 +46,8 @@ SAMPLE_ROWS = 4096
 ROUNDS = 8
 SEED = 7
 PLANES = 6
-WIDTH = 2.5
+WIDTH = 2.0
+FIRST = 4
 #: Bytes of the vectors of a query block.
 QUERY_BYTES = 16 << 20
 #: Vectors of a segment at least.
@@ -189,9 +190,10 @@ class Queries:
             guess, width = self.estimates(some, cell, words, length, factor)
             open_ = self.ids[some][:, None] != ids[None, :]
             guess = np.where(open_, guess, -np.inf)
-            if len(ids) > self.best:
+            likely = FIRST * self.best
+            if len(ids) > likely:
                 # The likeliest ones first: they bring the threshold near its end.
-                first = np.argpartition(guess, -self.best, axis=1)[:, -self.best :]
+                first = np.argpartition(guess, -likely, axis=1)[:, -likely:]
                 chosen = np.zeros(guess.shape, bool)
                 np.put_along_axis(chosen, first, True, axis=1)
                 reranked += self._rerank(at, chosen & open_ & ~(guess + width < self.floor[some][:, None]), ids, points)
