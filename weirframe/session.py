@@ -86,6 +86,12 @@ class Scratch:
 
         remove(self.spark, self.root)
 
+    def drop_one(self, name: str) -> None:
+        """Drop a kept frame that nothing reads any more."""
+        from weirframe.sources.files import remove
+
+        remove(self.spark, self.path(name))
+
     def __enter__(self) -> Scratch:
         return self
 
