@@ -1,6 +1,6 @@
 import numpy as np
-from test_hamming_dedup import expected_components, plain_simhash
 from test_packing import check_pieces
+from test_shingle_dedup import plain_kept
 from test_surrogates import PRIVATE
 from tokenizers import Tokenizer
 
@@ -31,8 +31,7 @@ def test_each_stage_against_a_plain_version_on_its_own_input(spark):
         forest = quality_trees.train(frames[1], labels)
         assert rows[2].keys() == {i for i, r in rows[1].items() if quality_trees.verdicts([r["text"].encode()], forest)[3][0]}
 
-        pairs = [(i, plain_simhash(r["text"])) for i, r in rows[2].items()]
-        assert rows[3].keys() == {component for _, _, component in expected_components(pairs)}
+        assert rows[3].keys() == plain_kept([(i, r["text"]) for i, r in rows[2].items()])
 
         assert rows[4].keys() == rows[3].keys()
         for i, r in rows[4].items():
@@ -52,8 +51,10 @@ def test_run_applies_all_stages(spark):
 
 
 def test_stages_take_empty_and_odd_documents(spark):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, fp string"
-    odd = spark.createDataFrame([(None, None, None, None, None, None, None), (1, "", "en", "s", 0, 1.0, "x")], schema)
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, fp string, node long, stays int, turn int"
+    long = " ".join(f"word{k % 9973}" for k in range(60_000))
+    rows = [(None, None, None, None, None), (1, "", "en", "s", 0), (2, long, "en", "s", len(long)), (2, long, "en", "s", len(long)), (3, "a b", None, None, 3)]
+    odd = spark.createDataFrame([(*r, 1.0, "x", 1, 2, 3) for r in rows], schema)
     with Scratch(spark, "t") as scratch:
         for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
             for j, frame in enumerate((odd, odd.limit(0))):

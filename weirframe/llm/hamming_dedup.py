@@ -32,13 +32,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from weirframe.llm.batches import slices, unused, utf8
-from weirframe.llm.shingles import agreeing, band_keys, shingles, signature, similar
-from weirframe.llm.shingles import traces as trace_bytes
+from weirframe.llm import near_texts
+from weirframe.llm.batches import slices, utf8
+from weirframe.llm.connect import connected
 from weirframe.session import Scratch
 
 SHINGLE_WORDS = 4
@@ -139,40 +138,6 @@ def _members_to_least(rows: DataFrame, key: str) -> DataFrame:
     return rows.join(least.select(key, "u"), key).filter("fp <> u").select("u", F.col("fp").alias("v"))
 
 
-def connected(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """``node`` and ``root`` (least node of its component) of all nodes with an edge ``u, v``.
-
-    Large-star and small-star steps by turns, until neither changes the edges.
-    """
-    current = scratch.keep(
-        edges.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(),
-        f"{name}-0",
-    )
-    step, before = 0, None
-    while True:
-        state = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if not state[0] or tuple(state) == before:
-            break
-        before = tuple(state)
-        both = current.select("u", "v").union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("m").alias("u"), "v").filter("u <> v").distinct()
-        step += 1
-        current = scratch.keep(large, f"{name}-{step}")
-        # Now u < v: each v hangs its smaller neighbours, and itself, on the least of them.
-        least = current.groupBy("v").agg(F.min("u").alias("m"))
-        hung = current.join(least, "v")
-        small = (
-            hung.select(F.col("m").alias("u"), F.col("u").alias("v"))
-            .union(least.select(F.col("m").alias("u"), "v"))
-            .filter("u <> v")
-            .distinct()
-        )
-        step += 1
-        current = scratch.keep(small, f"{name}-{step}")
-    return current.select(F.col("v").alias("node"), F.col("u").alias("root"))
-
-
 def links(fps: DataFrame, scratch: Scratch) -> DataFrame:
     """Edges ``u, v`` between distinct fingerprints whose closure is the closure of all links."""
     probes = _probes(fps)
@@ -229,138 +194,6 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
     return fps.join(components(fps, scratch), "fp").select("doc_id", "fp", "component_id")
 
 
-def _similar_roots(marked: DataFrame, names: tuple[str, ...], text_col: str, scratch: Scratch) -> DataFrame:
-    """``node`` and ``root`` of all texts that are linked to another one by a similarity of 0.8 or more.
-
-    Each round compares some members of each key (its least one; later up to ``REST_LIMIT``
-    outside its largest component) with the key's members of other components, and takes
-    them out. Keys whose members are one component are done, so crowds of copies stay linear.
-    """
-    node, size, bands, traces = names
-    nodes = scratch.keep(
-        marked.filter(F.col(size) > 0)
-        .groupBy(F.col(node).alias("node"))
-        .agg(*[F.first(name).alias(to) for name, to in ((size, "size"), (bands, "bands"), (traces, "traces"))]),
-        "similar-nodes",
-    )
-    texts = marked.select(F.col(node).alias("node"), F.col(text_col).cast("string").alias("text"))
-    probes = nodes.select(F.explode("bands").alias("key"), "node", "size")
-    # Without the hint small inputs would broadcast the keys; they grow with the input.
-    keys = probes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key").hint("merge")
-    members = scratch.keep(probes.join(keys, "key"), "similar-members")
-    edges = scratch.keep(members.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0), "similar-edges")
-    tested, parts, step = edges, None, 0
-
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        asked = scratch.keep(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), f"{name}-asked")
-        own = scratch.keep(texts.join(asked.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), f"{name}-texts")
-        both = pairs.join(own.select(F.col("node").alias("u"), F.col("text").alias("a")), "u").join(
-            own.select(F.col("node").alias("v"), F.col("text").alias("b")), "v"
-        )
-        return scratch.keep(similar(both), f"{name}-found")
-
-    while True:
-        placed = members.withColumn("part", F.col("node"))
-        if parts is not None:
-            placed = members.join(parts, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("part"))
-        placed = scratch.keep(placed, f"similar-placed-{step}")
-        counts = placed.groupBy("key", "part").agg(F.count("*").alias("n"), F.min("node").alias("least"))
-        opened = (
-            counts.groupBy("key")
-            .agg(F.count("*").alias("parts"), F.max_by("part", F.struct("n", "part")).alias("big"), F.min("least").alias("least"))
-            .filter("parts > 1")
-        )
-        left = scratch.keep(placed.join(opened, "key"), f"similar-open-{step}")
-        if left.isEmpty():
-            return connected(edges, scratch, "similar-all")
-        if step:
-            place = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-            turns = left.filter("part <> big").withColumn("place", place).filter(F.col("place") <= REST_LIMIT)
-        else:
-            turns = left.filter("node = least")
-        turns = scratch.keep(turns.select("key", F.col("node").alias("u"), F.col("size").alias("u_size"), F.col("part").alias("u_part")), f"similar-turns-{step}")
-        fits = F.least("size", "u_size") * 5 >= F.greatest("size", "u_size") * 4
-        fresh = (
-            turns.join(left, "key")
-            .filter((F.col("part") != F.col("u_part")) & fits)
-            .select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v"))
-            .distinct()
-            .join(tested, ["u", "v"], "left_anti")
-        )
-        fresh = scratch.keep(fresh, f"similar-pairs-{step}")
-        tested = tested.union(fresh)
-        own = nodes.select("node", "traces")
-        likely = agreeing(
-            fresh.join(own.select(F.col("node").alias("u"), F.col("traces").alias("a")), "u").join(
-                own.select(F.col("node").alias("v"), F.col("traces").alias("b")), "v"
-            )
-        )
-        likely = scratch.keep(likely, f"similar-likely-{step}")
-        members = scratch.keep(
-            left.join(turns.select("key", F.col("u").alias("node")), ["key", "node"], "left_anti").select("key", "node", "size"),
-            f"similar-members-{step}",
-        )
-        if not likely.isEmpty():
-            # The likeliest pair of each text first; then those that still lie in different components.
-            best = likely.groupBy("v").agg(F.max_by("u", F.struct("agreed", "u")).alias("u")).select("u", "v")
-            edges = edges.union(verified(best, f"similar-best-{step}"))
-            parts = connected(edges, scratch, f"similar-first-{step}")
-            roots = [parts.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")) for end in "uv"]
-            apart = likely.join(roots[0], "u", "left").join(roots[1], "v", "left")
-            apart = apart.filter(F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v")
-            apart = scratch.keep(apart.join(best, ["u", "v"], "left_anti"), f"similar-apart-{step}")
-            if not apart.isEmpty():
-                edges = edges.union(verified(apart, f"similar-rest-{step}"))
-                parts = connected(edges, scratch, f"similar-second-{step}")
-        step += 1
-
-
 def keep_one(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of ``docs`` for each near-duplicate group: the one with the least id (none: last), then text key.
-
-    Groups are closed over pairs with a Jaccard similarity of 0.8 or more of their 5-word
-    shingles (see ``shingles``), not over the fingerprints of ``near_duplicates``. Texts
-    without words are one group. Of repeated rows, that with the least text hash stays.
-    """
-    names = tuple(unused(docs, name) for name in ("node", "size", "bands", "traces"))
-    node, turn = names[0], unused(docs, "turn")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for batch in batches:
-            for part in slices(batch, text_col):
-                nodes, sizes, bands, traced = [], [], [], []
-                for text in utf8(part, text_col):
-                    found = shingles(text)
-                    nodes.append(xxhash.xxh64_intdigest(b" ".join(text.lower().split()), HASH_SEED))
-                    sizes.append(len(found))
-                    minima = signature(found) if found else None
-                    bands.append(band_keys(minima).view(np.int64) if found else None)
-                    traced.append(trace_bytes(minima) if found else None)
-                made = [
-                    pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.array(sizes, pa.int64()),
-                    pa.array(bands, pa.list_(pa.int64())), pa.array(traced, pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays([*part.columns, *made], [*part.schema.names, *names])
-
-    kinds = (T.LongType(), T.LongType(), T.ArrayType(T.LongType()), T.BinaryType())
-    schema = T.StructType([*docs.schema.fields, *map(T.StructField, names, kinds)])
-    marked = scratch.keep(docs.mapInArrow(run, schema), "marked")
-    roots = _similar_roots(marked, names, text_col, scratch)
-    nodes = marked.select(F.col(id_col).cast("long").alias("doc_id"), F.col(node).alias("node")).distinct()
-    first = (
-        nodes.join(roots, "node", "left")
-        .groupBy(F.coalesce("root", "node").alias("root"))
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node")).alias("first"))
-    )
-    kept = scratch.keep(first.select("first.doc_id", F.col("first.node").alias("kept_node")), "kept")
-    order = Window.partitionBy(node, id_col).orderBy(F.xxhash64(F.col(text_col)))
-    same = (marked[node] == kept["kept_node"]) & marked[id_col].cast("long").eqNullSafe(kept["doc_id"])
-    return (
-        marked.drop(*names[1:])
-        .join(kept, same, "left_semi")
-        .withColumn(turn, F.row_number().over(order))
-        .filter(F.col(turn) == 1)
-        .select(*docs.columns)
-    )
+    """One row of ``docs`` for each near-duplicate group of ``near_texts``, not of the fingerprints' links."""
+    return near_texts.keep_one(docs, scratch, id_col, text_col)
