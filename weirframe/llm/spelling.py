@@ -10,9 +10,10 @@ disjoint bigrams of the prefix that occur in the fewest words together, chosen b
 programming over their positions. One edit touches one of two disjoint bigrams at most, so of
 two near words, that whose prefix ends no later in the order has a pivot that the other one
 still holds, and holds in its prefix. What lies on one side of that bigram is unchanged too,
-which fixes its position from that end: pivots and prefix grams are filed with the text
-before them and again with the text behind them. Pairs that share a key and differ in length
-by one at most are verified by their edit distance. All pairs are found.
+which fixes its position from that end, and one half of what lies on the other side: pivots
+and prefix grams are filed with the whole text on either side and both halves of the rest.
+Pairs that share a key and differ in length by one at most are verified by their edit
+distance. All pairs are found.
 
 Scale: tasks add up words before the shuffle; later steps work on distinct words. The table
 of bigrams has one row for each pair of letters, 90 squared at most, which bounds what tasks
@@ -111,9 +112,19 @@ def grams_of(word: str, order: dict[str, int], frequency: dict[str, int]) -> tup
     return prefix, [prefix[k] for k in pair], last
 
 
-def keys_of(word: str, at: int) -> tuple[bytes, bytes]:
-    """A bigram with the text before it, and with the text behind it."""
-    return b"<" + word[: at + 2].encode(), b">" + word[at:].encode()
+def keys_of(word: str, at: int) -> list[bytes]:
+    """A bigram with the text on one side of it, and an unchanged half of the text on the other.
+
+    Of two texts of ``a`` and ``b`` code points that are one edit apart, the first or the last
+    ``min(a, b) // 2`` are equal; with ``a`` known, that is one of two numbers.
+    """
+    keys = []
+    for side, whole, rest in (("<", word[: at + 2], word[at + 2 :]), (">", word[at:], word[:at])):
+        for half in sorted({max(0, len(rest) - 1) // 2, len(rest) // 2}):
+            keys.append(f"{side}{whole}[{rest[:half]}")
+            if half:
+                keys.append(f"{side}{whole}]{rest[len(rest) - half :]}")
+    return [key.encode() for key in keys]
 
 
 def filed(words: DataFrame, frequency: dict[str, int]) -> DataFrame:
