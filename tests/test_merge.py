@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from weirframe.operators import checks, dedup, merge, ordered, paging
+from weirframe.operators import checks, dedup, heavy, merge, ordered, paging
 
 RULE = merge.UpsertRule(["case", "k"], ["g1", "g2", "g3"], ["label"])
 SCHEMA = "case int, k string, g1 int, g2 string, g3 int, label string, note string, seq int"
@@ -47,14 +47,18 @@ def without_order(spark, table):
     return spark.createDataFrame(rows, SCHEMA.rsplit(",", 1)[0])
 
 
-# Heavy rows and keys: all keys whole, some keys in chunks, all keys in chunks.
-PATHS = [(1 << 20, 1000), (3, 1 << 20), (0, 0)]
+# Heavy rows and keys: all keys whole, some keys in pieces, and 50 keys of any size in pieces.
+PATHS = [(1 << 20, 1000), (3, 1000), (0, 50)]
 
 
-@pytest.mark.parametrize(("heavy_rows", "many_heavy"), PATHS)
-def test_fold_equals_row_by_row(spark, monkeypatch, heavy_rows, many_heavy):
-    monkeypatch.setattr(merge, "HEAVY_ROWS", heavy_rows)
-    monkeypatch.setattr(merge, "MANY_HEAVY", many_heavy)
+def cut_keys(frame, keys, place="seq"):
+    return heavy.heavy_keys(frame.filter(F.concat(*keys).isNotNull()), keys, F.col(place))
+
+
+@pytest.mark.parametrize(("heavy_rows", "most_keys"), PATHS)
+def test_fold_equals_row_by_row(spark, monkeypatch, heavy_rows, most_keys):
+    monkeypatch.setattr(heavy, "HEAVY_ROWS", heavy_rows)
+    monkeypatch.setattr(heavy, "MOST_KEYS", most_keys)
     rng = random.Random(1)
     stored, batch, actions, after = [], [], {"insert": 0, "update": 0, "noop": 0}, []
     for case in range(400):
@@ -67,33 +71,64 @@ def test_fold_equals_row_by_row(spark, monkeypatch, heavy_rows, many_heavy):
             actions[action] += 1
         after += table
     frame = spark.createDataFrame(batch, SCHEMA)
-    for width in (2, 100):
-        folded = merge.fold(frame, RULE, ["seq"], ordered.chunk_of("seq", width), without_order(spark, stored))
-        assert frame_rows(folded) == flat(after)
-        totals = merge.action_totals(folded).first()
-        assert (totals["n_insert"], totals["n_update"], totals["n_noop"]) == tuple(actions.values())
-
-
-@pytest.mark.parametrize(("heavy_rows", "many_heavy"), PATHS)
-def test_fold_with_negative_and_sparse_order_values(spark, monkeypatch, heavy_rows, many_heavy):
-    monkeypatch.setattr(merge, "HEAVY_ROWS", heavy_rows)
-    monkeypatch.setattr(merge, "MANY_HEAVY", many_heavy)
+    found = cut_keys(frame, ["case", "k"])
+    assert bool(found.found) == (heavy_rows < 100)
+    folded = merge.fold(frame, RULE, ["seq"], without_order(spark, stored), heavy=found)
+    assert frame_rows(folded) == flat(after)
+    totals = merge.action_totals(folded).first()
+    assert (totals["n_insert"], totals["n_update"], totals["n_noop"]) == tuple(actions.values())
+
+
+@pytest.mark.parametrize(("heavy_rows", "most_keys"), PATHS)
+def test_fold_with_negative_and_sparse_order_values(spark, monkeypatch, heavy_rows, most_keys):
+    monkeypatch.setattr(heavy, "HEAVY_ROWS", heavy_rows)
+    monkeypatch.setattr(heavy, "MOST_KEYS", most_keys)
     rule = merge.UpsertRule(["k"], ["g"])
     stored = spark.createDataFrame([("a", 9), ("b", 1)], "k string, g int")
     rows = [("a", 1, -3_145_728), ("a", 2, -1_048_581), ("a", 2, 7), ("b", 1, 2**60), ("c", 5, -(2**60))]
-    folded = merge.fold(spark.createDataFrame(rows, "k string, g int, seq long"), rule, ["seq"], ordered.chunk_of("seq"), stored)
+    frame = spark.createDataFrame(rows, "k string, g int, seq long")
+    folded = merge.fold(frame, rule, ["seq"], stored, heavy=cut_keys(frame, ["k"]))
     assert sorted(map(tuple, folded.collect())) == [("a", 2, 0, 2, 1), ("b", 1, 0, 0, 1), ("c", 5, 1, 0, 0)]
 
 
+def test_heavy_key_with_microsecond_orders_is_cut_evenly(spark, monkeypatch):
+    """Two million rows of one key, at instants that crowd together towards the end."""
+    n = 2_000_000
+    micros = F.lit(1_700_000_000_000_000) + (F.pow(F.col("id") / n, 0.1) * 1e12).cast("long") * 1000 + F.col("id") % 1000
+    busy = spark.range(n).select(F.lit("busy").alias("k"), (F.col("id") % 5 % 3).alias("g"), micros.alias("seq"), "id")
+    calm = spark.range(3000).select(F.concat(F.lit("k"), F.col("id") % 900).alias("k"), (F.col("id") % 2).alias("g"), (F.col("id") * 10**9).alias("seq"), "id")
+    batch = busy.unionByName(calm)
+    found = heavy.heavy_keys(batch, ["k"], F.col("seq"))
+    assert [key for key, _ in found.found] == ["busy"]
+    table = found.table(spark, batch.select("k").schema)
+    pieces = batch.join(table, "k").groupBy(heavy.piece_of("seq", "_cuts").alias("piece")).count().collect()
+    assert len(pieces) == 8 and max(r["count"] for r in pieces) < heavy.HEAVY_ROWS // 3
+    rule = merge.UpsertRule(["k"], ["g"])
+    folded = merge.fold(batch, rule, ["seq", "id"], heavy=found)
+    whole = merge.fold(batch, rule, ["seq", "id"])
+    assert sorted(map(tuple, folded.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_fold_runs_no_job_and_finding_heavy_keys_shuffles_one_row_per_task(spark):
+    rows = spark.range(10_000).select((F.col("id") % 7).alias("k"), F.col("id").alias("seq"))
+    tracker, group = spark.sparkContext.statusTracker(), "fold-jobs"
+    spark.sparkContext.setJobGroup(group, group)
+    merge.fold(rows.withColumn("g", F.lit(1)), merge.UpsertRule(["k"], ["g"]), ["seq"], rows.select("k", F.lit(2).alias("g")))
+    assert not tracker.getJobIdsForGroup(group)
+    heavy.heavy_keys(rows, ["k"], F.col("seq"))
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    assert stages and all(s is None or s.numTasks <= 8 for s in stages)
+    spark.sparkContext.setJobGroup("tests", "tests")
+
+
 def test_split_batch_gives_the_same_table(spark):
     rng = random.Random(2)
     batch = [row for case in range(100) for row in random_batch(rng, case, 8)]
     frame = spark.createDataFrame(batch, SCHEMA)
-    chunk = ordered.chunk_of("seq", 2)
-    whole = merge.guarded_upsert(frame, RULE, ["seq"], chunk)
+    whole = merge.guarded_upsert(frame, RULE, ["seq"])
     for cut in (0, 3, 8):
-        first = merge.guarded_upsert(frame.filter(F.col("seq") < cut), RULE, ["seq"], chunk)
-        both = merge.guarded_upsert(frame.filter(F.col("seq") >= cut), RULE, ["seq"], chunk, first)
+        first = merge.guarded_upsert(frame.filter(F.col("seq") < cut), RULE, ["seq"])
+        both = merge.guarded_upsert(frame.filter(F.col("seq") >= cut), RULE, ["seq"], first)
         assert frame_rows(both) == frame_rows(whole)
 
 
@@ -101,9 +136,8 @@ def test_replay_leaves_keyed_rows_unchanged(spark):
     rng = random.Random(3)
     batch = [row for case in range(100) for row in random_batch(rng, case, 8) if row[1]]
     frame = spark.createDataFrame(batch, SCHEMA)
-    chunk = ordered.chunk_of("seq", 3)
-    once = merge.guarded_upsert(frame, RULE, ["seq"], chunk)
-    assert frame_rows(merge.guarded_upsert(frame, RULE, ["seq"], chunk, once)) == frame_rows(once)
+    once = merge.guarded_upsert(frame, RULE, ["seq"])
+    assert frame_rows(merge.guarded_upsert(frame, RULE, ["seq"], once)) == frame_rows(once)
 
 
 def test_label_change_alone_is_a_noop(spark):
@@ -114,10 +148,9 @@ def test_label_change_alone_is_a_noop(spark):
         (0, None, 3, "m1", None, "alert", "d4", 3),
     ]
     frame = spark.createDataFrame(rows, SCHEMA)
-    chunk = ordered.chunk_of("seq")
-    once = merge.fold(frame, RULE, ["seq"], chunk)
+    once = merge.fold(frame, RULE, ["seq"])
     assert frame_rows(once) == [(0, "A1", 2, "m1", None, "warning", "d1"), (0, None, 3, "m1", None, "alert", "d4")]
-    replay = merge.fold(frame.filter("k is not null"), RULE, ["seq"], chunk, once.drop(*merge.ACTIONS))
+    replay = merge.fold(frame.filter("k is not null"), RULE, ["seq"], once.drop(*merge.ACTIONS))
     totals = merge.action_totals(replay).first()
     assert (totals["n_insert"], totals["n_update"], totals["n_noop"]) == (0, 2, 1)
     assert frame_rows(replay) == frame_rows(once)
@@ -126,7 +159,7 @@ def test_label_change_alone_is_a_noop(spark):
 def test_rule_without_carried_or_immutable_columns(spark):
     frame = spark.createDataFrame([("a", 1, 0), ("a", 2, 1), ("b", 1, 2)], "k string, g int, seq int")
     rule = merge.UpsertRule(["k"], ["g"])
-    merged = merge.guarded_upsert(frame, rule, ["seq"], ordered.chunk_of("seq", 1))
+    merged = merge.guarded_upsert(frame, rule, ["seq"])
     assert sorted(map(tuple, merged.collect())) == [("a", 2), ("b", 1)]
 
 

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from weirframe.operators import dedup, lookup, merge, ordered
+from weirframe.operators import dedup, heavy, lookup, merge, ordered
 from weirframe.plans.queries import QUERIES
 from weirframe.sources.schemas import RIVER_LEVELS
 from weirframe.sources.tables import TableStore
@@ -51,12 +51,12 @@ def test_insert_ignore_shuffles_batch_and_target_once(spark, no_broadcast):
 def test_fold_shuffles_rows_once_and_heavy_keys_twice(spark, monkeypatch):
     rows = spark.range(100).select((F.col("id") % 7).alias("k"), (F.col("id") % 3).alias("g"), "id")
     rule = merge.UpsertRule(["k"], ["g"])
-    folded = merge.fold(rows, rule, ["id"], ordered.chunk_of("id"), null_keys=False)
+    folded = merge.fold(rows, rule, ["id"], null_keys=False)
     assert shuffles(folded) == 1 and plan_of(folded).count("Sort [") == 1
-    monkeypatch.setattr(merge, "HEAVY_ROWS", 10)
-    monkeypatch.setattr(merge, "MANY_HEAVY", 3)
-    everything = merge.fold(rows, rule, ["id"], ordered.chunk_of("id"), null_keys=False)
-    assert shuffles(everything) == 2
+    monkeypatch.setattr(heavy, "HEAVY_ROWS", 10)
+    found = heavy.heavy_keys(rows, ["k"], F.col("id"))
+    # Light keys once; heavy ones by (key, piece), then one row of each piece by key.
+    assert shuffles(merge.fold(rows, rule, ["id"], null_keys=False, heavy=found)) == 3
 
 
 def test_previous_row_moves_rows_once(spark, no_broadcast):

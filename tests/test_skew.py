@@ -11,7 +11,7 @@ import duckdb
 import pytest
 from compare import compare
 
-from weirframe.operators import merge, ordered
+from weirframe.operators import heavy, ordered
 from weirframe.plans.oracle import SQL
 from weirframe.plans.queries import QUERIES
 
@@ -44,5 +44,5 @@ def skewed():
 def test_query_on_skewed_tables(spark, skewed, name, monkeypatch):
     chunk_of = ordered.chunk_of
     monkeypatch.setattr(ordered, "chunk_of", lambda order: chunk_of(order, 64))
-    monkeypatch.setattr(merge, "HEAVY_ROWS", 20)
+    monkeypatch.setattr(heavy, "HEAVY_ROWS", 20)
     compare(spark, skewed, QUERIES[name], SQL[name])

@@ -1,21 +1,18 @@
 """Write rules on keyed tables: insert-if-absent and the guarded upsert.
 
-Both are pure functions of frames. A key with a null part never conflicts.
+Both are pure functions of frames and run no job. A key with a null part never conflicts.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirframe.operators.dedup import first_wins, split_null_keys
+from weirframe.operators.heavy import HeavyKeys, piece_of
 
-# Batch rows of one key beyond which the key is folded chunk by chunk, and the number of
-# such keys beyond which all keys are.
-HEAVY_ROWS = 1 << 20
-MANY_HEAVY = 1000
 SO_FAR = "rows between unbounded preceding and current row"
 
 
@@ -72,9 +69,9 @@ def fold(
     batch: DataFrame,
     rule: UpsertRule,
     order: list[str],
-    chunk: Column,
     stored: DataFrame | None = None,
     null_keys: bool = True,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """Applies the batch row by row, in order, to the stored rows.
 
@@ -83,27 +80,24 @@ def fold(
     so the state after any prefix is the last guard and the label of the last changing
     row. One shuffle by key brings a key's rows together.
 
-    A key with more than ``HEAVY_ROWS`` batch rows (one count per key finds them) would
-    overload its task. State and counts combine over chunks, so such a key is folded
-    per (key, chunk) first. ``chunk`` is a whole number that never decreases along the
-    order (see ``ordered``). Stored rows are one per key and come before the batch.
+    A key that ``heavy`` names (see ``heavy.heavy_keys``) would overload its task. State and
+    counts combine over pieces of the order, so such a key is folded per (key, piece) first.
+    The result is the same. Stored rows are one per key and come before the batch.
     """
     columns = [c for c in batch.columns if c not in order]
     keyed, keyless = split_null_keys(batch, rule.keys) if null_keys else (batch, None)
     positions = {f"_order_{i}": F.col(c) for i, c in enumerate(order)}
-    rows = keyed.select(*columns, *[c.alias(name) for name, c in positions.items()], chunk.alias("_chunk"))
+    place = heavy.place.cast("long") if heavy and heavy.found else F.lit(None).cast("long")
+    rows = keyed.select(*columns, *[c.alias(name) for name, c in positions.items()], place.alias("_place"))
     stored_keyless = None
     if stored is not None:
         kept = stored.select(*columns)
         kept, stored_keyless = split_null_keys(kept, rule.keys) if null_keys else (kept, None)
-        no_order = [F.lit(None).cast(rows.schema[name].dataType).alias(name) for name in positions]
-        no_chunk = F.lit(None).cast(rows.schema["_chunk"].dataType).alias("_chunk")
-        rows = rows.withColumn("_new", F.lit(True)).unionByName(
-            kept.select("*", *no_order, no_chunk, F.lit(False).alias("_new"))
-        )
+        no_order = [F.lit(None).cast(rows.schema[name].dataType).alias(name) for name in (*positions, "_place")]
+        rows = rows.withColumn("_new", F.lit(True)).unionByName(kept.select("*", *no_order, F.lit(False).alias("_new")))
     else:
         rows = rows.withColumn("_new", F.lit(True))
-    merged = _fold_rows(rows, heavy_keys(keyed, rule.keys), rule, columns, list(positions))
+    merged = _fold_rows(rows, heavy, rule, columns, list(positions))
     if keyless is not None:
         merged = merged.unionByName(unfolded(keyless, order, inserted=True))
     if stored_keyless is not None:
@@ -117,30 +111,15 @@ def unfolded(keyless: DataFrame, order: list[str], inserted: bool) -> DataFrame:
     return keyless.drop(*order).select("*", *[F.lit(n).cast("long").alias(name) for name, n in counts])
 
 
-def heavy_keys(batch: DataFrame, keys: list[str]) -> list[tuple] | None:
-    """Keys with more than ``HEAVY_ROWS`` rows; None if there are more than ``MANY_HEAVY`` of them."""
-    counted = batch.groupBy(*keys).count().filter(F.col("count") > HEAVY_ROWS)
-    found = counted.select(*keys).limit(MANY_HEAVY + 1).collect()
-    return None if len(found) > MANY_HEAVY else [tuple(row) for row in found]
-
-
-def _fold_rows(
-    rows: DataFrame, heavy: list[tuple] | None, rule: UpsertRule, columns: list[str], order: list[str]
-) -> DataFrame:
+def _fold_rows(rows: DataFrame, heavy: HeavyKeys | None, rule: UpsertRule, columns: list[str], order: list[str]) -> DataFrame:
     """Heavy keys in two levels, all others in one."""
-
-    def in_chunks(part: DataFrame) -> DataFrame:
-        return _merge_chunks(_chunk_summaries(part, rule, columns, order), rule, columns)
-
-    if heavy is None:
-        return in_chunks(rows)
-    if not heavy:
+    if not heavy or not heavy.found:
         return _fold_whole(rows, rule, columns, order)
-    kinds = rows.select(*rule.keys).schema
-    # At most MANY_HEAVY rows.
-    table = F.broadcast(rows.sparkSession.createDataFrame(heavy, kinds))
+    # A row for each of heavy.MOST_KEYS keys at most.
+    table = F.broadcast(heavy.table(rows.sparkSession, rows.select(*rule.keys).schema))
     light = _fold_whole(rows.join(table, rule.keys, "left_anti"), rule, columns, order)
-    return light.unionByName(in_chunks(rows.join(table, rule.keys, "left_semi")))
+    cut = rows.join(table, rule.keys).withColumn("_chunk", piece_of("_place", "_cuts"))
+    return light.unionByName(_merge_chunks(_chunk_summaries(cut, rule, columns, order), rule, columns))
 
 
 def _fold_whole(rows: DataFrame, rule: UpsertRule, columns: list[str], order: list[str]) -> DataFrame:
@@ -252,12 +231,12 @@ def guarded_upsert(
     batch: DataFrame,
     rule: UpsertRule,
     order: list[str],
-    chunk: Column,
     stored: DataFrame | None = None,
     null_keys: bool = True,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """The table after the batch."""
-    return fold(batch, rule, order, chunk, stored, null_keys).drop(*ACTIONS)
+    return fold(batch, rule, order, stored, null_keys, heavy).drop(*ACTIONS)
 
 
 def action_totals(folded: DataFrame) -> DataFrame:

@@ -7,9 +7,10 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirframe.functions.scalars import strict, surrogate_id, truthy
+from weirframe.functions.scalars import all_present, strict, surrogate_id, truthy
 from weirframe.operators.dedup import first_wins, last_wins
 from weirframe.operators.filters import complete_coords
+from weirframe.operators.heavy import heavy_keys
 from weirframe.operators.lookup import left_lookup
 from weirframe.operators.merge import (
     UpsertRule,
@@ -142,8 +143,8 @@ def poll_once(
                 drop_replayed(events, stored_events, EVENT_RULE.keys),
                 EVENT_RULE,
                 ARRIVAL,
-                F.col("page").cast("long"),
                 stored_events,
+                heavy=heavy_keys(events.filter(all_present(EVENT_RULE.keys)), EVENT_RULE.keys, F.col("page")),
             ),
             "folded",
         )

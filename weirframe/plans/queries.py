@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from weirframe.functions import arrays, scalars
 from weirframe.operators import checks, dedup, filters, ledger, merge, ordered, paging
+from weirframe.operators.heavy import heavy_keys
 from weirframe.operators.lookup import left_lookup
 from weirframe.plans import backfill, poll
 from weirframe.session import Scratch
@@ -88,12 +89,13 @@ def _warnings(events: DataFrame) -> DataFrame:
 
 def _folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    chunk = ordered.chunk_of("event_id")
     order = ["event_id"]
     # Keyless rows are split off once, at the scan, and not again from the earlier state.
     keyed, keyless = dedup.split_null_keys(events, ["user_id", "ts"])
-    earlier = merge.guarded_upsert(_warnings(keyed.filter(_earlier())), EVENT_RULE, order, chunk, null_keys=False)
-    folded = merge.fold(_warnings(keyed.filter(~_earlier())), EVENT_RULE, order, chunk, earlier, null_keys=False)
+    # Found over all events, so that both halves know them.
+    found = heavy_keys(_warnings(keyed).select("user_id", "hour", "event_id"), EVENT_RULE.keys, F.col("event_id"))
+    earlier = merge.guarded_upsert(_warnings(keyed.filter(_earlier())), EVENT_RULE, order, null_keys=False, heavy=found)
+    folded = merge.fold(_warnings(keyed.filter(~_earlier())), EVENT_RULE, order, earlier, null_keys=False, heavy=found)
     return folded.unionByName(merge.unfolded(_warnings(keyless.filter(_earlier())), order, inserted=False)).unionByName(
         merge.unfolded(_warnings(keyless.filter(~_earlier())), order, inserted=True)
     )
@@ -730,7 +732,8 @@ def _polled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Dat
         _noted().alias("time_severity_changed"),
     )
     batch = poll.event_batch(warnings, coords, datetime.datetime(2024, 1, 1, 10), "p1")
-    return merge.fold(batch, poll.EVENT_RULE, poll.ARRIVAL, F.col("page")), coords, weather
+    found = heavy_keys(batch, poll.EVENT_RULE.keys, F.col("page"))
+    return merge.fold(batch, poll.EVENT_RULE, poll.ARRIVAL, heavy=found), coords, weather
 
 
 def poll_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -775,7 +778,7 @@ def poll_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             _warnings,
             EVENT_RULE,
             ["event_id"],
-            ordered.chunk_of("event_id"),
+            F.col("event_id"),
             store,
             EVENT_STATE,
             scratch.path(f"checkpoint-{name}"),

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from weirframe.functions.scalars import BAD_VALUE
+from weirframe.functions.scalars import BAD_VALUE, all_present
+from weirframe.operators.heavy import heavy_keys
 from weirframe.operators.merge import ACTIONS, UpsertRule, drop_replayed, fold
 from weirframe.sources import files
 from weirframe.plans.poll import poll_once
@@ -128,7 +129,7 @@ def stream_upserts(
     prepare: Callable[[DataFrame], DataFrame],
     rule: UpsertRule,
     order: list[str],
-    chunk: Column,
+    place: Column,
     store: TableStore,
     table: Table,
     checkpoint: str,
@@ -136,7 +137,8 @@ def stream_upserts(
 ) -> StreamingQuery:
     """Folds each micro-batch into the table partitions that it touches.
 
-    ``row_id`` tells keyless rows apart, so that a repeated batch adds none twice.
+    ``place`` is a whole number along the order, at which a heavy key is cut. ``row_id``
+    tells keyless rows apart, so that a repeated batch adds none twice.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -146,7 +148,8 @@ def stream_upserts(
             touched = partition_values(store.routed(table, rows), table.partition)
             stored = store.read(table, touched)
             fresh = drop_replayed(rows, stored, rule.keys, row_id)
-            merged = fold(fresh, rule, order, chunk, stored).drop(*ACTIONS)
+            heavy = heavy_keys(rows.filter(all_present(rule.keys)), rule.keys, place)
+            merged = fold(fresh, rule, order, stored, heavy=heavy).drop(*ACTIONS)
             store.replace_partitions(table, merged, f"batch-{batch_id}")
 
     return (
