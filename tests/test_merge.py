@@ -91,6 +91,32 @@ def test_fold_with_negative_and_sparse_order_values(spark, monkeypatch, heavy_ro
     assert sorted(map(tuple, folded.collect())) == [("a", 2, 0, 2, 1), ("b", 1, 0, 0, 1), ("c", 5, 1, 0, 0)]
 
 
+@pytest.mark.parametrize(("heavy_rows", "most_keys"), PATHS)
+def test_steps_equal_one_fold_after_the_other(spark, monkeypatch, heavy_rows, most_keys):
+    monkeypatch.setattr(heavy, "HEAVY_ROWS", heavy_rows)
+    monkeypatch.setattr(heavy, "MOST_KEYS", most_keys)
+    rng = random.Random(8)
+    stored, batch, after, actions = [], [], [], {}
+    for case in range(250):
+        table = []
+        apply_rows(table, random_batch(rng, case, rng.randint(0, 3)))
+        stored += [dict(t) for t in table]
+        for step in range(4):
+            rows = random_batch(rng, case, rng.randint(0, 4), 100 * step)
+            batch += [(*row, step) for row in rows]
+            for row, action in zip(rows, apply_rows(table, rows), strict=True):
+                count = actions.setdefault((case, row[1], step), {"insert": 0, "update": 0, "noop": 0})
+                count[action] += 1
+        after += table
+    frame = spark.createDataFrame(batch, f"{SCHEMA}, step int").withColumnRenamed("step", "turn")
+    found = cut_keys(frame, ["case", "k"])
+    steps = merge.fold_steps(frame, RULE, ["seq", "turn"], F.col("turn"), without_order(spark, stored), found)
+    assert frame_rows(steps.filter("is_last")) == flat(after)
+    counted = steps.filter("step is not null").groupBy("case", "k", "step").agg(*[F.sum(name) for name in merge.ACTIONS])
+    got = {tuple(r)[:3]: tuple(r)[3:] for r in counted.collect()}
+    assert got == {key: tuple(count.values()) for key, count in actions.items()}
+
+
 def test_heavy_key_with_microsecond_orders_is_cut_evenly(spark, monkeypatch):
     """Two million rows of one key, at instants that crowd together towards the end."""
     n = 2_000_000

@@ -88,6 +88,27 @@ def all_present(columns: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns], F.lit(True))
 
 
+def default_for_absent(value: Column, default: Column, explicit_null: Column | None = None) -> Column:
+    """The default where a field is absent; a field that is there and null (``explicit_null``) stays null."""
+    filled = F.coalesce(value, default)
+    return filled if explicit_null is None else F.when(~explicit_null | value.isNotNull(), filled)
+
+
+def text_constants(values: dict[str, str | None]) -> list[Column]:
+    """Named columns with the same text, or none, in every row."""
+    return [F.lit(value).cast("string").alias(name) for name, value in values.items()]
+
+
+def first_reason(reasons: list[Column]) -> Column:
+    """The first reason that is not null, cut to a length that fits a log."""
+    return F.left(F.coalesce(*reasons, F.lit(None).cast("string")), F.lit(500))
+
+
+def misfit_reason(text: Column, coerced: Column, name: str) -> Column:
+    """Why a value fails what it belongs to; null if it fits."""
+    return F.when(misfit(text, coerced), F.concat(F.lit(f"{BAD_VALUE} for {name}: "), text.cast("string")))
+
+
 def truthy(value: Column) -> Column:
     """Present and not zero."""
     return value.isNotNull() & (value != 0)

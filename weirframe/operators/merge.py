@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirframe.operators.dedup import first_wins, split_null_keys
@@ -86,18 +86,12 @@ def fold(
     """
     columns = [c for c in batch.columns if c not in order]
     keyed, keyless = split_null_keys(batch, rule.keys) if null_keys else (batch, None)
-    positions = {f"_order_{i}": F.col(c) for i, c in enumerate(order)}
-    place = heavy.place.cast("long") if heavy and heavy.found else F.lit(None).cast("long")
-    rows = keyed.select(*columns, *[c.alias(name) for name, c in positions.items()], place.alias("_place"))
-    stored_keyless = None
+    kept, stored_keyless = None, None
     if stored is not None:
         kept = stored.select(*columns)
         kept, stored_keyless = split_null_keys(kept, rule.keys) if null_keys else (kept, None)
-        no_order = [F.lit(None).cast(rows.schema[name].dataType).alias(name) for name in (*positions, "_place")]
-        rows = rows.withColumn("_new", F.lit(True)).unionByName(kept.select("*", *no_order, F.lit(False).alias("_new")))
-    else:
-        rows = rows.withColumn("_new", F.lit(True))
-    merged = _fold_rows(rows, heavy, rule, columns, list(positions))
+    rows, names = _with_stored(keyed, kept, columns, order, {"_place": _place(heavy)})
+    merged = _fold_rows(rows, heavy, rule, columns, names)
     if keyless is not None:
         merged = merged.unionByName(unfolded(keyless, order, inserted=True))
     if stored_keyless is not None:
@@ -105,6 +99,68 @@ def fold(
     return merged
 
 
+def _place(heavy: HeavyKeys | None) -> Column:
+    return heavy.place.cast("long") if heavy and heavy.found else F.lit(None).cast("long")
+
+
+def _with_stored(
+    batch: DataFrame, stored: DataFrame | None, columns: list[str], order: list[str], more: dict[str, Column]
+) -> tuple[DataFrame, list[str]]:
+    """Batch rows with their order and ``more`` columns, stored rows without; and the order's names."""
+    positions = {f"_order_{i}": F.col(c) for i, c in enumerate(order)} | more
+    rows = batch.select(*columns, *[c.alias(name) for name, c in positions.items()], F.lit(True).alias("_new"))
+    if stored is not None:
+        nothing = [F.lit(None).cast(rows.schema[name].dataType).alias(name) for name in positions]
+        rows = rows.unionByName(stored.select(*columns, *nothing, F.lit(False).alias("_new")))
+    return rows, [f"_order_{i}" for i in range(len(order))]
+
+
+#: Pieces of a heavy key in one step, as a power of two.
+PIECE_BITS = 16
+
+
+def fold_steps(
+    batch: DataFrame,
+    rule: UpsertRule,
+    order: list[str],
+    step: Column,
+    stored: DataFrame | None = None,
+    heavy: HeavyKeys | None = None,
+) -> DataFrame:
+    """``fold`` over batches that follow each other, told apart by the whole number ``step``.
+
+    Returns the state of every key after each step that has rows of it, with that step's
+    actions, ``step`` (null for stored rows) and ``is_last``: the rows with ``is_last`` are the
+    table after all steps. A heavy key has a row for each piece of a step. All steps cost one
+    shuffle by key. ``order`` and the place of ``heavy`` must not decrease from step to step.
+    """
+    columns = [c for c in batch.columns if c not in order]
+    keyed, keyless = split_null_keys(batch, rule.keys)
+    kept, stored_keyless = split_null_keys(stored.select(*columns), rule.keys) if stored is not None else (None, None)
+    rows, names = _with_stored(keyed, kept, columns, order, {"_place": _place(heavy), "_step": step.cast("long")})
+
+    def run(part: DataFrame, piece: Column) -> DataFrame:
+        chunk = F.shiftleft("_step", PIECE_BITS) + piece
+        return _running_chunks(_chunk_summaries(part.withColumn("_chunk", chunk), rule, columns, names), rule)
+
+    if heavy and heavy.found:
+        table = F.broadcast(heavy.table(rows.sparkSession, rows.select(*rule.keys).schema))
+        light = run(rows.join(table, rule.keys, "left_anti").repartition(*rule.keys), F.lit(0))
+        found = light.unionByName(run(rows.join(table, rule.keys), piece_of("_place", "_cuts")))
+    else:
+        found = run(rows.repartition(*rule.keys), F.lit(0))
+    # The windows over (key, chunk) and over the key both follow the partitioning by key.
+    placed = found.selectExpr("* except (n_insert, n_update, _rows)", "_own_insert as n_insert", "_own_update as n_update", "_own_rows as _rows")
+    extra = [F.shiftright("_chunk", PIECE_BITS).cast("int").alias("step"), F.col("_is_last").alias("is_last")]
+    steps = _result(placed, rule, columns, extra)
+    alone = [F.lit(True).alias("is_last")]
+    own_step = step.cast("int").alias("step")
+    steps = steps.unionByName(unfolded(keyless.withColumn("_step", own_step), order, inserted=True).withColumnRenamed("_step", "step").select("*", *alone))
+    if stored_keyless is not None:
+        steps = steps.unionByName(unfolded(stored_keyless, order, inserted=False).select("*", F.lit(None).cast("int").alias("step"), *alone))
+    return steps
+
+
 def unfolded(keyless: DataFrame, order: list[str], inserted: bool) -> DataFrame:
     """Rows with a null key part as ``fold`` returns them: all kept, each an insert if new."""
     counts = zip(ACTIONS, (int(inserted), 0, 0))
@@ -146,16 +202,17 @@ def _fold_whole(rows: DataFrame, rule: UpsertRule, columns: list[str], order: li
     return _result(running.filter("_is_last"), rule, columns)
 
 
-def _result(folded: DataFrame, rule: UpsertRule, columns: list[str]) -> DataFrame:
-    return folded.selectExpr(
-        *_quoted(rule.keys),
-        *[f"_created.`{c}` as `{c}`" for c in rule.immutable(columns)],
-        *_quoted(rule.guard),
-        *[f"_label.`{c}` as `{c}`" for c in rule.carried],
-        "n_insert",
-        "n_update",
-        "_rows - n_insert - n_update as n_noop",
-    ).select(*columns, *ACTIONS)
+def _result(folded: DataFrame, rule: UpsertRule, columns: list[str], extra: list[Column] | None = None) -> DataFrame:
+    found = [
+        *[F.col(f"`{c}`") for c in rule.keys],
+        *[F.col(f"_created.`{c}`").alias(c) for c in rule.immutable(columns)],
+        *[F.col(f"`{c}`") for c in rule.guard],
+        *[F.col(f"_label.`{c}`").alias(c) for c in rule.carried],
+    ]
+    noop = (F.col("_rows") - F.col("n_insert") - F.col("n_update")).alias("n_noop")
+    more = extra or []
+    made = folded.select(*found, "n_insert", "n_update", noop, *more)
+    return made.select(*columns, *ACTIONS, *made.columns[len(made.columns) - len(more) :])
 
 
 def _chunk_summaries(rows: DataFrame, rule: UpsertRule, columns: list[str], order: list[str]) -> DataFrame:
@@ -190,8 +247,8 @@ def _chunk_summaries(rows: DataFrame, rule: UpsertRule, columns: list[str], orde
     return running.filter("_is_last").drop("_is_last")
 
 
-def _merge_chunks(chunks: DataFrame, rule: UpsertRule, columns: list[str]) -> DataFrame:
-    """The same over the chunks of a key, one summary row each."""
+def _running_chunks(chunks: DataFrame, rule: UpsertRule) -> DataFrame:
+    """State and counts after each chunk of a key, and the chunk's own counts."""
     window = f"partition by {_names(rule.keys)} order by _new, _chunk"
     changed = " or ".join(f"_first_guard.`{g}` is distinct from _previous.`{g}`" for g in rule.guard)
     linked = chunks.selectExpr(
@@ -201,17 +258,25 @@ def _merge_chunks(chunks: DataFrame, rule: UpsertRule, columns: list[str]) -> Da
         f"lag({_value(rule.guard)}) over ({window}) as _previous",
     ).selectExpr("*", f"_part > 1 and ({changed}) as _changed")
     so_far = f"({window} {SO_FAR})"
-    running = linked.selectExpr(
+    return linked.selectExpr(
         *_quoted(rule.keys),
         *_quoted(rule.guard),
+        "_chunk",
         "_is_last",
         f"first(_created) over {so_far} as _created",
         f"last(coalesce(_label, if(_changed or _part = 1, _first_label, null)), true) over {so_far} as _label",
         f"sum(if(_new, _rows, 0)) over {so_far} as _rows",
         f"sum(_changes + if(_changed, 1, 0)) over {so_far} as n_update",
         f"if(first(_new) over {so_far}, 1L, 0L) as n_insert",
+        "if(_new, _rows, 0L) as _own_rows",
+        "_changes + if(_changed, 1L, 0L) as _own_update",
+        "if(_new and _part = 1, 1L, 0L) as _own_insert",
     )
-    return _result(running.filter("_is_last"), rule, columns)
+
+
+def _merge_chunks(chunks: DataFrame, rule: UpsertRule, columns: list[str]) -> DataFrame:
+    """One row per key, from the summaries of its chunks."""
+    return _result(_running_chunks(chunks, rule).filter("_is_last"), rule, columns)
 
 
 def _quoted(columns: list[str]) -> list[str]:

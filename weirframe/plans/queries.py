@@ -622,24 +622,26 @@ def _poll_landed(spark: SparkSession, sf_dir: str, label: str) -> TableStore:
     events = table(spark, sf_dir, "events")
     customer = table(spark, sf_dir, "customer")
 
-    def land(source: str, entries: DataFrame) -> None:
-        pages = entries.groupBy(paging.page_of(F.col("n")).cast("int").alias("page")).agg(
+    def land(source: str, bodies: DataFrame) -> None:
+        rows = bodies.select(F.lit(source).alias("source"), "area", "page", F.to_json("document").alias("body"))
+        rows.write.mode("append").parquet(f"{landing}/poll_bodies/poll=p1")
+
+    def pages(entries: DataFrame) -> DataFrame:
+        cut = entries.groupBy(paging.page_of(F.col("n")).cast("int").alias("page")).agg(
             F.sort_array(F.collect_list(F.struct("n", "entry"))).alias("rows")
         )
-        pages.select("page", F.col("rows.entry").alias("items")).write.partitionBy("page").json(
-            f"{landing}/{source}/poll=p1"
-        )
+        return cut.select(F.lit(None).cast("string").alias("area"), "page", F.struct(F.col("rows.entry").alias("items")).alias("document"))
 
     area = F.concat(F.lit("A"), F.col("c_custkey").cast("string"))
-    land(
-        "areas",
+    areas = (
         customer.select(
             F.col("c_custkey").alias("n"),
             F.struct(
                 area.alias("notation"), F.col("c_nationkey").alias("lat"), (F.col("c_acctbal") / 100).alias("long")
             ).alias("entry"),
-        ),
+        )
     )
+    land("areas", pages(areas))
     warning = F.struct(
         F.concat(F.lit("A"), F.nullif("user_id", F.lit(0)).cast("string")).alias("floodAreaID"),
         F.col("event_id").cast("string").alias("description"),
@@ -652,21 +654,21 @@ def _poll_landed(spark: SparkSession, sf_dir: str, label: str) -> TableStore:
         F.lit("2024-01-01T09:30:00+02:00").alias("timeRaised"),
         _noted().alias("timeSeverityChanged"),
     )
-    land("warnings", events.select(F.col("event_id").alias("n"), warning.alias("entry")))
+    land("warnings", pages(events.select(F.col("event_id").alias("n"), warning.alias("entry"))))
     day = F.date_format(F.date_trunc("day", "ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     station = F.concat(F.lit("http://x/data/readings/U"), F.col("user_id").cast("string"), F.lit("-level-i-15_min/1"))
     reading = F.struct(station.alias("@id"), F.col("value"), day.alias("dateTime"))
-    land("readings", events.select(F.col("event_id").alias("n"), reading.alias("entry")))
+    land("readings", pages(events.select(F.col("event_id").alias("n"), reading.alias("entry"))))
     weather = events.select(F.col("user_id").alias("c_custkey")).distinct().join(customer, "c_custkey").filter("c_acctbal > 0")
-    weather.select(
-        area.alias("area"),
+    measures = F.struct(
         F.struct(
             F.col("c_nationkey").alias("temperature"),
             (F.col("c_nationkey") + 0.5).alias("winddirection"),
             (F.col("c_nationkey") * 2).alias("weathercode"),
         ).alias("current_weather"),
         F.struct(F.array(F.lit(0.25), F.lit(9.0)).alias("precipitation")).alias("hourly"),
-    ).write.partitionBy("area").json(f"{landing}/weather/poll=p1")
+    )
+    land("weather", weather.select(area.alias("area"), F.lit(0).alias("page"), measures.alias("document")))
     store = TableStore(spark, scratch.path("tables"))
     poll.poll_once(spark, landing, store, "p1", datetime.datetime(2024, 1, 1, 10, 25))
     return store
@@ -702,14 +704,16 @@ def landed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _polled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """All events as the warnings of one poll: (folded events, area coordinates, area weather)."""
+def _polled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
+    """All events as the warnings of one poll: (events after it, area coordinates, area weather, runs)."""
     customer = table(spark, sf_dir, "customer")
     area = F.concat(F.lit("A"), F.col("c_custkey").cast("string"))
+    one = F.lit("p1").alias("poll")
     coords = customer.select(
-        area.alias("notation"), F.col("c_nationkey").cast("double").alias("lat"), (F.col("c_acctbal") / 100).alias("lon")
+        one, area.alias("notation"), F.col("c_nationkey").cast("double").alias("lat"), (F.col("c_acctbal") / 100).alias("lon")
     )
     weather = customer.filter("c_acctbal > 0").select(
+        one,
         area.alias("area"),
         F.lit(0).alias("page"),
         F.lit("body.json").alias("document"),
@@ -718,6 +722,7 @@ def _polled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Dat
         *[F.lit(None).cast("string").alias(c) for c in ("precipitation_mm", "wind_speed_kmh", "weather_code", "humidity_pct")],
     )
     warnings = table(spark, sf_dir, "events").select(
+        one,
         paging.page_of(F.col("event_id")).alias("page"),
         F.col("event_id").alias("pos"),
         F.concat(F.lit("A"), F.nullif("user_id", F.lit(0)).cast("string")).alias("flood_area_id"),
@@ -731,15 +736,15 @@ def _polled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Dat
         F.lit(None).cast("string").alias("time_raised"),
         _noted().alias("time_severity_changed"),
     )
-    batch = poll.event_batch(warnings, coords, datetime.datetime(2024, 1, 1, 10), "p1")
-    found = heavy_keys(batch, poll.EVENT_RULE.keys, F.col("page"))
-    return merge.fold(batch, poll.EVENT_RULE, poll.ARRIVAL, heavy=found), coords, weather
+    runs = spark.range(1).select(one, F.lit(0).alias("step"), F.lit("2024-01-01 10:00:00").cast("timestamp").alias("polled_at"))
+    batch = poll.event_batch(warnings, coords, runs).drop("reason")
+    return poll.event_steps(batch, None, batch), coords, weather, runs
 
 
 def poll_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flood events after one poll of all events; user 0 has no area and never conflicts."""
-    folded, _, _ = _polled(spark, sf_dir)
-    return folded.select(
+    steps, *_ = _polled(spark, sf_dir)
+    return steps.filter("is_last").select(
         "flood_area_id",
         "description",
         "severity_level",
@@ -753,8 +758,8 @@ def poll_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def poll_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather snapshots of that poll, with the area of the event they link to."""
-    folded, coords, weather = _polled(spark, sf_dir)
-    attempts = poll.snapshot_attempts(folded, coords)
+    steps, coords, weather, runs = _polled(spark, sf_dir)
+    attempts = poll.snapshot_attempts(steps, coords, runs)
     areas = attempts.select(F.col("id").alias("flood_event_id"), "flood_area_id")
     snapshots = poll.snapshot_rows(attempts, weather)
     return snapshots.join(areas, "flood_event_id").select(

@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -78,6 +78,13 @@ class Scratch:
         frame.write.mode("error").parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def keep_counted(self, frame: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict[str, int]]:
+        """``keep``, with aggregates of the rows gathered while they are written. No rows give zeros."""
+        observed = Observation(name)
+        kept = self.keep(frame.observe(observed, *[column.alias(metric) for metric, column in metrics.items()]), name)
+        found = observed.get
+        return kept, {metric: found.get(metric) or 0 for metric in metrics}
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 

@@ -3,13 +3,15 @@
 Layout below a landing folder:
 
     polls/<any>.json                                   one {"poll", "polled_at"} each
+    poll_bodies/poll=<p>/*.parquet                     source, area, page, body
     areas | warnings | readings / poll=<p>/page=<n>.json      or poll=<p>/page=<n>/<any>.json
     weather/poll=<p>/area=<id>/body.json
     catalogue/page=<n>.json                            or catalogue/page=<n>/<any>.json
     daily_levels/station_ref=<ref>/year=<y>/body.json
     weather_history/station_ref=<ref>/body.json
 
-History bodies also land as rows of Parquet files, which is the layout for many units:
+Bodies of polls and of history land as files or as rows of Parquet files. Rows are the layout
+for many areas or units: listing and tasks follow bytes, and a body is a row whatever it says.
 
     daily_level_bodies/year=<y>/*.parquet              station_ref, page, body
     weather_history_bodies/*.parquet                   station_ref, page, body
@@ -29,12 +31,14 @@ from pyspark.sql import types as T
 
 from weirframe.fixed import DAILY_PARAMETER, DAILY_PERIOD
 from weirframe.functions import arrays
-from weirframe.functions.scalars import number, station_ref
+from weirframe.functions.scalars import default_for_absent, number, station_ref, text_constants
 from weirframe.operators.filters import severe_enough
 from weirframe.operators.paging import require_complete
 from weirframe.sources import files, schemas
 
 PAGE_NUMBER = r"page=([0-9]+)"
+#: What live readings do not say.
+READING_CONSTANTS = {"station_label": "", "lat": None, "lon": None}
 
 
 def read_documents(
@@ -103,43 +107,93 @@ def items(documents: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def _poll_items(spark: SparkSession, landing: str, source: str, schema: T.StructType, poll: str) -> DataFrame:
-    folders = {"poll": T.StringType(), "page": T.IntegerType()}
-    return items(read_documents(spark, f"{landing}/{source}", schema, folders, f"poll={poll}"))
+LIVE_SCHEMAS = {
+    "areas": schemas.AREAS_DOC,
+    "warnings": schemas.WARNINGS_DOC,
+    "readings": schemas.READINGS_DOC,
+    "weather": schemas.CURRENT_WEATHER_DOC,
+}
+LIVE_ROWS = "poll string, source string, area string, page int, document string, body string"
+
+
+def live_bodies(spark: SparkSession, landing: str, polls: list[str]) -> DataFrame:
+    """Bodies of some polls as rows (``LIVE_ROWS``), in either layout. Only these polls' folders are listed."""
+    found = [spark.createDataFrame([], LIVE_ROWS)]
+    rows = [f"{landing}/poll_bodies/poll={poll}" for poll in polls]
+    rows = [path for path in rows if files.exists(spark, path)]
+    if rows:
+        landed = spark.read.schema("source string, area string, page int, body string, poll string")
+        read = landed.option("basePath", f"{landing}/poll_bodies").parquet(*rows)
+        found.append(read.select("poll", "source", "area", "page", F.col("_metadata.file_name").alias("document"), "body"))
+    for source in LIVE_SCHEMAS:
+        paths = [f"{landing}/{source}/poll={poll}" for poll in polls]
+        paths = [path for path in paths if files.exists(spark, path)]
+        if not paths:
+            continue
+        folders = "poll string, area string" if source == "weather" else "poll string"
+        read = (
+            spark.read.schema(f"value string, {folders}")
+            .option("wholetext", True)
+            .option("pathGlobFilter", "*.json")
+            .option("basePath", f"{landing}/{source}")
+            .text(paths)
+        )
+        # The page is in the name of a folder or of the file.
+        page = F.regexp_extract("_metadata.file_path", f".*{PAGE_NUMBER}", 1).try_cast("int")
+        area = F.col("area") if source == "weather" else F.lit(None).cast("string")
+        found.append(
+            read.select("poll", F.lit(source).alias("source"), area.alias("area"), page.alias("page"), F.col("_metadata.file_name").alias("document"), F.col("value").alias("body"))
+        )
+    whole = found[0]
+    for part in found[1:]:
+        whole = whole.unionByName(part)
+    return whole.withColumn("page", F.coalesce("page", F.lit(0)))
 
 
-def malformed_bodies(spark: SparkSession, landing: str, poll: str) -> int:
-    """Bodies of a poll that are no valid JSON: their rows are lost, so they are counted."""
-    total = 0
-    for source, schema, folders in (
-        ("areas", schemas.AREAS_DOC, {"page": T.IntegerType()}),
-        ("warnings", schemas.WARNINGS_DOC, {"page": T.IntegerType()}),
-        ("readings", schemas.READINGS_DOC, {"page": T.IntegerType()}),
-        ("weather", schemas.CURRENT_WEATHER_DOC, {"area": T.StringType()}),
-    ):
-        found = read_documents(
-            spark, f"{landing}/{source}", schema, {"poll": T.StringType(), **folders}, f"poll={poll}"
-        )
-        # A second column is read as well, since Spark refuses to read the corrupt one alone.
-        bad = F.col(schemas.CORRUPT).isNotNull() & F.col(schema[0].name).isNull()
-        total += found.select(bad.alias("bad")).agg(F.count_if("bad")).first()[0]
-    return total
+def live_documents(bodies: DataFrame) -> DataFrame:
+    """Every body parsed once, by its source's shape: a column for each source, null in the rows of others.
+
+    ``malformed`` marks bodies that are no valid JSON. ``tidal_null`` tells, by position, which
+    warnings have an explicit null as tidal flag, which a typed read takes for an absent one.
+    """
+    parsed, broken = [], F.lit(False)
+    for source, schema in LIVE_SCHEMAS.items():
+        full = T.StructType([*schema.fields, T.StructField(schemas.CORRUPT, T.StringType())])
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
+        parsed.append(F.when(F.col("source") == source, F.from_json("body", full, options)).alias(source))
+        document = F.col(source)
+        broken = broken | F.coalesce(document[schemas.CORRUPT].isNotNull() & document[schema[0].name].isNull(), F.lit(False))
+    # Bodies without the word need no second parse.
+    variant = F.when((F.col("source") == "warnings") & F.contains("body", F.lit("null")), F.try_parse_json("body"))
+    items = F.try_variant_get(variant, "$.items", "array<variant>")
+    flags = F.transform(items, lambda item: F.coalesce(F.is_variant_null(F.try_variant_get(item, "$.isTidal", "variant")), F.lit(False)))
+    kept = bodies.select("poll", "source", "area", "page", "document", flags.alias("tidal_null"), *parsed)
+    return kept.withColumn("malformed", broken)
+
+
+def _live_items(documents: DataFrame, source: str, *keep: str) -> DataFrame:
+    one = documents.filter(F.col("source") == source)
+    return one.select("poll", "page", *keep, F.posexplode(f"{source}.items").alias("pos", "item")).select(
+        "poll", "page", "pos", *keep, "item.*"
+    )
 
 
-def areas(spark: SparkSession, landing: str, poll: str) -> DataFrame:
-    return _poll_items(spark, landing, "areas", schemas.AREAS_DOC, poll).select(
-        "page", "pos", "notation", number(F.col("lat")).alias("lat"), number(F.col("long")).alias("lon")
+def areas(documents: DataFrame) -> DataFrame:
+    return _live_items(documents, "areas").select(
+        "poll", "page", "pos", "notation", number(F.col("lat")).alias("lat"), number(F.col("long")).alias("lon")
     )
 
 
-def warnings(spark: SparkSession, landing: str, poll: str) -> DataFrame:
+def warnings(documents: DataFrame) -> DataFrame:
     """Flattened and renamed to the column names of the flood event table.
 
     Levels beyond the polled severity are dropped, as the request would have done.
     """
-    raw = _poll_items(spark, landing, "warnings", schemas.WARNINGS_DOC, poll)
+    raw = _live_items(documents, "warnings", "tidal_null")
     polled = F.coalesce(severe_enough(number(F.col("severityLevel"))), F.lit(True))
+    explicit = F.coalesce(F.get("tidal_null", F.col("pos")), F.lit(False))
     return raw.filter(polled).select(
+        "poll",
         "page",
         "pos",
         F.col("floodAreaID").alias("flood_area_id"),
@@ -148,25 +202,24 @@ def warnings(spark: SparkSession, landing: str, poll: str) -> DataFrame:
         F.col("floodArea.riverOrSea").alias("river_or_sea"),
         F.col("severityLevel").alias("severity_level"),
         F.col("severity").alias("severity_label"),
-        F.coalesce(F.col("isTidal"), F.lit("false")).alias("is_tidal"),
+        default_for_absent(F.col("isTidal"), F.lit("false"), explicit).alias("is_tidal"),
         "message",
         F.col("timeRaised").alias("time_raised"),
         F.col("timeSeverityChanged").alias("time_severity_changed"),
     )
 
 
-def readings(spark: SparkSession, landing: str, poll: str) -> DataFrame:
+def readings(documents: DataFrame) -> DataFrame:
     """Readings with a value and an extractable station reference."""
-    raw = _poll_items(spark, landing, "readings", schemas.READINGS_DOC, poll)
+    raw = _live_items(documents, "readings")
     return (
         raw.filter(F.col("value").isNotNull())
         .select(
+            "poll",
             "page",
             "pos",
             station_ref(F.col("`@id`")).alias("station_ref"),
-            F.lit("").alias("station_label"),
-            F.lit(None).cast("string").alias("lat"),
-            F.lit(None).cast("string").alias("lon"),
+            *text_constants(READING_CONSTANTS),
             F.col("value").alias("value_m"),
             F.col("dateTime").alias("reading_at"),
         )
@@ -174,25 +227,19 @@ def readings(spark: SparkSession, landing: str, poll: str) -> DataFrame:
     )
 
 
-def current_weather(spark: SparkSession, landing: str, poll: str) -> DataFrame:
+def current_weather(documents: DataFrame) -> DataFrame:
     """One row per area: scalars of the current block, first element of the hourly arrays."""
-    documents = read_documents(
-        spark,
-        f"{landing}/weather",
-        schemas.CURRENT_WEATHER_DOC,
-        {"poll": T.StringType(), "area": T.StringType()},
-        f"poll={poll}",
-    )
-    return documents.select(
+    return documents.filter("source = 'weather'").select(
+        "poll",
         "area",
         "page",
         "document",
-        F.col("current_weather.temperature").alias("temperature_c"),
-        arrays.head(F.col("hourly.precipitation")).alias("precipitation_mm"),
-        F.col("current_weather.windspeed").alias("wind_speed_kmh"),
-        F.col("current_weather.winddirection").alias("wind_direction_deg"),
-        F.col("current_weather.weathercode").alias("weather_code"),
-        arrays.head(F.col("hourly.relativehumidity_2m")).alias("humidity_pct"),
+        F.col("weather.current_weather.temperature").alias("temperature_c"),
+        arrays.head(F.col("weather.hourly.precipitation")).alias("precipitation_mm"),
+        F.col("weather.current_weather.windspeed").alias("wind_speed_kmh"),
+        F.col("weather.current_weather.winddirection").alias("wind_direction_deg"),
+        F.col("weather.current_weather.weathercode").alias("weather_code"),
+        arrays.head(F.col("weather.hourly.relativehumidity_2m")).alias("humidity_pct"),
     )
 
 

@@ -8,18 +8,17 @@ from __future__ import annotations
 
 import datetime
 import logging
-import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from weirframe.functions.scalars import BAD_VALUE, all_present
+from weirframe.functions.scalars import all_present
 from weirframe.operators.heavy import heavy_keys
 from weirframe.operators.merge import ACTIONS, UpsertRule, drop_replayed, fold
 from weirframe.sources import files
-from weirframe.plans.poll import poll_once
+from weirframe.plans.poll import poll_many, to_hour
 from weirframe.session import Scratch
 from weirframe.sources.schemas import POLL_DOC, Table
 from weirframe.sources.tables import TableStore, partition_values
@@ -27,16 +26,6 @@ from weirframe.sources.tables import TableStore, partition_values
 LOG = logging.getLogger(__name__)
 REJECTED = "rejected_polls"
 REJECTED_COLUMNS = "announcement string, poll string, polled_at string, reason string, rejected boolean"
-#: How Spark words an error that ``strict`` raises; a plan quoted in an error does not look so.
-REJECTION = re.compile(rf"^.*\[USER_RAISED_EXCEPTION\] ({BAD_VALUE} for .*?)(?: SQLSTATE: \w+)?$", re.MULTILINE)
-
-
-def rejection_of(error: Exception) -> str | None:
-    """Why a poll is rejected, if a bad value is what failed it."""
-    found = REJECTION.search(str(error))
-    return found.group(1).strip()[:500] if found else None
-
-
 def rejected_polls(spark: SparkSession, store: TableStore) -> DataFrame:
     """Polls that wrote nothing: those whose last record is a rejection."""
     path = f"{store.root}/{REJECTED}"
@@ -47,41 +36,47 @@ def rejected_polls(spark: SparkSession, store: TableStore) -> DataFrame:
     return last.select("last.*").filter("rejected").drop("rejected", "at")
 
 
-def _record(spark: SparkSession, store: TableStore, row: tuple, reason: str | None) -> None:
-    frame = spark.createDataFrame([(*row, reason, reason is not None)], REJECTED_COLUMNS)
+def _record(spark: SparkSession, store: TableStore, rows: list[tuple]) -> None:
+    frame = spark.createDataFrame([(*row, row[-1] is not None) for row in rows], REJECTED_COLUMNS)
     frame.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{store.root}/{REJECTED}")
 
 
-def _attempt(
-    spark: SparkSession, landing: str, store: TableStore, row: tuple[str | None, str | None, str | None]
-) -> str | None:
-    """Runs one announced poll; the reason if it is rejected."""
-    _, poll, polled_at = row
-    try:
-        moment = datetime.datetime.fromisoformat(polled_at) if poll and polled_at else None
-    except ValueError:
-        moment = None
-    if moment is None:
-        return "the announcement has no poll or no time"
-    try:
-        poll_once(spark, landing, store, poll, moment)
-    except Exception as error:
-        reason = rejection_of(error)
-        if reason is None:
-            raise
-        return reason
-    return None
+NO_POLL = "the announcement has no poll or no time"
+
+
+def _run_announced(
+    spark: SparkSession, landing: str, store: TableStore, rows: list[tuple[str | None, str | None, str | None]]
+) -> int:
+    """Runs announced polls as one batch and records what is rejected; returns how many are."""
+    valid: dict[tuple, tuple[str, datetime.datetime]] = {}
+    reasons: dict[tuple, str | None] = {}
+    for row in rows:
+        try:
+            moment = datetime.datetime.fromisoformat(row[2]) if row[1] and row[2] else None
+        except ValueError:
+            moment = None
+        if moment is None:
+            reasons[row] = NO_POLL
+        else:
+            valid[row] = (row[1], moment)
+    if valid:
+        ordered = sorted(valid.values(), key=lambda one: (to_hour(one[1]), one[1].isoformat(), one[0]))
+        rejected = {(poll, to_hour(moment)): why for (poll, moment), why in poll_many(spark, landing, store, ordered).rejected.items()}
+        reasons |= {row: rejected.get((poll, to_hour(moment))) for row, (poll, moment) in valid.items()}
+    for row, reason in reasons.items():
+        if reason is not None:
+            LOG.warning("poll %s is rejected: %s", row[1], reason)
+    known = {row["announcement"] for row in rejected_polls(spark, store).collect()} if reasons else set()
+    noted = [(*row, reason) for row, reason in reasons.items() if reason is not None or row[0] in known]
+    if noted:
+        _record(spark, store, noted)
+    return sum(reason is not None for reason in reasons.values())
 
 
 def rerun_rejected(spark: SparkSession, landing: str, store: TableStore) -> int:
     """Tries rejected polls again, in order; returns how many are still rejected."""
-    left = 0
-    for row in rejected_polls(spark, store).orderBy("polled_at", "poll").collect():
-        announced = (row["announcement"], row["poll"], row["polled_at"])
-        reason = _attempt(spark, landing, store, announced)
-        _record(spark, store, announced, reason)
-        left += reason is not None
-    return left
+    rows = [(r["announcement"], r["poll"], r["polled_at"]) for r in rejected_polls(spark, store).collect()]
+    return _run_announced(spark, landing, store, rows)
 
 
 def stream_polls(
@@ -89,13 +84,14 @@ def stream_polls(
     landing: str,
     store: TableStore,
     checkpoint: str,
-    polls_per_batch: int = 1,
+    polls_per_batch: int = 100,
 ) -> StreamingQuery:
     """Runs every landed poll that was not run yet, then stops.
 
-    A poll is announced by a small document in ``polls`` once its bodies are in place.
+    A poll is announced by a small document in ``polls`` once its bodies are in place. The
+    polls of a micro-batch run together, in the order of their times (see ``poll_many``).
     A poll with a value that does not fit its column writes nothing, and an announcement
-    without poll or time cannot be run. Neither holds up the polls after it: they are
+    without poll or time cannot be run. Neither holds up the other polls: they are
     recorded in ``rejected_polls`` and can be run by ``rerun_rejected`` once mended. Any
     other failure stops the stream.
     """
@@ -108,13 +104,9 @@ def stream_polls(
     )
 
     def run(batch: DataFrame, _batch_id: int) -> None:
-        # At most polls_per_batch names; polls of one hour depend on each other.
-        for row in batch.orderBy("polled_at", "poll", "announcement").collect():
-            announced = (row["announcement"], row["poll"], row["polled_at"])
-            reason = _attempt(batch.sparkSession, landing, store, announced)
-            if reason is not None:
-                LOG.warning("poll %s is rejected: %s", row["poll"], reason)
-                _record(batch.sparkSession, store, announced, reason)
+        # At most polls_per_batch small rows.
+        rows = [(r["announcement"], r["poll"], r["polled_at"]) for r in batch.collect()]
+        _run_announced(batch.sparkSession, landing, store, rows)
 
     return (
         announced.writeStream.foreachBatch(run)
