@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 
 #: Bytes of text that a task holds as Python objects at a time.
 SLICE_BYTES = 2 << 20
+#: Rows of an Arrow batch with whole texts.
+BATCH_ROWS = 2000
 WORKER_STORE = "weirframe_worker_store"
 
 
@@ -24,6 +26,17 @@ def kept_in_worker(name: str, make: Callable[[], Any]) -> Any:
     return store[name]
 
 
+def small_batches(frame: DataFrame) -> DataFrame:
+    """The frame, after limiting its session's Arrow batches to ``BATCH_ROWS`` rows.
+
+    The JVM and the worker hold a batch each way, and rows with texts are large.
+    """
+    conf, name = frame.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return frame
+
+
 def unused(frame: DataFrame, name: str) -> str:
     """A column name that ``frame`` does not have yet."""
     taken = {column.lower() for column in frame.columns}

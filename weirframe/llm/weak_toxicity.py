@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirframe.llm.batches import numbered, slices, starts_of, strings
+from weirframe.llm.batches import numbered, slices, small_batches, starts_of, strings
 from weirframe.llm.labelled import sample, with_labels
 
 LABELLED_ROWS, SAMPLE_ROWS = 12_000, 15_000
@@ -51,6 +51,8 @@ BEGINNINGS = (4, 5, 6, 7, 8)
 #: Marks an entry that a text must match more than once.
 TWICE = "+"
 GOLD_ACCURACY = 0.99
+#: Entries that a task counts before it passes their counts on.
+COUNTED = 1 << 17
 #: Rows that training works on at a time beyond the inputs themselves.
 CHUNK = 1024
 WORD = re.compile(r"\w+")
@@ -203,8 +205,14 @@ def mine(training: DataFrame) -> list[str]:
     """Lexicon voters: entries that stand out in the toxic documents of ``training``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        toxic, all_docs = Counter(), Counter()
+
+        def emit() -> pa.RecordBatch:
+            # Entries without a toxic document so far matter for the share alone.
+            columns = [pa.array(list(all_docs), pa.string()), pa.array([toxic[s] for s in all_docs], pa.int64()), pa.array(list(all_docs.values()), pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["entry", "toxic", "docs"])
+
         for batch in batches:
-            toxic, all_docs = Counter(), Counter()
             for part in slices(batch, "text"):
                 for text, label in zip(strings(part, "text"), part.column("label").to_pylist(), strict=True):
                     seen = Counter()
@@ -215,12 +223,11 @@ def mine(training: DataFrame) -> list[str]:
                     all_docs.update(found)
                     if label:
                         toxic.update(found)
-            # Entries without a toxic document in this batch matter for the share alone.
-            names = list(all_docs)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names), pa.array([toxic[s] for s in names], pa.int64()), pa.array(list(all_docs.values()))],
-                ["entry", "toxic", "docs"],
-            )
+                if len(all_docs) > COUNTED:
+                    yield emit()
+                    toxic.clear()
+                    all_docs.clear()
+        yield emit()
 
     counted = (
         training.mapInArrow(run, "entry string, toxic long, docs long")
@@ -243,7 +250,7 @@ def train(
     share = sum(map(bool, chosen.values())) / len(chosen) if chosen else 0.0
     if not 0 < share < 1:
         return Model([], np.zeros(len(PATTERNS) + len(FEATURES_AFTER)), _odds(share))
-    lexicon = mine(with_labels(docs, chosen, id_col, text_col))
+    lexicon = mine(with_labels(small_batches(docs), chosen, id_col, text_col))
     others = (
         docs.select(F.col(id_col).cast("long").alias("doc_id"))
         .filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -269,7 +276,7 @@ def train(
                     [part.column("label"), pa.array(packed, pa.binary()), pa.array(sizes)], ["label", "counts", "words"]
                 )
 
-    table = with_labels(docs, chosen, id_col, text_col).mapInArrow(run, "label int, counts binary, words long").toPandas()
+    table = with_labels(small_batches(docs), chosen, id_col, text_col).mapInArrow(run, "label int, counts binary, words long").toPandas()
     if not len(table):
         return Model([], np.zeros(len(PATTERNS) + len(FEATURES_AFTER)), _odds(share))
     table = table.sort_values(["counts", "words", "label"])
@@ -313,4 +320,4 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
             for part in slices(batch, text_col):
                 yield part.filter(pa.array(model.score(strings(part, text_col)) < THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
