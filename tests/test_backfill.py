@@ -1,14 +1,18 @@
 import json
 import os
+import re
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from weirframe.operators import checks
+from weirframe.operators.checks import ConstraintBreach
 from weirframe.operators.paging import IncompleteListing
 from weirframe.plans.backfill import backfill_rivers, backfill_weather
-from weirframe.sources import landed, ledger_files
-from weirframe.sources.schemas import RIVER_LEVELS, WEATHER_HISTORY
-from weirframe.sources.tables import TableStore
+from weirframe.sources import landed, ledger_files, quarantine
+from weirframe.sources.schemas import BUCKET, RIVER_LEVELS, STATION_BUCKETS, WEATHER_HISTORY
+from weirframe.sources.tables import TableStore, station_bucket
 
 
 def write(path, body):
@@ -115,10 +119,12 @@ def test_rivers(spark, folder):
     result = run()
     # Entries: 7, two years. The repeated entry of 2048 is skipped for both of its done years.
     assert result.summary.first().asDict() == {
-        "inserted": 2, "skipped": 2, "failed": 2, "done": 4, "pending": 2, "total": 14,
+        "inserted": 2, "skipped": 2, "failed": 2, "done": 4, "pending": 2, "total": 14, "completed": 4,
     }
     units = {(r["station_ref"], r["year"]): (r["n_rows"], r["n_inserted"], r["status"]) for r in result.units.collect()}
     assert units[("2048", 2005)] == (3, 2, "done") and units[("2048", 2006)] == (0, 0, "done")
+    reasons = {(r["station_ref"], r["year"]): r["reason"] for r in result.units.collect() if r["reason"]}
+    assert reasons == {("0503SO", 2005): "bad value for date: null", ("0503SO", 2006): "malformed body"}
     assert units[("0503SO", 2005)][2] == "failed" and units[("0503SO", 2006)][2] == "failed"
     assert ("never", 2005) not in units
     result.release()
@@ -151,7 +157,7 @@ def daily(**arrays):
 
 def test_weather(spark, folder):
     landing, ledger, cache = f"{folder}/l", f"{folder}/ledger", f"{folder}/cache"
-    refs = ["680504", "short", "late", "empty", "nodaily", "text", "broken", "never"]
+    refs = ["680504", "short", "late", "empty", "nodaily", "text", "broken", "nullarray", "never"]
     entries = [station("680504", lat=None)] + [station(r) for r in refs] + [station("nowhere", lon=None), station("680504")]
     write(f"{landing}/catalogue/page=0.json", {"items": entries})
     base = f"{landing}/weather_history"
@@ -169,16 +175,25 @@ def test_weather(spark, folder):
         "nodaily": {"other": 1},
         "text": daily(time=["2000-01-01"], precipitation_sum=["abc"]),
         "broken": "{",
+        # A null array fails its unit; an absent one, or one of nulls, does not.
+        "nullarray": {"daily": {"time": ["2000-01-01"], "precipitation_sum": None}},
     }
     for ref, body in bodies.items():
         write(f"{base}/station_ref={ref}/body.json", body)
     store = TableStore(spark, f"{folder}/t")
-    run = lambda: backfill_weather(spark, landing, store, ledger, cache, "2000-01-01", "2027-12-31")
+    run = lambda: backfill_weather(spark, landing, store, ledger, cache, "2000-01-01", "2027-12-31", last_year=2026)
     result = run()
     summary = result.summary.first().asDict()
-    assert summary == {"inserted": 2, "skipped": 1, "failed": 4, "done": 3, "pending": 1, "total": 8}
+    assert summary == {"inserted": 2, "skipped": 1, "failed": 5, "done": 3, "pending": 1, "total": 9, "completed": 3}
     status = {r["station_ref"]: r["status"] for r in result.units.collect()}
-    assert {ref for ref, s in status.items() if s == "failed"} == {"short", "late", "text", "broken"}
+    assert {ref for ref, s in status.items() if s == "failed"} == {"short", "late", "text", "broken", "nullarray"}
+    reasons = {r["station_ref"]: r["reason"] for r in result.units.collect() if r["reason"]}
+    assert reasons == {
+        "short": "an array is shorter than its days", "late": "no partition for 2027-01-01",
+        "text": "bad value for precipitation_sum: abc", "broken": "malformed body", "nullarray": "an array is null",
+    }
+    found = {r["unit"]: (r["job"], r["pos"], r["reason"]) for r in quarantine.read(spark, store).collect()}
+    assert found["text:0"] == ("historical_weather", 0, "bad value for precipitation_sum: abc") and len(found) == 5
     got = {str(r["date"]): r for r in store.read(WEATHER_HISTORY).collect()}
     assert set(got) == {"2000-01-01", "2000-01-02"}
     first, second = got["2000-01-01"], got["2000-01-02"]
@@ -211,3 +226,50 @@ def test_tables_can_be_created_twice(spark, folder, name):
     store.create_if_absent(*TABLES.values())
     assert store.read(TABLES[name]).count() == 0
     assert store.read(TABLES[name]).schema == TABLES[name].columns
+
+
+def folders_read(frame):
+    """Folder filters and the number of files that the scans of a frame read."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return plan, len(frame.inputFiles())
+
+
+def test_a_resume_reads_the_buckets_of_open_stations(spark, folder):
+    refs = [f"s{k}" for k in range(200)]
+    bucket_of = {r["ref"]: r["b"] for r in spark.createDataFrame([(r,) for r in refs], "ref string").withColumn("b", station_bucket(F.col("ref"))).collect()}
+    assert len(set(bucket_of.values())) == STATION_BUCKETS
+    body = F.to_json(F.struct(F.struct(F.array(F.lit("2001-01-01")).alias("time"), F.array(F.lit("1.5")).alias("precipitation_sum")).alias("daily")))
+    bodies = spark.createDataFrame([(r,) for r in refs], "station_ref string").select("station_ref", F.lit(0).alias("page"), body.alias("body"), station_bucket(F.col("station_ref")).alias(BUCKET))
+    landing, store = f"{folder}/l", TableStore(spark, f"{folder}/t")
+    bodies.repartition(1).write.partitionBy(BUCKET).parquet(f"{landing}/weather_history_bodies")
+    write(f"{landing}/catalogue/page=0.json", {"items": [station(r) for r in refs]})
+    os.makedirs(f"{folder}/ledger")
+    write(f"{folder}/ledger/done.txt", "\n".join(f"{r}:0" for r in refs if r != "s7"))
+    result = backfill_weather(spark, landing, store, f"{folder}/ledger", f"{folder}/cache", "2000-01-01", "2002-01-01")
+    assert result.summary.first()["inserted"] == 1 and result.summary.first()["completed"] == 200
+    one = landed.history_bodies(spark, landing, "weather_history", "weather_history_bodies", False, [bucket_of["s7"]])
+    plan, _ = folders_read(one)
+    assert re.search(rf"PartitionFilters: \[.*bucket#\d+ = {bucket_of['s7']}", plan)
+    # The table has one folder for the year and the bucket; reading another bucket finds none.
+    assert os.listdir(f"{folder}/t/historical_weather/year=2001") == [f"bucket={bucket_of['s7']}"]
+    assert store.read(WEATHER_HISTORY, [2001], [bucket_of["s7"]]).count() == 1
+    assert store.read(WEATHER_HISTORY, [2001], [b for b in range(STATION_BUCKETS) if b != bucket_of["s7"]]).count() == 0
+
+
+def test_a_planted_duplicate_stops_a_backfill_before_the_ledger(spark, folder):
+    landing, ledger, cache = f"{folder}/l", f"{folder}/ledger", f"{folder}/cache"
+    base = land_rivers(landing)
+    store = TableStore(spark, f"{folder}/t")
+    backfill_rivers(spark, landing, store, ledger, cache, 2005, 2006)
+    store.append(RIVER_LEVELS, store.read(RIVER_LEVELS))
+    write(f"{base}/station_ref=0503SO/year=2005/body.json", {"items": [level("2005-01-01", 0.1)]})
+    before = ledger_keys(spark, ledger)
+    twin = spark.createDataFrame([("0503SO",)], "station_ref string").select(F.lit("0503SO").alias("station_ref"), F.expr("date'2005-06-01'").alias("date"), F.expr("cast(1 as decimal(8,3))").alias("value_m"), F.lit("Good").alias("quality"), F.lit("EA").alias("source"))
+    store.append(RIVER_LEVELS, twin.union(twin))
+    with pytest.raises(ConstraintBreach, match="historical_river_levels: repeated key 0503SO, 2005-06-01"):
+        backfill_rivers(spark, landing, store, ledger, cache, 2005, 2006)
+    assert ledger_keys(spark, ledger) == before
+
+
+def test_years_follow_the_clock():
+    assert checks.newest_year() >= 2026

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from weirframe.plans.poll import RejectedPoll, poll_many, poll_once, to_hour
+from weirframe.operators.checks import ConstraintBreach
+from weirframe.sources import landed, quarantine
 from weirframe.sources.schemas import FLOOD_EVENTS, STATION_READINGS, WEATHER_SNAPSHOTS
 from weirframe.sources.tables import TableStore
 from weirframe.streaming.polls import rejected_polls, rerun_rejected, stream_polls
@@ -249,3 +251,103 @@ def test_stream_runs_each_announced_poll_once(spark, folder):
     assert rows(store.read(FLOOD_EVENTS), "severity_label") == [("severe",)]
     run()
     assert state(store) == after
+
+
+def backlog(landing):
+    """Twelve polls of four hours, with changing areas, a rejected poll and weather that fails another one."""
+    announced = []
+    for k in range(12):
+        poll = f"p{k}"
+        areas = [area("A1", 51.5, k or None), area("A2", 50 + k, -1.0)] if k % 3 else [area("A2", 0, -1.0)]
+        warnings = [
+            warning(f"A{1 + j % 3}", 1 + (k * j) % 3, f"l{k}", f"m{(k + j) // 4}", f"d{k}-{j}", isTidal=None if j % 2 else k % 2 == 0)
+            for j in range(5)
+        ]
+        warnings.append(warning(None, 2, "l", "m", f"k{k}"))
+        readings = [{"@id": READING.format(f"S{j}"), "value": k + j, "dateTime": f"2024-01-0{1 + (k + j) % 4}T00:00:00Z" if j else None} for j in range(3)]
+        if k == 4:
+            readings.append({"@id": READING.format("S9"), "value": "abc", "dateTime": None})
+        land(landing, poll, areas, warnings, readings, weather=None)
+        for name in ("A1", "A2"):
+            body = {"current_weather": {"temperature": "x" if (k, name) == (7, "A2") else k}, "hourly": None}
+            write(f"{landing}/weather/poll={poll}/area={name}/body.json", body)
+        announced.append((poll, AT.replace(hour=10 + k // 3, minute=k)))
+    return announced
+
+
+def test_a_backlog_as_one_batch_equals_poll_after_poll(spark, folder):
+    landing = f"{folder}/l"
+    announced = backlog(landing)
+    whole, single = TableStore(spark, f"{folder}/whole"), TableStore(spark, f"{folder}/single")
+    run = poll_many(spark, landing, whole, announced)
+    rejected, summaries = {}, []
+    for poll, moment in announced:
+        try:
+            summaries.append(poll_once(spark, landing, single, poll, moment).first().asDict())
+        except RejectedPoll as error:
+            rejected[(poll, moment)] = str(error)
+    assert run.rejected == rejected
+    assert set(rejected.values()) == {"bad value for value_m: abc", "bad value for temperature_c: x"}
+    assert state(whole) == state(single)
+    assert len(state(whole)[1]) > 3 and whole.read(FLOOD_EVENTS).filter("is_tidal is null").count() > 0
+    total = run.summary.first().asDict()
+    for name in total:
+        if name not in ("n_areas", "n_malformed_bodies"):  # areas of rejected polls are read, too
+            assert total[name] == sum(summary[name] for summary in summaries), name
+    before = state(whole)
+    # A poll that only its weather failed would pass by now, since its events are no news any more.
+    poll_many(spark, landing, whole, [(poll, moment) for poll, moment in announced if (poll, moment) not in rejected])
+    assert state(whole) == before
+    reasons = {(r["unit"], r["page"], r["reason"]) for r in quarantine.read(spark, whole).collect()}
+    assert ("p4", 0, "bad value for value_m: abc") in reasons
+
+
+def test_bodies_as_rows_give_the_same_as_files(spark, folder):
+    landing, rows_landing = f"{folder}/l", f"{folder}/rows"
+    land(landing, "p1")
+    write(f"{landing}/areas/poll=p1/page=1.json", "not json")
+    bodies = landed.live_bodies(spark, landing, ["p1"]).select("poll", "source", "area", "page", "body")
+    bodies.write.partitionBy("poll").parquet(f"{rows_landing}/poll_bodies")
+    files_store, rows_store = TableStore(spark, f"{folder}/tf"), TableStore(spark, f"{folder}/tr")
+    summaries = [poll_once(spark, at, store, "p1", AT).first() for at, store in ((landing, files_store), (rows_landing, rows_store))]
+    assert summaries[0] == summaries[1] and summaries[0]["n_malformed_bodies"] == 1
+    assert state(files_store) == state(rows_store)
+    for store in (files_store, rows_store):
+        assert rows(quarantine.read(spark, store), "job", "unit", "source", "page", "reason") == [("poll", "p1", "areas", 1, "malformed body")]
+
+
+def test_explicit_null_flag_stays_null(spark, folder):
+    landing, store = f"{folder}/l", TableStore(spark, f"{folder}/t")
+    flags = {"A1": {"isTidal": None}, "A2": {}, "A3": {"isTidal": False}, "A4": {"isTidal": True}, "A5": {"isTidal": "null"}}
+    land(landing, "p1", warnings=[warning(a, 1, "l", "m", "d", **more) for a, more in flags.items()][:4], readings=[])
+    poll_once(spark, landing, store, "p1", AT)
+    assert rows(store.read(FLOOD_EVENTS), "flood_area_id", "is_tidal") == [("A1", None), ("A2", False), ("A3", False), ("A4", True)]
+
+
+@pytest.mark.parametrize("breach", ["duplicate", "orphan"])
+def test_a_breach_of_a_constraint_stops_the_poll(spark, folder, breach):
+    landing, store = f"{folder}/l", TableStore(spark, f"{folder}/t")
+    land(landing, "p1")
+    poll_once(spark, landing, store, "p1", AT)
+    if breach == "duplicate":
+        store.append(STATION_READINGS, store.read(STATION_READINGS).filter("reading_at is not null"))
+        found = "station_readings: repeated key 1491TH"
+    else:
+        store.append(WEATHER_SNAPSHOTS, store.read(WEATHER_SNAPSHOTS).selectExpr("id", "flood_event_id + 1 as flood_event_id", "* except (id, flood_event_id)"))
+        found = "weather_snapshots: flood_event_id without its row"
+    land(landing, "p2", readings=[{"@id": READING.format("7"), "value": 1, "dateTime": "2024-01-01T00:00:00Z"}])
+    with pytest.raises(ConstraintBreach, match=found):
+        poll_once(spark, landing, store, "p2", AT)
+
+
+def test_a_poll_runs_no_job_to_count(spark, folder):
+    landing, store = f"{folder}/l", TableStore(spark, f"{folder}/t")
+    land(landing, "p1")
+    counted = []
+    real = type(spark.range(1)).count
+    try:
+        type(spark.range(1)).count = lambda frame: counted.append(frame) or real(frame)
+        poll_once(spark, landing, store, "p1", AT)
+    finally:
+        type(spark.range(1)).count = real
+    assert not counted

@@ -10,11 +10,27 @@ from pyspark.sql import functions as F
 from weirframe.fixed import FIRST_YEAR, LAST_YEAR
 
 
+def newest_year() -> int:
+    """The last year that has a partition: this year, and not before ``LAST_YEAR``."""
+    return max(LAST_YEAR, datetime.datetime.now(datetime.timezone.utc).year)
+
+
 def routable(day: Column, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> Column:
     """There is a yearly partition for this date."""
     return day.between(F.lit(datetime.date(first_year, 1, 1)), F.lit(datetime.date(last_year, 12, 31)))
 
 
+class ConstraintBreach(RuntimeError):
+    """Stored rows break a constraint of their table."""
+
+
+def breaches(rows: DataFrame, name: str, key: list[str], required: list[str]) -> DataFrame:
+    """``breach`` texts of repeated keys and of missing required values."""
+    again = duplicates(rows, key).select(F.concat(F.lit(f"{name}: repeated key "), F.concat_ws(", ", *[F.col(k).cast("string") for k in key])).alias("breach"))
+    absent = rows.filter(missing_required([F.col(c) for c in required]))
+    return again.unionByName(absent.select(F.lit(f"{name}: a required value is missing").alias("breach")))
+
+
 def missing_required(columns: list[Column]) -> Column:
     condition = F.lit(False)
     for column in columns:

@@ -113,6 +113,33 @@ _PENDING = """
         where l.l_returnflag = 'R' and l.l_discount >= 0.1 and l.l_suppkey = s.s_suppkey and year(l.l_shipdate) = y.year)
 """
 
+_RIVERS = """
+    with lines as (
+        select 'S' || l_suppkey as station_ref, l_suppkey, cast(year(l_shipdate) as integer) as own_year,
+               cast(year(l_shipdate) as integer) + (l_linenumber = 7)::int as year, cast(l_shipdate as date) as date,
+               l_returnflag, l_orderkey, l_linenumber, l_partkey, l_extendedprice,
+               try_cast(round(cast(cast(l_extendedprice as varchar) as decimal(18, 4)), 3) as decimal(8, 3)) as value_m
+        from lineitem
+    ), kept as (
+        select *, row_number() over (
+            partition by station_ref, date order by l_orderkey, l_linenumber, l_partkey, l_extendedprice) as turn
+        from lines where l_returnflag = 'N' and own_year = year
+    ), landed as (
+        select station_ref, year from lines where l_suppkey % 10 <> 0 group by 1, 2
+        union
+        select 'S' || s_suppkey, y.year from supplier, (select unnest(range(1995, 2002))::int as year) y
+        where s_suppkey % 10 = 0
+    ), units as (
+        select u.station_ref, u.year, count(k.station_ref) filter (where k.l_suppkey % 10 <> 0) as n_rows,
+               coalesce(bool_or(k.value_m is null or k.year < 2000) filter (where k.l_suppkey % 10 <> 0), false) as failed
+        from landed u left join kept k on k.station_ref = u.station_ref and k.year = u.year
+        where u.year between 1995 and 2001 group by 1, 2
+    ), added as (
+        select k.* from kept k join units u on u.station_ref = k.station_ref and u.year = k.year
+        where not u.failed and k.turn = 1 and k.l_suppkey % 10 <> 0
+    )
+"""
+
 SQL: dict[str, str] = {
     "insert_ignore_batch": f"""
         select {_LINE_COLUMNS} from (
@@ -242,7 +269,8 @@ SQL: dict[str, str] = {
         select s_suppkey, '' as label, cast(null as double) as lat, cast(null as double) as lon, 'EA' as source
         from supplier""",
     "default_missing": """
-        select d.doc_id, d.source, coalesce(l.toxic = 1, false) as is_toxic
+        select d.doc_id, d.source,
+               case when l.doc_id is null then false when l.doc_id % 5 <> 0 then coalesce(l.toxic = 1, false) end as is_toxic
         from documents d left join labels l on d.doc_id = l.doc_id""",
     "zip_explode": """
         with valid as (
@@ -304,6 +332,15 @@ SQL: dict[str, str] = {
     "unique_audit": """
         select l_orderkey, l_linenumber, count(*) as n_rows from lineitem group by 1, 2 having count(*) > 1""",
     "level_units": _LEVELS + "select station_ref, year, n_rows, failed from units",
+    "failed_units": _LEVELS
+    + """
+        select station_ref, year, l_orderkey, l_linenumber, reason
+        from (select *, row_number() over (
+                  partition by station_ref, year order by l_orderkey, l_linenumber, l_partkey, reason) as rn
+              from (select *, case when value_m is null then 'bad value for value_m: ' || l_extendedprice
+                                   when year not between 2000 and 2026 then 'no partition for ' || date end as reason from good)
+              where reason is not null)
+        where rn = 1""",
     "level_backfill": _LEVELS
     + """
         select station_ref, date, cast(value_m as varchar) as value_m, 'Good' as quality, 'EA' as source
@@ -329,40 +366,24 @@ SQL: dict[str, str] = {
                cast(cast(n * 3 as decimal(5, 2)) as varchar) as temperature_mean,
                cast(null as double) as windspeed_max
         from kept where date between date '2020-01-10' and date '2020-02-20'""",
-    "landed_rivers": """
-        with lines as (
-            select 'S' || l_suppkey as station_ref, l_suppkey, cast(year(l_shipdate) as integer) as own_year,
-                   cast(year(l_shipdate) as integer) + (l_linenumber = 7)::int as year, cast(l_shipdate as date) as date,
-                   l_returnflag, l_orderkey, l_linenumber, l_partkey, l_extendedprice,
-                   try_cast(round(cast(cast(l_extendedprice as varchar) as decimal(18, 4)), 3) as decimal(8, 3)) as value_m
-            from lineitem
-        ), kept as (
-            select *, row_number() over (
-                partition by station_ref, date order by l_orderkey, l_linenumber, l_partkey, l_extendedprice) as turn
-            from lines where l_returnflag = 'N' and own_year = year
-        ), landed as (
-            select station_ref, year from lines where l_suppkey % 10 <> 0 group by 1, 2
-            union
-            select 'S' || s_suppkey, y.year from supplier, (select unnest(range(1995, 2002))::int as year) y
-            where s_suppkey % 10 = 0
-        ), units as (
-            select u.station_ref, u.year, count(k.station_ref) filter (where k.l_suppkey % 10 <> 0) as n_rows,
-                   coalesce(bool_or(k.value_m is null or k.year < 2000) filter (where k.l_suppkey % 10 <> 0), false) as failed
-            from landed u left join kept k on k.station_ref = u.station_ref and k.year = u.year
-            where u.year between 1995 and 2001 group by 1, 2
-        ), added as (
-            select k.* from kept k join units u on u.station_ref = k.station_ref and u.year = k.year
-            where not u.failed and k.turn = 1 and k.l_suppkey % 10 <> 0
-        )
+    "landed_rivers": _RIVERS
+    + """
         select u.station_ref, u.year, case when u.failed then 'failed' else 'done' end as status, u.n_rows,
                count(a.date) over (partition by u.station_ref, u.year) as n_inserted, a.date,
                cast(a.value_m as varchar) as value_m, case when a.date is not null then 'Good' end as quality,
                case when a.date is not null then 'EA' end as source
         from units u left join added a on a.station_ref = u.station_ref and a.year = u.year""",
+    "river_rerun": _RIVERS
+    + """
+        select u.station_ref, u.year, case when u.failed then 'failed' else 'done' end as status, u.n_rows,
+               -- What the first run stored is there already.
+               count(a.date) filter (where cast(substr(u.station_ref, 2) as integer) % 2 = 1) as n_inserted
+        from units u left join added a on a.station_ref = u.station_ref and a.year = u.year
+        group by all""",
     "landed_weather": """
         with days as (
             select vec_id, 'V' || vec_id as station_ref, unnest(range(len(embedding)))::int as i, embedding from embeddings
-            where vec_id % 7 <> 0 and vec_id % 11 <> 0
+            where vec_id % 7 <> 0 and vec_id % 11 <> 0 and vec_id % 13 <> 0
         ), rows_ as (
             select station_ref, cast(date '2020-01-01' + i as date) as date,
                    cast(round(cast(embedding[i + 1] as double) * 1000) as integer) as n from days
@@ -375,7 +396,7 @@ SQL: dict[str, str] = {
         with polled as (
             select case when user_id <> 0 then 'A' || user_id end as area, user_id, event_id,
                    cast(length(event_type) - 4 as integer) as level, event_type as label,
-                   coalesce(event_id % 3 = 0, false) as tidal,
+                   case when event_id % 3 = 0 then true when event_id % 5 <> 1 then false end as tidal,
                    cast(cast(floor(value / 25) as bigint) as varchar) as message,
                    '2024-01-0' || nullif(length(props) % 3, 0) || ' 09:00:00' as noted
             from events where length(event_type) - 4 <= 3
@@ -408,10 +429,42 @@ SQL: dict[str, str] = {
         left join customer k on 'A' || k.c_custkey = f.area
         left join customer w on 'A' || w.c_custkey = f.area and w.c_acctbal > 0 and w.c_nationkey <> 0
         where f.rn = 1""",
+    "poll_backlog": """
+        with polled as (
+            select case when user_id <> 0 then 'A' || user_id end as area, user_id, event_id, event_id % 100 as p, event_id % 100 // 3 as hour,
+                   cast(length(event_type) - 4 as integer) as level, event_type as label,
+                   case when event_id % 3 = 0 then true when event_id % 5 <> 1 then false end as tidal,
+                   cast(cast(floor(value / 25) as bigint) as varchar) as message,
+                   '2024-01-0' || nullif(length(props) % 3, 0) || ' 09:00:00' as noted
+            from events where length(event_type) - 4 <= 3
+        ), lagged as (
+            select *, coalesce(area || ' ' || hour, 'row ' || event_id) as grp from polled
+        ), linked as (
+            select *, row_number() over w as rn, lag(level) over w as p_level, lag(message) over w as p_message,
+                   lag(noted) over w as p_noted
+            from lagged window w as (partition by grp order by p, event_id)
+        ), steps as (
+            select *, rn = 1 or level is distinct from p_level or message is distinct from p_message
+                or noted is distinct from p_noted as changed
+            from linked
+        ), ranked as (
+            select *, row_number() over (partition by grp order by p desc, event_id desc) as from_end,
+                   row_number() over (partition by grp, changed order by p desc, event_id desc) as change_from_end
+            from steps
+        )
+        select f.area as flood_area_id, cast(f.event_id as varchar) as description, 'C' as county,
+               z.level as severity_level, c.label as severity_label, f.tidal as is_tidal, z.message,
+               cast(null as double) as lat, cast(null as varchar) as lon,
+               '2024-01-01 07:30:00' as time_raised, z.noted as changed_at,
+               strftime(timestamp '2024-01-01' + to_hours(cast(f.hour as integer)), '%Y-%m-%d %H:%M:%S') as polled_at
+        from ranked f
+        join ranked z on z.grp = f.grp and z.from_end = 1
+        join ranked c on c.grp = f.grp and c.changed and c.change_from_end = 1
+        where f.rn = 1""",
     "landed_readings": """
         select 'U' || user_id as station_ref, '' as station_label, cast(null as double) as lat,
                cast(cast(round(cast(cast(value as varchar) as decimal(18, 10)), 3) as decimal(8, 3)) as varchar) as value_m,
-               strftime(day, '%Y-%m-%d %H:%M:%S') as reading_at
+               strftime(day, '%Y-%m-%d %H:%M:%S') as reading_at, true as has_polled_at
         from (
             select *, row_number() over (partition by user_id, day, case when day is null then event_id end order by event_id) as turn
             from (select *, date_trunc('day', ts)::timestamp as day from events) e

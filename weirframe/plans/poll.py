@@ -21,6 +21,7 @@ from weirframe.operators.lookup import left_lookup
 from weirframe.operators.merge import ACTIONS, UpsertRule, absent, drop_replayed, fold_steps, insert_ignore
 from weirframe.session import Scratch, require_utc
 from weirframe.sources import landed, quarantine
+from weirframe.sources.audit import audit
 from weirframe.sources.schemas import (
     FLOOD_EVENTS,
     STATION_READINGS,
@@ -218,6 +219,13 @@ def poll_many(
         if summary["n_events_stored"] > 0:
             last = folded.filter("is_last").drop("step", "is_last")
             store.replace_partitions(FLOOD_EVENTS, last, announced[0][0] if len(announced) == 1 else f"{announced[0][0]}-{len(announced)}")
+        hours = sorted({hour for _, hour in announced})
+        touched = {
+            FLOOD_EVENTS.name: [hour.strftime(PY_HOUR_FORMAT) for hour in hours],
+            WEATHER_SNAPSHOTS.name: sorted({hour.date() for hour in hours}),
+            STATION_READINGS.name: partition_values(new_readings, "reading_date"),
+        }
+        audit(store, {name: (values, None) for name, values in touched.items() if values})
     made = spark.createDataFrame([tuple(summary.values())], ", ".join(f"{name} bigint" for name in summary))
     return PollRun(made, {(announced[step][0], moments[announced[step]]): reason for step, reason in sorted(rejected.items())})
 

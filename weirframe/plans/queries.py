@@ -19,8 +19,9 @@ from weirframe.operators.heavy import heavy_keys
 from weirframe.operators.lookup import left_lookup
 from weirframe.plans import backfill, poll
 from weirframe.session import Scratch
-from weirframe.sources import landed
+from weirframe.sources import files, landed
 from weirframe.sources.schemas import (
+    BUCKET,
     CORRUPT,
     FLOOD_EVENTS,
     RIVER_LEVELS,
@@ -31,8 +32,8 @@ from weirframe.sources.schemas import (
     Table,
     columns_of,
 )
-from weirframe.sources.tables import TableStore
-from weirframe.streaming.polls import stream_upserts
+from weirframe.sources.tables import TableStore, station_bucket
+from weirframe.streaming.polls import stream_polls, stream_upserts
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 EVENT_RULE = merge.UpsertRule(
@@ -53,6 +54,7 @@ EVENT_STATE = Table(
     "hour",
 )
 FIRST_YEAR, LAST_YEAR = 1995, 2001
+BACKLOG = 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -304,20 +306,20 @@ def year_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def const_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the scans add to a row that does not say it: the constants of live readings and of levels."""
+    label, *coords = scalars.text_constants(landed.READING_CONSTANTS)
     return table(spark, sf_dir, "supplier").select(
-        "s_suppkey",
-        F.lit("").alias("label"),
-        F.lit(None).cast("double").alias("lat"),
-        F.lit(None).cast("double").alias("lon"),
-        F.lit("EA").alias("source"),
-    )
+        "s_suppkey", label, *[column.cast("double") for column in coords], backfill.level_source().alias("source")
+    ).withColumnRenamed("station_label", "label")
 
 
 def default_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flags with the scans' default where there is none; a flag that is there and null stays null."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "source")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    flagged = F.coalesce(F.col("toxic") == 1, F.lit(False))
-    return documents.join(labels, "doc_id", "left").select("doc_id", "source", flagged.alias("is_toxic"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("toxic") == 1).alias("toxic"), (F.col("doc_id") % 5 == 0).alias("blank"))
+    given = F.when(~F.col("blank"), F.col("toxic"))
+    flag = scalars.default_for_absent(given, F.lit(False), F.coalesce("blank", F.lit(False)))
+    return documents.join(labels, "doc_id", "left").select("doc_id", "source", flag.alias("is_toxic"))
 
 
 def zip_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -460,6 +462,12 @@ def level_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backfill.unit_outcomes(backfill.parse_levels(_level_documents(spark, sf_dir)))
 
 
+def failed_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why units fail, and where: the first bad value of each, as the quarantine keeps it."""
+    reasons = backfill.unit_reasons(backfill.parse_levels(_level_documents(spark, sf_dir)))
+    return reasons.select("station_ref", "year", "first_bad.page.l_orderkey", "first_bad.page.l_linenumber", "first_bad.reason")
+
+
 def level_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that the level backfill would write for those documents.
 
@@ -492,6 +500,7 @@ def weather_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).alias("year"),
         F.lit(0).alias("page"),
         daily.alias("daily"),
+        F.lit(False).alias("null_array"),
         F.lit(None).cast("string").alias(CORRUPT),
     )
     parsed = backfill.parse_weather(documents, "2020-01-10", "2020-02-20")
@@ -529,44 +538,57 @@ def _station(ref: Column, lat: Column, measures: Column) -> Column:
     )
 
 
-def landed_rivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Levels after a backfill of all lines landed as bodies, with the outcome of each unit.
-
-    Each line is a reading of its supplier; the seventh lines of orders land in the year
-    after their own. Every tenth supplier has no daily measure. The tables stay in the
-    shared folder, since the returned frame reads them.
-    """
-    scratch = Scratch(spark, "landed-rivers")
+def _land_stations(spark: SparkSession, sf_dir: str, scratch: Scratch) -> str:
+    """A catalogue of all suppliers. Every tenth has no daily measure."""
     ref = F.concat(F.lit("S"), F.col("s_suppkey").cast("string"))
     measure = F.array(F.lit("7"), F.lit('{"parameter": "level", "period": 86400, "@id": "m"}'))
     measures = F.when(F.col("s_suppkey") % 10 == 0, F.array().cast("array<string>")).otherwise(measure)
-    landing = _land_catalogue(
+    return _land_catalogue(
         scratch,
         table(spark, sf_dir, "supplier").select(
             (F.col("s_suppkey") - 1).alias("n"), _station(ref, F.lit(51.5), measures).alias("entry")
         ),
     )
+
+
+def _land_levels(lines: DataFrame, landing: str) -> None:
+    """Lines as readings of their suppliers, in bodies by year; seventh lines land in the year after their own."""
     item = F.struct(
         F.col("l_shipdate").cast("date").cast("string").alias("date"),
         F.col("l_extendedprice").alias("value"),
         F.when(F.col("l_returnflag") == "N", "Good").otherwise("Suspect").alias("quality"),
     )
-    lines = table(spark, sf_dir, "lineitem").select(
+    rows = lines.select(
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("station_ref"),
         (F.year("l_shipdate") + F.when(F.col("l_linenumber") == 7, 1).otherwise(0)).alias("year"),
         # Bodies of a unit are cut by order, so that a hot supplier's fit in a task.
         F.call_function("div", F.col("l_orderkey"), F.lit(500)).cast("int").alias("page"),
         F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", item.alias("item")).alias("row"),
     )
-    bodies = lines.groupBy("station_ref", "year", "page").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    bodies = rows.groupBy("station_ref", "year", "page").agg(F.sort_array(F.collect_list("row")).alias("rows"))
     bodies.select(
-        "station_ref", "year", "page", F.to_json(F.struct(F.col("rows.item").alias("items"))).alias("body")
-    ).write.partitionBy("year").parquet(f"{landing}/daily_level_bodies")
+        "station_ref", "year", "page", F.to_json(F.struct(F.col("rows.item").alias("items"))).alias("body"),
+        station_bucket(F.col("station_ref")).alias(BUCKET),
+    ).write.mode("append").partitionBy("year", BUCKET).parquet(f"{landing}/daily_level_bodies")
+
+
+def _backfilled(spark: SparkSession, scratch: Scratch, landing: str, **more) -> tuple[backfill.BackfillResult, DataFrame]:
     store = TableStore(spark, scratch.path("tables"))
     run = backfill.backfill_rivers(
-        spark, landing, store, scratch.path("ledger"), scratch.path("catalogue"), FIRST_YEAR, LAST_YEAR
+        spark, landing, store, scratch.path("ledger"), scratch.path("catalogue"), FIRST_YEAR, LAST_YEAR, **more
     )
-    levels = store.read(RIVER_LEVELS).withColumn("year", F.year("date"))
+    return run, store.read(RIVER_LEVELS).withColumn("year", F.year("date"))
+
+
+def landed_rivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Levels after a backfill of all lines landed as bodies, with the outcome of each unit.
+
+    The tables stay in the shared folder, since the returned frame reads them.
+    """
+    scratch = Scratch(spark, "landed-rivers")
+    landing = _land_stations(spark, sf_dir, scratch)
+    _land_levels(table(spark, sf_dir, "lineitem"), landing)
+    run, levels = _backfilled(spark, scratch, landing)
     joined = run.units.join(levels, backfill.UNIT, "left")
     return joined.select(
         "station_ref", "year", "status", "n_rows", "n_inserted", "date",
@@ -574,11 +596,29 @@ def landed_rivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def river_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units of a second backfill, with the ledger reset, after the other half of the suppliers landed.
+
+    The first run's catalogue is read again, although the landed one is gone by then, and rows
+    of its units are not inserted twice.
+    """
+    scratch = Scratch(spark, "river-rerun")
+    landing = _land_stations(spark, sf_dir, scratch)
+    lines = table(spark, sf_dir, "lineitem")
+    _land_levels(lines.filter("l_suppkey % 2 = 0"), landing)
+    _backfilled(spark, scratch, landing)
+    files.remove(spark, f"{landing}/catalogue")
+    _land_levels(lines.filter("l_suppkey % 2 = 1"), landing)
+    run, _ = _backfilled(spark, scratch, landing, reset=True)
+    return run.units.select("station_ref", "year", "status", "n_rows", "n_inserted")
+
+
 def landed_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily weather after a backfill of all vectors landed as bodies.
+    """Daily weather after a backfill of all vectors landed as bodies, by station bucket.
 
-    Every seventh vector's second array is one day short, which fails its unit; every
-    eleventh station has no latitude and is not a unit. The tables stay in the shared folder.
+    Every seventh vector's second array is one day short and every thirteenth has an array
+    that is null, which fails their units; every eleventh station has no latitude and is not
+    a unit. The tables stay in the shared folder.
     """
     scratch = Scratch(spark, "landed-weather")
     vectors = table(spark, sf_dir, "embeddings")
@@ -596,9 +636,13 @@ def landed_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform(short, lambda n: n + F.lit(0.5)).alias("winddirection_10m_dominant"),
     )
     whole = vectors.select("vec_id", "embedding", ref.alias("station_ref"), thousandths.alias("whole"))
-    whole.select("station_ref", F.lit(0).alias("page"), F.to_json(F.struct(daily.alias("daily"))).alias("body")).write.parquet(
-        f"{landing}/weather_history_bodies"
-    )
+    body = F.to_json(F.struct(daily.alias("daily")))
+    nulled = F.replace(body, F.lit('{"daily":{'), F.lit('{"daily":{"shortwave_radiation_sum": null,'))
+    bodies = whole.select(
+        "station_ref", F.lit(0).alias("page"), F.when(F.col("vec_id") % 13 == 0, nulled).otherwise(body).alias("body"),
+        station_bucket(F.col("station_ref")).alias(BUCKET),
+    )
+    bodies.write.partitionBy(BUCKET).parquet(f"{landing}/weather_history_bodies")
     store = TableStore(spark, scratch.path("tables"))
     backfill.backfill_weather(
         spark, landing, store, scratch.path("ledger"), scratch.path("catalogue"), "2020-01-10", "2020-02-20"
@@ -612,81 +656,79 @@ def landed_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _poll_landed(spark: SparkSession, sf_dir: str, label: str) -> TableStore:
-    """The tables after one poll of all events, landed as bodies of 500 entries each.
+def _land_bodies(landing: str, source: str, bodies: DataFrame) -> None:
+    """Documents ``(poll, area, page, body)`` as rows of their poll."""
+    rows = bodies.select("poll", F.lit(source).alias("source"), "area", "page", "body")
+    rows.write.mode("append").partitionBy("poll").parquet(f"{landing}/poll_bodies")
 
-    Users are areas (user 0 has none) and stations. The tables stay in the shared folder.
-    """
-    scratch = Scratch(spark, label)
-    landing = scratch.path("landing")
-    events = table(spark, sf_dir, "events")
-    customer = table(spark, sf_dir, "customer")
 
-    def land(source: str, bodies: DataFrame) -> None:
-        rows = bodies.select(F.lit(source).alias("source"), "area", "page", F.to_json("document").alias("body"))
-        rows.write.mode("append").parquet(f"{landing}/poll_bodies/poll=p1")
+def _paged(entries: DataFrame) -> DataFrame:
+    """Entries ``(poll, n, entry)`` as bodies of 500 each. A flag of "null" becomes an explicit null."""
+    cut = entries.groupBy("poll", paging.page_of(F.col("n")).cast("int").alias("page")).agg(
+        F.sort_array(F.collect_list(F.struct("n", "entry"))).alias("rows")
+    )
+    body = F.to_json(F.struct(F.col("rows.entry").alias("items")))
+    explicit = F.replace(body, F.lit('"isTidal":"null"'), F.lit('"isTidal": null'))
+    return cut.select("poll", F.lit(None).cast("string").alias("area"), "page", explicit.alias("body"))
 
-    def pages(entries: DataFrame) -> DataFrame:
-        cut = entries.groupBy(paging.page_of(F.col("n")).cast("int").alias("page")).agg(
-            F.sort_array(F.collect_list(F.struct("n", "entry"))).alias("rows")
-        )
-        return cut.select(F.lit(None).cast("string").alias("area"), "page", F.struct(F.col("rows.entry").alias("items")).alias("document"))
 
-    area = F.concat(F.lit("A"), F.col("c_custkey").cast("string"))
-    areas = (
-        customer.select(
-            F.col("c_custkey").alias("n"),
-            F.struct(
-                area.alias("notation"), F.col("c_nationkey").alias("lat"), (F.col("c_acctbal") / 100).alias("long")
-            ).alias("entry"),
-        )
-    )
-    land("areas", pages(areas))
-    warning = F.struct(
+def _warning() -> Column:
+    """An event as a landed warning of its user's area; user 0 has none."""
+    return F.struct(
         F.concat(F.lit("A"), F.nullif("user_id", F.lit(0)).cast("string")).alias("floodAreaID"),
         F.col("event_id").cast("string").alias("description"),
         F.struct(F.lit("C").alias("county"), F.lit("R").alias("riverOrSea")).alias("floodArea"),
         # Levels of more than 3 are not polled.
         (F.length("event_type") - 4).alias("severityLevel"),
         F.col("event_type").alias("severity"),
-        F.when(F.col("event_id") % 3 == 0, True).alias("isTidal"),
+        F.when(F.col("event_id") % 3 == 0, "true").when(F.col("event_id") % 5 == 1, "null").alias("isTidal"),
         F.floor(F.col("value") / 25).cast("string").alias("message"),
         F.lit("2024-01-01T09:30:00+02:00").alias("timeRaised"),
         _noted().alias("timeSeverityChanged"),
     )
-    land("warnings", pages(events.select(F.col("event_id").alias("n"), warning.alias("entry"))))
-    day = F.date_format(F.date_trunc("day", "ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    station = F.concat(F.lit("http://x/data/readings/U"), F.col("user_id").cast("string"), F.lit("-level-i-15_min/1"))
-    reading = F.struct(station.alias("@id"), F.col("value"), day.alias("dateTime"))
-    land("readings", pages(events.select(F.col("event_id").alias("n"), reading.alias("entry"))))
-    weather = events.select(F.col("user_id").alias("c_custkey")).distinct().join(customer, "c_custkey").filter("c_acctbal > 0")
-    measures = F.struct(
-        F.struct(
-            F.col("c_nationkey").alias("temperature"),
-            (F.col("c_nationkey") + 0.5).alias("winddirection"),
-            (F.col("c_nationkey") * 2).alias("weathercode"),
-        ).alias("current_weather"),
-        F.struct(F.array(F.lit(0.25), F.lit(9.0)).alias("precipitation")).alias("hourly"),
-    )
-    land("weather", weather.select(area.alias("area"), F.lit(0).alias("page"), measures.alias("document")))
-    store = TableStore(spark, scratch.path("tables"))
-    poll.poll_once(spark, landing, store, "p1", datetime.datetime(2024, 1, 1, 10, 25))
-    return store
 
 
-def landed_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flood events after that poll, with their weather snapshots."""
-    store = _poll_landed(spark, sf_dir, "landed-poll")
-    snapshots = store.read(WEATHER_SNAPSHOTS).select(
-        F.col("flood_event_id").alias("id"), "temperature_c", "precipitation_mm", "wind_direction_deg", "weather_code"
-    )
-    return store.read(FLOOD_EVENTS).join(snapshots, "id", "left").select(
+def _event_columns(*more: str) -> list[str | Column]:
+    return [
         "flood_area_id", "description", "county", "severity_level", "severity_label", "is_tidal", "message",
         F.col("lat").cast("double").alias("lat"),
         F.col("lon").cast("string").alias("lon"),
         F.col("time_raised").cast("string").alias("time_raised"),
         F.col("time_severity_changed").cast("string").alias("changed_at"),
         F.col("polled_at").cast("string").alias("polled_at"),
+        *more,
+    ]
+
+
+def landed_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flood events after one poll of all events landed as bodies of 500, with their weather snapshots.
+
+    The tables stay in the shared folder, since the returned frame reads them.
+    """
+    scratch = Scratch(spark, "landed-poll")
+    landing, one = scratch.path("landing"), F.lit("p1").alias("poll")
+    events = table(spark, sf_dir, "events")
+    customer = table(spark, sf_dir, "customer")
+    area = F.concat(F.lit("A"), F.col("c_custkey").cast("string"))
+    place = F.struct(area.alias("notation"), F.col("c_nationkey").alias("lat"), (F.col("c_acctbal") / 100).alias("long"))
+    _land_bodies(landing, "areas", _paged(customer.select(one, F.col("c_custkey").alias("n"), place.alias("entry"))))
+    _land_bodies(landing, "warnings", _paged(events.select(one, F.col("event_id").alias("n"), _warning().alias("entry"))))
+    current = F.struct(
+        F.col("c_nationkey").alias("temperature"),
+        (F.col("c_nationkey") + 0.5).alias("winddirection"),
+        (F.col("c_nationkey") * 2).alias("weathercode"),
+    )
+    hourly = F.struct(F.array(F.lit(0.25), F.lit(9.0)).alias("precipitation"))
+    body = F.to_json(F.struct(current.alias("current_weather"), hourly.alias("hourly"))).alias("body")
+    weather = events.select(F.col("user_id").alias("c_custkey")).distinct().join(customer, "c_custkey").filter("c_acctbal > 0")
+    _land_bodies(landing, "weather", weather.select(one, area.alias("area"), F.lit(0).alias("page"), body))
+    store = TableStore(spark, scratch.path("tables"))
+    poll.poll_once(spark, landing, store, "p1", datetime.datetime(2024, 1, 1, 10, 25))
+    snapshots = store.read(WEATHER_SNAPSHOTS).select(
+        F.col("flood_event_id").alias("id"), "temperature_c", "precipitation_mm", "wind_direction_deg", "weather_code"
+    )
+    return store.read(FLOOD_EVENTS).join(snapshots, "id", "left").select(
+        *_event_columns(),
         F.col("temperature_c").cast("double").alias("temperature_c"),
         F.col("precipitation_mm").cast("double").alias("precipitation_mm"),
         "wind_direction_deg", "weather_code",
@@ -694,16 +736,49 @@ def landed_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Station readings after that poll: the first of each station and day."""
-    return _poll_landed(spark, sf_dir, "landed-readings").read(STATION_READINGS).select(
+    """Station readings after one poll of all events as readings of users: the first of each station and day."""
+    scratch = Scratch(spark, "landed-readings")
+    landing = scratch.path("landing")
+    day = F.date_format(F.date_trunc("day", "ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    station = F.concat(F.lit("http://x/data/readings/U"), F.col("user_id").cast("string"), F.lit("-level-i-15_min/1"))
+    reading = F.struct(station.alias("@id"), F.col("value"), day.alias("dateTime"))
+    events = table(spark, sf_dir, "events")
+    _land_bodies(landing, "readings", _paged(events.select(F.lit("p1").alias("poll"), F.col("event_id").alias("n"), reading.alias("entry"))))
+    store = TableStore(spark, scratch.path("tables"))
+    poll.poll_once(spark, landing, store, "p1", datetime.datetime(2024, 1, 1, 10, 25))
+    return store.read(STATION_READINGS).select(
         "station_ref",
         "station_label",
         F.col("lat").cast("double").alias("lat"),
         F.col("value_m").cast("string").alias("value_m"),
         F.col("reading_at").cast("string").alias("reading_at"),
+        F.col("polled_at").isNotNull().alias("has_polled_at"),
     )
 
 
+def poll_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flood events after a stream found a backlog of 100 polls, three in an hour, and ran them as one batch.
+
+    Event n is the (n div 100)th warning of poll n mod 100.
+    """
+    scratch = Scratch(spark, "poll-backlog")
+    landing = scratch.path("landing")
+    number = F.col("event_id") % BACKLOG
+    events = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("p"), number.cast("string")).alias("poll"),
+        F.call_function("div", F.col("event_id"), F.lit(BACKLOG)).alias("n"),
+        _warning().alias("entry"),
+    )
+    _land_bodies(landing, "warnings", _paged(events))
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    at = F.date_format(start + F.make_dt_interval(mins=F.col("id").cast("int") * 20), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    announced = spark.range(0, BACKLOG, 1, 1).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("poll"), at.alias("polled_at"))
+    announced.write.option("maxRecordsPerFile", 1).json(f"{landing}/polls")
+    store = TableStore(spark, scratch.path("tables"))
+    stream_polls(spark, landing, store, scratch.path("checkpoint"), BACKLOG).awaitTermination()
+    return store.read(FLOOD_EVENTS).select(*_event_columns())
+
+
 def _polled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
     """All events as the warnings of one poll: (events after it, area coordinates, area weather, runs)."""
     customer = table(spark, sf_dir, "customer")
@@ -839,12 +914,15 @@ QUERIES: dict[str, Query] = {
     "fk_orphans": fk_orphans,
     "unique_audit": unique_audit,
     "level_units": level_units,
+    "failed_units": failed_units,
     "level_backfill": level_backfill,
     "weather_backfill": weather_backfill,
     "landed_rivers": landed_rivers,
+    "river_rerun": river_rerun,
     "landed_weather": landed_weather,
     "landed_poll": landed_poll,
     "landed_readings": landed_readings,
+    "poll_backlog": poll_backlog,
     "poll_events": poll_events,
     "poll_snapshots": poll_snapshots,
     "poll_stream": poll_stream,

@@ -13,8 +13,11 @@ Layout below a landing folder:
 Bodies of polls and of history land as files or as rows of Parquet files. Rows are the layout
 for many areas or units: listing and tasks follow bytes, and a body is a row whatever it says.
 
-    daily_level_bodies/year=<y>/*.parquet              station_ref, page, body
-    weather_history_bodies/*.parquet                   station_ref, page, body
+    daily_level_bodies/year=<y>[/bucket=<b>]/*.parquet        station_ref, page, body
+    weather_history_bodies[/bucket=<b>]/*.parquet             station_ref, page, body
+
+The bucket is ``tables.station_bucket`` of the station; with such folders, a resume reads the
+buckets of pending stations alone.
 
 A unit may have bodies in either layout. A malformed body still knows its unit there,
 and finished years are pruned by folder without listing a file per unit.
@@ -81,23 +84,57 @@ def read_documents(
     return documents.withColumns({"page": F.coalesce(page, F.lit(0)), "document": F.col("_metadata.file_name")})
 
 
-def read_bodies(
-    spark: SparkSession, path: str, schema: T.StructType, folders: dict[str, T.DataType]
-) -> DataFrame | None:
-    """The same rows as ``read_documents`` gives, out of bodies that landed as rows."""
-    if not files.exists(spark, path):
-        return None
-    columns = {"station_ref": T.StringType(), "page": T.IntegerType(), "body": T.StringType(), **folders}
-    landed = spark.read.schema(T.StructType([T.StructField(n, k) for n, k in columns.items()])).parquet(path)
+def _has_buckets(spark: SparkSession, path: str, by_year: bool) -> bool:
+    names = files.child_names(spark, path)
+    if by_year:
+        years = [name for name in names if name.startswith("year=")]
+        names = files.child_names(spark, f"{path}/{years[0]}") if years else []
+    return any(name.startswith(f"{schemas.BUCKET}=") for name in names)
+
+
+def history_bodies(
+    spark: SparkSession, landing: str, source: str, rows: str, by_year: bool, buckets: list[int] | None
+) -> DataFrame:
+    """Bodies of one history source in both layouts: ``station_ref``, ``year`` if any, ``page, document, body``."""
+    year = "year int" if by_year else ""
+    keys = ["station_ref", *(["year"] if by_year else [])]
+    found = [spark.createDataFrame([], ", ".join(filter(None, ["station_ref string", year, "page int, document string, body string"])))]
+    if files.exists(spark, f"{landing}/{rows}"):
+        bucketed = _has_buckets(spark, f"{landing}/{rows}", by_year)
+        folders = [*([year] if by_year else []), *([f"{schemas.BUCKET} int"] if bucketed else [])]
+        read = spark.read.schema(", ".join(["station_ref string, page int, body string", *folders])).parquet(f"{landing}/{rows}")
+        if bucketed and buckets is not None:
+            read = read.filter(F.col(schemas.BUCKET).isin(buckets))
+        found.append(read.select(*keys, "page", F.col("_metadata.file_name").alias("document"), "body"))
+    if files.exists(spark, f"{landing}/{source}"):
+        schema = ", ".join(filter(None, ["value string, station_ref string", year]))
+        read = spark.read.schema(schema).option("wholetext", True).option("pathGlobFilter", "*.json").text(f"{landing}/{source}")
+        page = F.coalesce(F.regexp_extract("_metadata.file_name", PAGE_NUMBER, 1).try_cast("int"), F.lit(0))
+        found.append(read.select(*keys, page.alias("page"), F.col("_metadata.file_name").alias("document"), F.col("value").alias("body")))
+    whole = found[0]
+    for part in found[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def parse_bodies(bodies: DataFrame, schema: T.StructType, *more: Column) -> DataFrame:
+    """Bodies with the fields of their document; malformed text stands in the corrupt-record column."""
     full = T.StructType([*schema.fields, T.StructField(schemas.CORRUPT, T.StringType())])
     parsed = F.from_json("body", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT})
-    return landed.withColumns({"parsed": parsed, "document": F.col("_metadata.file_name")}).select(
-        "parsed.*", *[name for name in columns if name != "body"], "document"
-    )
+    kept = [name for name in bodies.columns if name != "body"]
+    return bodies.withColumn("parsed", parsed).select("parsed.*", *kept, *more)
 
 
-def _either(documents: DataFrame, bodies: DataFrame | None) -> DataFrame:
-    return documents if bodies is None else documents.unionByName(bodies.select(*documents.columns))
+def has_null_array(body: Column) -> Column:
+    """Whether a daily array is there and null, which a typed read takes for an absent one."""
+    names = ["time", *schemas.WEATHER_VARIABLES]
+    # Most bodies have nulls only inside arrays and need no second parse.
+    likely = body.rlike(rf'"(?:{"|".join(names)})"\s*:\s*null')
+    variant = F.when(likely, F.try_parse_json(body))
+    found = F.lit(False)
+    for name in schemas.WEATHER_VARIABLES:
+        found = found | F.coalesce(F.is_variant_null(F.try_variant_get(variant, f"$.daily.{name}", "variant")), F.lit(False))
+    return found
 
 
 def items(documents: DataFrame, *keep: str) -> DataFrame:
@@ -284,19 +321,13 @@ def saved_catalogue(spark: SparkSession, landing: str, cache: str) -> DataFrame:
     return spark.read.parquet(cache)
 
 
-def daily_levels(spark: SparkSession, landing: str) -> DataFrame:
-    """Documents of (station_ref, year) units."""
-    year = {"year": T.IntegerType()}
-    documents = read_documents(
-        spark, f"{landing}/daily_levels", schemas.DAILY_LEVELS_DOC, {"station_ref": T.StringType(), **year}
-    )
-    return _either(documents, read_bodies(spark, f"{landing}/daily_level_bodies", schemas.DAILY_LEVELS_DOC, year))
+def daily_levels(spark: SparkSession, landing: str, buckets: list[int] | None = None) -> DataFrame:
+    """Documents of (station_ref, year) units; of the stations in ``buckets`` where the layout tells."""
+    bodies = history_bodies(spark, landing, "daily_levels", "daily_level_bodies", True, buckets)
+    return parse_bodies(bodies, schemas.DAILY_LEVELS_DOC)
 
 
-def weather_history(spark: SparkSession, landing: str) -> DataFrame:
-    """Documents of station_ref units; parallel daily arrays."""
-    documents = read_documents(
-        spark, f"{landing}/weather_history", schemas.WEATHER_HISTORY_DOC, {"station_ref": T.StringType()}
-    )
-    bodies = read_bodies(spark, f"{landing}/weather_history_bodies", schemas.WEATHER_HISTORY_DOC, {})
-    return _either(documents, bodies)
+def weather_history(spark: SparkSession, landing: str, buckets: list[int] | None = None) -> DataFrame:
+    """Documents of station_ref units: parallel daily arrays, and whether one of them is an explicit null."""
+    bodies = history_bodies(spark, landing, "weather_history", "weather_history_bodies", False, buckets)
+    return parse_bodies(bodies, schemas.WEATHER_HISTORY_DOC, has_null_array(F.col("body")).alias("null_array"))

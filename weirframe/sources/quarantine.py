@@ -39,9 +39,9 @@ def entry(spark: SparkSession, job: str, unit: str, page: int | None, pos: int |
     return spark.createDataFrame([(job, unit, None, page, pos, None, reason)], COLUMNS)
 
 
-def failed_units(job: str, units: DataFrame) -> DataFrame:
-    """Units that failed, with the first reason and its place."""
-    return units.filter("failed").select(
+def failed_units(job: str, reasons: DataFrame) -> DataFrame:
+    """Units that failed, with the first reason (``first_bad``) and its place."""
+    return reasons.select(
         F.lit(job).alias("job"), F.concat_ws(":", "station_ref", "year").alias("unit"), F.lit(None).cast("string").alias("source"),
         F.col("first_bad.page").cast("int").alias("page"), F.col("first_bad.pos").cast("int").alias("pos"),
         F.lit(None).cast("string").alias("document"), F.col("first_bad.reason").alias("reason"),

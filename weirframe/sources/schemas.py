@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 
 TEXT = T.StringType()
 CORRUPT = "_corrupt_record"
+#: Folder of a station's bucket, and how many there are. Stored data depends on the number.
+BUCKET = "bucket"
+STATION_BUCKETS = 16
 
 
 def _text_fields(*names: str) -> list[T.StructField]:
@@ -92,7 +95,11 @@ POLL_DOC = T.StructType(_text_fields("poll", "polled_at"))
 
 @dataclass(frozen=True)
 class Table:
-    """A target table: columns, unique key, and the partition column derived from it."""
+    """A target table: columns, unique key, and the partition column derived from it.
+
+    ``bucketed`` tables are split by ``BUCKET`` of the station below each partition.
+    ``refers`` names a column, and the table and column in which its values must exist.
+    """
 
     name: str
     columns: T.StructType
@@ -101,10 +108,17 @@ class Table:
     partition: str
     partition_type: T.DataType
     partition_source: str
+    bucketed: bool = False
+    refers: tuple[str, str, str] | None = None
+
+    @property
+    def folders(self) -> list[T.StructField]:
+        bucket = [T.StructField(BUCKET, T.IntegerType())] if self.bucketed else []
+        return [T.StructField(self.partition, self.partition_type), *bucket]
 
     @property
     def stored(self) -> T.StructType:
-        return T.StructType([*self.columns.fields, T.StructField(self.partition, self.partition_type)])
+        return T.StructType([*self.columns.fields, *self.folders])
 
 
 def columns_of(text: str) -> T.StructType:
@@ -116,7 +130,10 @@ def columns_of(text: str) -> T.StructType:
     return schema
 
 
-def _table(name: str, columns: str, key: str, required: str, partition: str, partition_type: T.DataType, source: str) -> Table:
+def _table(
+    name: str, columns: str, key: str, required: str, partition: str, partition_type: T.DataType, source: str,
+    bucketed: bool = False, refers: tuple[str, str, str] | None = None,
+) -> Table:
     return Table(
         name,
         columns_of(columns),
@@ -125,6 +142,8 @@ def _table(name: str, columns: str, key: str, required: str, partition: str, par
         partition,
         partition_type,
         source,
+        bucketed,
+        refers,
     )
 
 
@@ -136,6 +155,7 @@ RIVER_LEVELS = _table(
     "year",
     T.IntegerType(),
     "date",
+    bucketed=True,
 )
 WEATHER_HISTORY = _table(
     "historical_weather",
@@ -147,6 +167,7 @@ WEATHER_HISTORY = _table(
     "year",
     T.IntegerType(),
     "date",
+    bucketed=True,
 )
 FLOOD_EVENTS = _table(
     "flood_events",
@@ -169,6 +190,7 @@ WEATHER_SNAPSHOTS = _table(
     "polled_date",
     T.DateType(),
     "polled_at",
+    refers=("flood_event_id", "flood_events", "id"),
 )
 STATION_READINGS = _table(
     "station_readings",

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirframe.sources import files
-from weirframe.sources.schemas import Table
+from weirframe.sources.schemas import BUCKET, STATION_BUCKETS, Table
 
 
 #: Partition of an hour, and the same for Python datetimes.
@@ -29,14 +29,16 @@ class TableStore:
         for table in tables:
             files.make_dir(self.spark, self.path(table))
 
-    def read(self, table: Table, partitions: list | None = None) -> DataFrame:
-        """The table's columns; ``partitions`` limits the scan to those partition values."""
+    def read(self, table: Table, partitions: list | None = None, buckets: list[int] | None = None) -> DataFrame:
+        """The table's columns; ``partitions`` and ``buckets`` limit the scan to those folders."""
         self.create_if_absent(table)
         frame = self.spark.read.schema(table.stored).parquet(self.path(table))
         if partitions is not None:
             column = F.col(table.partition)
             wanted = column.isin([p for p in partitions if p is not None])
             frame = frame.filter(wanted | column.isNull() if None in partitions else wanted)
+        if buckets is not None and table.bucketed:
+            frame = frame.filter(F.col(BUCKET).isin(buckets))
         return frame.select(*table.columns.names)
 
     def read_dates(self, table: Table, start: datetime.date, end: datetime.date) -> DataFrame:
@@ -58,17 +60,18 @@ class TableStore:
             value = F.date_format(source, HOUR_FORMAT)
         else:
             value = source.cast("date")
-        return frame.select(*table.columns.names, value.alias(table.partition))
+        bucket = [station_bucket(F.col("station_ref")).alias(BUCKET)] if table.bucketed else []
+        return frame.select(*table.columns.names, value.alias(table.partition), *bucket)
 
     def balanced(self, table: Table, frame: DataFrame) -> DataFrame:
         """Few files per partition; a large partition is split by size, not held in one task."""
-        return self.routed(table, frame).hint("rebalance", F.col(table.partition))
+        return self.routed(table, frame).hint("rebalance", *[F.col(folder.name) for folder in table.folders])
 
     def append(self, table: Table, frame: DataFrame) -> None:
         (
             self.balanced(table, frame)
             .write.mode("append")
-            .partitionBy(table.partition)
+            .partitionBy(*[folder.name for folder in table.folders])
             .parquet(self.path(table))
         )
 
@@ -83,7 +86,7 @@ class TableStore:
         (
             self.balanced(table, frame)
             .write.mode("overwrite")
-            .partitionBy(table.partition)
+            .partitionBy(*[folder.name for folder in table.folders])
             .parquet(pending)
         )
         self._publish(table, pending)
@@ -108,6 +111,10 @@ class TableStore:
         files.remove(self.spark, pending)
 
 
+def station_bucket(ref: Column) -> Column:
+    return F.pmod(F.xxhash64(ref), F.lit(STATION_BUCKETS)).cast("int")
+
+
 def partition_values(frame: DataFrame, column: str) -> list:
     """Distinct partition values of a batch: at most one per partition of the table."""
     return [row[0] for row in frame.select(column).distinct().collect()]
