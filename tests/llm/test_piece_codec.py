@@ -60,3 +60,12 @@ def test_odd_rows(spark):
     long = len(library.encode("ab" * 3000))
     assert found == {(1, None, None), (2, 0, True), (None, len(library.encode(" ")), True), (3, long, True)}
     assert P.encode_decode(docs.limit(0), PATH).count() == 0
+
+
+def test_a_table_of_ids_is_decoded(spark):
+    rows = [(1, "Hello  wörld\n\t😀", 3), (2, "", 3), (3, None, 3), (None, "again again", 3), (1, "Hello  wörld\n\t😀", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    encoded = P.encode_decode(docs, PATH).withColumn("text", P.F.lit("x"))
+    found = [(r["doc_id"], r["text"]) for r in P.decode_table(encoded, PATH).collect()]
+    assert sorted(found, key=repr) == sorted([(i, text) for i, text, _ in rows], key=repr)
+    assert P.decode_table(encoded.limit(0), PATH).count() == 0

@@ -51,6 +51,22 @@ def test_index_finds_what_all_rules_find(spark):
 
 
 def test_rules_lie_under_their_rarest_token():
-    rules = (U.PatternRule("a-b", ("a", "b")), U.PatternRule("b", ("b",)))
-    assert U.index_of(rules, {"a": 3, "b": 5}) == {"a": ["a-b"], "b": ["b"]}
-    assert U.index_of(rules, {"a": 9, "b": 5}) == {"b": ["a-b", "b"]}
+    rules = (U.PatternRule("a-b", ("a", "b")), U.PatternRule("b", ("b",)), U.SiteRule("x.b", "/a/c", U.BLOCK), U.PatternRule(".", ()))
+    assert U.index_of(rules, {"a": 3, "b": 5, "x": 9}) == {"a": [rules[0], rules[2]], "b": [rules[1]], None: [rules[3]]}
+    assert U.index_of(rules, {"a": 9, "b": 5, "x": 2})["x"] == [rules[2]]
+
+
+def test_tokens_of_site_rules_stand_whole():
+    assert U.SiteRule("example.org", "/en/1", U.BLOCK).tokens == ("example", "org", "en")
+    assert U.SiteRule("com", "/fr/", U.ALLOW).tokens == ("com", "fr")
+
+
+def test_rule_lists_are_parameters(spark):
+    rules = (U.SiteRule("b.net", "/", U.BLOCK), U.SiteRule("a.b.net", "/x", U.ALLOW), U.SiteRule("-", "/", U.BLOCK))
+    urls = ["http://b.net/", "http://a.b.net/xy", "http://a.b.net/y", "http://ab.net/", "http://A.b.NET/X", "http://-/", "http://b.net", "http://c.net/spam"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {r["page_id"]: (r["rule"], r["verdict"]) for r in U.judge(pages, rules, ()).collect()}
+    assert [found[k] for k in range(len(urls))] == [
+        ("b.net/", "block"), ("a.b.net/x", "allow"), ("b.net/", "block"), (None, "allow"), ("b.net/", "block"), ("-/", "block"),
+        (None, "allow"), (None, "allow"),
+    ]

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirframe.llm.batches import slices, utf8
-from weirframe.llm.labelled import sample
+from weirframe.llm.labelled import one_row_each, sample
 from weirframe.llm.weak_toxicity import logistic
 
 LABELLED_ROWS, UNLABELLED_ROWS = 8_000, 8_000
@@ -186,7 +186,7 @@ def train(
         chosen.setdefault(row["doc_id"], -1)
     spark = docs.sparkSession
     table = spark.createDataFrame([(int(k), int(v)) for k, v in chosen.items()], "doc_id long, label int")
-    rows = _source(docs, id_col, text_col).join(F.broadcast(table), "doc_id")
+    rows = one_row_each(_source(docs, id_col, text_col).join(F.broadcast(table), "doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

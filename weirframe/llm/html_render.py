@@ -5,13 +5,20 @@ paragraph ends where a block begins, list items, table rows and cells end where
 begins, rows get their table body. Elements that no browser shows (scripts, styles,
 templates, ``hidden``, ``display:none``, the inside of closed ``details``) are dropped.
 The renderer then walks the tree without recursion: blocks start lines, paragraphs and
-headings stand apart by a blank line, list items carry bullets or numbers and indents,
-preformatted text keeps its spaces, and cells of a table line up in columns. A table with
-a cell of several lines is taken for page layout, and its cells become blocks.
-
-Nulls: a null page gives a null text; an empty one an empty text. Text without tags is
-text. Broken markup never fails: unknown end tags are ignored, open elements end with the
-page. Repeated rows get equal texts. Columns other than id and page are ignored.
+headings stand apart by a blank line, list items carry bullets or numbers (``start``,
+``value`` and ``reversed`` count) and indents, preformatted text keeps its spaces. Rules of
+``<style>`` elements with a tag, class or id alone decide on ``display:none`` and
+``visibility`` like inline styles; what is visible inside an invisible parent is shown.
+
+Cells of a table stand on a grid: spans over columns and rows keep their places, a column is
+as wide as its widest cell (characters that take two columns count twice), a row as high as
+its tallest. A table around other tables is taken for page layout, and its cells stand one
+below the other.
+
+Nulls: a null page gives a null text; an empty one an empty text; very long ones are parsed
+whole. Text without tags is text. Broken markup never fails: unknown end tags are ignored,
+open elements end with the page. Repeated rows get equal texts, and an empty table gives no
+rows. Columns other than id and page are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,6 +27,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from unicodedata import combining, east_asian_width
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,13 +40,16 @@ TAG = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPACES = re.compile(r"[ \t\n\r\f]+")
-HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
+STYLE = re.compile(r"(display|visibility)\s*:\s*([a-z-]+)", re.IGNORECASE)
+RULE = re.compile(r"@[^{};]*(?:;|\{(?:[^{}]*\{[^{}]*\})*[^{}]*\})|([^{}@]+)\{([^{}]*)\}")
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL)
+SELECTOR = re.compile(r"([a-zA-Z][a-zA-Z0-9]*)?((?:[.#][\w-]+)*)\Z")
 # Element names by role, as the HTML standard has them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 UNSEEN = frozenset(
-    "head title meta link script style template noscript iframe object audio video canvas svg math datalist noembed"
-    " noframes area base param source track".split()
+    "head title meta link script style template noscript iframe object audio video canvas math datalist noembed"
+    " noframes area base param source track defs desc symbol clippath mask pattern metadata".split()
 )
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer"
@@ -65,12 +76,46 @@ CELL_GAP = "  "
 
 
 class Node:
-    __slots__ = ("attributes", "children", "tag")
+    __slots__ = ("attributes", "children", "style", "tag")
 
     def __init__(self, tag: str, attributes: dict[str, str]) -> None:
         self.tag = tag
         self.attributes = attributes
         self.children: list[Node | str] = []
+        #: Of the root: the page's style sheets.
+        self.style = ""
+
+
+class Sheet:
+    """Rules of one tag, classes and ids, under the rarest of their names."""
+
+    def __init__(self, source: str) -> None:
+        self.rules: dict[str, list[tuple]] = {}
+        for order, (selectors, body) in enumerate(RULE.findall(COMMENT.sub("", source))):
+            found = {name.lower(): value.lower() for name, value in STYLE.findall(body)}
+            if not found:
+                continue
+            for selector in selectors.split(","):
+                match = SELECTOR.match(selector.strip())
+                if match is None or not match.group():
+                    continue
+                tag, names = (match.group(1) or "").lower(), re.findall(r"[.#][\w-]+", match.group(2))
+                weight = (sum(name[0] == "#" for name in names), len(names), bool(tag), order)
+                self.rules.setdefault(names[0] if names else tag, []).append((weight, tag, frozenset(names), found))
+
+    def of(self, node: Node) -> dict[str, str]:
+        """Display and visibility that the rules and the inline style give a node."""
+        found: dict[str, str] = {}
+        if self.rules:
+            names = {f".{name}" for name in node.attributes.get("class", "").split()}
+            if "id" in node.attributes:
+                names.add(f"#{node.attributes['id']}")
+            fitting = [rule for key in (node.tag, *names) for rule in self.rules.get(key, ()) if rule[1] in ("", node.tag) and rule[2] <= names]
+            for rule in sorted(fitting, key=lambda rule: rule[0]):
+                found |= rule[3]
+        if "style" in node.attributes:
+            found |= {name.lower(): value.lower() for name, value in STYLE.findall(node.attributes["style"])}
+        return found
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -149,16 +194,18 @@ def build(page: str) -> Node:
             end = size if end < 0 else end
             raw = page[at:end]
             open_nodes[-1].children.append(unescape(raw) if tag in ("textarea", "title") else raw)
+            if tag == "style":
+                root.style += f"{raw}\n"
             at = end
     return root
 
 
-def visible(node: Node) -> bool:
+def rendered(node: Node, style: dict[str, str]) -> bool:
     if node.tag in UNSEEN or "hidden" in node.attributes:
         return False
     if node.tag == "input":
         return node.attributes.get("type", "").lower() in ("submit", "button", "reset")
-    return not HIDING.search(node.attributes.get("style", ""))
+    return style.get("display") != "none"
 
 
 class Flow:
@@ -231,51 +278,104 @@ class Flow:
         return self.lines
 
 
+def width_of(text: str) -> int:
+    """Columns that a text takes: two for wide characters, none for combining ones."""
+    if text.isascii():
+        return len(text)
+    return sum(0 if combining(char) else 2 if east_asian_width(char) in "WF" else 1 for char in text)
+
+
 class Table:
     def __init__(self) -> None:
-        self.rows: list[list[tuple[list[str], int]]] = []
+        self.rows: list[list[tuple[list[str], int, int]]] = []
+        self.is_layout = False
+
+    def _placed(self) -> list[tuple[int, int, int, int, list[str]]]:
+        """Row, column, spans and lines of every cell; places taken from above are passed over whole."""
+        placed = []
+        # For each column, the first row that no cell from above reaches.
+        free: dict[int, int] = {}
+        for row, cells in enumerate(self.rows):
+            column = 0
+            for lines, across, down in cells:
+                while taken := [c for c in range(column, column + across) if free.get(c, 0) > row]:
+                    column = taken[-1] + 1
+                down = min(down or len(self.rows), len(self.rows) - row)
+                for c in range(column, column + across):
+                    free[c] = row + down
+                placed.append((row, column, down, across, lines))
+                column += across
+        return placed
 
     def lines(self) -> list[str]:
         """Aligned rows; or, of a layout table, the cells' lines one below the other."""
-        rows = [row for row in self.rows if any(cell for cell, _ in row)]
-        if any(len(cell) > 1 for row in rows for cell, _ in row):
-            return [line for row in rows for cell, _ in row for line in cell]
+        if self.is_layout:
+            return [line for row in self.rows for cell, _, _ in row for line in cell]
+        placed = [cell for cell in self._placed() if cell[4]]
         widths: dict[int, int] = {}
-        placed = []
-        for row in rows:
-            column, cells = 0, []
-            for cell, span in row:
-                value = cell[0] if cell else ""
-                cells.append((column, span, value))
-                if span == 1:
-                    widths[column] = max(widths.get(column, 0), len(value))
-                column += span
-            placed.append(cells)
-        lines = []
-        for cells in placed:
-            line = ""
-            for column, span, value in cells:
-                width = sum(widths.get(c, 0) for c in range(column, column + span)) + len(CELL_GAP) * (span - 1)
-                line += value.ljust(width) + CELL_GAP
-            lines.append(line.rstrip())
-        return lines
-
-
-def _span(node: Node) -> int:
-    value = node.attributes.get("colspan", "1").strip()
-    return min(max(int(value), 1), 1000) if value.isascii() and value.isdigit() else 1
+        heights = [0] * len(self.rows)
+        gap = len(CELL_GAP)
+        sizes = [max(map(width_of, lines)) for *_, lines in placed]
+        for (row, column, down, across, lines), size in zip(placed, sizes, strict=True):
+            if across == 1:
+                widths[column] = max(widths.get(column, 0), size)
+            if down == 1:
+                heights[row] = max(heights[row], len(lines))
+        # What does not fit into its spans makes their last column wider, their last row higher.
+        for (row, column, down, across, lines), size in zip(placed, sizes, strict=True):
+            if across > 1:
+                room = sum(widths.get(c, 0) for c in range(column, column + across)) + gap * (across - 1)
+                widths[column + across - 1] = widths.get(column + across - 1, 0) + max(0, size - room)
+            if down > 1:
+                heights[row + down - 1] += max(0, len(lines) - sum(heights[row : row + down]))
+        starts, at = {}, 0
+        for column in range(max((column for _, column, _, _, _ in placed), default=-1) + 1):
+            starts[column] = at
+            at += widths.get(column, 0) + gap
+        tops, top = [], 0
+        for height in heights:
+            tops.append(top)
+            top += height
+        out: list[list[tuple[int, str]]] = [[] for _ in range(top)]
+        for row, column, _, _, lines in placed:
+            for k, line in enumerate(lines):
+                out[tops[row] + k].append((starts[column], line))
+        made = []
+        for parts in out:
+            line, filled = [], 0
+            for start, text in sorted(parts, key=lambda part: part[0]):
+                line.append(" " * (start - filled) + text)
+                filled = start + width_of(text)
+            made.append("".join(line).rstrip())
+        return made
+
+
+def _number(node: Node, name: str, default: int, most: int) -> int:
+    value = node.attributes.get(name, "").strip()
+    return min(int(value), most) if value.isascii() and value.isdigit() and len(value) < 10 else default
+
+
+def _whole(value: str) -> int | None:
+    digits = value.strip().removeprefix("-")
+    return int(value) if digits.isascii() and digits.isdigit() and len(digits) < 10 else None
 
 
 def render(root: Node) -> str:
     flows: list[Flow] = [Flow()]
     tables: list[Table] = []
-    numbers: list[int | None] = []
-    exact = 0
+    #: The next number of each open list and its step; none of a list without numbers.
+    numbers: list[list[int] | None] = []
+    sheet = Sheet(root.style)
+    #: Whether the text of each open element shows, by its visibility.
+    shown = [True]
+    exact = drawings = 0
     todo: list[tuple[str, Node | str]] = [("open", root)]
     while todo:
         step, node = todo.pop()
         flow = flows[-1]
         if isinstance(node, str):
+            if not shown[-1]:
+                continue
             if exact:
                 flow.exact(node)
             elif node:
@@ -283,14 +383,19 @@ def render(root: Node) -> str:
             continue
         tag = node.tag
         if step == "open":
-            if not visible(node):
+            style = sheet.of(node)
+            if not rendered(node, style):
                 continue
             if tag == "br":
                 flow.end_line(keep_empty=True)
                 continue
             if tag == "input":
-                flow.text(node.attributes.get("value", ""))
+                if shown[-1]:
+                    flow.text(node.attributes.get("value", ""))
                 continue
+            seen = style.get("visibility")
+            shown.append(shown[-1] if seen is None or seen == "inherit" else seen not in ("hidden", "collapse"))
+            drawings += tag == "svg"
             if tag in ("td", "th") and tables:
                 flows.append(Flow())
             elif tag == "tr" and tables:
@@ -300,16 +405,23 @@ def render(root: Node) -> str:
                 tables.append(Table())
             elif tag == "caption" and tables:
                 flow.apart(False)
-            elif tag in BLOCKS:
+            elif tag in BLOCKS or (drawings and tag == "text"):
                 flow.apart(tag in SPACED and not (tag in LISTS and numbers))
-            if tag in LISTS:
-                start = node.attributes.get("start", "1")
-                numbers.append((int(start) if start.lstrip("-").isdecimal() else 1) if tag == "ol" else None)
+            if tag == "ol":
+                falling = "reversed" in node.attributes
+                items = sum(isinstance(child, Node) and child.tag == "li" for child in node.children)
+                start = _whole(node.attributes.get("start", ""))
+                numbers.append([start if start is not None else items if falling else 1, -1 if falling else 1])
+            elif tag in LISTS:
+                numbers.append(None)
             elif tag == "li":
                 number = numbers[-1] if numbers else None
-                flow.marker = "- " if number is None else f"{number}. "
                 if number is not None:
-                    numbers[-1] = number + 1
+                    own = _whole(node.attributes.get("value", ""))
+                    number[0] = number[0] if own is None else own
+                flow.marker = "- " if number is None else f"{number[0]}. "
+                if number is not None:
+                    number[0] += number[1]
                 flow.indents.append(" " * len(flow.marker))
             elif tag in ("blockquote", "dd"):
                 flow.indents.append("  ")
@@ -321,14 +433,18 @@ def render(root: Node) -> str:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
             todo.extend(("open", child) for child in reversed(children))
             continue
+        shown.pop()
+        drawings -= tag == "svg"
         if tag in ("td", "th") and tables:
             cell = flows.pop().result()
             if not tables[-1].rows:
                 tables[-1].rows.append([])
-            tables[-1].rows[-1].append((cell, _span(node)))
+            tables[-1].rows[-1].append((cell, max(1, _number(node, "colspan", 1, 1000)), _number(node, "rowspan", 1, 65534)))
         elif tag == "table":
             flow.block(tables.pop().lines())
             flow.apart(True)
+            if tables:
+                tables[-1].is_layout = True
         elif tag == "li":
             flow.end_line()
             flow.indents.pop()
@@ -337,7 +453,7 @@ def render(root: Node) -> str:
             flow.end_line()
             flow.indents.pop()
             flow.apart(tag in SPACED)
-        elif tag in BLOCKS and tag != "tr":
+        elif (tag in BLOCKS and tag != "tr") or (drawings and tag == "text"):
             flow.apart(tag in SPACED and not (tag in LISTS and len(numbers) > 1))
         if tag in LISTS:
             numbers.pop()

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirframe.llm.batches import mix, slices, starts_of
+from weirframe.llm.batches import kept_in_worker, mix, slices, starts_of
 
 MARK = "▁"
 WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -337,7 +337,7 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     vocabulary = Vocabulary.load(model_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = kept_in_worker(f"pieces {model_path}", lambda: Encoder(vocabulary))
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
                 texts = part.column("text").to_pylist()
@@ -360,3 +360,16 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(run, "doc_id long, ids array<int>, n_ids long, ids_crc32 long, round_trip boolean")
+
+
+def decode_table(rows: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """``doc_id`` and ``text`` of every row's ids; null ids give a null text, none an empty one."""
+    vocabulary = Vocabulary.load(model_path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [None if ids is None else decode(np.array(ids, np.int64), vocabulary.decoded) for ids in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+    source = rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
+    return source.mapInArrow(run, "doc_id long, text string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def surrogate_key(spark: SparkSession) -> str:
+    """The secret in ``spark.weirframe.surrogate.key``; without one, a fresh one for this run alone."""
+    return spark.conf.get("spark.weirframe.surrogate.key", None) or secrets.token_hex(32)
+
+
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -64,7 +70,7 @@ def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = surrogates.pseudonymise(docs, Scratch(spark, "op7"), count_col="n_replaced")
+    found = surrogates.pseudonymise(docs, Scratch(spark, "op7"), surrogate_key(spark), count_col="n_replaced")
     return found.select("doc_id", "text", "n_replaced")
 
 

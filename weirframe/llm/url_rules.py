@@ -1,24 +1,26 @@
-"""URL verdicts from site rules and from pattern rules indexed by their rarest token.
+"""URL verdicts from rules indexed by their rarest literal token.
 
 Site rules give a host and a path: they fit the host and its subdomains where the path
-starts with theirs, and the longest rule that fits decides. All other URLs are judged by
-pattern rules, regular expressions that come with the literal tokens any match must
-contain. Tokens are runs of letters and digits in the lower-cased URL. Each pattern rule
-is filed under the one of its tokens that the fewest URLs hold, so a URL's tokens fetch
-the few rules that can match it, and only those run. A URL is blocked if one matches.
+starts with theirs, and the longest rule that fits decides (of equal length, the last by name).
+All other URLs are judged by pattern rules, regular expressions that come with the literal
+tokens any match must contain. Both kinds are regular expressions in one index. Tokens are runs
+of letters and digits in the lower-cased URL. A rule is filed under the one of its tokens that
+the fewest URLs hold, so a URL's tokens fetch the few rules that can match it, and only those
+run. A URL is blocked if a pattern rule matches. Rules without a token run on every URL.
 
 The counts that choose the tokens cover all rows and have one row per literal token of
 the rule list, however many URLs there are. No URL is shuffled.
 
 Nulls: a URL that is null or has no ``://`` has an empty host and path; it has no
 tokens, fits no rule and is allowed. A null id stays null; repeated rows get equal
-results. Columns other than id and URL are ignored.
+results, an empty table gives none, and very long URLs are taken whole. Columns other than id
+and URL are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -39,6 +41,17 @@ class SiteRule:
     def name(self) -> str:
         return self.host + self.path
 
+    @property
+    def pattern(self) -> str:
+        """Over host and path in one: a host has no slash, and a path starts with one."""
+        return rf"(?:[^/]*\.)?{re.escape(self.host)}{re.escape(self.path)}"
+
+    @property
+    def tokens(self) -> tuple[str, ...]:
+        """Runs that stand whole in every URL that fits: what follows the path may lengthen its last one."""
+        whole = self.path[: self.path.rfind("/") + 1]
+        return tuple(dict.fromkeys(re.findall(TOKEN, f"{self.host}{whole}".lower())))
+
 
 @dataclass(frozen=True)
 class PatternRule:
@@ -48,6 +61,7 @@ class PatternRule:
     tokens: tuple[str, ...]
 
 
+Rule = SiteRule | PatternRule
 # The site rules of the query.
 SITE_RULES = (
     SiteRule("org", "/", ALLOW),
@@ -82,16 +96,7 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def site_rule(host: Column, path: Column, rules: tuple[SiteRule, ...]) -> Column:
-    """Name of the longest site rule that fits, or null."""
-    found = F.lit(None).cast("string")
-    for rule in sorted(rules, key=lambda rule: (len(rule.name), rule.name)):
-        fits = ((host == rule.host) | host.endswith(f".{rule.host}")) & path.startswith(rule.path)
-        found = F.when(fits, rule.name).otherwise(found)
-    return found
-
-
-def token_counts(pages: DataFrame, rules: tuple[PatternRule, ...], url_col: str = "url") -> dict[str, int]:
+def token_counts(pages: DataFrame, rules: Sequence[Rule], url_col: str = "url") -> dict[str, int]:
     """How many URLs hold each literal token of the rules: a row per token at most."""
     wanted = sorted({token for rule in rules for token in rule.tokens})
     tokens = F.array_distinct(F.regexp_extract_all(F.lower(F.col(url_col)), F.lit(f"({TOKEN})"), 1))
@@ -100,55 +105,59 @@ def token_counts(pages: DataFrame, rules: tuple[PatternRule, ...], url_col: str
     return {row["token"]: row["count"] for row in counted.collect()}
 
 
-def index_of(rules: tuple[PatternRule, ...], counts: dict[str, int]) -> dict[str, list[str]]:
-    """Patterns under the rarest literal token of each."""
-    index: dict[str, list[str]] = {}
+def index_of(rules: Sequence[Rule], counts: dict[str, int]) -> dict[str | None, list[Rule]]:
+    """Rules under the rarest literal token of each; those without one under none."""
+    index: dict[str | None, list[Rule]] = {}
     for rule in rules:
-        rarest = min(rule.tokens, key=lambda token: (counts.get(token, 0), token))
-        index.setdefault(rarest, []).append(rule.pattern)
+        rarest = min(rule.tokens, key=lambda token: (counts.get(token, 0), token), default=None)
+        index.setdefault(rarest, []).append(rule)
     return index
 
 
 def judge(
-    pages: DataFrame, site_rules: tuple[SiteRule, ...] = SITE_RULES,
-    pattern_rules: tuple[PatternRule, ...] = PATTERN_RULES, id_col: str = "page_id", url_col: str = "url",
+    pages: DataFrame, site_rules: Sequence[SiteRule] = SITE_RULES, pattern_rules: Sequence[PatternRule] = PATTERN_RULES,
+    id_col: str = "page_id", url_col: str = "url",
 ) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule`` (site rule, or null) and ``verdict`` of every row."""
-    source = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"))
-    index = index_of(pattern_rules, token_counts(source, pattern_rules))
+    url = F.col(url_col).cast("string")
+    source = pages.select(F.col(id_col).cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), url.alias("url"))
+    rules = [*site_rules, *pattern_rules]
+    index = index_of(rules, token_counts(source, rules))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = re.compile(TOKEN)
-        compiled = {key: [re.compile(pattern, re.DOTALL) for pattern in found] for key, found in index.items()}
+        compiled = {
+            key: [(re.compile(rule.pattern, re.DOTALL), rule if isinstance(rule, SiteRule) else None) for rule in found]
+            for key, found in index.items()
+        }
+        always = compiled.pop(None, [])
 
-        def blocked(url: str | None) -> bool:
+        def verdict(url: str | None, place: str) -> tuple[str | None, str]:
             if url is None or "://" not in url:
-                return False
-            lowered = url.lower()
-            candidates = compiled.keys() & set(token.findall(lowered))
-            return any(rule.search(lowered) for key in candidates for rule in compiled[key])
+                return None, ALLOW
+            lowered, longest, blocked = url.lower(), None, False
+            for fetched in (always, *(compiled[key] for key in compiled.keys() & set(token.findall(lowered)))):
+                for pattern, site in fetched:
+                    if site is None:
+                        blocked = blocked or bool(pattern.search(lowered))
+                    elif pattern.match(place) and (longest is None or (len(longest.name), longest.name) < (len(site.name), site.name)):
+                        longest = site
+            if longest is not None:
+                return longest.name, longest.verdict
+            return None, BLOCK if blocked else ALLOW
 
         for batch in batches:
-            found = [blocked(url) for url in batch.column("url").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.bool_())], ["page_id", "url", "pattern"]
-            )
-
-    verdict = F.when(F.col("pattern"), BLOCK).otherwise(ALLOW)
-    for rule in site_rules:
-        verdict = F.when(F.col("rule") == rule.name, rule.verdict).otherwise(verdict)
-    return (
-        source.mapInArrow(run, "page_id long, url string, pattern boolean")
-        .withColumn("host", host_of(F.col("url")))
-        .withColumn("path", path_of(F.col("url")))
-        .withColumn("rule", site_rule(F.col("host"), F.col("path"), site_rules))
-        .select("page_id", "host", "path", "rule", verdict.alias("verdict"))
-    )
+            hosts, paths = batch.column("host").to_pylist(), batch.column("path").to_pylist()
+            found = [verdict(url, host + path) for url, host, path in zip(batch.column("url").to_pylist(), hosts, paths, strict=True)]
+            made = [pa.array([one[k] for one in found], pa.string()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("host"), batch.column("path"), *made], ["page_id", "host", "path", "rule", "verdict"])
+
+    return source.mapInArrow(run, "page_id long, host string, path string, rule string, verdict string")
 
 
 def judge_sql() -> str:
     """DuckDB SQL for ``judge`` over ``pages`` with the fixed rules."""
-    host = r"lower(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1))"
+    host = r"translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     path = r"regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
     names = verdicts = ""
     for rule in sorted(SITE_RULES, key=lambda rule: (-len(rule.name), rule.name)):
