@@ -140,6 +140,44 @@ _RIVERS = """
     )
 """
 
+_LANDED_POLL = """
+    with polled as (
+        select case when user_id <> 0 then 'A' || user_id end as area, user_id, event_id,
+               cast(length(event_type) - 4 as integer) as level, event_type as label,
+               case when event_id % 3 = 0 then true when event_id % 5 <> 1 then false end as tidal,
+               cast(cast(floor(value / 25) as bigint) as varchar) as message,
+               '2024-01-0' || nullif(length(props) % 3, 0) || ' 09:00:00' as noted
+        from events where length(event_type) - 4 <= 3
+    ), lagged as (
+        select *, coalesce(area, 'row ' || event_id) as grp from polled
+    ), linked as (
+        select *, row_number() over w as rn, lag(level) over w as p_level, lag(message) over w as p_message,
+               lag(noted) over w as p_noted
+        from lagged window w as (partition by grp order by event_id)
+    ), steps as (
+        select *, rn = 1 or level is distinct from p_level or message is distinct from p_message
+            or noted is distinct from p_noted as changed
+        from linked
+    ), ranked as (
+        select *, row_number() over (partition by grp order by event_id desc) as from_end,
+               row_number() over (partition by grp, changed order by event_id desc) as change_from_end
+        from steps
+    )
+    select f.area as flood_area_id, cast(f.event_id as varchar) as description, 'C' as county,
+           z.level as severity_level, c.label as severity_label, f.tidal as is_tidal, z.message,
+           cast(k.c_nationkey as double) as lat,
+           cast(cast(round(cast(cast(k.c_acctbal / 100 as varchar) as decimal(18, 12)), 6) as decimal(9, 6)) as varchar) as lon,
+           '2024-01-01 07:30:00' as time_raised, z.noted as changed_at, '2024-01-01 10:00:00' as polled_at,
+           cast(w.c_nationkey as double) as temperature_c, case when w.c_custkey is not null then 0.25::double end as precipitation_mm,
+           case when w.c_custkey is not null then w.c_nationkey + 1 end as wind_direction_deg,
+           w.c_nationkey * 2 as weather_code
+    from ranked f
+    join ranked z on z.grp = f.grp and z.from_end = 1
+    join ranked c on c.grp = f.grp and c.changed and c.change_from_end = 1
+    left join customer k on 'A' || k.c_custkey = f.area
+    left join customer w on 'A' || w.c_custkey = f.area and w.c_acctbal > 0 and w.c_nationkey <> 0
+    where f.rn = 1"""
+
 SQL: dict[str, str] = {
     "insert_ignore_batch": f"""
         select {_LINE_COLUMNS} from (
@@ -392,43 +430,9 @@ SQL: dict[str, str] = {
                cast(round(cast(n as decimal(9, 0)) + 0.5) as integer) as winddirection_dominant,
                cast(null as double) as windspeed_max
         from rows_ where date between date '2020-01-10' and date '2020-02-20'""",
-    "landed_poll": """
-        with polled as (
-            select case when user_id <> 0 then 'A' || user_id end as area, user_id, event_id,
-                   cast(length(event_type) - 4 as integer) as level, event_type as label,
-                   case when event_id % 3 = 0 then true when event_id % 5 <> 1 then false end as tidal,
-                   cast(cast(floor(value / 25) as bigint) as varchar) as message,
-                   '2024-01-0' || nullif(length(props) % 3, 0) || ' 09:00:00' as noted
-            from events where length(event_type) - 4 <= 3
-        ), lagged as (
-            select *, coalesce(area, 'row ' || event_id) as grp from polled
-        ), linked as (
-            select *, row_number() over w as rn, lag(level) over w as p_level, lag(message) over w as p_message,
-                   lag(noted) over w as p_noted
-            from lagged window w as (partition by grp order by event_id)
-        ), steps as (
-            select *, rn = 1 or level is distinct from p_level or message is distinct from p_message
-                or noted is distinct from p_noted as changed
-            from linked
-        ), ranked as (
-            select *, row_number() over (partition by grp order by event_id desc) as from_end,
-                   row_number() over (partition by grp, changed order by event_id desc) as change_from_end
-            from steps
-        )
-        select f.area as flood_area_id, cast(f.event_id as varchar) as description, 'C' as county,
-               z.level as severity_level, c.label as severity_label, f.tidal as is_tidal, z.message,
-               cast(k.c_nationkey as double) as lat,
-               cast(cast(round(cast(cast(k.c_acctbal / 100 as varchar) as decimal(18, 12)), 6) as decimal(9, 6)) as varchar) as lon,
-               '2024-01-01 07:30:00' as time_raised, z.noted as changed_at, '2024-01-01 10:00:00' as polled_at,
-               cast(w.c_nationkey as double) as temperature_c, case when w.c_custkey is not null then 0.25::double end as precipitation_mm,
-               case when w.c_custkey is not null then w.c_nationkey + 1 end as wind_direction_deg,
-               w.c_nationkey * 2 as weather_code
-        from ranked f
-        join ranked z on z.grp = f.grp and z.from_end = 1
-        join ranked c on c.grp = f.grp and c.changed and c.change_from_end = 1
-        left join customer k on 'A' || k.c_custkey = f.area
-        left join customer w on 'A' || w.c_custkey = f.area and w.c_acctbal > 0 and w.c_nationkey <> 0
-        where f.rn = 1""",
+    "landed_poll": _LANDED_POLL,
+    # Running a poll again repairs it.
+    "poll_repair": _LANDED_POLL,
     "poll_backlog": """
         with polled as (
             select case when user_id <> 0 then 'A' || user_id end as area, user_id, event_id, event_id % 100 as p, event_id % 100 // 3 as hour,

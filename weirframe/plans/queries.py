@@ -700,12 +700,11 @@ def _event_columns(*more: str) -> list[str | Column]:
     ]
 
 
-def landed_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flood events after one poll of all events landed as bodies of 500, with their weather snapshots.
+def _polled_tables(spark: SparkSession, sf_dir: str, scratch: Scratch, cut_off: bool = False) -> DataFrame:
+    """Flood events, with their weather snapshots, after one poll of all events landed as bodies of 500.
 
-    The tables stay in the shared folder, since the returned frame reads them.
+    With ``cut_off`` the poll loses its events, which it writes last, and is run again.
     """
-    scratch = Scratch(spark, "landed-poll")
     landing, one = scratch.path("landing"), F.lit("p1").alias("poll")
     events = table(spark, sf_dir, "events")
     customer = table(spark, sf_dir, "customer")
@@ -723,7 +722,10 @@ def landed_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
     weather = events.select(F.col("user_id").alias("c_custkey")).distinct().join(customer, "c_custkey").filter("c_acctbal > 0")
     _land_bodies(landing, "weather", weather.select(one, area.alias("area"), F.lit(0).alias("page"), body))
     store = TableStore(spark, scratch.path("tables"))
-    poll.poll_once(spark, landing, store, "p1", datetime.datetime(2024, 1, 1, 10, 25))
+    for again in range(2 if cut_off else 1):
+        if again:
+            files.remove(spark, store.path(FLOOD_EVENTS))
+        poll.poll_once(spark, landing, store, "p1", datetime.datetime(2024, 1, 1, 10, 25))
     snapshots = store.read(WEATHER_SNAPSHOTS).select(
         F.col("flood_event_id").alias("id"), "temperature_c", "precipitation_mm", "wind_direction_deg", "weather_code"
     )
@@ -735,6 +737,16 @@ def landed_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables after that poll. They stay in the shared folder, since the returned frame reads them."""
+    return _polled_tables(spark, sf_dir, Scratch(spark, "landed-poll"))
+
+
+def poll_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after a run that was cut off before its events were in place, and a second run."""
+    return _polled_tables(spark, sf_dir, Scratch(spark, "poll-repair"), cut_off=True)
+
+
 def landed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Station readings after one poll of all events as readings of users: the first of each station and day."""
     scratch = Scratch(spark, "landed-readings")
@@ -922,6 +934,7 @@ QUERIES: dict[str, Query] = {
     "landed_weather": landed_weather,
     "landed_poll": landed_poll,
     "landed_readings": landed_readings,
+    "poll_repair": poll_repair,
     "poll_backlog": poll_backlog,
     "poll_events": poll_events,
     "poll_snapshots": poll_snapshots,
