@@ -166,3 +166,12 @@ def test_addresses_keep_their_form_and_belong_to_their_names(spark):
     assert one[6] == one[8] and re.fullmatch(r"[a-z]{4}\.[a-z]{4}-[a-z]\.example", one[6])
     two = re.fullmatch(r"write to (\w+)\.(\w+)@([a-z]{5}\.example) or ([a-z]+)@(\S+)", found[1]["text"])
     assert (two[1], two[2]) == (one[1], one[2]) and two[5] == one[6] and two[4] != "bob"
+
+
+def test_addresses_that_differ_in_digits_alone_stay_apart(spark):
+    texts = [f"user{n}@mail.net" for n in range(120)] + [f"User{n}.x{n}@mail.net" for n in range(12)]
+    found = replaced(spark, [" ".join(texts)])[0]["text"].split()
+    assert len(set(found)) == len(texts) and not set(found) & set(texts)
+    for old, new in zip(texts, found, strict=True):
+        digits = re.findall(r"\d", old), re.findall(r"\d", new)
+        assert len(digits[0]) == len(digits[1]) and all(a != b for a, b in zip(*digits, strict=True))

@@ -106,7 +106,9 @@ HINT = (
     r"[0-9@]|AKIA|gh[pousr]_|[sp]k_(?:live|test)_|-----BEGIN|(?i:passw|pwd|secret|token|api[_-]?key)|[A-Fa-f]:[A-Fa-f:]"
     rf"|(?:{TITLE})\.? \p{{Lu}}"
 )
-KEPT = "kept"
+KEPT, NUMBER = "kept", "number"
+#: Stands between the digits of an address and the rest of it.
+BESIDE = "\u0001"
 NAMES = ("family", "given_m", "given_f", "given_n", "local")
 
 
@@ -160,14 +162,32 @@ def _address_parts(address: Column) -> Column:
     """Words of the local part, what stands between them, and the domain."""
     words = F.regexp_extract_all(F.substring_index(address, "@", 1), F.lit("[A-Za-z]+|[^A-Za-z]+"), F.lit(0))
 
+    # Digits are shifted by the rest of the address, so they need it.
+    rest_of_it = F.concat(F.lit(BESIDE), F.lower(F.regexp_replace(address, "[0-9]", "")))
+
     def part(word: Column) -> Column:
-        kind = F.when(word.rlike("^[A-Za-z]{2}"), "local").when(word.rlike("[0-9]"), "number").otherwise(KEPT)
-        return _part(kind, word)
+        kind = F.when(word.rlike("^[A-Za-z]{2}"), "local").when(word.rlike("[0-9]"), NUMBER).otherwise(KEPT)
+        return _part(kind, F.when(word.rlike("[0-9]"), F.concat(word, rest_of_it)).otherwise(word))
 
     rest = F.array(_part(KEPT, F.lit("@")), _part("domain", F.substring_index(address, "@", -1)))
     return F.concat(F.transform(words, part), rest)
 
 
+def _shifted(value: Column, key: str) -> Column:
+    """Digits of an address, each moved on by 1 to 9 for its place.
+
+    The shifts depend on the address without its digits. So addresses that differ in digits
+    alone still differ, and no digit stays, however many such addresses there are.
+    """
+    digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(NUMBER), F.substring_index(value, BESIDE, -1)), 512)
+
+    def moved(char: Column, at: Column) -> Column:
+        step = F.conv(F.substr(digest, F.pmod(at, F.lit(127)) + 1, F.lit(2)), 16, 10).cast("int") % 9 + 1
+        return F.when(char.rlike("[0-9]"), ((F.ascii(char) - 48 + step) % 10).cast("string")).otherwise(char)
+
+    return F.array_join(F.transform(F.split(F.substring_index(value, BESIDE, 1), ""), moved), "")
+
+
 def canonical(kind: Column, value: Column) -> Column:
     """What two mentions of one thing have in common."""
     return F.when(kind.isin("domain", *NAMES), F.lower(value)).otherwise(value)
@@ -377,12 +397,13 @@ def pseudonymise(
         canonical(F.col("part.kind"), F.col("part.value")).alias("value"),
     )
     parts = scratch.keep(parts, "parts")
-    mapped = _with_names(assign(parts.filter(F.col("kind") != KEPT), scratch, key))
+    mapped = _with_names(assign(parts.filter(~F.col("kind").isin(KEPT, NUMBER)), scratch, key))
     small = (F.col("kind") == "local") & F.col("written").rlike("^[a-z]")
     shown = F.when(small, F.lower("surrogate")).otherwise(F.col("surrogate"))
     replaced = parts.join(mapped, ["kind", "value"], "left").select(
-        "digest", "at", "part_at", F.coalesce(shown, F.col("written")).alias("text")
-    )
+        "digest", "at", "part_at",
+        F.when(F.col("kind") == NUMBER, _shifted(F.col("written"), key)).otherwise(F.coalesce(shown, F.col("written"))).alias("text"),
+    )
     entities = replaced.groupBy("digest", "at").agg(
         F.array_join(
             F.transform(F.sort_array(F.collect_list(F.struct("part_at", "text"))), lambda part: part["text"]), ""
