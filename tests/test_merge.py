@@ -112,7 +112,9 @@ def test_steps_equal_one_fold_after_the_other(spark, monkeypatch, heavy_rows, mo
     found = cut_keys(frame, ["case", "k"])
     steps = merge.fold_steps(frame, RULE, ["seq", "turn"], F.col("turn"), without_order(spark, stored), found)
     assert frame_rows(steps.filter("is_last")) == flat(after)
-    counted = steps.filter("step is not null").groupBy("case", "k", "step").agg(*[F.sum(name) for name in merge.ACTIONS])
+    of_step = steps.filter("step is not null")
+    assert of_step.filter("k is not null").groupBy("case", "k", "step").count().filter("count > 1").count() == 0
+    counted = of_step.groupBy("case", "k", "step").agg(*[F.sum(name) for name in merge.ACTIONS])
     got = {tuple(r)[:3]: tuple(r)[3:] for r in counted.collect()}
     assert got == {key: tuple(count.values()) for key, count in actions.items()}
 

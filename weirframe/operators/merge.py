@@ -131,8 +131,7 @@ def fold_steps(
 
     Returns the state of every key after each step that has rows of it, with that step's
     actions, ``step`` (null for stored rows) and ``is_last``: the rows with ``is_last`` are the
-    table after all steps. A heavy key has a row for each piece of a step. All steps cost one
-    shuffle by key. ``order`` and the place of ``heavy`` must not decrease from step to step.
+    table after all steps. All steps cost one shuffle by key. ``order`` and the place of ``heavy`` must not decrease from step to step.
     """
     columns = [c for c in batch.columns if c not in order]
     keyed, keyless = split_null_keys(batch, rule.keys)
@@ -146,7 +145,7 @@ def fold_steps(
     if heavy and heavy.found:
         table = F.broadcast(heavy.table(rows.sparkSession, rows.select(*rule.keys).schema))
         light = run(rows.join(table, rule.keys, "left_anti").repartition(*rule.keys), F.lit(0))
-        found = light.unionByName(run(rows.join(table, rule.keys), piece_of("_place", "_cuts")))
+        found = light.unionByName(_per_step(run(rows.join(table, rule.keys), piece_of("_place", "_cuts")), rule))
     else:
         found = run(rows.repartition(*rule.keys), F.lit(0))
     # The windows over (key, chunk) and over the key both follow the partitioning by key.
@@ -161,6 +160,18 @@ def fold_steps(
     return steps
 
 
+def _per_step(pieces: DataFrame, rule: UpsertRule) -> DataFrame:
+    """The last piece of each step, with the counts of all of them."""
+    step = f"partition by {_names(rule.keys)}, shiftright(_chunk, {PIECE_BITS})"
+    counts = ["_own_rows", "_own_update", "_own_insert"]
+    summed = pieces.selectExpr(
+        f"* except ({', '.join(counts)})",
+        *[f"sum({name}) over ({step}) as {name}" for name in counts],
+        f"lead(true) over ({step} order by _chunk) is null as _ends",
+    )
+    return summed.filter("_ends").drop("_ends")
+
+
 def unfolded(keyless: DataFrame, order: list[str], inserted: bool) -> DataFrame:
     """Rows with a null key part as ``fold`` returns them: all kept, each an insert if new."""
     counts = zip(ACTIONS, (int(inserted), 0, 0))
