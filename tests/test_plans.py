@@ -78,7 +78,7 @@ def test_writes_are_rebalanced_by_partition(spark, folder):
         "'a' station_ref", "date_add(date'2001-12-31', int(id)) date", "1.0BD value_m", "'Good' quality", "'EA' source"
     )
     plan = plan_of(TableStore(spark, folder).balanced(RIVER_LEVELS, rows))
-    assert re.search(r"Exchange hashpartitioning\(year#\d+, \d+\), REBALANCE_PARTITIONS_BY_COL", plan)
+    assert re.search(r"Exchange hashpartitioning\(year#\d+, bucket#\d+, \d+\), REBALANCE_PARTITIONS_BY_COL", plan)
 
 
 def test_lookup_broadcasts_only_what_is_counted_to_be_small(spark, no_broadcast):
