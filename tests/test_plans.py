@@ -75,7 +75,7 @@ def test_scans_read_and_filter_what_is_needed(spark):
 
 def test_writes_are_rebalanced_by_partition(spark, folder):
     rows = spark.range(3).selectExpr(
-        "'a' station_ref", "date_add(date'2001-12-31', int(id)) date", "1.0BD value_m", "'Good' quality", "'EA' source"
+        "concat('a', id) station_ref", "date_add(date'2001-12-31', int(id)) date", "1.0BD value_m", "'Good' quality", "'EA' source"
     )
     plan = plan_of(TableStore(spark, folder).balanced(RIVER_LEVELS, rows))
     assert re.search(r"Exchange hashpartitioning\(year#\d+, bucket#\d+, \d+\), REBALANCE_PARTITIONS_BY_COL", plan)
