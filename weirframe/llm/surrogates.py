@@ -101,11 +101,9 @@ ENTITY = (
     + "|".join(rf"(?<!\p{{L}})(?:{pattern})" if kind == "person" else pattern for kind, pattern in PATTERNS.items())
     + ")"
 )
-#: What every match contains; much quicker to look for.
-HINT = (
-    r"[0-9@]|AKIA|gh[pousr]_|[sp]k_(?:live|test)_|-----BEGIN|(?i:passw|pwd|secret|token|api[_-]?key)|[A-Fa-f]:[A-Fa-f:]"
-    rf"|(?:{TITLE})\.? \p{{Lu}}"
-)
+_FIRST = "".join(sorted({title[0] for title in (*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES)} | {"A"}))
+#: What every match contains; much quicker to look for, since most characters fail at once.
+HINT = rf"[0-9@=:_]|-----B|(?=[{_FIRST}])(?:AKIA|(?:{TITLE})\.? \p{{Lu}})"
 KEPT, NUMBER = "kept", "number"
 #: Stands between the digits of an address and the rest of it.
 BESIDE = "\u0001"
