@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from weirframe.operators import checks
 from weirframe.operators.checks import ConstraintBreach
+from weirframe.operators.ledger import completed_count
 from weirframe.operators.paging import IncompleteListing
 from weirframe.plans.backfill import backfill_rivers, backfill_weather
 from weirframe.sources import landed, ledger_files, quarantine
@@ -135,6 +136,7 @@ def test_rivers(spark, folder):
     ]
     done = ["2048:2005", "2048:2006", "nomeasure:2005", "nomeasure:2006"]
     assert ledger_keys(spark, ledger) == done
+    assert completed_count(ledger_files.read(spark, ledger)).first()["completed"] == 4
 
     write(f"{base}/station_ref=0503SO/year=2005/body.json", {"items": [level("2005-01-01", 0.1)]})
     write(f"{base}/station_ref=0503SO/year=2006/body.json", {"items": [level("2006-01-01", 123456.0)]})
