@@ -147,3 +147,41 @@ def test_hashed_shingles_are_shingles():
             names.setdefault(one, S.hashed([list(one)])[0][0])
         assert set(hashes.tolist()) == {names[one] for one in shingles}
     assert len(set(names.values())) == len(names)
+
+
+def plain_fingerprint(found, size_class):
+    """Segment and majority bits, one shingle and bit at a time."""
+    halvings = max(0, size_class - 3)
+    dealt = {}
+    for one in found:
+        if one < 1 << (64 - halvings):
+            segment = int(S.mix(np.array([one ^ int(S._SEGMENT_SEED)], np.uint64))[0]) % S.CLASSES[min(size_class, 3)][1]
+            dealt.setdefault(size_class * 64 + segment, []).append(int(S.mix(np.array([one], np.uint64))[0]))
+    return {place: sum((2 * sum(h >> k & 1 for h in hashes) > len(hashes)) << k for k in range(64)) for place, hashes in dealt.items()}
+
+
+def test_fingerprints_are_majorities_of_segments():
+    """A shingle more changes no other segment, and each size is filed with all sizes that may resemble it."""
+    rng = random.Random(10)
+    for n in (1, 2, 16, 17, 20, 21, 57, 70, 112, 113, 225, 280, 281, 448, 449, 560, 561, 1121, 5000):
+        found = sorted(rng.getrandbits(64) for _ in range(n))
+        rows = S.signature(np.array(found, np.uint64)).tolist()
+        classes = sorted({place // 64 for place, _ in rows})
+        assert classes == sorted({S._class_of(k) for k in (n, n * 5 // 4)})
+        expected = {}
+        for size_class in classes:
+            expected |= plain_fingerprint(found, size_class)
+        assert dict(map(tuple, rows)) == expected and len(rows) == len(expected)
+    a = S.signature(np.array(sorted(found[:200]), np.uint64)).tolist()
+    b = S.signature(np.array(sorted(found[:201]), np.uint64)).tolist()
+    assert len(set(map(tuple, a)) ^ set(map(tuple, b))) <= 2
+
+
+def test_keys_are_segments_of_the_fingerprint():
+    rng = random.Random(11)
+    for n in (3, 30, 100, 250, 700):
+        fingerprint = S.signature(np.array(sorted(rng.getrandbits(64) for _ in range(n)), np.uint64))
+        keys = S.band_keys(fingerprint)
+        assert len(set(keys.tolist())) == len(fingerprint)
+        fingerprint[0, 1] ^= np.uint64(1)
+        assert (S.band_keys(fingerprint) != keys).tolist() == [True] + [False] * (len(keys) - 1)
