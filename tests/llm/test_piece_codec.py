@@ -69,3 +69,19 @@ def test_a_table_of_ids_is_decoded(spark):
     found = [(r["doc_id"], r["text"]) for r in P.decode_table(encoded, PATH).collect()]
     assert sorted(found, key=repr) == sorted([(i, text) for i, text, _ in rows], key=repr)
     assert P.decode_table(encoded.limit(0), PATH).count() == 0
+
+
+def test_suffix_order_sorts_many_codes_at_once(monkeypatch):
+    rng = random.Random(4)
+    sort, sorts = np.argsort, []
+    monkeypatch.setattr(P.np, "argsort", lambda *a, **k: sorts.append(1) or sort(*a, **k))
+    for letters, most in ((2, 1), (120, 2), (250, 3), (5000, 4)):  # doubling alone sorts five times
+        for n in (1, 2, 5, 3000):
+            codes = np.array([0x10FFFF - 7 * rng.randrange(letters) for _ in range(n)], np.int32)
+            codes[rng.randrange(n)] = 0
+            sorts.clear()
+            order = P.suffix_order(codes, 16).tolist()
+            assert len(sorts) <= most
+            assert sorted(order) == list(range(n))
+            found = [codes[k : k + 16].tolist() for k in order]
+            assert found == sorted(found)

@@ -149,16 +149,34 @@ def _last_merge(piece: str, text: dict[str, tuple[float, int]]) -> tuple[str, st
     return merge
 
 
+def _behind(values: np.ndarray, span: int) -> np.ndarray:
+    """The value ``span`` places on; zero behind the end."""
+    found = np.zeros_like(values)
+    found[:-span] = values[span:]
+    return found
+
+
 def suffix_order(codes: np.ndarray, reach: int) -> np.ndarray:
-    """Places of ``codes`` sorted by the ``reach`` codes that follow each (prefix doubling)."""
-    _, rank = np.unique(codes, return_inverse=True)
-    rank = rank.astype(np.int64) + 1
-    span, order = 1, np.argsort(rank, kind="stable")
+    """Places of ``codes`` sorted by the ``reach`` codes that follow each (prefix doubling).
+
+    The first sort takes as many codes at once as fit a key of 63 bits.
+    """
+    letters = np.zeros(int(codes.max(initial=0)) + 1, np.int64)
+    letters[codes] = 1
+    rank = np.cumsum(letters)[codes]
+    bits, span = int(letters.sum()).bit_length(), 1
+    key = rank
+    while span < reach and 2 * span * bits < 64:
+        key = (key << (span * bits)) | _behind(key, span)
+        span *= 2
+    order = np.argsort(key)
+    if span < reach:
+        step = np.concatenate([[1], (np.diff(key[order]) != 0).astype(np.int64)])
+        rank = np.empty_like(key)
+        rank[order] = np.cumsum(step)
     while span < reach:
-        behind = np.zeros(len(rank), np.int64)
-        behind[:-span] = rank[span:]
-        key = rank * (int(rank.max()) + 1) + behind
-        order = np.argsort(key, kind="stable")
+        key = rank * (int(rank.max()) + 1) + _behind(rank, span)
+        order = np.argsort(key)
         step = np.concatenate([[1], (np.diff(key[order]) != 0).astype(np.int64)])
         rank = np.empty_like(rank)
         rank[order] = np.cumsum(step)
@@ -251,9 +269,10 @@ class Encoder:
         inside = within[start]
         start, piece = start[inside], piece[inside]
         size = np.where(piece < 0, 1, self.sizes[piece])
-        word = np.searchsorted(begin, start, side="right") - 1
-        depth = start + size - begin[word]
-        by_end = np.argsort(depth, kind="stable")
+        depth = start + size - np.repeat(begin, word_sizes + 1)[start]
+        # Numpy sorts 16-bit numbers by radix.
+        small = int(depth.max(initial=0)) < 1 << 16
+        by_end = np.argsort(depth.astype(np.uint16) if small else depth, kind="stable")
         start, piece, size, depth = start[by_end], piece[by_end], size[by_end], depth[by_end]
         borders = np.searchsorted(depth, np.arange(1, int(word_sizes.max(initial=0)) + 2))
         # The last piece of the encoding up to each place (behind a place's character); -2: none.
@@ -288,9 +307,11 @@ class Encoder:
             live = live[at[live] > begin[live]]
         if not words:
             return np.zeros(0, np.int32), np.zeros(len(begin), np.int64)
-        word, place, piece = map(np.concatenate, (words, places, found))
-        sort = np.argsort(place, kind="stable")
-        word, place, piece = word[sort], place[sort], piece[sort]
+        slot = np.full(len(codes), -1, np.int64)
+        found = np.concatenate(found)
+        slot[np.concatenate(places)] = np.arange(len(found))
+        place = np.flatnonzero(slot >= 0)
+        word, piece = np.concatenate(words)[slot[place]], found[slot[place]]
         ids, owner = self.vocabulary.ids[piece].astype(np.int32), word
         unknown = np.flatnonzero(piece < 0)
         if len(unknown):
