@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 from collections.abc import Callable, Iterator
 from types import ModuleType
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame
 #: Bytes of text that a task holds as Python objects at a time.
 SLICE_BYTES = 2 << 20
 #: Rows of an Arrow batch with whole texts.
-BATCH_ROWS = 2000
+BATCH_ROWS = 500
 WORKER_STORE = "weirframe_worker_store"
 
 
@@ -26,6 +28,36 @@ def kept_in_worker(name: str, make: Callable[[], Any]) -> Any:
     return store[name]
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` for a job whose worker processes go on to other jobs.
+
+    It drops what earlier jobs kept in the worker, and gives free memory back after each batch.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sys.modules.pop(WORKER_STORE, None)
+        give_back()
+        yield from run(returning(batches))
+
+    return task
+
+
+def returning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; free memory is given back before each further one."""
+    for batch in batches:
+        yield batch
+        del batch
+        give_back()
+
+
+def give_back() -> None:
+    """Return free memory to the system, which Arrow's pool and the allocator would hold beside the JVM's."""
+    pa.default_memory_pool().release_unused()
+    # Only the GNU library has this call.
+    with contextlib.suppress(AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def small_batches(frame: DataFrame) -> DataFrame:
     """The frame, after limiting its session's Arrow batches to ``BATCH_ROWS`` rows.
 

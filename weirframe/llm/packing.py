@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirframe.llm.batches import kept_in_worker, slices, starts_of, strings
+from weirframe.llm.batches import kept_in_worker, returning, slices, starts_of, strings
 
 CAPACITY = 2048
 END_ID = 1
@@ -290,7 +290,7 @@ def pack(
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = kept_in_worker(f"encoder {tokenizer_path}", lambda: ChunkEncoder(tokenizer_path))
         packer = Packer(capacity, TaskContext.get().partitionId() << 33)
-        for batch in batches:
+        for batch in returning(batches):
             for part in slices(batch, "text"):
                 ids = part.column("doc_id").to_pylist()
                 rows = [

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirframe.llm.batches import mix, numbered, slices, starts_of, utf8
+from weirframe.llm.batches import lean, mix, numbered, slices, small_batches, starts_of, utf8
 from weirframe.llm.labelled import sample, with_labels
 
 TRAINING_ROWS = 12_000
@@ -211,7 +211,7 @@ def train(
                     [part.column("label"), *map(pa.array, shares.T)], ["label", *STATISTICS]
                 )
 
-    table = with_labels(docs, chosen, id_col, text_col).mapInArrow(run, schema).toPandas()
+    table = with_labels(small_batches(docs), chosen, id_col, text_col).mapInArrow(lean(run), schema).toPandas()
     truth = table["label"].to_numpy(dtype=float)
     if len(set(truth)) < 2:
         return None
@@ -254,4 +254,4 @@ def keep(docs: DataFrame, forest: Forest | None, text_col: str = "text") -> Data
             for part in slices(batch, text_col):
                 yield part.filter(pa.array(verdicts(utf8(part, text_col), forest)[3]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(lean(run), docs.schema)

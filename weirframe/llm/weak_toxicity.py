@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirframe.llm.batches import numbered, slices, small_batches, starts_of, strings
+from weirframe.llm.batches import lean, numbered, slices, small_batches, starts_of, strings
 from weirframe.llm.labelled import sample, with_labels
 
 LABELLED_ROWS, SAMPLE_ROWS = 12_000, 15_000
@@ -230,7 +230,7 @@ def mine(training: DataFrame) -> list[str]:
         yield emit()
 
     counted = (
-        training.mapInArrow(run, "entry string, toxic long, docs long")
+        training.mapInArrow(lean(run), "entry string, toxic long, docs long")
         .groupBy("entry")
         .agg(F.sum("toxic").alias("toxic"), F.sum("docs").alias("docs"))
         .filter((F.col("toxic") >= LEAST_DOCS) & (F.col("toxic") >= LEAST_SHARE * F.col("docs")))
@@ -276,7 +276,7 @@ def train(
                     [part.column("label"), pa.array(packed, pa.binary()), pa.array(sizes)], ["label", "counts", "words"]
                 )
 
-    table = with_labels(small_batches(docs), chosen, id_col, text_col).mapInArrow(run, "label int, counts binary, words long").toPandas()
+    table = with_labels(small_batches(docs), chosen, id_col, text_col).mapInArrow(lean(run), "label int, counts binary, words long").toPandas()
     if not len(table):
         return Model([], np.zeros(len(PATTERNS) + len(FEATURES_AFTER)), _odds(share))
     table = table.sort_values(["counts", "words", "label"])
@@ -320,4 +320,4 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
             for part in slices(batch, text_col):
                 yield part.filter(pa.array(model.score(strings(part, text_col)) < THRESHOLD))
 
-    return small_batches(docs).mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(lean(run), docs.schema)
